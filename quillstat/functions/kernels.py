@@ -9,8 +9,8 @@ count — never by rows.
                         exact count inside a narrow value band).
 * ``gram``              augmented Gram matrix ``[1,x]^T [1,x]`` in one aggregation.
 * ``arith_hash``        reproducible integer hash (same expression in DuckDB).
-* ``with_positions``    dense 0-based row position per key, computed from a
-                        range-partitioned layout so a hot key spans many tasks.
+* ``with_positions``    dense 0-based row position per key, computed on value
+                        buckets of the order column so a hot key spans many tasks.
 * ``halo_window``       rows-between frames evaluated on bounded chunks.
 * ``prefix_sum``        running sums in two levels (chunk totals + in-chunk).
 """
@@ -246,30 +246,46 @@ def gram_to_numpy(row, cols: Sequence[str]) -> tuple[int, np.ndarray]:
 
 # --------------------------------------------------------------------------- ordered positions / halo
 
-def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
+def _order_number(df: DataFrame, c: str) -> Column:
+    """Monotone numeric image of an order column (timestamps -> epoch micros, no time zone)."""
+    dtype = df.schema[c].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                                F.col(c).cast("timestamp_ntz")).cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(dtype, NUMERIC_TYPES):
+        return F.col(c).cast("double")
+    return F.lit(0.0)
+
+
+def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = 1_000_000) -> DataFrame:
     """Add ``_pos``: 0-based position of each row inside its key, by ``order``.
 
     ``order`` must be a total order within a key (append a unique tie-break).
-    The rows are range-partitioned on (keys, order) so one key may span many
-    tasks; per-(key, partition) counts (at most keys + partitions rows) give
-    each partition's offset.  No task ever holds a whole key.
+    Rows are cut into value buckets of the leading order column whose width
+    gives about ``chunk_rows`` rows per bucket even if one key held every row
+    (one scalar pass for min/max/count).  ``row_number`` runs per (key,
+    bucket); per-bucket counts (a small table) give each bucket's offset.
+    Deterministic on recomputation: no sampling, no partition ids.
     """
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.repartitionByRange(parts, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    seg = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ranged.join(seg.select(*keys, "_pid", "_off", "_first"), keys + ["_pid"])
-    return out.withColumn("_pos", F.col("_off") + F.col("_mid") - F.col("_first")).drop(
-        "_pid", "_mid", "_off", "_first"
-    )
+    o0 = _order_number(df, order[0])
+    st = df.agg(F.min(o0).alias("mn"), F.max(o0).alias("mx"), F.count(F.lit(1)).alias("n")).first()
+    mn, mx, n = st["mn"], st["mx"], st["n"]
+    if mn is None or n == 0 or mx == mn:
+        bucket = F.lit(0).cast("long")
+    else:
+        width = (mx - mn) * chunk_rows / n
+        bucket = F.floor((F.coalesce(o0, F.lit(mn)) - F.lit(mn)) / F.lit(width)).cast("long")
+    b = df.withColumn("_bkt", bucket)
+    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
+    ranked = b.withColumn("_rib", F.row_number().over(w) - 1)
+    seg = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
+    ws = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws), F.lit(0))).drop("_cnt")
+    out = ranked.join(seg, keys + ["_bkt"])
+    return out.withColumn("_pos", F.col("_off") + F.col("_rib")).drop("_bkt", "_rib", "_off")
 
 
 def halo_chunks(df_pos: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
@@ -292,12 +308,12 @@ def prefix_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[s
                chunk_rows: int = 1_000_000) -> DataFrame:
     """Running sum of ``value`` per key in ``order`` (inclusive), split-safe.
 
-    Level 1: positions (range layout), chunk = pos // chunk_rows.
+    Level 1: positions (value buckets), chunk = pos // chunk_rows.
     Level 2: chunk totals -> exclusive offsets (a window over the small chunk table).
     Level 3: in-chunk running sum (bounded window) + offset.
     """
     keys = list(keys)
-    pos = with_positions(df, keys, order).withColumn("_chunk", F.floor(F.col("_pos") / F.lit(chunk_rows)))
+    pos = with_positions(df, keys, order, chunk_rows).withColumn("_chunk", F.floor(F.col("_pos") / F.lit(chunk_rows)))
     totals = pos.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_tot"))
     wt = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_coff", F.coalesce(F.sum("_tot").over(wt), F.lit(0)))

@@ -213,13 +213,14 @@ def rule_flags(df: DataFrame, id_cols: Sequence[str], rules: Sequence[tuple[str,
     return df.select(*id_cols, F.explode(arr).alias("recommendation"))
 
 
-# The reference's recommendation thresholds for the student table.
-STUDENT_RULES = [
-    ("increase_study_time", F.col("temps_etude_hebdo") < 10),
-    ("complete_more_exercises", F.col("exercices_completes_pct") < 70),
-    ("submit_homework", F.col("nb_devoirs_rendus") < 8),
-    ("reduce_absences", F.col("nombre_absences") > 5),
-]
+def student_rules() -> list[tuple[str, Column]]:
+    # The reference's recommendation thresholds for the student table.
+    return [
+        ("increase_study_time", F.col("temps_etude_hebdo") < 10),
+        ("complete_more_exercises", F.col("exercices_completes_pct") < 70),
+        ("submit_homework", F.col("nb_devoirs_rendus") < 8),
+        ("reduce_absences", F.col("nombre_absences") > 5),
+    ]
 
 
 # C15 ------------------------------------------------------------------------

@@ -178,13 +178,14 @@ def c_to_numeric(spark, sf):
                      C.to_numeric(F.col("event_type")).alias("type_num"))
 
 
-# Rules over lineitem rows, in the shape of the reference's recommendation rules.
-LINE_RULES = [
-    ("small_order", F.col("l_quantity") < 10),
-    ("deep_discount", F.col("l_discount") > 0.08),
-    ("tax_free", F.col("l_tax") == 0),
-    ("returned", F.col("l_returnflag") == "R"),
-]
+def line_rules():
+    """Rules over lineitem rows, in the shape of the reference's recommendation rules."""
+    return [
+        ("small_order", F.col("l_quantity") < 10),
+        ("deep_discount", F.col("l_discount") > 0.08),
+        ("tax_free", F.col("l_tax") == 0),
+        ("returned", F.col("l_returnflag") == "R"),
+    ]
 
 
 @register("c_rule_flags", """SELECT l_orderkey, l_linenumber, 'small_order' AS recommendation FROM lineitem WHERE l_quantity < 10
@@ -192,7 +193,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'deep_discount' FROM lineitem WHERE l
 UNION ALL SELECT l_orderkey, l_linenumber, 'tax_free' FROM lineitem WHERE l_tax = 0
 UNION ALL SELECT l_orderkey, l_linenumber, 'returned' FROM lineitem WHERE l_returnflag = 'R'""", ops=("C14",))
 def c_rule_flags(spark, sf):
-    return C.rule_flags(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], LINE_RULES)
+    return C.rule_flags(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], line_rules())
 
 
 @register("c_sample_rows", f"""SELECT o_orderkey, o_totalprice FROM orders

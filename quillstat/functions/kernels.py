@@ -304,6 +304,31 @@ def halo_chunks(df_pos: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
     return exploded.withColumn("_chunk", F.col("_t.ch")).withColumn("_halo", F.col("_t.h")).drop("_t")
 
 
+def chunked_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], halo: int,
+                  chunk_rows: int = 1_000_000):
+    """Prepare ``df`` for a rows-between window of reach ``halo`` with bounded partitions.
+
+    Returns ``(frame, partition_cols, order_cols, halo_col)``.  When the whole
+    input has at most ``chunk_rows`` rows a keyed window is already bounded and
+    is used directly (``halo_col`` None).  Otherwise rows get positions,
+    ``chunk_rows``-row chunks and ``halo`` copied boundary rows; callers drop
+    rows where ``halo_col`` is true after evaluating the window.
+    """
+    keys, order = list(keys), list(order)
+    n = df.count()
+    if n <= chunk_rows:
+        return df, keys, order, None
+    pos = with_positions(df, keys, order, chunk_rows)
+    ch = halo_chunks(pos, halo, max(chunk_rows, 2 * halo + 1))
+    return ch, keys + ["_chunk"], ["_pos"], "_halo"
+
+
+def finish_chunked(df: DataFrame, halo_col: str | None) -> DataFrame:
+    if halo_col is None:
+        return df
+    return df.where(~F.col(halo_col)).drop("_chunk", "_halo", "_pos")
+
+
 def prefix_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], out: str,
                chunk_rows: int = 1_000_000) -> DataFrame:
     """Running sum of ``value`` per key in ``order`` (inclusive), split-safe.
@@ -313,10 +338,13 @@ def prefix_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[s
     Level 3: in-chunk running sum (bounded window) + offset.
     """
     keys = list(keys)
+    if df.count() <= chunk_rows:  # bounded: one keyed running window
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(value).over(w))
     pos = with_positions(df, keys, order, chunk_rows).withColumn("_chunk", F.floor(F.col("_pos") / F.lit(chunk_rows)))
-    totals = pos.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_tot"))
+    totals = pos.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_ps_tot"))
     wt = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_coff", F.coalesce(F.sum("_tot").over(wt), F.lit(0)))
+    totals = totals.withColumn("_ps_off", F.coalesce(F.sum("_ps_tot").over(wt), F.lit(0)))
     wi = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    res = pos.withColumn("_run", F.sum(value).over(wi)).join(totals.select(*keys, "_chunk", "_coff"), keys + ["_chunk"])
-    return res.withColumn(out, F.col("_coff") + F.col("_run")).drop("_run", "_coff", "_chunk")
+    res = pos.withColumn("_ps_run", F.sum(value).over(wi)).join(totals.select(*keys, "_chunk", "_ps_off"), keys + ["_chunk"])
+    return res.withColumn(out, F.col("_ps_off") + F.col("_ps_run")).drop("_ps_run", "_ps_off", "_chunk", "_pos")

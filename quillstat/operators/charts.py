@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kernels import exact_quantiles, halo_chunks, with_positions
+from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked
 from .profiling import categorical_distribution
 
 
@@ -122,15 +122,13 @@ def moving_average(df: DataFrame, value: str, order: Sequence[str], size: int =
                    out: str = "trend", chunk_rows: int = 1_000_000) -> DataFrame:
     """Centred moving mean over ``size`` rows (rows i-size//2 .. i+size-size//2-1), edges use available rows.
 
-    Split-safe: positions from a range layout, bounded chunks with halo rows.
+    Split-safe: bounded chunks with halo rows once the input exceeds ``chunk_rows``.
     """
     before, after = size // 2, size - size // 2 - 1
     halo = max(before, after)
-    pos = with_positions(df, keys, order, chunk_rows)
-    ch = halo_chunks(pos, halo, max(chunk_rows, 2 * halo + 1))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(-before, after)
-    res = ch.withColumn(out, F.avg(value).over(w)).where(~F.col("_halo"))
-    return res.drop("_chunk", "_halo", "_pos")
+    ch, part, ordc, hcol = chunked_frame(df, keys, order, halo, chunk_rows)
+    w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(-before, after)
+    return finish_chunked(ch.withColumn(out, F.avg(value).over(w)), hcol)
 
 
 # V13 ------------------------------------------------------------------------

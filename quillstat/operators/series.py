@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kernels import halo_chunks, with_positions
+from ..functions.kernels import chunked_frame, finish_chunked
 
 DEFAULT_CHUNK = 1_000_000
 
@@ -104,18 +104,14 @@ def find_peaks(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[s
     A NULL inside the window disqualifies (count must be full).  Plateau rows
     all count; constant windows do not.  Evaluated on bounded chunks with halo rows.
     """
-    keys = list(keys)
-    pos = with_positions(df, keys, order, chunk_rows)
-    ch = halo_chunks(pos, width, max(chunk_rows, 2 * width + 1))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(-width, width)
+    ch, part, ordc, hcol = chunked_frame(df, keys, order, width, chunk_rows)
+    w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(-width, width)
     v = F.col(value)
-    flagged = (
+    flagged = finish_chunked(
         ch.withColumn("_mx", F.max(v).over(w))
         .withColumn("_sm", F.sum(v).over(w))
         .withColumn("_ct", F.count(v).over(w))
-        .withColumn("_rows", F.count(F.lit(1)).over(w))
-        .where(~F.col("_halo"))
-    )
+        .withColumn("_rows", F.count(F.lit(1)).over(w)), hcol)
     k = 2 * width
     is_peak = (
         (F.col("_rows") == k + 1)
@@ -123,7 +119,7 @@ def find_peaks(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[s
         & (v == F.col("_mx"))
         & (v > (F.col("_sm") - v) / F.lit(float(k)))
     )
-    return flagged.where(is_peak).drop("_mx", "_sm", "_ct", "_rows", "_chunk", "_halo", "_pos")
+    return flagged.where(is_peak).drop("_mx", "_sm", "_ct", "_rows")
 
 
 # R13 ------------------------------------------------------------------------
@@ -131,10 +127,9 @@ def durbin_watson(df: DataFrame, resid: str, order: Sequence[str], keys: Sequenc
                   chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
     """sum((e_t - e_{t-1})^2) / sum(e_t^2) per key, with verdict (1.5 <= dw <= 2.5 -> 'no autocorrelation')."""
     keys = list(keys)
-    pos = with_positions(df, keys, order, chunk_rows)
-    ch = halo_chunks(pos, 1, max(chunk_rows, 3))
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
-    d = ch.withColumn("_prev", F.lag(resid).over(w)).where(~F.col("_halo"))
+    ch, part, ordc, hcol = chunked_frame(df, keys, order, 1, chunk_rows)
+    w = Window.partitionBy(*part).orderBy(*ordc)
+    d = finish_chunked(ch.withColumn("_prev", F.lag(resid).over(w)), hcol)
     agg = d.groupBy(*keys).agg(
         F.sum(F.pow(F.col(resid) - F.col("_prev"), 2)).alias("_num"),
         F.sum(F.pow(F.col(resid), 2)).alias("_den"),

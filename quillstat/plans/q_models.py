@@ -1 +1,609 @@
-"""Catalog placeholder."""
+"""Catalog: splits, regression, metrics, ensemble, reduction, clustering, classification."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from ..operators import charts as V
+from ..operators import classify as K
+from ..operators import cluster as U
+from ..operators import ensemble as E
+from ..operators import metrics as M
+from ..operators import reduce as D
+from ..operators import regression as R
+from ..operators import splits as S
+from ..operators.profiling import cluster_profiles
+from .catalog import register, table
+from .q_charts import _FIT, _scored_lineitem
+from .q_cleaning import _h
+
+# ----------------------------------------------------------------------------- splits
+
+
+@register("r_split", f"SELECT o_orderkey, {_h(42)} % 100 < 20 AS is_test FROM orders", ops=("R1",))
+def r_split(spark, sf):
+    return S.hash_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 20, 42)
+
+
+@register("r_stratified_split", f"""SELECT o_orderkey, rn <= floor(0.2 * n_c + 0.5) AS is_test FROM (
+  SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY {_h(42)}, o_orderkey) AS rn,
+         count(*) OVER (PARTITION BY o_orderstatus = 'F') AS n_c FROM orders)""", ops=("R2",))
+def r_stratified_split(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    return S.stratified_split(o, "o_orderkey", "y", 0.2, 42).select("o_orderkey", "is_test")
+
+
+@register("r_folds", f"SELECT o_orderkey, CAST({_h(42)} % 5 AS INTEGER) AS fold FROM orders", ops=("R3",))
+def r_folds(spark, sf):
+    return S.fold_column(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5, 42)
+
+
+# ----------------------------------------------------------------------------- regression
+
+Y, X1, X2 = "l_extendedprice", "l_quantity", "l_discount"
+_LI_HASH = "(((l_orderkey * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647"
+
+
+def _ols2_sql(where: str = "TRUE", alpha: float = 0.0) -> str:
+    return f"""m AS (SELECT avg({X1}) AS m1, avg({X2}) AS m2, avg({Y}) AS my, count(*) AS n FROM lineitem WHERE {where}),
+s AS (SELECT sum(({X1} - m1) * ({X1} - m1)) + {alpha} AS s11, sum(({X1} - m1) * ({X2} - m2)) AS s12,
+             sum(({X2} - m2) * ({X2} - m2)) + {alpha} AS s22, sum(({X1} - m1) * ({Y} - my)) AS s1y,
+             sum(({X2} - m2) * ({Y} - my)) AS s2y FROM lineitem, m WHERE {where}),
+b AS (SELECT (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s),
+fit AS (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM b, m)"""
+
+
+def _coef_sql(alpha=0.0):
+    return f"""WITH {_ols2_sql(alpha=alpha)}
+SELECT 'intercept' AS feature, round(b0, 6) AS coefficient FROM fit
+UNION ALL SELECT '{X1}', round(b1, 6) FROM fit UNION ALL SELECT '{X2}', round(b2, 6) FROM fit"""
+
+
+def _coef_frame(spark, fit: R.LinearFit):
+    return spark.createDataFrame(fit.coefficient_rows(), "feature string, coefficient double").withColumn(
+        "coefficient", F.round("coefficient", 6))
+
+
+@register("r_ols", _coef_sql(), ops=("R4", "R11"))
+def r_ols(spark, sf):
+    return _coef_frame(spark, R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y))
+
+
+@register("r_ridge", _coef_sql(alpha=1.0), ops=("R6",))
+def r_ridge(spark, sf):
+    return _coef_frame(spark, R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y, alpha=1.0))
+
+
+@register("r_standardised", f"""WITH {_ols2_sql()}
+SELECT 'intercept' AS feature, round(my, 6) AS coefficient FROM m
+UNION ALL SELECT '{X1}', round(b1 * (SELECT stddev_pop({X1}) FROM lineitem), 6) FROM fit
+UNION ALL SELECT '{X2}', round(b2 * (SELECT stddev_pop({X2}) FROM lineitem), 6) FROM fit""", ops=("R5",))
+def r_standardised(spark, sf):
+    fit = R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y)
+    rows = [("intercept", fit.y_mean)] + [(f, float(b)) for f, b in zip(fit.features, fit.standardized_coef())]
+    return spark.createDataFrame(rows, "feature string, coefficient double").withColumn("coefficient", F.round("coefficient", 6))
+
+
+@register("v_coef_table", f"""WITH {_ols2_sql()}
+SELECT '{X1}' AS feature, round(b1, 6) AS coefficient, round(abs(b1), 6) AS abs_coef FROM fit
+UNION ALL SELECT '{X2}', round(b2, 6), round(abs(b2), 6) FROM fit""", ops=("V20",))
+def v_coef_table(spark, sf):
+    fit = R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y)
+    t = V.coefficient_table(spark, fit.features, fit.coef)
+    return t.select("feature", F.round("coefficient", 6).alias("coefficient"), F.round("abs_coef", 6).alias("abs_coef"))
+
+
+@register("r_ols_test_metrics", f"""WITH {_ols2_sql(where=f"NOT ({_LI_HASH} % 100 < 20)")},
+t AS (SELECT {Y} AS y, {Y} - (b0 + b1 * {X1} + b2 * {X2}) AS e FROM lineitem, fit WHERE {_LI_HASH} % 100 < 20),
+a AS (SELECT count(*) AS n, sum(e * e) AS sse, sum(abs(e)) AS sae, var_pop(y) AS vy FROM t)
+SELECT round(1 - sse / (vy * n), 4) AS r2,
+       round(CASE WHEN n - 3 > 0 THEN 1 - (sse / (vy * n)) * (n - 1) / (n - 3) ELSE 1 - sse / (vy * n) END, 4) AS adj_r2,
+       round(sqrt(sse / n), 4) AS rmse, round(sae / n, 4) AS mae, round(sse / n, 4) AS mse FROM a""", ops=("R4",))
+def r_ols_test_metrics(spark, sf):
+    li = S.hash_split(table(spark, sf, "lineitem"), "l_orderkey", 20, 42)
+    fit = R.fit_linear(li.where(~F.col("is_test")), [X1, X2], Y)
+    scored = li.where(F.col("is_test")).withColumn("pred", fit.predict())
+    return R.regression_metrics(scored, Y, "pred", k=2)
+
+
+@register("r_cv_r2", f"""WITH d AS (SELECT *, CAST({_LI_HASH} % 5 AS INTEGER) AS fold FROM lineitem),
+f AS (SELECT fold, count(*) AS n, sum({X1}) AS a1, sum({X2}) AS a2, sum({Y}) AS ay, sum({X1} * {X1}) AS a11,
+             sum({X1} * {X2}) AS a12, sum({X2} * {X2}) AS a22, sum({X1} * {Y}) AS a1y, sum({X2} * {Y}) AS a2y FROM d GROUP BY fold),
+t AS (SELECT sum(n) AS n, sum(a1) AS a1, sum(a2) AS a2, sum(ay) AS ay, sum(a11) AS a11, sum(a12) AS a12, sum(a22) AS a22,
+             sum(a1y) AS a1y, sum(a2y) AS a2y FROM f),
+tr AS (SELECT f.fold, t.n - f.n AS n, (t.a1 - f.a1) / (t.n - f.n) AS m1, (t.a2 - f.a2) / (t.n - f.n) AS m2,
+              (t.ay - f.ay) / (t.n - f.n) AS my, t.a11 - f.a11 AS a11, t.a12 - f.a12 AS a12, t.a22 - f.a22 AS a22,
+              t.a1y - f.a1y AS a1y, t.a2y - f.a2y AS a2y FROM f, t),
+s AS (SELECT fold, m1, m2, my, a11 - n * m1 * m1 AS s11, a12 - n * m1 * m2 AS s12, a22 - n * m2 * m2 AS s22,
+             a1y - n * m1 * my AS s1y, a2y - n * m2 * my AS s2y FROM tr),
+fit AS (SELECT fold, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM (
+        SELECT fold, m1, m2, my, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1,
+               (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)),
+sc AS (SELECT d.fold, 1 - sum(power({Y} - (b0 + b1 * {X1} + b2 * {X2}), 2)) / (var_pop({Y}) * count(*)) AS r2
+       FROM d JOIN fit USING (fold) GROUP BY d.fold)
+SELECT fold, round(r2, 6) AS r2, round(avg(r2) OVER (), 6) AS r2_mean, round(stddev_pop(r2) OVER (), 6) AS r2_std FROM sc""",
+          ops=("R9",))
+def r_cv_r2(spark, sf):
+    cv = R.cross_val_r2(table(spark, sf, "lineitem"), [X1, X2], Y, "l_orderkey", 5, 42)
+    return cv.select("fold", *[F.round(c, 6).alias(c) for c in ("r2", "r2_mean", "r2_std")])
+
+
+@register("r_lasso", None, ops=("R7",))
+def r_lasso(spark, sf):
+    return _coef_frame(spark, R.fit_linear(table(spark, sf, "lineitem"), [X1, X2, "l_tax"], Y, l1=0.1))
+
+
+@register("r_learning_curve", None, ops=("R10",))
+def r_learning_curve(spark, sf):
+    return R.learning_curve(table(spark, sf, "lineitem"), [X1, X2], Y, "l_orderkey", 5, 10, 42)
+
+
+@register("r_coef_tests", None, ops=("R15",))
+def r_coef_tests(spark, sf):
+    return R.coefficient_tests(R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y), spark)
+
+
+_RESID = f"(SELECT {Y} - (intercept + slope * {X1}) AS e, {X1} FROM lineitem, {_FIT})"
+
+
+@register("r_jarque_bera", f"""WITH r AS {_RESID}, mu AS (SELECT avg(e) AS mu FROM r),
+mo AS (SELECT count(e) AS n, avg(power(e - mu, 2)) AS m2, avg(power(e - mu, 3)) AS m3, avg(power(e - mu, 4)) AS m4 FROM r, mu)
+SELECT n, round(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4.0), 6) AS jb FROM mo""",
+          ops=("R14",))
+def r_jarque_bera(spark, sf):
+    r = _scored_lineitem(spark, sf).withColumn("e", F.col(Y) - F.col("pred"))
+    jb = R.jarque_bera(r, "e")
+    return jb.select("n", F.round("jb", 6).alias("jb"))
+
+
+@register("r_breusch_pagan", f"SELECT round(count(*) * power(corr(e * e, {X1}), 2), 6) AS lm, 1 AS dof FROM {_RESID}",
+          ops=("R16",))
+def r_breusch_pagan(spark, sf):
+    r = _scored_lineitem(spark, sf).withColumn("e", F.col(Y) - F.col("pred"))
+    bp = R.breusch_pagan(r, [X1], "e")
+    return bp.select(F.round("lm", 6).alias("lm"), "dof")
+
+
+# ----------------------------------------------------------------------------- metrics
+
+def _scored_flags(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select((F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_discount").alias("score"),
+                     (F.col("l_discount") >= 0.05).cast("int").alias("pred"))
+
+
+_THR = """t AS (SELECT l_discount AS threshold, sum(CAST(l_returnflag = 'R' AS BIGINT)) AS pos,
+             sum(1 - CAST(l_returnflag = 'R' AS BIGINT)) AS neg FROM lineitem GROUP BY l_discount),
+c AS (SELECT threshold, pos, neg, sum(pos) OVER (ORDER BY threshold DESC) AS cum_pos,
+             sum(neg) OVER (ORDER BY threshold DESC) AS cum_neg, sum(pos) OVER () AS p, sum(neg) OVER () AS nn FROM t)"""
+
+
+@register("k_confusion", """SELECT g.actual, g.predicted, coalesce(c.count, 0) AS count
+FROM (SELECT * FROM (VALUES (0), (1)) a(actual), (VALUES (0), (1)) p(predicted)) g
+LEFT JOIN (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS actual, CAST(l_discount >= 0.05 AS INTEGER) AS predicted,
+                  count(*) AS count FROM lineitem GROUP BY 1, 2) c USING (actual, predicted)""", ops=("K11", "K9"))
+def k_confusion(spark, sf):
+    return M.confusion_matrix(_scored_flags(spark, sf), "y", "pred")
+
+
+@register("k_roc_curve", f"""WITH {_THR}
+SELECT NULL::DOUBLE AS threshold, 0.0 AS fpr, 0.0 AS tpr
+UNION ALL SELECT threshold, round(cum_neg / nn, 12), round(cum_pos / p, 12) FROM c""", ops=("K12",))
+def k_roc_curve(spark, sf):
+    r = M.roc_curve(_scored_flags(spark, sf), "y", "score")
+    return r.select("threshold", F.round("fpr", 12).alias("fpr"), F.round("tpr", 12).alias("tpr"))
+
+
+@register("k_roc_auc", f"""WITH {_THR}
+SELECT round(sum(pos * (nn - cum_neg) + 0.5 * pos * neg) / (max(p) * max(nn)), 10) AS roc_auc FROM c""", ops=("K13",))
+def k_roc_auc(spark, sf):
+    return M.roc_auc(_scored_flags(spark, sf), "y", "score").select(F.round("roc_auc", 10).alias("roc_auc"))
+
+
+@register("k_pr_curve", f"""WITH {_THR}
+SELECT threshold, round(cum_pos / (cum_pos + cum_neg), 12) AS precision, round(cum_pos / p, 12) AS recall
+FROM c WHERE cum_pos - pos < p
+UNION ALL SELECT NULL::DOUBLE, 1.0, 0.0""", ops=("K14",))
+def k_pr_curve(spark, sf):
+    r = M.pr_curve(_scored_flags(spark, sf), "y", "score")
+    return r.select("threshold", F.round("precision", 12).alias("precision"), F.round("recall", 12).alias("recall"))
+
+
+@register("k_pr_auc", f"""WITH {_THR},
+pts AS (SELECT threshold, cum_pos / (cum_pos + cum_neg) AS precision, cum_pos / p AS recall FROM c WHERE cum_pos - pos < p
+        UNION ALL SELECT NULL, 1.0, 0.0),
+o AS (SELECT recall, precision, lag(recall) OVER (ORDER BY recall, coalesce(-threshold, '-inf'::DOUBLE)) AS pr,
+             lag(precision) OVER (ORDER BY recall, coalesce(-threshold, '-inf'::DOUBLE)) AS pp FROM pts)
+SELECT round(coalesce(sum((recall - pr) * (precision + pp) / 2), 0.0), 10) AS pr_auc FROM o""", ops=("K14",))
+def k_pr_auc(spark, sf):
+    return M.pr_auc(_scored_flags(spark, sf), "y", "score").select(F.round("pr_auc", 10).alias("pr_auc"))
+
+
+@register("k_binary_metrics", """WITH c AS (SELECT count(*) FILTER (WHERE y = 1 AND p = 1) AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+       count(*) FILTER (WHERE y = 1 AND p = 0) AS fn, count(*) FILTER (WHERE y = 0 AND p = 0) AS tn
+  FROM (SELECT CAST(l_returnflag = 'R' AS INTEGER) AS y, CAST(l_discount >= 0.05 AS INTEGER) AS p FROM lineitem)),
+m AS (SELECT tp, fp, fn, tn, coalesce(tp / nullif(tp + fp, 0), 0.0) AS prec, coalesce(tp / nullif(tp + fn, 0), 0.0) AS rec FROM c)
+SELECT round((tp + tn) / (tp + tn + fp + fn), 4) AS accuracy, round(prec, 4) AS precision, round(rec, 4) AS recall,
+       round(CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0.0 END, 4) AS f1 FROM m""", ops=("K9",))
+def k_binary_metrics(spark, sf):
+    return M.binary_metrics(_scored_flags(spark, sf), "y", "pred")
+
+
+@register("k_class_report", """WITH yp AS (SELECT CAST(CAST(l_returnflag = 'R' AS INTEGER) AS VARCHAR) AS y,
+                     CAST(CAST(l_discount >= 0.05 AS INTEGER) AS VARCHAR) AS p FROM lineitem),
+cls AS (SELECT y AS cls FROM yp UNION SELECT p FROM yp),
+per AS (SELECT cls AS class, coalesce(count(*) FILTER (WHERE y = cls AND p = cls) / nullif(count(*) FILTER (WHERE p = cls), 0), 0.0) AS precision,
+               coalesce(count(*) FILTER (WHERE y = cls AND p = cls) / nullif(count(*) FILTER (WHERE y = cls), 0), 0.0) AS recall,
+               count(*) FILTER (WHERE y = cls) AS support FROM cls, yp GROUP BY cls),
+per2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per)
+SELECT class, round(precision, 10) AS precision, round(recall, 10) AS recall, round(f1, 10) AS f1, support FROM per2
+UNION ALL SELECT 'macro avg', round(avg(precision), 10), round(avg(recall), 10), round(avg(f1), 10), sum(support) FROM per2
+UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 10), round(sum(recall * support) / sum(support), 10),
+       round(sum(f1 * support) / sum(support), 10), sum(support) FROM per2""", ops=("K15",))
+def k_class_report(spark, sf):
+    r = M.classification_report(_scored_flags(spark, sf), "y", "pred")
+    return r.select("class", *[F.round(c, 10).alias(c) for c in ("precision", "recall", "f1")],
+                    F.col("support").cast("long").alias("support"))
+
+
+@register("k_score_fallback", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(CASE WHEN l_returnflag = 'A' THEN l_discount * 10
+                  WHEN l_returnflag = 'N' THEN 1 / (1 + exp(-(l_tax * 100 - 4)))
+                  ELSE CAST(l_quantity > 25 AS DOUBLE) END, 12) AS score FROM lineitem""", ops=("K19",))
+def k_score_fallback(spark, sf):
+    li = table(spark, sf, "lineitem")
+    proba = F.when(F.col("l_returnflag") == "A", F.col("l_discount") * 10)
+    raw = F.when(F.col("l_returnflag") == "N", F.col("l_tax") * 100 - 4)
+    pred = (F.col("l_quantity") > 25).cast("int")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     F.round(M.score_with_fallback(proba, raw, pred), 12).alias("score"))
+
+
+# ----------------------------------------------------------------------------- ensemble
+
+_E_W = {"m_disc": 2.0, "m_tax": 1.0}  # m_qty has no weight -> 1.0
+
+
+@register("e_soft_vote", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round((2.0 * l_discount * 10 + 1.0 * l_tax * 12.5 + 1.0 * l_quantity / 50.0) / 4.0, 12) AS ensemble_proba,
+       CAST((2.0 * l_discount * 10 + 1.0 * l_tax * 12.5 + 1.0 * l_quantity / 50.0) / 4.0 >= 0.5 AS INTEGER) AS ensemble_pred
+FROM lineitem""", ops=("E3",))
+def e_soft_vote(spark, sf):
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_discount") * 10).alias("p_disc"),
+        (F.col("l_tax") * 12.5).alias("p_tax"), (F.col("l_quantity") / 50.0).alias("p_qty"))
+    out = E.ensemble_predict(li, {"m_disc": "p_disc", "m_tax": "p_tax", "m_qty": "p_qty"}, weights=_E_W)
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                      F.round("ensemble_proba", 12).alias("ensemble_proba"), "ensemble_pred")
+
+
+@register("e_hard_vote", """SELECT o_orderkey, CASE WHEN (v1 + v2 + v3) >= 2 THEN 1 ELSE 0 END AS ensemble_pred FROM (
+  SELECT o_orderkey, CAST(o_totalprice > 200000 AS INTEGER) AS v1, CAST(o_orderstatus = 'F' AS INTEGER) AS v2,
+         CAST(o_orderpriority IN ('1-URGENT', '2-HIGH') AS INTEGER) AS v3 FROM orders)""", ops=("E3",))
+def e_hard_vote(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_totalprice") > 200000).cast("int").alias("v1"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("v2"),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("v3"))
+    out = E.ensemble_predict(o, {}, {"a": "v1", "b": "v2", "c": "v3"})
+    return out.select("o_orderkey", "ensemble_pred")
+
+
+# ----------------------------------------------------------------------------- reduction
+
+PX1, PX2 = "l_quantity", "l_extendedprice"
+
+
+@register("d_pca_variance", f"""WITH r AS (SELECT corr({PX1}, {PX2}) AS r, count(*) AS n FROM lineitem)
+SELECT 1 AS component, round(n / (n - 1.0) * (1 + abs(r)), 9) AS eigenvalue, round((1 + abs(r)) / 2, 9) AS ratio,
+       round((1 + abs(r)) / 2, 9) AS cumulative FROM r
+UNION ALL SELECT 2, round(n / (n - 1.0) * (1 - abs(r)), 9), round((1 - abs(r)) / 2, 9), 1.0 FROM r""", ops=("D1", "D2", "V16"))
+def d_pca_variance(spark, sf):
+    fit = D.pca_fit(table(spark, sf, "lineitem"), [PX1, PX2])
+    v = fit.variance_frame(spark)
+    return v.select("component", *[F.round(c, 9).alias(c) for c in ("eigenvalue", "ratio", "cumulative")])
+
+
+@register("d_pca_scores", f"""WITH s AS (SELECT avg({PX1}) AS m1, stddev_pop({PX1}) AS s1, avg({PX2}) AS m2, stddev_pop({PX2}) AS s2,
+                   sign(corr({PX1}, {PX2})) AS sg FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round((({PX1} - m1) / s1 + sg * ({PX2} - m2) / s2) / sqrt(2), 6) AS pc1,
+       round((({PX1} - m1) / s1 - sg * ({PX2} - m2) / s2) / sqrt(2), 6) AS pc2 FROM lineitem, s""", ops=("D1",))
+def d_pca_scores(spark, sf):
+    li = table(spark, sf, "lineitem")
+    fit = D.pca_fit(li, [PX1, PX2])
+    sc = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *fit.scores(2))
+    return sc.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round("pc1", 6).alias("pc1"),
+                     F.round("pc2", 6).alias("pc2"))
+
+
+@register("d_pca_loadings", f"""WITH r AS (SELECT corr({PX1}, {PX2}) AS r, count(*) AS n FROM lineitem)
+SELECT 1 AS component, '{PX1}' AS feature, round(sqrt(0.5), 9) AS weight, round(sqrt(0.5 * n / (n - 1.0) * (1 + abs(r))), 9) AS loading FROM r
+UNION ALL SELECT 1, '{PX2}', round(sign(r) * sqrt(0.5), 9), round(sign(r) * sqrt(0.5 * n / (n - 1.0) * (1 + abs(r))), 9) FROM r
+UNION ALL SELECT 2, '{PX1}', round(sqrt(0.5), 9), round(sqrt(0.5 * n / (n - 1.0) * (1 - abs(r))), 9) FROM r
+UNION ALL SELECT 2, '{PX2}', round(-sign(r) * sqrt(0.5), 9), round(-sign(r) * sqrt(0.5 * n / (n - 1.0) * (1 - abs(r))), 9) FROM r""",
+          ops=("D1", "V16"))
+def d_pca_loadings(spark, sf):
+    fit = D.pca_fit(table(spark, sf, "lineitem"), [PX1, PX2])
+    ld = fit.loadings_frame(spark)
+    return ld.select("component", "feature", F.round("weight", 9).alias("weight"), F.round("loading", 9).alias("loading"))
+
+
+def doc_table(spark, sf):
+    d = table(spark, sf, "documents")
+    feats = d.select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("double").alias("n_lines"),
+        (F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit("")))).cast("double").alias("n_spaces"),
+        (F.length("text") - F.length(F.regexp_replace("text", "[0-9]", ""))).cast("double").alias("n_digits"),
+    )
+    return table(spark, sf, "labels").join(feats, "doc_id")
+
+
+_DOC_SQL = """docs AS (SELECT l.doc_id, l.quality, l.toxic, CAST(d.n_chars AS DOUBLE) AS n_chars,
+       CAST(length(d.text) - length(replace(d.text, chr(10), '')) + 1 AS DOUBLE) AS n_lines FROM labels l JOIN documents d USING (doc_id))"""
+_LDA_SQL = f"""{_DOC_SQL},
+cm AS (SELECT quality, count(*) AS n, avg(n_chars) AS a, avg(n_lines) AS b FROM docs GROUP BY quality),
+sw AS (SELECT sum((n_chars - a) * (n_chars - a)) AS saa, sum((n_chars - a) * (n_lines - b)) AS sab,
+              sum((n_lines - b) * (n_lines - b)) AS sbb, count(*) AS n FROM docs JOIN cm USING (quality)),
+mu AS (SELECT max(a) FILTER (WHERE quality = 1) AS a1, max(b) FILTER (WHERE quality = 1) AS b1,
+              max(a) FILTER (WHERE quality = 0) AS a0, max(b) FILTER (WHERE quality = 0) AS b0,
+              max(n) FILTER (WHERE quality = 1) AS n1, max(n) FILTER (WHERE quality = 0) AS n0 FROM cm),
+w AS (SELECT n, saa, sab, sbb, a0, a1, b0, b1, n0, n1,
+             n * (sbb * (a1 - a0) - sab * (b1 - b0)) / (saa * sbb - sab * sab) AS wa,
+             n * (saa * (b1 - b0) - sab * (a1 - a0)) / (saa * sbb - sab * sab) AS wb FROM sw, mu)"""
+
+
+@register("d_lda_accuracy", f"""WITH {_LDA_SQL}
+SELECT round(avg(CAST(CAST((wa * n_chars + wb * n_lines - 0.5 * ((a1 + a0) * wa + (b1 + b0) * wb) + ln(n1 / n0) > 0) AS INTEGER)
+                 = quality AS DOUBLE)), 10) AS accuracy FROM docs, w""", ops=("D4",))
+def d_lda_accuracy(spark, sf):
+    docs = doc_table(spark, sf)
+    fit = D.lda_fit(docs, ["n_chars", "n_lines"], "quality")
+    pred = (fit.decision() > 0).cast("int")
+    return docs.agg(F.round(F.avg((pred == F.col("quality")).cast("double")), 10).alias("accuracy"))
+
+
+@register("d_lda_coef", f"""WITH {_LDA_SQL},
+u AS (SELECT wa / sqrt((wa * wa * saa + 2 * wa * wb * sab + wb * wb * sbb) / (n - 2)) AS ca,
+             wb / sqrt((wa * wa * saa + 2 * wa * wb * sab + wb * wb * sbb) / (n - 2)) AS cb FROM w),
+g AS (SELECT CASE WHEN (abs(ca) >= abs(cb) AND ca < 0) OR (abs(cb) > abs(ca) AND cb < 0) THEN -1 ELSE 1 END AS sg, ca, cb FROM u)
+SELECT 'n_chars' AS feature, round(sg * ca, 9) AS coefficient FROM g UNION ALL SELECT 'n_lines', round(sg * cb, 9) FROM g""",
+          ops=("D4", "V21"))
+def d_lda_coef(spark, sf):
+    fit = D.lda_fit(doc_table(spark, sf), ["n_chars", "n_lines"], "quality")
+    rows = [(f, float(c)) for f, c in zip(fit.features, fit.coef)]
+    return spark.createDataFrame(rows, "feature string, coefficient double").withColumn("coefficient", F.round("coefficient", 9))
+
+
+@register("v_lda_histogram", None, ops=("V21",))
+def v_lda_histogram(spark, sf):
+    docs = doc_table(spark, sf)
+    fit = D.lda_fit(docs, ["n_chars", "n_lines"], "quality")
+    return V.histogram(docs.withColumn("axis", fit.projection()), "axis", 25, by=["quality"], density=True)
+
+
+@register("d_landmark_mds", None, ops=("D3", "D6"))
+def d_landmark_mds(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return D.landmark_mds(e, "embedding", "vec_id", landmarks=200, keep=["vec_id", "label"])
+
+
+# ----------------------------------------------------------------------------- clustering
+
+_EMB_D = "list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda x: power(x[1]::DOUBLE - x[2]::DOUBLE, 2)))"
+
+
+def _centroids(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return U.cluster_table(e, "embedding", "label").select("cid", "mean")
+
+
+@register("u_assign_nearest", """WITH c AS (SELECT label AS cid, list(m ORDER BY i) AS mean FROM (
+    SELECT label, i, avg(embedding[i]::DOUBLE) AS m FROM embeddings, range(1, 65) t(i) GROUP BY label, i) GROUP BY label)
+SELECT vec_id, first(cid ORDER BY d2, cid) AS cluster FROM (
+  SELECT e.vec_id, c.cid, list_sum(list_transform(list_zip(e.embedding, c.mean), lambda x: power(x[1]::DOUBLE - x[2], 2))) AS d2
+  FROM embeddings e, c) GROUP BY vec_id""", ops=("U6",))
+def u_assign_nearest(spark, sf):
+    e = table(spark, sf, "embeddings")
+    return U.assign_nearest(e, "embedding", _centroids(spark, sf)).select("vec_id", "cluster")
+
+
+_SIL_SQL = f"""p AS (SELECT a.vec_id, a.label AS la, b.label AS lb, {_EMB_D} AS d2 FROM embeddings a, embeddings b),
+m AS (SELECT vec_id, la, lb, sum(d2) AS s, count(*) AS n FROM p GROUP BY 1, 2, 3),
+ab AS (SELECT vec_id, max(CASE WHEN la = lb THEN CASE WHEN n > 1 THEN s / (n - 1) END END) AS a,
+              min(CASE WHEN la <> lb THEN s / n END) AS b, max(CASE WHEN la = lb THEN n END) AS na FROM m GROUP BY vec_id),
+sil AS (SELECT vec_id, CASE WHEN na <= 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END AS silhouette FROM ab)"""
+
+
+@register("u_silhouette", f"WITH {_SIL_SQL} SELECT vec_id, round(silhouette, 8) AS silhouette FROM sil", ops=("U4",))
+def u_silhouette(spark, sf):
+    s = U.silhouette(table(spark, sf, "embeddings"), "embedding", "label")
+    return s.select("vec_id", F.round("silhouette", 8).alias("silhouette"))
+
+
+@register("u_silhouette_score", f"WITH {_SIL_SQL} SELECT round(avg(silhouette), 8) AS silhouette FROM sil", ops=("U4", "U3"))
+def u_silhouette_score(spark, sf):
+    s = U.silhouette_score(table(spark, sf, "embeddings"), "embedding", "label")
+    return s.select(F.round("silhouette", 8).alias("silhouette"))
+
+
+def _emb_vectors(spark, sf):
+    return table(spark, sf, "embeddings").withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+
+
+@register("u_kmeans", None, ops=("U1",))
+def u_kmeans(spark, sf):
+    model, cost = U.kmeans_best(_emb_vectors(spark, sf), "features", k=10, n_init=10, seed=42)
+    return model.transform(_emb_vectors(spark, sf)).select("vec_id", "label", "cluster")
+
+
+@register("u_elbow", None, ops=("U2",))
+def u_elbow(spark, sf):
+    return U.elbow(_emb_vectors(spark, sf), "features", range(1, 11), n_init=3)
+
+
+@register("u_best_k", None, ops=("U3",))
+def u_best_k(spark, sf):
+    ev = _emb_vectors(spark, sf)
+    rows = []
+    for k in range(2, 11):
+        model, _ = U.kmeans_best(ev, "features", k, n_init=3)
+        s = U.silhouette_score(model.transform(ev), "embedding", "cluster").first()["silhouette"]
+        rows.append((k, float(s)))
+    return U.best_k_by_silhouette(spark.createDataFrame(rows, "k int, silhouette double"))
+
+
+@register("u_ward", None, ops=("U5",))
+def u_ward(spark, sf):
+    out, _ = U.two_level_ward(_emb_vectors(spark, sf), "features", k=10, micro=100)
+    return out.select("vec_id", "label", "cluster")
+
+
+@register("v_dendrogram", None, ops=("V19",))
+def v_dendrogram(spark, sf):
+    _, merges = U.two_level_ward(_emb_vectors(spark, sf), "features", k=10, micro=100)
+    return merges
+
+
+@register("u_cluster_run", None, ops=("U7", "P16", "V13"))
+def u_cluster_run(spark, sf):
+    ev = _emb_vectors(spark, sf)
+    model, _ = U.kmeans_best(ev, "features", k=3, n_init=10)
+    scored = model.transform(ev).select("cluster", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(3)])
+    return cluster_profiles(scored, "cluster", ["e0", "e1", "e2", "label"])
+
+
+# ----------------------------------------------------------------------------- classification
+
+DOC_FEATURES = ["n_chars", "n_lines", "n_spaces", "n_digits"]
+
+
+def _doc_split(spark, sf):
+    docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42)
+    scaled = K.standardize_exprs(docs.where(~F.col("is_test")), DOC_FEATURES)
+    return K.assemble(docs, DOC_FEATURES, scaled)
+
+
+@register("k_knn_neighbours", f"""WITH q AS (SELECT * FROM embeddings WHERE (((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20),
+t AS (SELECT * FROM embeddings WHERE NOT ((((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20))
+SELECT q_id AS vec_id, t_id AS neighbour_id, round(d2, 6) AS d2, rank FROM (
+  SELECT a.vec_id AS q_id, b.vec_id AS t_id, {_EMB_D} AS d2,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY {_EMB_D}, b.vec_id) AS rank FROM q a, t b) WHERE rank <= 5""",
+          ops=("K4",))
+def k_knn_neighbours(spark, sf):
+    e = S.hash_split(table(spark, sf, "embeddings"), "vec_id", 20, 42)
+    q = e.where(F.col("is_test")).select(F.col("vec_id").alias("q_id"), "embedding")
+    t = e.where(~F.col("is_test")).select("vec_id", "embedding")
+    nn = K.knn_join(q, t, "q_id", "vec_id", "embedding", 5)
+    return nn.select(F.col("q_id").alias("vec_id"), F.col("vec_id").alias("neighbour_id"), F.round("d2", 6).alias("d2"), "rank")
+
+
+@register("k_knn_classify", f"""WITH q AS (SELECT * FROM embeddings WHERE (((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20),
+t AS (SELECT * FROM embeddings WHERE NOT ((((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20)),
+nn AS (SELECT a.vec_id, CAST(b.label >= 5 AS DOUBLE) AS y,
+              row_number() OVER (PARTITION BY a.vec_id ORDER BY {_EMB_D}, b.vec_id) AS rank FROM q a, t b)
+SELECT vec_id, round(avg(y), 10) AS proba, CAST(avg(y) > 0.5 AS INTEGER) AS prediction FROM nn WHERE rank <= 7 GROUP BY vec_id""",
+          ops=("K4",))
+def k_knn_classify(spark, sf):
+    e = S.hash_split(table(spark, sf, "embeddings"), "vec_id", 20, 42).withColumn("y", (F.col("label") >= 5).cast("int"))
+    q = e.where(F.col("is_test")).select(F.col("vec_id").alias("q_id"), "embedding")
+    t = e.where(~F.col("is_test")).select("vec_id", "embedding", "y")
+    out = K.knn_classify(q, t, "q_id", "vec_id", "embedding", "y", 7)
+    return out.select(F.col("q_id").alias("vec_id"), F.round("proba", 10).alias("proba"), "prediction")
+
+
+def _fit_models(spark, sf):
+    data = _doc_split(spark, sf)
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    models = {
+        "logistic": K.logistic(train, "quality"),
+        "random_forest": K.random_forest(train, "quality", 100, 8),
+    }
+    gamma = 1.0 / len(DOC_FEATURES)  # standardised features: variance 1 -> 'scale' gamma = 1/d
+    models["svm_rff"] = K.FourierSVM(len(DOC_FEATURES), gamma).fit(train, "quality")
+    return models, train, test
+
+
+@register("k_logistic", None, ops=("K1", "K8"))
+def k_logistic(spark, sf):
+    data = _doc_split(spark, sf)
+    model = K.logistic(data.where(~F.col("is_test")), "quality")
+    return K.proba_col(model.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
+
+
+@register("k_random_forest", None, ops=("K2",))
+def k_random_forest(spark, sf):
+    data = _doc_split(spark, sf)
+    model = K.random_forest(data.where(~F.col("is_test")), "quality", 100, 8)
+    return K.proba_col(model.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
+
+
+@register("k_random_forest_deep", None, ops=("K3",))
+def k_random_forest_deep(spark, sf):
+    data = _doc_split(spark, sf)
+    model = K.random_forest(data.where(~F.col("is_test")), "quality", 100, None)
+    return K.proba_col(model.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
+
+
+@register("k_svm_rff", None, ops=("K5",))
+def k_svm_rff(spark, sf):
+    data = _doc_split(spark, sf)
+    svm = K.FourierSVM(len(DOC_FEATURES), 1.0 / len(DOC_FEATURES)).fit(data.where(~F.col("is_test")), "quality")
+    return K.proba_col(svm.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
+
+
+@register("k_train_all", None, ops=("K6", "K7", "K10", "V17"))
+def k_train_all(spark, sf):
+    models, train, test = _fit_models(spark, sf)
+    tables = []
+    for name, m in models.items():
+        scored = K.proba_col(m.transform(test))
+        tables.append(K.evaluate_scored(scored, "quality").withColumn("model", F.lit(name)))
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out.crossJoin(F.broadcast(K.best_model(out)))
+
+
+@register("k_feature_importance", None, ops=("K17", "V15"))
+def k_feature_importance(spark, sf):
+    data = _doc_split(spark, sf)
+    rf = K.random_forest(data.where(~F.col("is_test")), "quality", 100, 8)
+    return K.feature_importance(rf, DOC_FEATURES, spark)
+
+
+@register("k_cv_accuracy", None, ops=("K16", "R3"))
+def k_cv_accuracy(spark, sf):
+    data = S.fold_column(_doc_split(spark, sf), "doc_id", 5, 42)
+    rows = []
+    for f in range(5):
+        m = K.logistic(data.where(F.col("fold") != f), "quality")
+        acc = m.transform(data.where(F.col("fold") == f)).agg(
+            F.avg((F.col("prediction") == F.col("quality")).cast("double")).alias("a")).first()["a"]
+        rows.append((f, float(acc if acc is not None else float("nan"))))
+    arr = np.array([r[1] for r in rows])
+    return spark.createDataFrame([(f, a, float(np.nanmean(arr)), float(np.nanstd(arr))) for f, a in rows],
+                                 "fold int, accuracy double, mean double, std double")
+
+
+@register("e_ensemble_predictions", None, ops=("E2", "E4", "S9", "T8"))
+def e_ensemble_predictions(spark, sf):
+    docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42)
+    train_raw = docs.where(~F.col("is_test"))
+    scaled = K.standardize_exprs(train_raw, DOC_FEATURES)
+
+    def assemble(df, feats):
+        return K.assemble(df, feats, scaled)
+
+    train = assemble(train_raw, DOC_FEATURES)
+    lr = K.logistic(train, "quality")
+    rf = K.random_forest(train, "quality", 50, 8)
+    models = {"logistic": (lr, DOC_FEATURES), "random_forest": (rf, DOC_FEATURES),
+              "live_only": (lr, ["value1", "value2"])}
+    wide, probas, preds = E.predict_all(docs.where(F.col("is_test")), models, assemble)
+    out = E.ensemble_predict(wide, probas, preds, weights={"logistic": 1.0, "random_forest": 2.0})
+    return out.select("doc_id", "logistic_preds", "logistic_proba", "random_forest_preds", "random_forest_proba",
+                      "live_only_preds", "live_only_status", "ensemble_pred", "ensemble_proba")

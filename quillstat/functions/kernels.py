@@ -79,10 +79,13 @@ def exact_quantiles(
     Pass 1: per (group, column) the non-null count and an approximate bracket
     ``[approx(q-e), approx(q+e)]`` from ``percentile_approx`` (Greenwald–Khanna,
     rank error <= n/accuracy, so the true order statistic lies inside).
-    Pass 2: rows below the bracket are only counted (map-side combined); rows
-    inside it are grouped by value; the band holds about ``4n/accuracy``
-    distinct values, so the final ordered scan per (group, column, q) is bounded
-    independently of how many rows share a value.
+    Pass 2: rows below / above the bracket are only counted, keeping the
+    nearest value on each side (map-side combined); rows inside it are grouped
+    by value.  The band holds about ``4n/accuracy`` distinct values, so the
+    final ordered scan per (group, column, q) is bounded independently of how
+    many rows share a value.  For small groups the summary is exact and the
+    bracket can sit one rank off the interpolation neighbour; the nearest
+    below/above values resolve that case.
     """
     by = list(by)
     qs = [float(q) for q in qs]
@@ -114,37 +117,31 @@ def exact_quantiles(
 
     joined = long.join(stats, keys)
     idx = F.sequence(F.lit(0), F.lit(len(qs) - 1))
-    # per quantile i: NULL marker for "below the band", x inside the band, nothing above it
+    # per quantile i: v = x inside the band; b / a = x below / above the band (only their
+    # count and nearest value survive the map-side combine)
+    x = F.col("x")
     tagged = joined.select(
         *keys,
-        F.explode(
-            F.filter(
-                F.transform(
-                    idx,
-                    lambda i: F.struct(
-                        i.alias("qi"),
-                        F.when(F.col("x") < F.col("_lo")[i], F.lit(None).cast("double"))
-                        .when(F.col("x") <= F.col("_hi")[i], F.col("x"))
-                        .alias("v"),
-                        (F.col("x") < F.col("_lo")[i]).alias("below"),
-                        (F.col("x") <= F.col("_hi")[i]).alias("keep"),
-                    ),
-                ),
-                lambda s: s["keep"],
-            )
-        ).alias("t"),
-    ).select(*keys, F.col("t.qi").alias("qi"), F.col("t.v").alias("v"))
-    counted = tagged.groupBy(*keys, "qi", "v").agg(F.count(F.lit(1)).alias("c"))
-
-    below = counted.where(F.col("v").isNull()).select(*keys, "qi", F.col("c").alias("_below"))
-    band = counted.where(F.col("v").isNotNull())
+        F.explode(F.transform(idx, lambda i: F.struct(
+            i.alias("qi"),
+            F.when((x >= F.col("_lo")[i]) & (x <= F.col("_hi")[i]), x).alias("v"),
+            F.when(x < F.col("_lo")[i], x).alias("b"),
+            F.when(x > F.col("_hi")[i], x).alias("a"),
+        ))).alias("t"),
+    ).select(*keys, "t.qi", "t.v", "t.b", "t.a")
+    counted = tagged.groupBy(*keys, "qi", "v").agg(
+        F.count(F.lit(1)).alias("c"), F.count("b").alias("nb"), F.max("b").alias("bmax"), F.min("a").alias("amin"))
+
+    outside = counted.where(F.col("v").isNull()).select(
+        *keys, "qi", F.col("nb").alias("_below"), F.col("bmax").alias("_bmax"), F.col("amin").alias("_amin"))
+    band = counted.where(F.col("v").isNotNull()).select(*keys, "qi", "v", "c")
     w = Window.partitionBy(*keys, "qi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_cum", F.sum("c").over(w))
 
     qarr = F.array(*[F.lit(q) for q in qs])
     band = (
         band.join(stats.select(*keys, "_n"), keys)
-        .join(below, keys + ["qi"], "left")
+        .join(outside, keys + ["qi"], "left")
         .withColumn("_below", F.coalesce("_below", F.lit(0)))
         .withColumn("_pos", qarr[F.col("qi")] * (F.col("_n") - 1))
         .withColumn("_rlo", F.floor("_pos"))
@@ -152,12 +149,19 @@ def exact_quantiles(
         .withColumn("_absc", F.col("_below") + F.col("_cum"))
     )
     picked = band.groupBy(*keys, "qi").agg(
-        F.min(F.when(F.col("_absc") > F.col("_rlo"), F.col("v"))).alias("_vlo"),
-        F.min(F.when(F.col("_absc") > F.col("_rhi"), F.col("v"))).alias("_vhi"),
-        F.first("_pos").alias("_pos"),
-        F.first("_rlo").alias("_rlo"),
+        F.min(F.when(F.col("_absc") > F.col("_rlo"), F.col("v"))).alias("_blo"),
+        F.min(F.when(F.col("_absc") > F.col("_rhi"), F.col("v"))).alias("_bhi"),
+        F.first("_pos").alias("_pos"), F.first("_rlo").alias("_rlo"), F.first("_rhi").alias("_rhi"),
+        F.first("_below").alias("_below"), F.first("_bmax").alias("_bmax"), F.first("_amin").alias("_amin"),
     )
-    value = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_pos") - F.col("_rlo"))
+
+    def at(rank, band_value):
+        # rank just below the band -> nearest value below; just above -> nearest value above
+        return F.when(F.col(rank) < F.col("_below"), F.col("_bmax")).when(
+            band_value.isNotNull(), band_value).otherwise(F.col("_amin"))
+
+    vlo, vhi = at("_rlo", F.col("_blo")), at("_rhi", F.col("_bhi"))
+    value = vlo + (vhi - vlo) * (F.col("_pos") - F.col("_rlo"))
     return picked.select(*keys, qarr[F.col("qi")].alias("q"), value.alias("value"))
 
 
@@ -192,7 +196,7 @@ def kth_smallest(df: DataFrame, col: str, tiebreak: str, k: int, accuracy: int =
             F.sum(F.when(in_band, 1).otherwise(0)).alias("cnt"),
             F.percentile_approx(F.when(in_band, x), probes, accuracy).alias("g"),
         ).first()
-        below += int(row["under"] or 0)
+        below = int(row["under"] or 0)  # rows below the current band (counted over all rows)
         cnt = int(row["cnt"] or 0)
         r = k - below  # 1-based rank inside the band
         if cnt <= band_limit or row["g"] is None:

@@ -74,75 +74,81 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile``/``quantile_cont``).
 
-    Returns long rows ``(*by, column, q, value)``.
-
-    Pass 1: per (group, column) the non-null count and an approximate bracket
-    ``[approx(q-e), approx(q+e)]`` from ``percentile_approx`` (Greenwald–Khanna,
-    rank error <= n/accuracy, so the true order statistic lies inside).
-    Pass 2: rows below / above the bracket are only counted, keeping the
-    nearest value on each side (map-side combined); rows inside it are grouped
-    by value.  The band holds about ``4n/accuracy`` distinct values, so the
-    final ordered scan per (group, column, q) is bounded independently of how
-    many rows share a value.  For small groups the summary is exact and the
-    bracket can sit one rank off the interpolation neighbour; the nearest
-    below/above values resolve that case.
+    Returns long rows ``(*by, col_name, q, value)``.
+
+    Pass 1 (one aggregation, wide): per group and column the non-null count
+    and an approximate bracket ``[approx(q-e), approx(q+e)]`` from
+    ``percentile_approx`` (Greenwald–Khanna, rank error <= n/accuracy, so the
+    true order statistics lie inside).
+    Pass 2: rows outside every bracket only feed conditional counts and the
+    nearest value below/above (plain aggregates, no row expansion); the few
+    rows inside a bracket are grouped by value.  The band holds about
+    ``4n/accuracy`` distinct values, so the final ordered scan per
+    (group, column, q) is bounded however many rows share a value.  For small
+    groups the summary is exact and the bracket can sit one rank off the
+    interpolation neighbour; the nearest below/above values resolve that case.
     """
-    by = list(by)
+    by, cols = list(by), list(cols)
     qs = [float(q) for q in qs]
     eps = 4.0 / accuracy
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols])
-    long = long.unpivot(by, list(cols), "col_name", "x")
-    long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
-    keys = by + ["col_name"]
-
     probes: list[float] = []
     for q in qs:
         probes += [max(q - eps, 0.0), min(q + eps, 1.0)]
-    stats = long.groupBy(*keys).agg(
-        F.count("x").alias("_n"),
-        F.min("x").alias("_min"),
-        F.max("x").alias("_max"),
-        F.percentile_approx("x", probes, accuracy).alias("_br"),
-    )
-    lo_exprs, hi_exprs = [], []
-    for i, q in enumerate(qs):
-        lo = F.col("_br")[2 * i]
-        hi = F.col("_br")[2 * i + 1]
-        lo_exprs.append(F.when(F.lit(q - eps <= 0.0), F.col("_min")).otherwise(F.least(lo, F.col("_max"))))
-        hi_exprs.append(F.when(F.lit(q + eps >= 1.0), F.col("_max")).otherwise(F.greatest(hi, F.col("_min"))))
-    stats = stats.select(*keys, "_n", F.array(*lo_exprs).alias("_lo"), F.array(*hi_exprs).alias("_hi"))
-    if not by:
-        # one row per column: provably tiny
-        stats = F.broadcast(stats)
-
-    joined = long.join(stats, keys)
-    idx = F.sequence(F.lit(0), F.lit(len(qs) - 1))
-    # per quantile i: v = x inside the band; b / a = x below / above the band (only their
-    # count and nearest value survive the map-side combine)
-    x = F.col("x")
-    tagged = joined.select(
-        *keys,
-        F.explode(F.transform(idx, lambda i: F.struct(
-            i.alias("qi"),
-            F.when((x >= F.col("_lo")[i]) & (x <= F.col("_hi")[i]), x).alias("v"),
-            F.when(x < F.col("_lo")[i], x).alias("b"),
-            F.when(x > F.col("_hi")[i], x).alias("a"),
-        ))).alias("t"),
-    ).select(*keys, "t.qi", "t.v", "t.b", "t.a")
-    counted = tagged.groupBy(*keys, "qi", "v").agg(
-        F.count(F.lit(1)).alias("c"), F.count("b").alias("nb"), F.max("b").alias("bmax"), F.min("a").alias("amin"))
-
-    outside = counted.where(F.col("v").isNull()).select(
-        *keys, "qi", F.col("nb").alias("_below"), F.col("bmax").alias("_bmax"), F.col("amin").alias("_amin"))
-    band = counted.where(F.col("v").isNotNull()).select(*keys, "qi", "v", "c")
+    nq = len(qs)
+    base = df.select(*by, *[F.col(c).cast("double").alias(f"_x{k}") for k, c in enumerate(cols)])
+    for k in range(len(cols)):
+        base = base.withColumn(f"_x{k}", F.nanvl(F.col(f"_x{k}"), F.lit(None).cast("double")))
+
+    aggs = []
+    for k in range(len(cols)):
+        x = F.col(f"_x{k}")
+        aggs += [F.count(x).alias(f"_n{k}"), F.min(x).alias(f"_mn{k}"), F.max(x).alias(f"_mx{k}"),
+                 F.percentile_approx(x, probes, accuracy).alias(f"_br{k}")]
+    stats = base.groupBy(*by).agg(*aggs)
+    for k in range(len(cols)):
+        for i, q in enumerate(qs):
+            lo = F.col(f"_br{k}")[2 * i]
+            hi = F.col(f"_br{k}")[2 * i + 1]
+            stats = stats.withColumn(f"_lo{k}_{i}", F.when(F.lit(q - eps <= 0.0), F.col(f"_mn{k}")).otherwise(lo)) \
+                         .withColumn(f"_hi{k}_{i}", F.when(F.lit(q + eps >= 1.0), F.col(f"_mx{k}")).otherwise(hi))
+    stats = stats.drop(*[f"_br{k}" for k in range(len(cols))])
+    # global: one stats row (broadcast); grouped: a regular join (AQE broadcasts it when small)
+    joined = base.crossJoin(F.broadcast(stats)) if not by else base.join(stats, by)
+
+    # (a) outside the brackets: counts + nearest values, no row expansion
+    out_aggs = []
+    for k in range(len(cols)):
+        x = F.col(f"_x{k}")
+        for i in range(nq):
+            lo, hi = F.col(f"_lo{k}_{i}"), F.col(f"_hi{k}_{i}")
+            out_aggs += [F.count(F.when(x < lo, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo, x)).alias(f"_bm{k}_{i}"),
+                         F.min(F.when(x > hi, x)).alias(f"_am{k}_{i}")]
+    outside = joined.groupBy(*by).agg(*out_aggs)
+    meta = F.explode(F.array(*[F.struct(
+        F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_nb{k}_{i}").alias("_below"),
+        F.col(f"_bm{k}_{i}").alias("_bmax"), F.col(f"_am{k}_{i}").alias("_amin"))
+        for k in range(len(cols)) for i in range(nq)]))
+    outside = outside.select(*by, meta.alias("m")).select(*by, "m.*")
+    counts = stats.select(*by, F.explode(F.array(*[F.struct(F.lit(cols[k]).alias("col_name"), F.col(f"_n{k}").alias("_n"))
+                                                   for k in range(len(cols))])).alias("m")).select(*by, "m.*")
+
+    # (b) inside a bracket: only those rows are expanded, then grouped by value
+    entries = [F.when((F.col(f"_x{k}") >= F.col(f"_lo{k}_{i}")) & (F.col(f"_x{k}") <= F.col(f"_hi{k}_{i}")),
+                      F.struct(F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_x{k}").alias("v")))
+               for k in range(len(cols)) for i in range(nq)]
+    any_in = None
+    for e in entries:
+        any_in = e.isNotNull() if any_in is None else any_in | e.isNotNull()
+    band = joined.where(any_in).select(*by, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")) \
+        .select(*by, "e.*").groupBy(*by, "col_name", "qi", "v").agg(F.count(F.lit(1)).alias("c"))
+    keys = by + ["col_name"]
     w = Window.partitionBy(*keys, "qi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     band = band.withColumn("_cum", F.sum("c").over(w))
 
     qarr = F.array(*[F.lit(q) for q in qs])
     band = (
-        band.join(stats.select(*keys, "_n"), keys)
-        .join(outside, keys + ["qi"], "left")
-        .withColumn("_below", F.coalesce("_below", F.lit(0)))
+        (band.join(outside, keys + ["qi"]) if by else band.join(F.broadcast(outside), keys + ["qi"]))
+        .join(counts if by else F.broadcast(counts), keys)
         .withColumn("_pos", qarr[F.col("qi")] * (F.col("_n") - 1))
         .withColumn("_rlo", F.floor("_pos"))
         .withColumn("_rhi", F.least(F.col("_rlo") + 1, F.col("_n") - 1))

@@ -7,11 +7,17 @@ input rows; drawing itself is out of scope.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+with warnings.catch_warnings():
+    warnings.simplefilter("ignore")
+    from pyspark.sql.functions import PandasUDFType
+
 from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked
 from .profiling import categorical_distribution
 
@@ -155,3 +161,43 @@ def weekly_progression(df: DataFrame, key: str, base: str | None, n: int = 20, w
 def coefficient_table(spark, names: Sequence[str], coefs: Sequence[float]) -> DataFrame:
     rows = [(n, float(c), abs(float(c))) for n, c in zip(names, coefs)]
     return spark.createDataFrame(rows, "feature string, coefficient double, abs_coef double").orderBy(F.col("abs_coef").desc())
+
+
+# V12 ------------------------------------------------------------------------
+def _inv_cdf_series(p):
+    nd = NormalDist()
+    return p.map(nd.inv_cdf)
+
+
+def _normal_inv_cdf():
+    """Vectorised (Arrow batch) inverse standard-normal CDF."""
+    return F.pandas_udf(_inv_cdf_series, "double", PandasUDFType.SCALAR)
+
+
+def qq_points(df: DataFrame, value: str, tiebreak: Sequence[str] = (), chunk_rows: int = 1_000_000) -> DataFrame:
+    """Normal QQ points: sorted values vs normal quantiles at Filliben positions.
+
+    m_i = (i - .3175)/(n + .365); m_1 = 1 - .5^(1/n); m_n = .5^(1/n).  Ranks come
+    from the split-safe position kernel; the inverse normal CDF runs in a
+    vectorised pandas UDF (statistics.NormalDist).  Columns: rank, value, theoretical.
+    """
+    from ..functions.kernels import with_positions
+
+    base = df.where(F.col(value).isNotNull())
+    n = base.count()
+    order = [value, *tiebreak]
+    if n <= chunk_rows:
+        ranked = base.withColumn("_pos", F.row_number().over(Window.orderBy(*order)) - 1)
+    else:
+        ranked = with_positions(base, [], order, chunk_rows)
+    i = F.col("_pos") + 1
+    m = (F.when(i == 1, F.lit(1 - 0.5 ** (1 / n))).when(i == n, F.lit(0.5 ** (1 / n)))
+         .otherwise((i - 0.3175) / F.lit(n + 0.365)))
+    return ranked.select(i.alias("rank"), F.col(value).alias("value"), _normal_inv_cdf()(m).alias("theoretical"))
+
+
+def qq_fit(points: DataFrame) -> DataFrame:
+    """slope, intercept and r of value ~ theoretical."""
+    return points.agg(F.regr_slope("value", "theoretical").alias("slope"),
+                      F.regr_intercept("value", "theoretical").alias("intercept"),
+                      F.corr("value", "theoretical").alias("r"))

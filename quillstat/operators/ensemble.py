@@ -87,10 +87,10 @@ def weights_frame(spark, weights: Mapping[str, float]) -> DataFrame:
     return spark.createDataFrame([(k, float(v)) for k, v in weights.items()], "model string, weight double")
 
 
-def save_weights(path: str, weights: Mapping[str, float]) -> None:
-    """Weights are a tiny JSON map (same format as the reference): written by the driver."""
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump({k: float(v) for k, v in weights.items()}, fh)
+def save_weights(spark, path: str, weights: Mapping[str, float]) -> None:
+    """Weights as one JSON object {model: weight} (the reference's format), written through Spark."""
+    line = json.dumps({k: float(v) for k, v in weights.items()})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def load_weights(spark, path: str) -> dict[str, float]:

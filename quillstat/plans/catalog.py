@@ -43,6 +43,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> dict[str, Query]:
     # importing the modules fills the registry
-    from . import q_cleaning, q_profiling, q_charts, q_series, q_usage, q_models  # noqa: F401
+    from . import q_cleaning, q_profiling, q_charts, q_series, q_usage, q_models, q_io  # noqa: F401
 
     return REGISTRY

@@ -19,6 +19,9 @@ from pyspark.sql import types as T
 from ..operators import series as TS
 from ..operators.usage import USAGE_SCHEMA
 
+# CSV keeps microseconds (Spark's default timestamp text stops at milliseconds).
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 LIVE_SCHEMA = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
     T.StructField("t", T.DoubleType()),
@@ -31,7 +34,8 @@ LIVE_SCHEMA = T.StructType([
 def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with header, UTF-8, fixed schema.  A missing path raises FileNotFoundError (as the reference)."""
     try:
-        df = spark.read.schema(schema).option("header", True).option("encoding", "UTF-8").csv(path)
+        df = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
+              .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).csv(path))
         df.schema  # noqa: B018 - resolve now so a missing path fails here
         return df
     except AnalysisException as e:
@@ -52,7 +56,8 @@ def read_live(spark: SparkSession, path: str, now, limit: int = 500, last_second
     """
     try:
         reader = spark.read.schema(schema)
-        df = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+        df = (reader.option("header", True).option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
+              .csv(path)) if fmt == "csv" else reader.format(fmt).load(path)
         df.schema  # noqa: B018
     except Exception:  # noqa: BLE001 - contract: errors -> empty table
         return spark.createDataFrame([], schema)
@@ -66,10 +71,11 @@ def read_live(spark: SparkSession, path: str, now, limit: int = 500, last_second
 
 
 # S4 -------------------------------------------------------------------------
-def read_json_log(spark: SparkSession, path: str, schema: T.StructType = USAGE_SCHEMA) -> DataFrame:
-    """JSON array (or JSON lines) log; unreadable / blank / missing -> empty frame."""
+def read_json_log(spark: SparkSession, path: str, schema: T.StructType = USAGE_SCHEMA, array_file: bool = False) -> DataFrame:
+    """Usage log: JSON lines (this library's sink) or one JSON array file (``array_file=True``, the
+    reference's format); unreadable / blank / missing -> empty frame."""
     try:
-        df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+        df = spark.read.schema(schema).option("multiLine", array_file).option("mode", "PERMISSIVE").json(path)
         df.schema  # noqa: B018
         return df
     except Exception:  # noqa: BLE001
@@ -83,7 +89,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).csv(path)
     else:
         w.format(fmt).save(path)
 
@@ -111,26 +117,26 @@ def append_observations(existing: DataFrame, new: DataFrame, id_col: str, order:
 # S8 -------------------------------------------------------------------------
 def write_report(snapshot: DataFrame, peaks: DataFrame, out_dir: str, run_id: str, fmt: str = "csv") -> str:
     """Report bundle: {out_dir}/report_id={run_id}/{snapshot,peaks} (PNG/ZIP packaging is not built)."""
-    base = os.path.join(out_dir, f"report_id={run_id}")
-    write_table(snapshot, os.path.join(base, "snapshot"), fmt)
-    write_table(peaks, os.path.join(base, "peaks"), fmt)
+    base = f"{out_dir.rstrip('/')}/report_id={run_id}"
+    write_table(snapshot, f"{base}/snapshot", fmt)
+    write_table(peaks, f"{base}/peaks", fmt)
     return base
 
 
 # S10 ------------------------------------------------------------------------
 def save_model(model, path: str, features: Sequence[str], kind: str) -> None:
     """Spark ML persistence + a JSON sidecar with the feature names and model type (never pickles)."""
-    model.write().overwrite().save(os.path.join(path, "model"))
+    model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     meta = spark.createDataFrame([(kind, list(features))], "kind string, features array<string>")
-    meta.coalesce(1).write.mode("overwrite").json(os.path.join(path, "meta"))
+    meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
 def load_model(path: str, loader):
     """``loader`` = the fitted model class (e.g. LogisticRegressionModel). Returns (model, features, kind)."""
     spark = SparkSession.getActiveSession()
-    meta = spark.read.json(os.path.join(path, "meta")).first()
-    return loader.load(os.path.join(path, "model")), list(meta["features"]), meta["kind"]
+    meta = spark.read.json(f"{path}/meta").first()
+    return loader.load(f"{path}/model"), list(meta["features"]), meta["kind"]
 
 
 __all__ = ["load_csv", "read_live", "read_json_log", "write_table", "append_usage", "append_observations",

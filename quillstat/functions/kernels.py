@@ -104,6 +104,8 @@ def exact_quantiles(
         x = F.col(f"_x{k}")
         aggs += [F.count(x).alias(f"_n{k}"), F.min(x).alias(f"_mn{k}"), F.max(x).alias(f"_mx{k}"),
                  F.percentile_approx(x, probes, accuracy).alias(f"_br{k}")]
+    if not by:
+        return _exact_quantiles_global(base, cols, qs, probes, eps, base.agg(*aggs).first())
     stats = base.groupBy(*by).agg(*aggs)
     for k in range(len(cols)):
         for i, q in enumerate(qs):
@@ -112,8 +114,8 @@ def exact_quantiles(
             stats = stats.withColumn(f"_lo{k}_{i}", F.when(F.lit(q - eps <= 0.0), F.col(f"_mn{k}")).otherwise(lo)) \
                          .withColumn(f"_hi{k}_{i}", F.when(F.lit(q + eps >= 1.0), F.col(f"_mx{k}")).otherwise(hi))
     stats = stats.drop(*[f"_br{k}" for k in range(len(cols))])
-    # global: one stats row (broadcast); grouped: a regular join (AQE broadcasts it when small)
-    joined = base.crossJoin(F.broadcast(stats)) if not by else base.join(stats, by)
+    # grouped: a regular join (AQE broadcasts the per-group stats when small, splits skewed groups otherwise)
+    joined = base.join(stats, by)
 
     # (a) outside the brackets: counts + nearest values, no row expansion
     out_aggs = []
@@ -133,27 +135,33 @@ def exact_quantiles(
                                                    for k in range(len(cols))])).alias("m")).select(*by, "m.*")
 
     # (b) inside a bracket: only those rows are expanded, then grouped by value
-    entries = [F.when((F.col(f"_x{k}") >= F.col(f"_lo{k}_{i}")) & (F.col(f"_x{k}") <= F.col(f"_hi{k}_{i}")),
+    lo_hi = [[(F.col(f"_lo{k}_{i}"), F.col(f"_hi{k}_{i}")) for i in range(nq)] for k in range(len(cols))]
+    band = _band_counts(joined, by, cols, nq, lo_hi)
+    keys = by + ["col_name"]
+    band = band.join(outside, keys + ["qi"]).join(counts, keys)
+    return _pick(band, keys, qs)
+
+
+def _band_counts(frame: DataFrame, by: list, cols: Sequence[str], nq: int, lo_hi) -> DataFrame:
+    entries = [F.when((F.col(f"_x{k}") >= lo_hi[k][i][0]) & (F.col(f"_x{k}") <= lo_hi[k][i][1]),
                       F.struct(F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_x{k}").alias("v")))
                for k in range(len(cols)) for i in range(nq)]
     any_in = None
     for e in entries:
         any_in = e.isNotNull() if any_in is None else any_in | e.isNotNull()
-    band = joined.where(any_in).select(*by, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")) \
+    band = frame.where(any_in).select(*by, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e")) \
         .select(*by, "e.*").groupBy(*by, "col_name", "qi", "v").agg(F.count(F.lit(1)).alias("c"))
-    keys = by + ["col_name"]
-    w = Window.partitionBy(*keys, "qi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("c").over(w))
+    w = Window.partitionBy(*by, "col_name", "qi").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    return band.withColumn("_cum", F.sum("c").over(w))
+
 
+def _pick(band: DataFrame, keys: list, qs: Sequence[float]) -> DataFrame:
+    """band rows with _cum, _below, _bmax, _amin, _n -> interpolated value per (keys, qi)."""
     qarr = F.array(*[F.lit(q) for q in qs])
-    band = (
-        (band.join(outside, keys + ["qi"]) if by else band.join(F.broadcast(outside), keys + ["qi"]))
-        .join(counts if by else F.broadcast(counts), keys)
-        .withColumn("_pos", qarr[F.col("qi")] * (F.col("_n") - 1))
-        .withColumn("_rlo", F.floor("_pos"))
-        .withColumn("_rhi", F.least(F.col("_rlo") + 1, F.col("_n") - 1))
-        .withColumn("_absc", F.col("_below") + F.col("_cum"))
-    )
+    band = (band.withColumn("_pos", qarr[F.col("qi")] * (F.col("_n") - 1))
+            .withColumn("_rlo", F.floor("_pos"))
+            .withColumn("_rhi", F.least(F.col("_rlo") + 1, F.col("_n") - 1))
+            .withColumn("_absc", F.col("_below") + F.col("_cum")))
     picked = band.groupBy(*keys, "qi").agg(
         F.min(F.when(F.col("_absc") > F.col("_rlo"), F.col("v"))).alias("_blo"),
         F.min(F.when(F.col("_absc") > F.col("_rhi"), F.col("v"))).alias("_bhi"),
@@ -171,6 +179,40 @@ def exact_quantiles(
     return picked.select(*keys, qarr[F.col("qi")].alias("q"), value.alias("value"))
 
 
+def _exact_quantiles_global(base: DataFrame, cols: Sequence[str], qs: Sequence[float], probes, eps: float, row):
+    """Ungrouped case: the single statistics row is collected (size = #columns x #quantiles) and the
+    two remaining passes use literal brackets — each pass is one scan, no joins."""
+    spark = base.sparkSession
+    nq = len(qs)
+    lo_hi, meta = [], []
+    for k in range(len(cols)):
+        br = row[f"_br{k}"]
+        pairs = []
+        for i, q in enumerate(qs):
+            if row[f"_n{k}"] == 0:
+                lo = hi = None
+            else:
+                lo = row[f"_mn{k}"] if q - eps <= 0.0 else br[2 * i]
+                hi = row[f"_mx{k}"] if q + eps >= 1.0 else br[2 * i + 1]
+            pairs.append((F.lit(lo).cast("double"), F.lit(hi).cast("double")))
+        lo_hi.append(pairs)
+    out_aggs = []
+    for k in range(len(cols)):
+        x = F.col(f"_x{k}")
+        for i in range(nq):
+            lo, hi = lo_hi[k][i]
+            out_aggs += [F.count(F.when(x < lo, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo, x)).alias(f"_bm{k}_{i}"),
+                         F.min(F.when(x > hi, x)).alias(f"_am{k}_{i}")]
+    orow = base.agg(*out_aggs).first()
+    for k in range(len(cols)):
+        for i in range(nq):
+            meta.append((cols[k], i, int(orow[f"_nb{k}_{i}"]), orow[f"_bm{k}_{i}"], orow[f"_am{k}_{i}"], int(row[f"_n{k}"])))
+    side = spark.createDataFrame(meta, "col_name string, qi int, _below long, _bmax double, _amin double, _n long")
+    band = _band_counts(base, [], cols, nq, lo_hi)
+    band = band.join(F.broadcast(side), ["col_name", "qi"])  # #columns x #quantiles rows
+    return _pick(band, ["col_name"], qs)
+
+
 def quantile_row(df: DataFrame, col: str, qs: Sequence[float], by: Sequence[str] = (), prefix: str = "q") -> DataFrame:
     """Wide form: one row per group with columns ``{prefix}{int(q*100)}``."""
     long = exact_quantiles(df, [col], qs, by)

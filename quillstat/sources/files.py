@@ -12,10 +12,11 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.kernels import with_positions
 from ..operators import series as TS
 from ..operators.usage import USAGE_SCHEMA
 
@@ -104,11 +105,12 @@ def append_observations(existing: DataFrame, new: DataFrame, id_col: str, order:
                         null_cols: Sequence[str] = ()) -> DataFrame:
     """New rows get ids max(existing id) + 1.. (in ``order``), target columns NULL; returns the rows to append.
 
-    The window numbers only the appended batch (a form submission: small by nature).
+    Ids come from the split-safe position kernel, so a large appended batch is
+    numbered without a single-task window.
     """
     top = F.broadcast(existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_max")))
-    w = Window.orderBy(*order)
-    out = new.crossJoin(top).withColumn(id_col, F.col("_max") + F.row_number().over(w)).drop("_max")
+    numbered = with_positions(new, [], list(order))
+    out = numbered.crossJoin(top).withColumn(id_col, F.col("_max") + F.col("_pos") + 1).drop("_max", "_pos")
     for c in null_cols:
         out = out.withColumn(c, F.lit(None).cast(existing.schema[c].dataType))
     return out.select(*existing.columns)

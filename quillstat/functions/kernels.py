@@ -17,6 +17,7 @@ count — never by rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -71,6 +72,7 @@ def exact_quantiles(
     qs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int = 20000,
+    band_limit: int = 2_000_000,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation, as ``percentile``/``quantile_cont``).
 
@@ -105,7 +107,8 @@ def exact_quantiles(
         aggs += [F.count(x).alias(f"_n{k}"), F.min(x).alias(f"_mn{k}"), F.max(x).alias(f"_mx{k}"),
                  F.percentile_approx(x, probes, accuracy).alias(f"_br{k}")]
     if not by:
-        return _exact_quantiles_global(base, cols, qs, probes, eps, base.agg(*aggs).first())
+        return _exact_quantiles_global(base, cols, qs, probes, eps, base.agg(*aggs).first(), band_limit=band_limit,
+                                       accuracy=accuracy)
     stats = base.groupBy(*by).agg(*aggs)
     for k in range(len(cols)):
         for i, q in enumerate(qs):
@@ -179,34 +182,66 @@ def _pick(band: DataFrame, keys: list, qs: Sequence[float]) -> DataFrame:
     return picked.select(*keys, qarr[F.col("qi")].alias("q"), value.alias("value"))
 
 
-def _exact_quantiles_global(base: DataFrame, cols: Sequence[str], qs: Sequence[float], probes, eps: float, row):
+def _exact_quantiles_global(base: DataFrame, cols: Sequence[str], qs: Sequence[float], probes, eps: float, row,
+                            band_limit: int = 2_000_000, grid: int = 1000, accuracy: int = 20000):
     """Ungrouped case: the single statistics row is collected (size = #columns x #quantiles) and the
-    two remaining passes use literal brackets — each pass is one scan, no joins."""
+    remaining passes use literal brackets — each pass is one scan, no joins.
+
+    While a bracket still holds more than ``band_limit`` rows (very large n),
+    one more pass fetches a ``grid``-point approximate grid of that bracket and
+    narrows it around the target ranks (~grid/4 times smaller per pass), so the
+    final in-band sort stays bounded whatever the table size.
+    """
     spark = base.sparkSession
     nq = len(qs)
-    lo_hi, meta = [], []
-    for k in range(len(cols)):
+    ncols = len(cols)
+    lo = [[None] * nq for _ in range(ncols)]
+    hi = [[None] * nq for _ in range(ncols)]
+    n = [int(row[f"_n{k}"]) for k in range(ncols)]
+    for k in range(ncols):
         br = row[f"_br{k}"]
-        pairs = []
         for i, q in enumerate(qs):
-            if row[f"_n{k}"] == 0:
-                lo = hi = None
-            else:
-                lo = row[f"_mn{k}"] if q - eps <= 0.0 else br[2 * i]
-                hi = row[f"_mx{k}"] if q + eps >= 1.0 else br[2 * i + 1]
-            pairs.append((F.lit(lo).cast("double"), F.lit(hi).cast("double")))
-        lo_hi.append(pairs)
-    out_aggs = []
-    for k in range(len(cols)):
-        x = F.col(f"_x{k}")
-        for i in range(nq):
-            lo, hi = lo_hi[k][i]
-            out_aggs += [F.count(F.when(x < lo, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo, x)).alias(f"_bm{k}_{i}"),
-                         F.min(F.when(x > hi, x)).alias(f"_am{k}_{i}")]
-    orow = base.agg(*out_aggs).first()
-    for k in range(len(cols)):
-        for i in range(nq):
-            meta.append((cols[k], i, int(orow[f"_nb{k}_{i}"]), orow[f"_bm{k}_{i}"], orow[f"_am{k}_{i}"], int(row[f"_n{k}"])))
+            if n[k]:
+                lo[k][i] = row[f"_mn{k}"] if q - eps <= 0.0 else br[2 * i]
+                hi[k][i] = row[f"_mx{k}"] if q + eps >= 1.0 else br[2 * i + 1]
+    gprobes = [g / grid for g in range(grid + 1)]
+    refine: set = set()
+    while True:
+        aggs = []
+        for k in range(ncols):
+            x = F.col(f"_x{k}")
+            for i in range(nq):
+                lo_c, hi_c = F.lit(lo[k][i]).cast("double"), F.lit(hi[k][i]).cast("double")
+                inside = (x >= lo_c) & (x <= hi_c)
+                aggs += [F.count(F.when(x < lo_c, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo_c, x)).alias(f"_bm{k}_{i}"),
+                         F.min(F.when(x > hi_c, x)).alias(f"_am{k}_{i}"), F.count(F.when(inside, 1)).alias(f"_ni{k}_{i}")]
+                if (k, i) in refine:
+                    aggs.append(F.percentile_approx(F.when(inside, x), gprobes, accuracy).alias(f"_g{k}_{i}"))
+        orow = base.agg(*aggs).first()
+        todo = set()
+        for k in range(ncols):
+            for i, q in enumerate(qs):
+                if (k, i) in refine and orow[f"_g{k}_{i}"] is not None:
+                    g = orow[f"_g{k}_{i}"]
+                    cnt = int(orow[f"_ni{k}_{i}"])
+                    pos = q * (n[k] - 1)
+                    t_lo = max(int(math.floor(pos)) - int(orow[f"_nb{k}_{i}"]), 0)
+                    t_hi = min(t_lo + 1, cnt - 1)
+                    f_lo, f_hi = min(t_lo / max(cnt - 1, 1), 1.0), min(max(t_hi, 0) / max(cnt - 1, 1), 1.0)
+                    i_lo = min(max(int(f_lo * grid) - 2, 0), grid)
+                    i_hi = min(max(int(f_hi * grid) + 3, 0), grid)
+                    new_lo, new_hi = g[i_lo], g[i_hi]
+                    if (new_lo, new_hi) != (lo[k][i], hi[k][i]):
+                        lo[k][i], hi[k][i] = new_lo, new_hi
+                        todo.add((k, i))
+                elif (k, i) not in refine and int(orow[f"_ni{k}_{i}"] or 0) > band_limit:
+                    todo.add((k, i))
+        if not todo:
+            break
+        refine = todo
+    meta = [(cols[k], i, int(orow[f"_nb{k}_{i}"]), orow[f"_bm{k}_{i}"], orow[f"_am{k}_{i}"], n[k])
+            for k in range(ncols) for i in range(nq)]
+    lo_hi = [[(F.lit(lo[k][i]).cast("double"), F.lit(hi[k][i]).cast("double")) for i in range(nq)] for k in range(ncols)]
     side = spark.createDataFrame(meta, "col_name string, qi int, _below long, _bmax double, _amin double, _n long")
     band = _band_counts(base, [], cols, nq, lo_hi)
     band = band.join(F.broadcast(side), ["col_name", "qi"])  # #columns x #quantiles rows

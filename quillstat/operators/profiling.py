@@ -228,7 +228,7 @@ def snapshot_line(df: DataFrame, v1: str, v2: str, n_peaks: DataFrame | None = N
     else:
         row = row.withColumn("peaks", F.lit(0).cast("long"))
     return row.select(F.format_string(f"rows=%d mean({v1})=%.4f mean({v2})=%.4f peaks=%d",
-                                      "rows", "m1", "m2", "peaks").alias("line"))
+                                      "rows", F.round("m1", 4), F.round("m2", 4), "peaks").alias("line"))
 
 
 # P18 ------------------------------------------------------------------------

@@ -270,6 +270,21 @@ def t_periodic_window_stats(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("l_stream_cost_windows", None, ops=("L4", "T10"))
+def l_stream_cost_windows(spark, sf):
+    """Hourly cost alert as a stream: sliding 1-hour windows over the landed usage log."""
+    ev, root, inbox, land = _land_events(spark, sf, "stream-cost")
+    for i in range(land.count):
+        land(i)
+    st = L.live_stream(spark, inbox, ev.schema, "parquet", max_files_per_trigger=5)
+    win = L.hourly_cost_windows(st.select("ts", F.col("value").alias("cost")), "ts", "cost", threshold=500.0)
+    out = f"{root}/out"
+    q = (win.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{root}/ck")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 # R17 (scoring of new observations with a fitted linear model, clipped) ------
 @register("r_score_new", None, ops=("R17",))
 def r_score_new(spark, sf):

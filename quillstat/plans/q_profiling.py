@@ -205,10 +205,18 @@ def p_text_profile(spark, sf):
     return P.text_profile(li, ts="l_shipdate")
 
 
-@register("p_snapshot_line", """SELECT printf('rows=%d mean(value)=%.4f mean(user_id)=%.4f peaks=%d', count(*), avg(value),
-       avg(user_id), 0) AS line FROM events""", ops=("P20",))
+@register("p_snapshot_line", """WITH pk AS (SELECT count(*) AS n FROM (
+  SELECT value, max(value) OVER w AS mx, sum(value) OVER w AS sm, count(value) OVER w AS ct, count(*) OVER w AS rws
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
+  WHERE rws = 3 AND ct = 3 AND value = mx AND value > (sm - value) / 2.0)
+SELECT printf('rows=%d mean(value)=%.4f mean(user_id)=%.4f peaks=%d', count(*), round(avg(value), 4),
+       round(avg(user_id), 4), max(pk.n)) AS line FROM events, pk""", ops=("P20",))
 def p_snapshot_line(spark, sf):
-    return P.snapshot_line(table(spark, sf, "events"), "value", "user_id")
+    from ..operators.series import find_peaks
+
+    ev = table(spark, sf, "events")
+    peaks = find_peaks(ev.select("event_id", "user_id", "ts", "value"), "value", ["ts", "event_id"], ["user_id"], 1)
+    return P.snapshot_line(ev, "value", "user_id", peaks)
 
 
 __all__ = ["inject_missing"]

@@ -43,12 +43,12 @@ def last_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
 
 # T2 -------------------------------------------------------------------------
 def window_or_fallback(df: DataFrame, ts: str, now, last_seconds: float, limit: int, order: Sequence[str]) -> DataFrame:
-    """Trailing window; if it is empty, the last ``limit`` rows instead (then the last ``limit`` of either)."""
+    """Trailing window; if it is empty, the last ``limit`` rows instead (then the last ``limit`` of either).
+
+    The emptiness test is one scalar count; the chosen branch stays a plain lazy plan.
+    """
     win = trailing_window(df, ts, now, last_seconds)
-    cnt = F.broadcast(win.agg(F.count(F.lit(1)).alias("_cnt")))
-    fallback = last_n(df, order, limit)
-    chosen = win.crossJoin(cnt).where(F.col("_cnt") > 0).drop("_cnt").unionByName(
-        fallback.crossJoin(cnt).where(F.col("_cnt") == 0).drop("_cnt"))
+    chosen = win if win.limit(1).count() > 0 else df
     return last_n(chosen, order, limit)
 
 
@@ -76,17 +76,19 @@ def fix_future_clock(df: DataFrame, ts: str, now) -> DataFrame:
     ahead = max(ts) - now.  ahead > 1 day: set every year to now's year
     (29 Feb in a common year -> NULL for that row), then if still ahead,
     shift back by the remaining excess.  0 < ahead <= 1 day: shift back by it.
+    The maxima are scalar aggregations; the correction is a per-row expression.
     """
-    nowc = _ts(now)
-    st1 = F.broadcast(df.agg(F.max(ts).alias("_mx1")))
-    a = df.crossJoin(st1)
-    far = F.col("_mx1") > nowc + F.expr("INTERVAL 1 DAY")
-    year_fixed = _replace_year(F.col(ts), F.year(nowc))
-    a = a.withColumn("_t1", F.when(far, year_fixed).otherwise(F.col(ts)))
-    st2 = F.broadcast(a.agg(F.max("_t1").alias("_mx2")))
-    b = a.crossJoin(st2)
-    shifted = F.when(F.col("_mx2") > nowc, F.col("_t1") - (F.col("_mx2") - nowc)).otherwise(F.col("_t1"))
-    return b.withColumn(ts, shifted).drop("_mx1", "_t1", "_mx2")
+    now_dt = dt.datetime.fromisoformat(now) if isinstance(now, str) else now
+    nowc = _ts(now_dt)
+    mx1 = df.agg(F.max(ts)).first()[0]
+    if mx1 is None or mx1 <= now_dt:
+        return df
+    t1 = _replace_year(F.col(ts), F.year(nowc)) if mx1 > now_dt + dt.timedelta(days=1) else F.col(ts)
+    mx2 = df.select(t1.alias("_t1")).agg(F.max("_t1")).first()[0] if mx1 > now_dt + dt.timedelta(days=1) else mx1
+    if mx2 is not None and mx2 > now_dt:
+        excess = mx2 - now_dt
+        t1 = t1 - F.make_dt_interval(days=F.lit(excess.days), secs=F.lit(excess.seconds + excess.microseconds / 1e6))
+    return df.withColumn(ts, t1)
 
 
 def _replace_year(t: Column, year: Column) -> Column:

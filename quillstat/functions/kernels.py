@@ -117,23 +117,52 @@ def exact_quantiles(
             stats = stats.withColumn(f"_lo{k}_{i}", F.when(F.lit(q - eps <= 0.0), F.col(f"_mn{k}")).otherwise(lo)) \
                          .withColumn(f"_hi{k}_{i}", F.when(F.lit(q + eps >= 1.0), F.col(f"_mx{k}")).otherwise(hi))
     stats = stats.drop(*[f"_br{k}" for k in range(len(cols))])
-    # grouped: a regular join (AQE broadcasts the per-group stats when small, splits skewed groups otherwise)
-    joined = base.join(stats, by)
+    ncols = len(cols)
+    pairs = [(k, i) for k in range(ncols) for i in range(nq)]
+    gprobes = [g / 1000 for g in range(1001)]
 
-    # (a) outside the brackets: counts + nearest values, no row expansion
-    out_aggs = []
-    for k in range(len(cols)):
-        x = F.col(f"_x{k}")
-        for i in range(nq):
+    def outside_aggs():
+        out = []
+        for k, i in pairs:
+            x = F.col(f"_x{k}")
             lo, hi = F.col(f"_lo{k}_{i}"), F.col(f"_hi{k}_{i}")
-            out_aggs += [F.count(F.when(x < lo, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo, x)).alias(f"_bm{k}_{i}"),
-                         F.min(F.when(x > hi, x)).alias(f"_am{k}_{i}")]
-    outside = joined.groupBy(*by).agg(*out_aggs)
+            out += [F.count(F.when(x < lo, 1)).alias(f"_nb{k}_{i}"), F.max(F.when(x < lo, x)).alias(f"_bm{k}_{i}"),
+                    F.min(F.when(x > hi, x)).alias(f"_am{k}_{i}"),
+                    F.count(F.when((x >= lo) & (x <= hi), 1)).alias(f"_ni{k}_{i}")]
+        return out
+
+    # grouped: a regular join (AQE broadcasts the per-group stats when small, splits skewed groups otherwise)
+    joined = base.join(stats, by)
+    # (a) outside the brackets: counts + nearest values, no row expansion.  The per-group table is
+    # small; it is checkpointed (shared folder) because the band-size check and the final plan share it.
+    outside_w = joined.groupBy(*by).agg(*outside_aggs()).checkpoint()
+    for _ in range(8):  # each round shrinks oversized brackets ~250x
+        widest = outside_w.agg(F.greatest(*[F.max(f"_ni{k}_{i}") for k, i in pairs]).alias("m")).first()["m"]
+        if widest is None or widest <= band_limit:
+            break
+        grids = joined.groupBy(*by).agg(*[
+            F.percentile_approx(F.when((F.col(f"_x{k}") >= F.col(f"_lo{k}_{i}")) & (F.col(f"_x{k}") <= F.col(f"_hi{k}_{i}")),
+                                       F.col(f"_x{k}")), gprobes, accuracy).alias(f"_g{k}_{i}") for k, i in pairs])
+        st = stats.join(outside_w, by).join(grids, by)
+        sel = [F.col(c) for c in stats.columns if not c.startswith(("_lo", "_hi"))]
+        for k, i in pairs:
+            cnt, nb, g = F.col(f"_ni{k}_{i}"), F.col(f"_nb{k}_{i}"), F.col(f"_g{k}_{i}")
+            t_lo = F.greatest(F.floor(F.lit(qs[i]) * (F.col(f"_n{k}") - 1)) - nb, F.lit(0))
+            t_hi = F.least(t_lo + 1, cnt - 1)
+            f_lo = F.least(t_lo / F.greatest(cnt - 1, F.lit(1)), F.lit(1.0))
+            f_hi = F.least(F.greatest(t_hi, F.lit(0)) / F.greatest(cnt - 1, F.lit(1)), F.lit(1.0))
+            i_lo = F.least(F.greatest(F.floor(f_lo * 1000) - 2, F.lit(0)), F.lit(1000)).cast("int")
+            i_hi = F.least(F.greatest(F.floor(f_hi * 1000) + 3, F.lit(0)), F.lit(1000)).cast("int")
+            wide = (cnt > band_limit) & g.isNotNull()
+            sel += [F.when(wide, F.element_at(g, i_lo + 1)).otherwise(F.col(f"_lo{k}_{i}")).alias(f"_lo{k}_{i}"),
+                    F.when(wide, F.element_at(g, i_hi + 1)).otherwise(F.col(f"_hi{k}_{i}")).alias(f"_hi{k}_{i}")]
+        stats = st.select(*sel).checkpoint()
+        joined = base.join(stats, by)
+        outside_w = joined.groupBy(*by).agg(*outside_aggs()).checkpoint()
     meta = F.explode(F.array(*[F.struct(
         F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_nb{k}_{i}").alias("_below"),
-        F.col(f"_bm{k}_{i}").alias("_bmax"), F.col(f"_am{k}_{i}").alias("_amin"))
-        for k in range(len(cols)) for i in range(nq)]))
-    outside = outside.select(*by, meta.alias("m")).select(*by, "m.*")
+        F.col(f"_bm{k}_{i}").alias("_bmax"), F.col(f"_am{k}_{i}").alias("_amin")) for k, i in pairs]))
+    outside = outside_w.select(*by, meta.alias("m")).select(*by, "m.*")
     counts = stats.select(*by, F.explode(F.array(*[F.struct(F.lit(cols[k]).alias("col_name"), F.col(f"_n{k}").alias("_n"))
                                                    for k in range(len(cols))])).alias("m")).select(*by, "m.*")
 

@@ -61,3 +61,15 @@ def test_exact_quantiles_refinement_loop(spark):
     got = exact_quantiles(df, ["x"], [0.1, 0.5, 0.9], accuracy=100, band_limit=50).collect()
     for r in got:
         assert r["value"] == pytest.approx(_np_quantile(vals, r["q"]), abs=1e-9)
+
+
+def test_grouped_quantiles_hot_group_refinement(spark):
+    # one group holds most rows; a tiny band limit forces the grouped refinement rounds
+    rng = np.random.default_rng(12)
+    vals = np.round(rng.normal(100, 15, 12000), 1)
+    groups = np.where(np.arange(12000) < 9000, 0, np.arange(12000) % 4 + 1)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(groups, vals)], "g int, x double")
+    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.95], by=["g"], accuracy=100, band_limit=40).collect()
+    assert len(got) == 15
+    for r in got:
+        assert r["value"] == pytest.approx(_np_quantile(vals[groups == r["g"]], r["q"]), abs=1e-9)

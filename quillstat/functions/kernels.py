@@ -300,7 +300,9 @@ def kth_smallest(df: DataFrame, col: str, tiebreak: str, k: int, accuracy: int =
     x = F.col(col).cast("double")
     lo, hi, below = None, None, 0
     probes = [i / grid for i in range(grid + 1)]
-    while True:
+    total = df.count()
+    r = k
+    while total > band_limit:
         in_band = F.lit(True) if lo is None else ((x >= F.lit(lo)) & (x <= F.lit(hi)))
         under = F.lit(False) if lo is None else (x < F.lit(lo))
         row = df.agg(

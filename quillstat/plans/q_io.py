@@ -27,7 +27,8 @@ from ..streaming import live as L
 from .catalog import register, table
 from .q_cleaning import _h
 from .q_models import DOC_FEATURES, doc_table
-from .q_usage import LOG_SQL, usage_log
+from .q_models import _ols2_sql
+from .q_usage import LOG_SQL, quota2_sql, usage_log
 
 
 def _scratch(spark, name: str) -> str:
@@ -113,7 +114,12 @@ def s_append_observations(spark, sf):
 
 
 # S8 / T9 / T8 ---------------------------------------------------------------
-@register("s_report_bundle", None, ops=("S8", "T9", "T8"))
+@register("s_report_bundle", f"""WITH {_LIVE_SQL},
+snap AS (SELECT * FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000)
+SELECT timestamp, t, value1, value2 FROM (
+  SELECT *, max(value1) OVER w AS mx, sum(value1) OVER w AS sm, count(value1) OVER w AS ct, count(*) OVER w AS rws
+  FROM snap WINDOW w AS (ORDER BY timestamp, t ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
+WHERE rws = 3 AND ct = 3 AND value1 = mx AND value1 > (sm - value1) / 2.0""", ops=("S8", "T9", "T8"))
 def s_report_bundle(spark, sf):
     live = live_from_events(spark, sf)
     snapshot = TS.last_n(live, ["timestamp", "t"], 1000)
@@ -137,7 +143,8 @@ def k_train_pipeline(spark, sf):
 
 
 # S12 ------------------------------------------------------------------------
-@register("s_weights_roundtrip", None, ops=("S12",))
+@register("s_weights_roundtrip", """SELECT source AS model, count(*) / sum(count(*)) OVER () AS weight
+FROM documents JOIN labels USING (doc_id) GROUP BY source""", ops=("S12",))
 def s_weights_roundtrip(spark, sf):
     # weights = share of each document source among labelled documents (data-derived map)
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
@@ -232,7 +239,8 @@ def t_stream_peaks(spark, sf):
     return spark.read.schema(st.select("user_id", "ts", "event_id", "value").schema).parquet(out)
 
 
-@register("l_stream_quota", None, ops=("L5", "T10"))
+@register("l_stream_quota", quota2_sql("src AS (SELECT event_id, user_id, ts FROM events)", "ts", "INTERVAL 3600 SECOND",
+                                      tie="event_id", time_type="TIMESTAMP"), ops=("L5", "T10"))
 def l_stream_quota(spark, sf):
     """Quota admission as a stateful stream (availableNow run over the landed events)."""
     ev, root, inbox, land = _land_events(spark, sf, "stream-quota")
@@ -248,7 +256,7 @@ def l_stream_quota(spark, sf):
             q.processAllAvailable()
     finally:
         q.stop()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select("event_id", "user_id", "ts", "admitted")
 
 
 @register("t_periodic_window_stats", None, ops=("T10",))
@@ -286,14 +294,17 @@ def l_stream_cost_windows(spark, sf):
 
 
 # R17 (scoring of new observations with a fitted linear model, clipped) ------
-@register("r_score_new", None, ops=("R17",))
+@register("r_score_new", f"""WITH {_ols2_sql()}
+SELECT p_partkey, round(b0 + b1 * CAST(p_size AS DOUBLE) + b2 * 0.05, 6) AS predicted,
+       round(least(greatest(b0 + b1 * CAST(p_size AS DOUBLE) + b2 * 0.05, 0.0), 100000.0), 6) AS predicted_clipped
+FROM part, fit""", ops=("R17",))
 def r_score_new(spark, sf):
     li = table(spark, sf, "lineitem")
     fit = R.fit_linear(li, ["l_quantity", "l_discount"], "l_extendedprice")
     new = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("l_quantity"),
                                           F.lit(0.05).alias("l_discount"))
-    return new.select("p_partkey", fit.predict().alias("predicted"),
-                      F.least(F.greatest(fit.predict(), F.lit(0.0)), F.lit(100000.0)).alias("predicted_clipped"))
+    return new.select("p_partkey", F.round(fit.predict(), 6).alias("predicted"),
+                      F.round(F.least(F.greatest(fit.predict(), F.lit(0.0)), F.lit(100000.0)), 6).alias("predicted_clipped"))
 
 
 __all__ = ["_h"]

@@ -140,6 +140,18 @@ def r_learning_curve(spark, sf):
     return R.learning_curve(table(spark, sf, "lineitem"), [X1, X2], Y, "l_orderkey", 5, 10, 42)
 
 
+@register("r_coef_std_errors", f"""WITH {_ols2_sql()},
+e AS (SELECT sum(power({Y} - (b0 + b1 * {X1} + b2 * {X2}), 2)) / (count(*) - 3) AS s2 FROM lineitem, fit),
+v AS (SELECT s2 * s22 / (s11 * s22 - s12 * s12) AS v1, s2 * s11 / (s11 * s22 - s12 * s12) AS v2,
+             s2 * (1.0 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / (s11 * s22 - s12 * s12)) AS v0 FROM e, s, m)
+SELECT 'intercept' AS feature, round(sqrt(v0), 6) AS std_error, round(b0 / sqrt(v0), 6) AS t_value FROM v, fit
+UNION ALL SELECT '{X1}', round(sqrt(v1), 6), round(b1 / sqrt(v1), 6) FROM v, fit
+UNION ALL SELECT '{X2}', round(sqrt(v2), 6), round(b2 / sqrt(v2), 6) FROM v, fit""", ops=("R15",))
+def r_coef_std_errors(spark, sf):
+    t = R.coefficient_tests(R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y), spark)
+    return t.select("feature", F.round("std_error", 6).alias("std_error"), F.round("t_value", 6).alias("t_value"))
+
+
 @register("r_coef_tests", None, ops=("R15",))
 def r_coef_tests(spark, sf):
     return R.coefficient_tests(R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y), spark)

@@ -102,10 +102,30 @@ def l_hourly_alert(spark, sf):
     return a.withColumn("cost_last_hour", F.round("cost_last_hour", 6))
 
 
-@register("l_quota_admission", None, ops=("L5",))
+def quota2_sql(src_cte: str, tcol: str, horizon: str, key: str = "user_id", tie: str = "call_id",
+               time_type: str = "BIGINT") -> str:
+    """Sequential admission with max 2 calls per horizon as a recursive CTE (state = two latest admitted times)."""
+    return f"""WITH RECURSIVE {src_cte},
+o AS (SELECT {tie}, {key}, {tcol}, row_number() OVER (PARTITION BY {key} ORDER BY {tcol}, {tie}) AS rn FROM src),
+r AS (
+  SELECT {key}, rn, {tie}, {tcol}, {tcol} AS a1, CAST(NULL AS {time_type}) AS a2, true AS admitted FROM o WHERE rn = 1
+  UNION ALL
+  SELECT o.{key}, o.rn, o.{tie}, o.{tcol},
+         CASE WHEN adm THEN o.{tcol} ELSE k1 END, CASE WHEN adm THEN k1 ELSE k2 END, adm
+  FROM (SELECT o.*, r.a1, r.a2,
+               CASE WHEN o.{tcol} - r.a1 < {horizon} THEN r.a1 END AS k1,
+               CASE WHEN o.{tcol} - r.a2 < {horizon} THEN r.a2 END AS k2,
+               (CASE WHEN o.{tcol} - r.a1 < {horizon} THEN 1 ELSE 0 END
+                + CASE WHEN o.{tcol} - r.a2 < {horizon} THEN 1 ELSE 0 END) < 2 AS adm
+        FROM r JOIN o ON o.{key} = r.{key} AND o.rn = r.rn + 1) o)
+SELECT {tie}, {key}, {tcol}, admitted FROM r"""
+
+
+@register("l_quota_admission", quota2_sql(LOG_SQL.replace("log AS (", "src AS (", 1), "ts", "3600"), ops=("L5",))
 def l_quota_admission(spark, sf):
     log = usage_log(spark, sf).select("call_id", "ts", "user_id")
-    return U.quota_admission(log, "ts", "call_id", max_calls=2, keys=["user_id"])
+    return U.quota_admission(log, "ts", "call_id", max_calls=2, keys=["user_id"]).select(
+        "call_id", "user_id", "ts", "admitted")
 
 
 @register("l_quota_window_count", f"""WITH {LOG_SQL}

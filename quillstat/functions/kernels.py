@@ -60,9 +60,6 @@ def arith_hash(key: Column | str, seed: int = 42) -> Column:
     return F.pmod(k.cast("long") * F.lit(HASH_MULT) + F.lit(seed * HASH_SEED_MULT), F.lit(HASH_MOD))
 
 
-def _cols(names) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in names]
-
 
 # --------------------------------------------------------------------------- exact quantiles
 

@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -195,4 +194,4 @@ def landmark_mds(df: DataFrame, vec: str, key: str, landmarks: int = 200, dims:
     return src.mapInPandas(place, schema)
 
 
-__all__ = ["pca_fit", "lda_fit", "landmark_mds", "PCAFit", "LDAFit", "pd"]
+__all__ = ["pca_fit", "lda_fit", "landmark_mds", "PCAFit", "LDAFit"]

@@ -25,7 +25,6 @@ from ..sources import files as IO
 from ..sources.generate import oscillating_series
 from ..streaming import live as L
 from .catalog import register, table
-from .q_cleaning import _h
 from .q_models import DOC_FEATURES, doc_table
 from .q_models import _ols2_sql
 from .q_usage import LOG_SQL, quota2_sql, usage_log
@@ -306,5 +305,3 @@ def r_score_new(spark, sf):
     return new.select("p_partkey", F.round(fit.predict(), 6).alias("predicted"),
                       F.round(F.least(F.greatest(fit.predict(), F.lit(0.0)), F.lit(100000.0)), 6).alias("predicted_clipped"))
 
-
-__all__ = ["_h"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import profiling as P
-from ..operators.cleaning import inject_missing
 from .catalog import register, table
 from .q_cleaning import INJECTED_SQL, injected_orders
 
@@ -218,5 +217,3 @@ def p_snapshot_line(spark, sf):
     peaks = find_peaks(ev.select("event_id", "user_id", "ts", "value"), "value", ["ts", "event_id"], ["user_id"], 1)
     return P.snapshot_line(ev, "value", "user_id", peaks)
 
-
-__all__ = ["inject_missing"]

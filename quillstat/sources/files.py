@@ -7,8 +7,6 @@ executor only re-runs its tasks.
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -142,4 +140,4 @@ def load_model(path: str, loader):
 
 
 __all__ = ["load_csv", "read_live", "read_json_log", "write_table", "append_usage", "append_observations",
-           "write_report", "save_model", "load_model", "LIVE_SCHEMA", "json"]
+           "write_report", "save_model", "load_model", "LIVE_SCHEMA"]

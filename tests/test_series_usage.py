@@ -89,3 +89,20 @@ def test_first_acceptable_and_map_text(spark):
     assert got == {1: "real", 2: "[x]"}
     m = spark.createDataFrame([({"b": 2, "a": 1},)], "m map<string,int>")
     assert m.select(D.map_to_text(F.col("m"))).first()[0] == "a: 1; b: 2"
+
+
+def test_chunked_moving_average_and_durbin_watson(spark):
+    from pyspark.sql import Window
+
+    from quillstat.operators import charts as V
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "value")
+    small = V.moving_average(ev, "value", ["ts", "event_id"], size=6, chunk_rows=17)
+    w = Window.orderBy("ts", "event_id").rowsBetween(-3, 2)
+    ref = ev.withColumn("ref", F.avg("value").over(w))
+    joined = small.join(ref.select("event_id", "ref"), "event_id")
+    assert joined.count() == ev.count()
+    assert joined.where(F.abs(F.col("trend") - F.col("ref")) > 1e-9).count() == 0
+    a = TS.durbin_watson(ev, "value", ["ts", "event_id"], chunk_rows=13).first()["dw"]
+    b = TS.durbin_watson(ev, "value", ["ts", "event_id"]).first()["dw"]
+    assert a == pytest.approx(b, rel=1e-12)

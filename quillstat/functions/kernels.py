@@ -364,9 +364,11 @@ def gram_to_numpy(row, cols: Sequence[str]) -> tuple[int, np.ndarray]:
 def _order_number(df: DataFrame, c: str) -> Column:
     """Monotone numeric image of an order column (timestamps -> epoch micros, no time zone)."""
     dtype = df.schema[c].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(F.col(c)).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                F.col(c).cast("timestamp_ntz")).cast("double")
+                                F.col(c)).cast("double")
     if isinstance(dtype, T.DateType):
         return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
     if isinstance(dtype, NUMERIC_TYPES):

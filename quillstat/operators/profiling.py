@@ -217,7 +217,7 @@ def strong_correlations(df: DataFrame, cols: Sequence[str] | None = None, thresh
 # P20 / P22 ------------------------------------------------------------------
 def time_span(df: DataFrame, ts: str) -> DataFrame:
     return df.agg(F.min(ts).alias("ts_min"), F.max(ts).alias("ts_max")).withColumn(
-        "duration_s", F.col("ts_max").cast("timestamp").cast("double") - F.col("ts_min").cast("timestamp").cast("double"))
+        "duration_s", F.timestamp_diff("MICROSECOND", F.col("ts_min"), F.col("ts_max")) / F.lit(1e6))
 
 
 def snapshot_line(df: DataFrame, v1: str, v2: str, n_peaks: DataFrame | None = None) -> DataFrame:

@@ -20,11 +20,12 @@ DEFAULT_CHUNK = 1_000_000
 
 
 def _ts(now) -> Column:
+    """``now`` as a TIMESTAMP_NTZ literal built from text (independent of any time zone)."""
     if isinstance(now, Column):
         return now
-    if isinstance(now, str):
-        now = dt.datetime.fromisoformat(now)
-    return F.lit(now).cast("timestamp_ntz")
+    if isinstance(now, dt.datetime):
+        now = now.isoformat(sep=" ")
+    return F.lit(str(now)).cast("timestamp_ntz")
 
 
 # T1 -------------------------------------------------------------------------

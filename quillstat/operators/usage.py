@@ -167,7 +167,7 @@ def trailing_call_count(calls: DataFrame, ts: str, keys: Sequence[str] = (), hor
 def log_history(log: DataFrame, provider: str | None = None, n: int = 50) -> DataFrame:
     """Readable history: epoch -> timestamp, nested fields flattened, optional provider filter, newest n."""
     out = log.select(
-        F.timestamp_seconds("ts").alias("time"), "ts", "provider", "method", "prompt_tokens", "completion_tokens", "cost",
+        (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("ts"))).alias("time"), "ts", "provider", "method", "prompt_tokens", "completion_tokens", "cost",
         F.col("extra.success").alias("success"), F.col("extra.error").alias("error"),
         F.col("extra.api_usage.prompt_tokens").alias("api_prompt_tokens"),
         F.col("extra.api_usage.completion_tokens").alias("api_completion_tokens"),

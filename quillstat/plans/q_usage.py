@@ -141,7 +141,7 @@ SELECT to_timestamp(ts) AT TIME ZONE 'UTC' AS time, ts, provider, prompt_tokens,
 FROM log WHERE provider = 'click' ORDER BY ts DESC, call_id DESC LIMIT 20""", ops=("L7",))
 def l_log_history(spark, sf):
     h = U.log_history(usage_log(spark, sf), "click", 20)
-    return h.select(F.col("time").cast("timestamp_ntz").alias("time"), "ts", "provider", "prompt_tokens", "success",
+    return h.select("time", "ts", "provider", "prompt_tokens", "success",
                     "error", "api_prompt_tokens")
 
 

@@ -13,7 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The reference's section headers and entry formats for dialogue text.
 HISTORY_HEADER = "=== HISTORY (recent conversations) ==="
+DATA_HEADER = "=== DONNÉES ==="
+NO_DATA = "Aucune donnée disponible."
+QUESTION_HEADER = "=== QUESTION ==="
+PEER_BLOCK = "=== %s ===\n%s"
+TRANSCRIPT_ENTRY = "[%s Tour %d]:\n%s"
+MEMORY_LINE = "[%s]: %s..."
 
 
 def _ordered_join(sort_key: Column, text: Column, sep: str) -> Column:
@@ -33,7 +40,7 @@ def memory_context(msgs: DataFrame, conv: str, order: str, role: str, text: str,
                    last: int = 5, chars: int = 200) -> DataFrame:
     """Per conversation: header + last ``last`` messages as '[role]: first 200 chars...', newline-joined."""
     recent = memory_window(msgs, conv, order, last)
-    line = F.format_string("[%s]: %s...", F.col(role), F.substring(F.col(text), 1, chars))
+    line = F.format_string(MEMORY_LINE, F.col(role), F.substring(F.col(text), 1, chars))
     return recent.groupBy(conv).agg(
         F.concat(F.lit(HISTORY_HEADER + "\n"), _ordered_join(F.col(order), line, "\n")).alias("context"))
 
@@ -46,7 +53,7 @@ def peer_context(contrib: DataFrame, conv: str, rnd: str, provider: str, text: s
                           F.col(text).alias("_t"))
     j = contrib.select(conv, rnd, provider).join(
         prev, (F.col(conv) == F.col("_c")) & (F.col(rnd) == F.col("_r")) & (F.col(provider) != F.col("_p")), "left")
-    block = F.when(F.col("_p").isNotNull(), F.format_string("=== %s ===\n%s", F.upper("_p"), F.substring("_t", 1, chars)))
+    block = F.when(F.col("_p").isNotNull(), F.format_string(PEER_BLOCK, F.upper("_p"), F.substring("_t", 1, chars)))
     return j.groupBy(conv, rnd, provider).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.when(block.isNotNull(), F.struct(
             F.col("_p").alias("k"), block.alias("t"))))), lambda s: s["t"]), "\n").alias("others"))
@@ -57,17 +64,17 @@ def transcript(contrib: DataFrame, conv: str, rnd: str, provider: str, text: str
                provider_rank: Column | None = None) -> DataFrame:
     """All contributions '[provider Tour r]:\\ntext' joined by blank lines, in (round, provider) order."""
     rank = provider_rank if provider_rank is not None else F.col(provider)
-    entry = F.format_string("[%s Tour %d]:\n%s", F.col(provider), F.col(rnd), F.col(text))
+    entry = F.format_string(TRANSCRIPT_ENTRY, F.col(provider), F.col(rnd), F.col(text))
     return contrib.groupBy(conv).agg(_ordered_join(F.struct(F.col(rnd), rank), entry, "\n\n").alias("transcript"))
 
 
 # L12 ------------------------------------------------------------------------
 def assemble_prompt(system: Column, history: Column, data: Column, question: Column) -> Column:
     """system, optional history, data section (or 'no data'), question section — newline-joined."""
-    data_part = F.when(F.coalesce(F.length(data), F.lit(0)) > 0, F.concat(F.lit("\n=== DONNÉES ===\n"), data)) \
-        .otherwise(F.lit("\nAucune donnée disponible."))
+    data_part = F.when(F.coalesce(F.length(data), F.lit(0)) > 0, F.concat(F.lit(f"\n{DATA_HEADER}\n"), data)) \
+        .otherwise(F.lit(f"\n{NO_DATA}"))
     hist_part = F.when(F.coalesce(F.length(history), F.lit(0)) > 0, F.concat(F.lit("\n"), history))
-    return F.concat_ws("\n", system, hist_part, data_part, F.concat(F.lit("\n=== QUESTION ===\n"), question))
+    return F.concat_ws("\n", system, hist_part, data_part, F.concat(F.lit(f"\n{QUESTION_HEADER}\n"), question))
 
 
 # L13 ------------------------------------------------------------------------

@@ -217,24 +217,43 @@ def normalise_response(raw: Column, provider: Column, prompt_tokens_estimate: Co
 
 
 # L15 ------------------------------------------------------------------------
+# The reference's placeholder texts, by reason.  Fields: {method}, {provider},
+# {PROVIDER} (upper case), {max_calls}, {reason}, {preview}.
+OUTCOME_TEMPLATES = {
+    "disabled": "[LLM {method} by {provider} - DISABLED: Real API calls not enabled. Set LLM_CALLS_ENABLED=true. Input preview: {preview}...]",
+    "quota": "[LLM {method} by {provider} - QUOTA EXHAUSTED: Max {max_calls} calls/hour reached. Input preview: {preview}...]",
+    "no_url": "[LLM {method} by {provider} - CONFIG ERROR: API URL not configured. Set {PROVIDER}_API_URL. Input preview: {preview}...]",
+    "no_key": "[LLM {method} by {provider} - CONFIG ERROR: API key not configured. Set {PROVIDER}_API_KEY_1. Input preview: {preview}...]",
+    "no_provider": "[LLM {method} - NO PROVIDER: No LLM provider configured. Input preview: {preview}...]",
+    "other": "[LLM {method} by {provider} - ERROR: {reason}. Input preview: {preview}...]",
+}
+
+
+def _render(template: str, fields: dict) -> Column:
+    """Template with {name} fields -> concat of literals and columns."""
+    import re
+
+    parts = []
+    for piece in re.split(r"(\{[A-Za-z_]+\})", template):
+        if piece.startswith("{") and piece.endswith("}"):
+            parts.append(fields[piece[1:-1]])
+        elif piece:
+            parts.append(F.lit(piece))
+    return F.concat(*parts)
+
+
 def outcome_label(reason: Column, provider: Column, method: Column, text: Column, max_calls: int = 200) -> Column:
     """Placeholder text for a call that could not be made (100-char preview, newlines -> spaces)."""
-    prev = F.replace(F.substring(F.coalesce(text, F.lit("")), 1, 100), F.lit("\n"), F.lit(" "))
     name = F.coalesce(provider, F.lit("unknown"))
-    up = F.upper(name)
-    return (
-        F.when(reason == "disabled", F.format_string(
-            "[LLM %s by %s - DISABLED: Real API calls not enabled. Set LLM_CALLS_ENABLED=true. Input preview: %s...]",
-            method, name, prev))
-        .when(reason == "quota", F.format_string(
-            f"[LLM %s by %s - QUOTA EXHAUSTED: Max {max_calls} calls/hour reached. Input preview: %s...]", method, name, prev))
-        .when(reason == "no_url", F.format_string(
-            "[LLM %s by %s - CONFIG ERROR: API URL not configured. Set %s_API_URL. Input preview: %s...]",
-            method, name, up, prev))
-        .when(reason == "no_key", F.format_string(
-            "[LLM %s by %s - CONFIG ERROR: API key not configured. Set %s_API_KEY_1. Input preview: %s...]",
-            method, name, up, prev))
-        .when(reason == "no_provider", F.format_string(
-            "[LLM %s - NO PROVIDER: No LLM provider configured. Input preview: %s...]", method, prev))
-        .otherwise(F.format_string("[LLM %s by %s - ERROR: %s. Input preview: %s...]", method, name, reason, prev))
-    )
+    fields = {
+        "method": method, "provider": name, "PROVIDER": F.upper(name), "max_calls": F.lit(str(max_calls)),
+        "reason": reason.cast("string"),
+        "preview": F.replace(F.substring(F.coalesce(text, F.lit("")), 1, 100), F.lit("\n"), F.lit(" ")),
+    }
+    expr = None
+    for key, template in OUTCOME_TEMPLATES.items():
+        if key == "other":
+            continue
+        rendered = _render(template, fields)
+        expr = F.when(reason == key, rendered) if expr is None else expr.when(reason == key, rendered)
+    return expr.otherwise(_render(OUTCOME_TEMPLATES["other"], fields))

@@ -380,22 +380,30 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chu
     """Add ``_pos``: 0-based position of each row inside its key, by ``order``.
 
     ``order`` must be a total order within a key (append a unique tie-break).
-    Rows are cut into value buckets of the leading order column whose width
-    gives about ``chunk_rows`` rows per bucket even if one key held every row
-    (one scalar pass for min/max/count).  ``row_number`` runs per (key,
-    bucket); per-bucket counts (a small table) give each bucket's offset.
-    Deterministic on recomputation: no sampling, no partition ids.
+    Rows are cut into buckets of the leading order column whose edges are
+    approximate quantiles, so a bucket holds about ``chunk_rows`` rows even if
+    one key held every row or the rows bunch up in time (one count and one
+    quantile pass; the edges are fixed literals afterwards).  ``row_number``
+    runs per (key, bucket); per-bucket counts (a small table) give each
+    bucket's offset.  Deterministic on recomputation: no sampling of rows at
+    run time, no partition ids.
     """
     keys, order = list(keys), list(order)
     o0 = _order_number(df, order[0])
-    st = df.agg(F.min(o0).alias("mn"), F.max(o0).alias("mx"), F.count(F.lit(1)).alias("n")).first()
-    mn, mx, n = st["mn"], st["mx"], st["n"]
-    if mn is None or n == 0 or mx == mn:
-        bucket = F.lit(0).cast("long")
+    n = df.count()
+    nb = -(-n // chunk_rows)
+    if nb <= 1:
+        b = df.withColumn("_bkt", F.lit(0.0))
     else:
-        width = (mx - mn) * chunk_rows / n
-        bucket = F.floor((F.coalesce(o0, F.lit(mn)) - F.lit(mn)) / F.lit(width)).cast("long")
-    b = df.withColumn("_bkt", bucket)
+        # bucket edges at approximate quantiles of the leading order column: about chunk_rows rows
+        # per bucket whatever the time distribution (only nb-1 numbers reach the driver)
+        probes = [i / nb for i in range(1, nb)]
+        edges = df.agg(F.percentile_approx(o0, probes, max(10000, 10 * nb)).alias("e")).first()["e"] or []
+        splits = [-float("inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
+        from pyspark.ml.feature import Bucketizer
+
+        with_o = df.withColumn("_o0", F.coalesce(o0, F.lit(-float("inf"))))
+        b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bkt").transform(with_o).drop("_o0")
     w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
     ranked = b.withColumn("_rib", F.row_number().over(w) - 1)
     seg = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))

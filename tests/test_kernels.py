@@ -73,3 +73,16 @@ def test_grouped_quantiles_hot_group_refinement(spark):
     assert len(got) == 15
     for r in got:
         assert r["value"] == pytest.approx(_np_quantile(vals[groups == r["g"]], r["q"]), abs=1e-9)
+
+
+def test_positions_bursty_order_column(spark):
+    # 3/4 of the rows of one hot key fall in a tiny time range; positions must stay exact
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(1 if i % 4 else 2, base + dt.timedelta(milliseconds=i) if i < 1500 else base + dt.timedelta(days=i), i)
+            for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id int")
+    pos = with_positions(df, ["k"], ["ts", "id"], chunk_rows=50)
+    rn = pos.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id")) - 1)
+    assert rn.where("rn <> _pos").count() == 0 and pos.count() == 2000

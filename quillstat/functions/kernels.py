@@ -8,11 +8,13 @@ count — never by rows.
                         whole group to one task (approximate bracket, then an
                         exact count inside a narrow value band).
 * ``gram``              augmented Gram matrix ``[1,x]^T [1,x]`` in one aggregation.
-* ``arith_hash``        reproducible integer hash (same expression in DuckDB).
-* ``with_positions``    dense 0-based row position per key, computed on value
-                        buckets of the order column so a hot key spans many tasks.
-* ``halo_window``       rows-between frames evaluated on bounded chunks.
-* ``prefix_sum``        running sums in two levels (chunk totals + in-chunk).
+* ``mix_hash``          reproducible mixing hash (same expression in DuckDB).
+* ``lay_out``           rows range-partitioned by the full order, the layout all
+                        ordered kernels share: ties and hot keys split over tasks.
+* ``with_positions``    dense 0-based row position per key.
+* ``previous_values``   the value of the row before, across partitions.
+* ``chunked_frame``     rows-between frames evaluated on bounded chunks.
+* ``prefix_sum``        running sums in two levels (partition totals + inside).
 """
 
 from __future__ import annotations
@@ -27,10 +29,8 @@ from pyspark.sql import types as T
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
-# Fixed constants of the reproducible hash (Park–Miller minimal standard).
-HASH_MULT = 48271
-HASH_SEED_MULT = 16807
-HASH_MOD = 2147483647
+# Hex digits of the digest that make a hash: 52 bits, which doubles hold exactly.
+HASH_DIGITS = 13
 
 
 # --------------------------------------------------------------------------- dtype dispatch
@@ -45,20 +45,25 @@ def string_cols(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN is a value in Spark but 'missing' in the reference: normalise once at ingestion."""
-    exprs = []
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            exprs.append(F.nanvl(F.col(f.name), F.lit(None).cast(f.dataType)).alias(f.name))
-        else:
-            exprs.append(F.col(f.name))
-    return df.select(*exprs)
+    floats = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(t)) for c, t in floats.items()}) if floats else df
 
 
-def arith_hash(key: Column | str, seed: int = 42) -> Column:
-    """``pmod(key*48271 + seed*16807, 2^31-1)`` — identical in DuckDB, partition-independent."""
+def mix_hash(key: Column | str, purpose: str, seed: int = 42) -> Column:
+    """52 uniform bits from ``md5(purpose:seed:key)`` as a long.
+
+    Each ``purpose`` (split, fold, sample, a column's name, ...) draws independently of the
+    others, keys of any size and type work, and NULL counts as the empty key.
+    """
     k = F.col(key) if isinstance(key, str) else key
-    return F.pmod(k.cast("long") * F.lit(HASH_MULT) + F.lit(seed * HASH_SEED_MULT), F.lit(HASH_MOD))
+    text = F.concat(F.lit(f"{purpose}:{seed}:"), F.coalesce(k.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_DIGITS), 16, 10).cast("long")
+
 
+def mix_hash_sql(key: str, purpose: str, seed: int = 42) -> str:
+    """The same hash as DuckDB SQL."""
+    return (f"CAST(('0x' || substr(md5(concat('{purpose}:{seed}:', coalesce(CAST({key} AS VARCHAR), ''))), 1, {HASH_DIGITS}))"
+            " AS BIGINT)")
 
 
 # --------------------------------------------------------------------------- exact quantiles
@@ -359,58 +364,75 @@ def gram_to_numpy(row, cols: Sequence[str]) -> tuple[int, np.ndarray]:
     return int(row["n"]), g
 
 
-# --------------------------------------------------------------------------- ordered positions / halo
-
-def _order_number(df: DataFrame, c: str) -> Column:
-    """Monotone numeric image of an order column (timestamps -> epoch micros, no time zone)."""
-    dtype = df.schema[c].dataType
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(F.col(c)).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                F.col(c)).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.datediff(F.col(c), F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(dtype, NUMERIC_TYPES):
-        return F.col(c).cast("double")
-    return F.lit(0.0)
-
-
-def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int = 1_000_000) -> DataFrame:
-    """Add ``_pos``: 0-based position of each row inside its key, by ``order``.
-
-    ``order`` must be a total order within a key (append a unique tie-break).
-    Rows are cut into buckets of the leading order column whose edges are
-    approximate quantiles, so a bucket holds about ``chunk_rows`` rows even if
-    one key held every row or the rows bunch up in time (one count and one
-    quantile pass; the edges are fixed literals afterwards).  ``row_number``
-    runs per (key, bucket); per-bucket counts (a small table) give each
-    bucket's offset.  Deterministic on recomputation: no sampling of rows at
-    run time, no partition ids.
+# --------------------------------------------------------------------------- ordered layout
+
+_LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, place in it below
+
+
+def lay_out(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``(keys, order)``, with ``_part`` and ``_at``.
+
+    The range covers the full order, so rows that tie on the leading columns
+    and keys with most of the rows split over partitions like any others; NULL
+    and NaN have their place in Spark's order.  The layout is written to the shared
+    checkpoint folder: partition numbers come from sampled ranges, and a task that
+    is run again must see the same ones.
     """
-    keys, order = list(keys), list(order)
-    o0 = _order_number(df, order[0])
-    n = df.count()
-    nb = -(-n // chunk_rows)
-    if nb <= 1:
-        b = df.withColumn("_bkt", F.lit(0.0))
-    else:
-        # bucket edges at approximate quantiles of the leading order column: about chunk_rows rows
-        # per bucket whatever the time distribution (only nb-1 numbers reach the driver)
-        probes = [i / nb for i in range(1, nb)]
-        edges = df.agg(F.percentile_approx(o0, probes, max(10000, 10 * nb)).alias("e")).first()["e"] or []
-        splits = [-float("inf")] + sorted(set(float(e) for e in edges)) + [float("inf")]
-        from pyspark.ml.feature import Bucketizer
-
-        with_o = df.withColumn("_o0", F.coalesce(o0, F.lit(-float("inf"))))
-        b = Bucketizer(splits=splits, inputCol="_o0", outputCol="_bkt").transform(with_o).drop("_o0")
-    w = Window.partitionBy(*keys, "_bkt").orderBy(*order)
-    ranked = b.withColumn("_rib", F.row_number().over(w) - 1)
-    seg = b.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_cnt"))
-    ws = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(ws), F.lit(0))).drop("_cnt")
-    out = ranked.join(seg, keys + ["_bkt"])
-    return out.withColumn("_pos", F.col("_off") + F.col("_rib")).drop("_bkt", "_rib", "_off")
+    by = [*keys, *order]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = (df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+            .withColumn("_mid", F.monotonically_increasing_id()).checkpoint())
+    return laid.withColumns({"_part": F.shiftright("_mid", _LOCAL_BITS),
+                             "_at": F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))}).drop("_mid")
+
+
+def _join_segments(laid: DataFrame, seg: DataFrame, keys: Sequence[str], add: Sequence[str]) -> DataFrame:
+    """``laid`` with the columns ``add`` of its segment (key, partition); NULL keys are a key."""
+    names = {c: f"_seg{i}" for i, c in enumerate([*keys, "_part"])}
+    seg = seg.select(*[F.col(c).alias(n) for c, n in names.items()], *add)
+    cond = F.lit(True)
+    for c, n in names.items():
+        cond = cond & laid[c].eqNullSafe(F.col(n))
+    return laid.join(seg, cond).drop(*names.values())
+
+
+def _earlier_segments(keys: Sequence[str]):
+    """The segments of a key before the current one: at most one row per partition."""
+    return Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_pos``: 0-based position of each row inside its key, by ``order`` (a total order within a key)."""
+    keys = list(keys)
+    laid = lay_out(df, keys, order)
+    seg = laid.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_at").alias("_first"))
+    seg = seg.withColumn("_off", F.coalesce(F.sum("_cnt").over(_earlier_segments(keys)), F.lit(0)) - F.col("_first"))
+    return _join_segments(laid, seg, keys, ["_off"]).withColumn("_pos", F.col("_off") + F.col("_at")).drop("_off", "_part", "_at")
+
+
+def previous_values(laid: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """A laid-out frame with ``values`` {new column: column}: the value in the key's row before (NULL in its first)."""
+    keys = list(keys)
+    seg = laid.groupBy(*keys, "_part").agg(*[F.max_by(F.struct(c), "_at").alias(f"_end_{n}") for n, c in values.items()])
+    before = Window.partitionBy(*keys).orderBy("_part")
+    seg = seg.select(*keys, "_part", *[F.lag(f"_end_{n}").over(before)[c].alias(f"_end_{n}") for n, c in values.items()])
+    inside = Window.partitionBy(*keys, "_part").orderBy("_at")
+    out = _join_segments(laid, seg, keys, [f"_end_{n}" for n in values])
+    first = F.row_number().over(inside) == 1
+    return out.withColumns({n: F.when(first, F.col(f"_end_{n}")).otherwise(F.lag(c).over(inside)) for n, c in values.items()}) \
+        .drop(*[f"_end_{n}" for n in values])
+
+
+def running_sums(laid: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
+    """A laid-out frame with ``values`` {new column: column}: sums up to and including the row (NULL until a value)."""
+    keys = list(keys)
+    seg = laid.groupBy(*keys, "_part").agg(*[F.sum(c).alias(f"_tot_{n}") for n, c in values.items()])
+    seg = seg.select(*keys, "_part", *[F.sum(f"_tot_{n}").over(_earlier_segments(keys)).alias(f"_tot_{n}") for n in values])
+    inside = Window.partitionBy(*keys, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    out = _join_segments(laid, seg, keys, [f"_tot_{n}" for n in values])
+    run = {n: F.sum(c).over(inside) for n, c in values.items()}
+    return out.withColumns({n: F.coalesce(F.col(f"_tot_{n}") + r, F.col(f"_tot_{n}"), r) for n, r in run.items()}) \
+        .drop(*[f"_tot_{n}" for n in values])
 
 
 def halo_chunks(df_pos: DataFrame, halo: int, chunk_rows: int) -> DataFrame:
@@ -433,43 +455,19 @@ def chunked_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str], halo
                   chunk_rows: int = 1_000_000):
     """Prepare ``df`` for a rows-between window of reach ``halo`` with bounded partitions.
 
-    Returns ``(frame, partition_cols, order_cols, halo_col)``.  When the whole
-    input has at most ``chunk_rows`` rows a keyed window is already bounded and
-    is used directly (``halo_col`` None).  Otherwise rows get positions,
-    ``chunk_rows``-row chunks and ``halo`` copied boundary rows; callers drop
-    rows where ``halo_col`` is true after evaluating the window.
+    Returns ``(frame, partition_cols, order_cols)``: rows with positions, in
+    chunks of ``chunk_rows`` with ``halo`` copied boundary rows.  The chunk size
+    changes how the work is cut and nothing else.
     """
-    keys, order = list(keys), list(order)
-    n = df.count()
-    if n <= chunk_rows:
-        return df, keys, order, None
-    pos = with_positions(df, keys, order, chunk_rows)
-    ch = halo_chunks(pos, halo, max(chunk_rows, 2 * halo + 1))
-    return ch, keys + ["_chunk"], ["_pos"], "_halo"
-
+    pos = with_positions(df, keys, order)
+    return halo_chunks(pos, halo, max(chunk_rows, 2 * halo + 1)), [*keys, "_chunk"], ["_pos"]
 
-def finish_chunked(df: DataFrame, halo_col: str | None) -> DataFrame:
-    if halo_col is None:
-        return df
-    return df.where(~F.col(halo_col)).drop("_chunk", "_halo", "_pos")
 
+def finish_chunked(df: DataFrame) -> DataFrame:
+    """Drop the copied boundary rows after the window is evaluated."""
+    return df.where(~F.col("_halo")).drop("_chunk", "_halo", "_pos")
 
-def prefix_sum(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str], out: str,
-               chunk_rows: int = 1_000_000) -> DataFrame:
-    """Running sum of ``value`` per key in ``order`` (inclusive), split-safe.
 
-    Level 1: positions (value buckets), chunk = pos // chunk_rows.
-    Level 2: chunk totals -> exclusive offsets (a window over the small chunk table).
-    Level 3: in-chunk running sum (bounded window) + offset.
-    """
-    keys = list(keys)
-    if df.count() <= chunk_rows:  # bounded: one keyed running window
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.sum(value).over(w))
-    pos = with_positions(df, keys, order, chunk_rows).withColumn("_chunk", F.floor(F.col("_pos") / F.lit(chunk_rows)))
-    totals = pos.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_ps_tot"))
-    wt = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_ps_off", F.coalesce(F.sum("_ps_tot").over(wt), F.lit(0)))
-    wi = Window.partitionBy(*keys, "_chunk").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
-    res = pos.withColumn("_ps_run", F.sum(value).over(wi)).join(totals.select(*keys, "_chunk", "_ps_off"), keys + ["_chunk"])
-    return res.withColumn(out, F.col("_ps_off") + F.col("_ps_run")).drop("_ps_run", "_ps_off", "_chunk", "_pos")
+def prefix_sum(df: DataFrame, values: dict[str, str], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` with running sums ``values`` {new column: column} per key in ``order`` (inclusive)."""
+    return running_sums(lay_out(df, keys, order), keys, values).drop("_part", "_at")

@@ -18,8 +18,8 @@ with warnings.catch_warnings():
     warnings.simplefilter("ignore")
     from pyspark.sql.functions import PandasUDFType
 
-from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked
-from .profiling import categorical_distribution
+from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked, with_positions
+from .profiling import categorical_distribution, radar_rows  # noqa: F401 - V13 is one of the charts
 
 
 # V1 / V2 --------------------------------------------------------------------
@@ -55,20 +55,25 @@ def histogram(df: DataFrame, col: str, nbins: int = 30, by: Sequence[str] = (),
 def kde_curve(df: DataFrame, col: str, points: int = 100) -> DataFrame:
     """Exact Gaussian KDE on a ``points`` grid over [min, max], Scott bandwidth (sigma * n^-1/5).
 
-    The grid (fixed size) is broadcast; every row contributes to every grid
-    point inside executors and partial sums are combined — n x points work, no
-    row leaves its task.
+    The data's range and spread are one row; the curve is then one aggregation
+    over the distinct values with a partial sum for each grid point, so no row
+    is ever multiplied.
     """
     x = F.col(col).cast("double")
-    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull())
-    st = base.agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_mn"), F.max("_x").alias("_mx"),
-                  F.stddev_samp("_x").alias("_sd"))
-    st = st.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    grid = st.select("_n", "_h", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"), "_mn", "_mx").select(
-        "i", "_n", "_h", (F.col("_mn") + (F.col("_mx") - F.col("_mn")) * F.col("i") / F.lit(points - 1)).alias("x"))
-    u = (F.col("x") - F.col("_x")) / F.col("_h")
-    contrib = base.crossJoin(F.broadcast(grid)).groupBy("i", "x", "_n", "_h").agg(F.sum(F.exp(-0.5 * u * u)).alias("_s"))
-    return contrib.select("i", "x", (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    base = df.select(F.nanvl(x, F.lit(None).cast("double")).alias("_x")).where(F.col("_x").isNotNull())
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("mn"), F.max("_x").alias("mx"), F.stddev_samp("_x").alias("sd")).first()
+    schema = "i int, x double, density double"
+    if not st["n"] or not st["sd"]:
+        return df.sparkSession.createDataFrame([], schema)
+    h = st["sd"] * float(st["n"]) ** -0.2
+    grid = [st["mn"] + (st["mx"] - st["mn"]) * i / (points - 1) for i in range(points)]
+    values = base.groupBy("_x").agg(F.count(F.lit(1)).alias("_c"))
+    sums = values.agg(*[F.sum(F.col("_c") * F.exp(-0.5 * F.pow((F.lit(g) - F.col("_x")) / F.lit(h), 2))).alias(f"s{i}")
+                        for i, g in enumerate(grid)])
+    scale = F.lit(st["n"] * h * math.sqrt(2 * math.pi))
+    return sums.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(g).alias("x"), (F.col(f"s{i}") / scale).alias("density"))
+        for i, g in enumerate(grid)])).alias("e")).select("e.*")
 
 
 # V4 -------------------------------------------------------------------------
@@ -85,19 +90,23 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), factor
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("median"),
         F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"),
     )
-    q = q.withColumn("_lo", F.col("q1") - factor * (F.col("q3") - F.col("q1"))).withColumn(
-        "_hi", F.col("q3") + factor * (F.col("q3") - F.col("q1")))
-    long = df.select(*by, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(by, list(cols), "col_name", "x")
-    long = long.where(F.col("x").isNotNull())
-    qj = F.broadcast(q) if not by else q
-    j = long.join(qj, by + ["col_name"])
-    inside = F.col("x").between(F.col("_lo"), F.col("_hi"))
-    w = j.groupBy(*by, "col_name").agg(
-        F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-        F.count(F.when(~inside, 1)).alias("n_outliers"),
-    )
-    return q.join(w, by + ["col_name"]).select(*by, "col_name", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
+    # the quartiles of a group side by side: joined once (a row per group) and carried through one aggregation
+    cols = list(cols)
+    stats = ("q1", "median", "q3")
+    wide = q.groupBy(*by).agg(*[F.max(F.when(F.col("col_name") == c, F.col(s))).alias(f"_{s}{i}")
+                                for i, c in enumerate(cols) for s in stats])
+    rows = df.join(wide, by) if by else df.crossJoin(F.broadcast(wide))
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        reach = factor * (F.col(f"_q3{i}") - F.col(f"_q1{i}"))
+        inside = x.between(F.col(f"_q1{i}") - reach, F.col(f"_q3{i}") + reach)
+        aggs += [F.min(F.when(inside, x)).alias(f"_lo{i}"), F.max(F.when(inside, x)).alias(f"_hi{i}"),
+                 F.count(F.when(~inside, 1)).alias(f"_out{i}"), *[F.first(f"_{s}{i}").alias(f"_{s}{i}") for s in stats]]
+    return rows.groupBy(*by).agg(*aggs).select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), *[F.col(f"_{s}{i}").alias(s) for s in stats], F.col(f"_lo{i}").alias("whisker_lo"),
+                 F.col(f"_hi{i}").alias("whisker_hi"), F.col(f"_out{i}").alias("n_outliers"))
+        for i, c in enumerate(cols)])).alias("e")).select(*by, "e.*").where("q1 IS NOT NULL")
 
 
 # V9 / R12 -------------------------------------------------------------------
@@ -128,19 +137,13 @@ def moving_average(df: DataFrame, value: str, order: Sequence[str], size: int =
                    out: str = "trend", chunk_rows: int = 1_000_000) -> DataFrame:
     """Centred moving mean over ``size`` rows (rows i-size//2 .. i+size-size//2-1), edges use available rows.
 
-    Split-safe: bounded chunks with halo rows once the input exceeds ``chunk_rows``.
+    Split-safe: chunks of ``chunk_rows`` with halo rows.
     """
     before, after = size // 2, size - size // 2 - 1
     halo = max(before, after)
-    ch, part, ordc, hcol = chunked_frame(df, keys, order, halo, chunk_rows)
+    ch, part, ordc = chunked_frame(df, keys, order, halo, chunk_rows)
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(-before, after)
-    return finish_chunked(ch.withColumn(out, F.avg(value).over(w)), hcol)
-
-
-# V13 ------------------------------------------------------------------------
-def radar_rows(df: DataFrame, cluster: str, cols: Sequence[str], digits: int = 2) -> DataFrame:
-    prof = df.groupBy(cluster).agg(*[F.round(F.avg(c), digits).alias(c) for c in cols])
-    return prof.unpivot([cluster], list(cols), "axis", "mean")
+    return finish_chunked(ch.withColumn(out, F.avg(value).over(w)))
 
 
 # V14 ------------------------------------------------------------------------
@@ -174,30 +177,17 @@ def _normal_inv_cdf():
     return F.pandas_udf(_inv_cdf_series, "double", PandasUDFType.SCALAR)
 
 
-def qq_points(df: DataFrame, value: str, tiebreak: Sequence[str] = (), chunk_rows: int = 1_000_000) -> DataFrame:
+def qq_points(df: DataFrame, value: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Normal QQ points: sorted values vs normal quantiles at Filliben positions.
 
     m_i = (i - .3175)/(n + .365); m_1 = 1 - .5^(1/n); m_n = .5^(1/n).  Ranks come
-    from the split-safe position kernel; the inverse normal CDF runs in a
+    from the ordered layout; the inverse normal CDF runs in a
     vectorised pandas UDF (statistics.NormalDist).  Columns: rank, value, theoretical.
     """
-    from ..functions.kernels import with_positions
-
-    base = df.where(F.col(value).isNotNull())
+    base = df.where(F.col(value).isNotNull() & ~F.isnan(value))
     n = base.count()
-    order = [value, *tiebreak]
-    if n <= chunk_rows:
-        ranked = base.withColumn("_pos", F.row_number().over(Window.orderBy(*order)) - 1)
-    else:
-        ranked = with_positions(base, [], order, chunk_rows)
+    ranked = with_positions(base, [], [value, *tiebreak])
     i = F.col("_pos") + 1
     m = (F.when(i == 1, F.lit(1 - 0.5 ** (1 / n))).when(i == n, F.lit(0.5 ** (1 / n)))
          .otherwise((i - 0.3175) / F.lit(n + 0.365)))
     return ranked.select(i.alias("rank"), F.col(value).alias("value"), _normal_inv_cdf()(m).alias("theoretical"))
-
-
-def qq_fit(points: DataFrame) -> DataFrame:
-    """slope, intercept and r of value ~ theoretical."""
-    return points.agg(F.regr_slope("value", "theoretical").alias("slope"),
-                      F.regr_intercept("value", "theoretical").alias("intercept"),
-                      F.corr("value", "theoretical").alias("r"))

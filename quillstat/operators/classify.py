@@ -4,9 +4,9 @@
   objective mapped onto Spark's parameters (C -> regParam = 1/(C n)).
 * Features are standardised with population sigma as column expressions
   (Spark's StandardScaler uses the sample sigma).
-* KNN: distributed exact top-k join — query block broadcast, per-partition
-  top-k in numpy (``mapInPandas``), merged per query with ``row_number``;
-  shuffle volume = queries x k x partitions, never queries x train.
+* KNN: distributed exact top-k join — queries and training rows are packed into
+  blocks, every block of queries meets every block of rows in a task of its own
+  (numpy), and the blocks' top-k merge per query; nothing passes the driver.
 * RBF-SVM: random Fourier features (Rahimi & Recht 2007) + LinearSVC + Platt
   scaling (a 1-feature logistic regression on the margin) — an approximation
   of the kernel SVM that scales linearly; named as such in the API.
@@ -19,8 +19,9 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -108,67 +109,68 @@ class FourierSVM:
 
 
 # K4 -------------------------------------------------------------------------
+def _pack(key: str, vec: str, size: int):
+    """Rows -> blocks of at most ``size`` rows: their keys and one float64 matrix."""
+
+    def fn(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                part = pdf.iloc[at:at + size]
+                mat = np.array(part[vec].tolist(), dtype=np.float64)
+                yield pd.DataFrame({"keys": [part[key].tolist()], "mat": [mat.tobytes()]})
+
+    return fn
+
+
+def _local_topk(k: int):
+    """The k nearest rows of one block of rows for each query of one block of queries."""
+
+    def fn(pairs: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for pair in pairs.itertuples(index=False):
+            qkeys, tkeys = np.array(pair.qkeys), np.array(pair.keys)
+            q = np.frombuffer(pair.qmat).reshape(len(qkeys), -1)
+            t = np.frombuffer(pair.mat).reshape(len(tkeys), -1)
+            qn, tn = (q ** 2).sum(1), (t ** 2).sum(1)
+            d2 = qn[:, None] - 2 * q @ t.T + tn[None, :]
+            kk = min(k, len(tkeys))
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+            # the expanded form rounds in proportion to the norms: whatever may still be among the k is computed exactly
+            slack = 16 * q.shape[1] * np.finfo(float).eps * (qn + tn.max())
+            qi, ti = np.nonzero(d2 <= (kth + slack)[:, None])
+            diff = q[qi] - t[ti]
+            found = pd.DataFrame({"_q": qkeys[qi], "_t": tkeys[ti], "d2": (diff * diff).sum(1)})
+            out.append(found.sort_values(["_q", "d2", "_t"]).groupby("_q", sort=False).head(k))
+        return pd.concat(out)
+
+    return fn
+
+
 def knn_join(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec: str, k: int,
-             keep: Sequence[str] = (), block: int = 4096) -> DataFrame:
+             keep: Sequence[str] = (), block: int = 2048) -> DataFrame:
     """Exact k nearest train rows (squared Euclidean, ties by train key) for every query row.
 
-    The query side is processed in blocks of at most ``block`` rows (each block
-    is collected and broadcast — bounded); every train partition keeps only its
-    local top-k per query (numpy argpartition); the merge ranks
-    queries x k x partitions candidates per query.
+    Keys are unique and the vectors of one length.  Queries and rows are packed
+    into blocks of at most ``block`` rows; each pair of blocks is one row of a table, computed in
+    a task of its own, and returns k rows for each of its queries at most.  The
+    merge ranks queries x k x blocks candidates.
     Output: (qkey, tkey, d2, rank, *keep from train).
     """
-    keep = list(keep)
-    qcount = queries.count()
-    nblocks = max(1, math.ceil(qcount / block))
-    qb = queries.select(F.col(qkey).alias("_q"), F.col(vec).cast("array<double>").alias("_qv"),
-                        F.lit(0).alias("_blk")) if nblocks == 1 else \
-        queries.select(F.col(qkey).alias("_q"), F.col(vec).cast("array<double>").alias("_qv"),
-                       F.pmod(F.xxhash64(F.col(qkey)), F.lit(nblocks)).alias("_blk"))
-    tschema = T.StructType([T.StructField("_q", queries.schema[qkey].dataType),
-                            T.StructField("_t", train.schema[tkey].dataType),
-                            T.StructField("d2", T.DoubleType())] + [train.schema[c] for c in keep])
-    src = train.select(F.col(tkey).alias("_t"), F.col(vec).cast("array<double>").alias("_tv"), *keep)
-    parts = []
-    for b in range(nblocks):
-        rows = qb.where(F.col("_blk") == b).select("_q", "_qv").collect()  # <= block rows
-        if not rows:
-            continue
-        qids = [r["_q"] for r in rows]
-        qmat = np.array([r["_qv"] for r in rows], dtype=float)
-        parts.append(src.mapInPandas(_local_topk(qids, qmat, k, keep), tschema))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    w = Window.partitionBy("_q").orderBy("d2", "_t")
-    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select(F.col("_q").alias(qkey), F.col("_t").alias(tkey), "d2", "rank", *keep)
+    qt, tt = queries.schema[qkey].dataType, train.schema[tkey].dataType
 
+    def packed(df, key, key_type):
+        src = df.where(F.col(vec).isNotNull()).select(F.col(key).alias("_k"), F.col(vec).cast("array<double>").alias("_v"))
+        schema = T.StructType([T.StructField("keys", T.ArrayType(key_type)), T.StructField("mat", T.BinaryType())])
+        return src.mapInPandas(_pack("_k", "_v", block), schema).withColumn("_block", F.monotonically_increasing_id()).checkpoint()
 
-def _local_topk(qids, qmat: np.ndarray, k: int, keep):
-    qn = (qmat ** 2).sum(1)
-
-    def fn(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            tv = np.array(pdf["_tv"].tolist(), dtype=float)
-            d2 = np.maximum(qn[:, None] - 2 * qmat @ tv.T + (tv ** 2).sum(1)[None, :], 0.0)
-            # exact recompute on the kept candidates below; argpartition picks k smallest (+ties handled by merge)
-            kk = min(k, tv.shape[0])
-            idx = np.argpartition(d2, kk - 1, axis=1)[:, :kk]
-            # widen to include exact ties at the k-th distance so the key tie-break is exact
-            kth = np.take_along_axis(d2, idx, 1).max(1, keepdims=True)
-            mask = d2 <= kth * (1 + 1e-12) + 1e-12
-            qi, ti = np.nonzero(mask)
-            diff = qmat[qi] - tv[ti]
-            out = pd.DataFrame({"_q": np.array(qids, dtype=object)[qi], "_t": pdf["_t"].to_numpy()[ti],
-                                "d2": (diff * diff).sum(1)})
-            for c in keep:
-                out[c] = pdf[c].to_numpy()[ti]
-            yield out
-
-    return fn
+    asked = packed(queries, qkey, qt).withColumnsRenamed({"keys": "qkeys", "mat": "qmat", "_block": "_qblock"})
+    pairs = asked.crossJoin(packed(train, tkey, tt))  # pairs of blocks, not of rows
+    schema = T.StructType([T.StructField("_q", qt), T.StructField("_t", tt), T.StructField("d2", T.DoubleType())])
+    cand = pairs.groupBy("_qblock", "_block").applyInPandas(_local_topk(k), schema)
+    w = Window.partitionBy("_q").orderBy("d2", "_t")
+    top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    top = top.select(F.col("_q").alias(qkey), F.col("_t").alias(tkey), "d2", "rank")
+    return top.join(train.select(tkey, *keep), tkey).select(qkey, tkey, "d2", "rank", *keep) if keep else top
 
 
 def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec: str, label: str, k: int = 7):
@@ -178,15 +180,79 @@ def knn_classify(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec
         "prediction", (F.col("proba") > 0.5).cast("int"))
 
 
-# K6 / K7 / K17 --------------------------------------------------------------
+class KNN:
+    """The k-nearest-neighbours classifier with the interface of the other models (rows need a unique key)."""
+
+    def __init__(self, key: str, k: int = 7, features_col: str = "features"):
+        self.key, self.k, self.features_col = key, k, features_col
+
+    def fit(self, train: DataFrame, label: str) -> KNN:
+        self.label = label
+        self.train = train.select(F.col(self.key).alias("_tk"), F.col(label).alias("_y"),
+                                  vector_to_array(self.features_col).alias("_v"))
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        asked = df.select(F.col(self.key).alias("_qk"), vector_to_array(self.features_col).alias("_v"))
+        found = knn_classify(asked, self.train, "_qk", "_tk", "_v", "_y", self.k)
+        p = F.col("proba")
+        return df.join(found, F.col(self.key) == F.col("_qk")).withColumn(
+            "probability", array_to_vector(F.array(1 - p, p))).withColumn(
+            "prediction", F.col("prediction").cast("double")).drop("_qk", "proba")
+
+
+# S10 / K18 ------------------------------------------------------------------
+def scaled_pipeline(train: DataFrame, features: Sequence[str], fit) -> PipelineModel:
+    """Standardising (population sigma), assembling and the model that ``fit`` returns, as one model that Spark ML
+    saves and loads: the scaler travels with the coefficients."""
+    row = train.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(features)],
+                    *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    names = [f"{c}_scaled" for c in features]
+    exprs = ", ".join(f"(CAST(`{c}` AS DOUBLE) - {float(row[f'm{i}'] or 0.0)!r}D) / {float(row[f's{i}'] or 1.0)!r}D AS `{n}`"
+                      for i, (c, n) in enumerate(zip(features, names)))
+    prepare = [SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__"),
+               VectorAssembler(inputCols=names, outputCol="features")]
+    ready = train
+    for stage in prepare:
+        ready = stage.transform(ready)
+    return PipelineModel([*prepare, fit(ready)])
+
+
+# K6 / K7 / K16 / K17 ---------------------------------------------------------
 def evaluate_scored(scored: DataFrame, label: str, pred: str = "prediction", proba: str = "proba") -> DataFrame:
     m = binary_metrics(scored, label, pred)
     a = roc_auc(scored, label, proba).select(F.round("roc_auc", 4).alias("roc_auc"))
     return m.crossJoin(a)
 
 
+def cross_validate(data: DataFrame, label: str, fit, fold: str = "fold", k: int = 5) -> list[dict]:
+    """Accuracy and F1 of each fold for the model ``fit`` returns for the others' rows (a fold without rows is left out)."""
+    out = []
+    for f in range(k):
+        scored = fit(data.where(F.col(fold) != f)).transform(data.where(F.col(fold) == f))
+        m = binary_metrics(scored, label, "prediction", digits=None).first()
+        if m["accuracy"] is not None:
+            out.append({"fold": f, "accuracy": float(m["accuracy"]), "f1": float(m["f1"])})
+    return out
+
+
+def compare_models(train: DataFrame, test: DataFrame, label: str, models: dict, fold: str = "fold") -> DataFrame:
+    """One row per model: accuracy, precision, recall, f1, roc_auc on ``test``; mean and population std of the
+    folds' F1 on ``train``; and the best model (greatest roc_auc, ties to the smaller name)."""
+    out = None
+    for name, fit in models.items():
+        f1 = [r["f1"] for r in cross_validate(train, label, fit, fold)]
+        scored = proba_col(fit(train).transform(test))
+        row = evaluate_scored(scored, label).select(
+            F.lit(name).alias("model"), "*", F.lit(round(float(np.mean(f1)), 4)).alias("cv_f1_mean"),
+            F.lit(round(float(np.std(f1)), 4)).alias("cv_f1_std"))
+        out = row if out is None else out.unionByName(row)
+    out = out.checkpoint()  # a few rows, each worth several fits
+    return out.crossJoin(F.broadcast(best_model(out)))
+
+
 def best_model(table: DataFrame, metric: str = "roc_auc") -> DataFrame:
-    return table.agg(F.max_by("model", F.col(metric)).alias("best_model"))
+    return table.agg(F.min_by("model", F.struct(-F.col(metric), F.col("model"))).alias("best_model"))
 
 
 def feature_importance(model, features: Sequence[str], spark) -> DataFrame:

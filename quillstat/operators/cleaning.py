@@ -12,7 +12,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import arith_hash, exact_quantiles, kth_smallest, numeric_cols, string_cols
+from ..functions.kernels import exact_quantiles, kth_smallest, mix_hash, numeric_cols, string_cols
 
 # Columns the reference never imputes (identifier and class label).
 IMPUTE_EXCLUDE = ("etudiant_id", "reussite")
@@ -225,8 +225,8 @@ def student_rules() -> list[tuple[str, Column]]:
 
 # C15 ------------------------------------------------------------------------
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly min(n, rows) rows, reproducible: smallest arithmetic hash of the key (TakeOrdered)."""
-    return df.withColumn("_h", arith_hash(key, seed)).orderBy("_h", key).limit(n).drop("_h")
+    """Exactly min(n, rows) rows, reproducible: smallest mixing hash of the key (TakeOrdered)."""
+    return df.withColumn("_h", mix_hash(key, "sample", seed)).orderBy("_h", key).limit(n).drop("_h")
 
 
 # C16 ------------------------------------------------------------------------
@@ -257,15 +257,15 @@ def one_hot(df: DataFrame, col: str, values: Sequence[str], prefix: str | None =
 def inject_missing(df: DataFrame, cols: Sequence[str], key: str, rate: float = 0.03, seed: int = 42) -> DataFrame:
     """NULL exactly floor(rate * n) rows per column, an independent row set per column.
 
-    Row set of column j = the floor(rate*n) smallest (hash(key, seed+j), key)
-    pairs.  The cut pair is found by ``kth_smallest`` (bounded scalar passes);
+    Row set of a column = the floor(rate*n) smallest (hash, key) pairs, the hash
+    salted by the column's name.  The cut pair is found by ``kth_smallest`` (bounded scalar passes);
     the NULLing itself is a per-row predicate against that scalar.
     """
     n = df.count()
     k = int(rate * n)
     out = df
-    for j, c in enumerate(cols):
-        h = arith_hash(key, seed + j)
+    for c in cols:
+        h = mix_hash(key, c, seed)
         if k <= 0:
             continue
         t, tkey = kth_smallest(df.select(h.alias("_h"), F.col(key).alias("_k")), "_h", "_k", k)

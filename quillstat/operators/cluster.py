@@ -4,9 +4,9 @@
 * assignment to the nearest centroid and the squared-Euclidean silhouette
   are per-row expressions against a broadcast k x d cluster table — never a
   pairwise cross join.
-* hierarchical (Ward) clustering is two-level: k-means into M <= 500
-  micro-clusters on Spark, weighted Ward merging of the M centroids on the
-  driver, label map broadcast back.
+* hierarchical clustering is two-level: tables of more than 500 distinct vectors
+  go into 500 k-means clusters on Spark, the weighted centres are merged on the
+  driver (ward, complete, average or single linkage), the label map broadcast back.
 """
 
 from __future__ import annotations
@@ -84,13 +84,17 @@ def silhouette_score(df: DataFrame, vec: str, cluster: str) -> DataFrame:
 
 # U1 / U2 / U3 ---------------------------------------------------------------
 def kmeans_best(df: DataFrame, features_col: str, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300):
-    """Best of ``n_init`` k-means runs (different seeds) by training cost (inertia)."""
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col, predictionCol="cluster").fit(df)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
+    """Best of ``n_init`` k-means runs (different seeds) by training cost (inertia); the runs share one cached input."""
+    data = df.select(features_col).persist()
+    try:
+        best = None
+        for i in range(n_init):
+            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col, predictionCol="cluster").fit(data)
+            cost = model.summary.trainingCost
+            if best is None or cost < best[1]:
+                best = (model, cost)
+    finally:
+        data.unpersist()
     return best
 
 
@@ -105,7 +109,7 @@ def total_inertia(df: DataFrame, vec: str) -> float:
     return float(sq - row["n"] * float(mean @ mean))
 
 
-def elbow(df: DataFrame, features_col: str, ks: Sequence[int], n_init: int = 3, seed: int = 42) -> DataFrame:
+def elbow(df: DataFrame, features_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 42) -> DataFrame:
     rows = []
     for k in ks:
         if k == 1:
@@ -122,32 +126,52 @@ def best_k_by_silhouette(scores: DataFrame) -> DataFrame:
 
 
 # U5 / V19 -------------------------------------------------------------------
-def ward_merge(centroids: np.ndarray, sizes: np.ndarray):
-    """Weighted Ward agglomeration of (M, d) centroids.  Returns merge table rows
-    (left, right, distance, size) with scipy-style ids (new cluster = M + step)."""
-    m = len(centroids)
-    cent = {i: centroids[i].astype(float) for i in range(m)}
-    size = {i: float(sizes[i]) for i in range(m)}
+LINKAGES = ("ward", "complete", "average", "single")
+
+
+def agglomerate(points: np.ndarray, sizes: np.ndarray, linkage: str = "ward"):
+    """Agglomeration of (M, d) weighted points by Lance-Williams updates of one M x M matrix.  Merge table rows
+    (left, right, distance, size) with new ids M + step."""
+    if linkage not in LINKAGES:
+        raise ValueError(linkage)
+    m = len(points)
+    size = np.asarray(sizes, dtype=float).copy()
+    norm = (points ** 2).sum(1)
+    d2 = np.maximum(norm[:, None] - 2 * points @ points.T + norm[None, :], 0.0)
+    dist = 2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * d2 if linkage == "ward" else np.sqrt(d2)
+    np.fill_diagonal(dist, np.inf)
+    ids = np.arange(m)
     merges = []
-    nxt = m
-    while len(cent) > 1:
-        ids = list(cent)
-        c = np.array([cent[i] for i in ids])
-        s = np.array([size[i] for i in ids])
-        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-        cost = (s[:, None] * s[None, :] / (s[:, None] + s[None, :])) * d2
-        np.fill_diagonal(cost, np.inf)
-        a, b = np.unravel_index(np.argmin(cost), cost.shape)
-        ia, ib = ids[a], ids[b]
-        new_size = size[ia] + size[ib]
-        cent[nxt] = (cent[ia] * size[ia] + cent[ib] * size[ib]) / new_size
-        size[nxt] = new_size
-        merges.append((min(ia, ib), max(ia, ib), float(np.sqrt(2 * cost[a, b])), int(new_size)))
-        del cent[ia], cent[ib], size[ia], size[ib]
-        nxt += 1
+    for step in range(m - 1):
+        a, b = sorted(np.unravel_index(np.argmin(dist), dist.shape))
+        da, db, dab, na, nb = dist[a].copy(), dist[b].copy(), dist[a, b], size[a], size[b]
+        if linkage == "ward":
+            new = ((size + na) * da + (size + nb) * db - size * dab) / (size + na + nb)
+        elif linkage == "average":
+            new = (na * da + nb * db) / (na + nb)
+        else:
+            new = (np.maximum if linkage == "complete" else np.minimum)(da, db)
+        gone = np.isinf(da) | np.isinf(db)
+        new[gone] = np.inf
+        new[a] = new[b] = np.inf
+        merges.append((int(min(ids[a], ids[b])), int(max(ids[a], ids[b])),
+                       float(np.sqrt(dab) if linkage == "ward" else dab), int(na + nb)))
+        dist[a], dist[:, a] = new, new
+        dist[b], dist[:, b] = np.inf, np.inf
+        size[a], ids[a] = na + nb, m + step
     return merges
 
 
+def cut_line(merges, k: int) -> float | None:
+    """Height of the tree's cut line for ``k`` clusters: halfway between the last merge below and the first above."""
+    heights = [d for _, _, d, _ in merges]
+    n = len(heights) + 1
+    if not 1 < k <= n:
+        return None
+    above = heights[n - k]
+    return (heights[n - k - 1] + above) / 2 if n - k > 0 else above / 2
+
+
 def cut_tree(merges, m: int, k: int) -> np.ndarray:
     """Leaf -> cluster label after undoing the last k-1 merges (labels 0..k-1 by first leaf)."""
     parent = list(range(m + len(merges)))
@@ -167,23 +191,37 @@ def cut_tree(merges, m: int, k: int) -> np.ndarray:
     return np.array([relabel.setdefault(r, len(relabel)) for r in roots])
 
 
-def two_level_ward(df: DataFrame, features_col: str, k: int, micro: int = 500, seed: int = 42):
-    """Ward clustering at scale: returns (labelled df with 'cluster', merge table DataFrame)."""
-    n = df.count()
-    m = int(min(micro, n))
-    km = KMeans(k=m, seed=seed, featuresCol=features_col, predictionCol="_micro").fit(df)
-    assigned = km.transform(df)
-    sizes_rows = assigned.groupBy("_micro").count().collect()  # <= m rows
-    sizes = np.zeros(m)
-    for r in sizes_rows:
-        sizes[r["_micro"]] = r["count"]
-    centers = np.array(km.clusterCenters())
-    live = np.where(sizes > 0)[0]
-    merges = ward_merge(centers[live], sizes[live])
-    labels = cut_tree(merges, len(live), k)
+def two_level(df: DataFrame, features_col: str, k: int, linkage: str = "ward", micro: int = 500, seed: int = 42):
+    """Hierarchical clustering at scale: returns (labelled df with 'cluster', merge table DataFrame).
+
+    Up to ``micro`` distinct vectors are agglomerated as they are, which is exact;
+    larger tables first go into ``micro`` k-means clusters, whose centres are
+    agglomerated with their sizes as weights.
+    """
     spark = df.sparkSession
-    label_map = spark.createDataFrame([(int(i), int(c)) for i, c in zip(live, labels)], "_micro int, cluster int")
-    out = assigned.join(F.broadcast(label_map), "_micro").drop("_micro")
+    vec = vector_to_array(features_col)
+    distinct = df.groupBy(vec.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = distinct.orderBy("_v").limit(micro + 1).collect()  # at most micro + 1 rows
+    exact = len(rows) <= micro
+    if exact:
+        points, sizes = np.array([r["_v"] for r in rows]), np.array([r["_n"] for r in rows])
+        assigned = df.withColumn("_v", vec)
+    else:
+        km = KMeans(k=micro, seed=seed, featuresCol=features_col, predictionCol="_micro").fit(df)
+        assigned = km.transform(df).withColumn("_micro", F.col("_micro").cast("int"))
+        sizes = np.zeros(len(km.clusterCenters()))
+        for r in assigned.groupBy("_micro").count().collect():  # <= micro rows
+            sizes[r["_micro"]] = r["count"]
+        live = np.where(sizes > 0)[0]
+        points, sizes = np.array(km.clusterCenters())[live], sizes[live]
+    merges = agglomerate(points, sizes, linkage)
+    labels = cut_tree(merges, len(points), min(k, len(points)))
+    if exact:
+        label_map = spark.createDataFrame([(r["_v"], int(c)) for r, c in zip(rows, labels)], "_v array<double>, cluster int")
+        out = assigned.join(F.broadcast(label_map), "_v").drop("_v")
+    else:
+        label_map = spark.createDataFrame([(int(i), int(c)) for i, c in zip(live, labels)], "_micro int, cluster int")
+        out = assigned.join(F.broadcast(label_map), "_micro").drop("_micro")
     merge_df = spark.createDataFrame([(i, l, r, d, s) for i, (l, r, d, s) in enumerate(merges)],
                                      "step int, left int, right int, distance double, size int")
     return out, merge_df

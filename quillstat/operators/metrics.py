@@ -7,10 +7,10 @@ no step needs all scored rows in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import chunked_frame, finish_chunked, prefix_sum
+from ..functions.kernels import lay_out, prefix_sum, previous_values
 
 
 # K11 ------------------------------------------------------------------------
@@ -34,8 +34,7 @@ def threshold_table(df: DataFrame, label: str, score: str) -> DataFrame:
 
 def _cumulated(df: DataFrame, label: str, score: str) -> DataFrame:
     t = threshold_table(df, label, score).withColumn("_neg_thr", -F.col("threshold"))
-    t = prefix_sum(t, "pos", [], ["_neg_thr"], "cum_pos")
-    t = prefix_sum(t, "neg", [], ["_neg_thr"], "cum_neg")
+    t = prefix_sum(t, {"cum_pos": "pos", "cum_neg": "neg"}, [], ["_neg_thr"])
     tot = F.broadcast(t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")))
     return t.crossJoin(tot).drop("_neg_thr")
 
@@ -70,9 +69,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 def pr_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Trapezoid area under the PR curve in recall order."""
     curve = pr_curve(df, label, score).withColumn("_t", F.coalesce(-F.col("threshold"), F.lit(float("-inf"))))
-    ch, part, ordc, hcol = chunked_frame(curve, [], ["recall", "_t"], 1)
-    w = Window.partitionBy(*part).orderBy(*ordc)
-    seg = finish_chunked(ch.withColumn("_pr", F.lag("recall").over(w)).withColumn("_pp", F.lag("precision").over(w)), hcol)
+    seg = previous_values(lay_out(curve, [], ["recall", "_t"]), [], {"_pr": "recall", "_pp": "precision"})
     area = (F.col("recall") - F.col("_pr")) * (F.col("precision") + F.col("_pp")) / 2
     return seg.agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("pr_auc"))
 
@@ -95,12 +92,14 @@ def binary_metrics(df: DataFrame, label: str, pred: str, digits: int | None = 4)
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Per class precision/recall/f1/support + 'macro avg' + 'weighted avg' rows (undefined -> 0)."""
     y, p = F.col(label).cast("string"), F.col(pred).cast("string")
-    classes = df.select(y.alias("cls")).union(df.select(p.alias("cls"))).distinct()
+    # one scan: every (label, prediction) count speaks for its label and for its prediction
     counts = df.groupBy(y.alias("y"), p.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    per = classes.join(counts, (F.col("cls") == F.col("y")) | (F.col("cls") == F.col("p")), "left").groupBy("cls").agg(
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("p") == F.col("cls")), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("p") == F.col("cls"), F.col("n")).otherwise(0)).alias("pred_n"),
-        F.sum(F.when(F.col("y") == F.col("cls"), F.col("n")).otherwise(0)).alias("support"),
+    sides = F.array(F.struct(F.col("y").alias("cls"), F.lit(True).alias("of_label")),
+                    F.struct(F.col("p").alias("cls"), F.lit(False).alias("of_label")))
+    per = counts.withColumn("s", F.explode(sides)).where("s.cls IS NOT NULL").groupBy("s.cls").agg(
+        F.sum(F.when(F.col("s.of_label") & (F.col("y") == F.col("p")), F.col("n")).otherwise(0)).alias("tp"),
+        F.sum(F.when(~F.col("s.of_label"), F.col("n")).otherwise(0)).alias("pred_n"),
+        F.sum(F.when(F.col("s.of_label"), F.col("n")).otherwise(0)).alias("support"),
     )
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("pred_n")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support")), F.lit(0.0))

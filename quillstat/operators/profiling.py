@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.kernels import exact_quantiles, gram, gram_to_numpy, numeric_cols, string_cols
@@ -21,15 +21,25 @@ def _total_row(counts: DataFrame, col: str = "count", alias: str = "_total") ->
     return F.broadcast(counts.agg(F.sum(col).alias(alias)))
 
 
+def _number(c: str) -> Column:
+    """A column as double, NaN counting as missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def _per_column(df: DataFrame, cols: Sequence[str], aggs: dict) -> DataFrame:
+    """One wide aggregation, then one row per column: ``col_name`` and the named aggregates."""
+    row = df.agg(*[f(_number(c)).alias(f"{name}_{i}") for i, c in enumerate(cols) for name, f in aggs.items()])
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), *[F.col(f"{name}_{i}").alias(name) for name in aggs])
+        for i, c in enumerate(cols)])).alias("e")).select("e.*")
+
+
 # P1 -------------------------------------------------------------------------
 def describe(df: DataFrame, cols: Sequence[str] | None = None, digits: int | None = None) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (linear), max — one row per column."""
     cols = list(cols) if cols is not None else numeric_cols(df)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "col_name", "x")
-    mom = long.groupBy("col_name").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-    )
+    mom = _per_column(df, cols, {
+        "count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max})
     q = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("col_name").agg(
         F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q25"),
         F.max(F.when(F.col("q") == 0.5, F.col("value"))).alias("q50"),
@@ -97,8 +107,7 @@ def corr_with_target(df: DataFrame, target: str, cols: Sequence[str] | None = No
 def skew_kurtosis(df: DataFrame, cols: Sequence[str] | None = None, unbiased: bool = False) -> DataFrame:
     """Population (biased) skewness / excess kurtosis, or the bias-corrected G1/G2 (pandas)."""
     cols = list(cols) if cols is not None else numeric_cols(df)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "col_name", "x")
-    agg = long.groupBy("col_name").agg(F.count("x").alias("n"), F.skewness("x").alias("g1"), F.kurtosis("x").alias("g2"))
+    agg = _per_column(df, cols, {"n": F.count, "g1": F.skewness, "g2": F.kurtosis})
     if not unbiased:
         return agg.select("col_name", F.col("g1").alias("skewness"), F.col("g2").alias("kurtosis"))
     n = F.col("n").cast("double")
@@ -144,25 +153,36 @@ def group_summary(df: DataFrame, group: str, value: str, digits: int = 2) -> Dat
 
 
 # P11 / P12 ------------------------------------------------------------------
-def missing_analysis(df: DataFrame, approx: bool = False) -> DataFrame:
-    """(column, n_missing, pct_missing, n_unique, dtype) ordered by pct desc."""
+def _missing(df: DataFrame, c: str) -> Column:
+    gone = F.col(c).isNull()
+    return gone | F.isnan(c) if dict(df.dtypes)[c] in ("float", "double") else gone
+
+
+def missing_counts(df: DataFrame) -> DataFrame:
+    """(column, n_missing, pct_missing) of every column; NULL and NaN are missing; one aggregation."""
     cols = df.columns
+    row = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.when(_missing(df, c), 1)).alias(f"m{i}") for i, c in enumerate(cols)])
+    entries = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(f"m{i}").alias("n_missing")) for i, c in enumerate(cols)])
+    return row.select("_rows", F.explode(entries).alias("e")).select(
+        "e.col_name", "e.n_missing", F.round(F.col("e.n_missing") * 100.0 / F.col("_rows"), 2).alias("pct_missing"))
+
+
+def missing_analysis(df: DataFrame, approx: bool = False) -> DataFrame:
+    """(column, n_missing, pct_missing, n_unique, dtype) ordered by pct desc.
+
+    ``approx`` replaces the exact distinct counts, which shuffle every value, by sketches.
+    """
+    cols, dtypes = df.columns, dict(df.dtypes)
     distinct = F.approx_count_distinct if approx else F.count_distinct
-    row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[distinct(F.col(c)).alias(f"u{i}") for i, c in enumerate(cols)])
-    dtypes = dict(df.dtypes)
-    entries = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(f"m{i}").alias("n_missing"),
-                                 F.col(f"u{i}").alias("n_unique"), F.lit(dtypes[c]).alias("dtype"))
-                        for i, c in enumerate(cols)])
-    out = row.select("_rows", F.explode(entries).alias("e")).select(
-        "e.col_name", "e.n_missing", F.round(F.col("e.n_missing") * 100.0 / F.col("_rows"), 2).alias("pct_missing"),
-        "e.n_unique", "e.dtype")
-    return out.orderBy(F.col("pct_missing").desc(), "col_name")
+    row = df.agg(*[distinct(F.when(~_missing(df, c), F.col(c))).alias(f"u{i}") for i, c in enumerate(cols)])
+    unique = row.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("col_name"), F.col(f"u{i}").alias("n_unique"), F.lit(dtypes[c]).alias("dtype"))
+        for i, c in enumerate(cols)])).alias("e")).select("e.*")
+    return missing_counts(df).join(unique, "col_name").orderBy(F.col("pct_missing").desc(), "col_name")
 
 
 def missing_report(df: DataFrame) -> DataFrame:
-    return missing_analysis(df).where(F.col("n_missing") > 0).select("col_name", "n_missing", "pct_missing")
+    return missing_counts(df).where(F.col("n_missing") > 0)
 
 
 # P13 ------------------------------------------------------------------------
@@ -176,6 +196,23 @@ def stats_bundle(df: DataFrame, digits: int = 3) -> dict[str, DataFrame]:
     }
 
 
+def bundle_rows(bundle: dict[str, DataFrame]) -> DataFrame:
+    """A statistics bundle as one long table: frame, col_name, item, value (6 decimals)."""
+    out = None
+    for frame, df in bundle.items():
+        names = [c for c in df.columns if c not in ("col_name", "col_a", "col_b", "value")]
+        if frame == "correlations":
+            rows = df.select(F.col("col_a").alias("col_name"), F.col("col_b").alias("item"), F.col("r").alias("value"))
+        elif frame == "categorical_counts":
+            rows = df.select("col_name", F.col("value").alias("item"), F.col("share").alias("value"))
+        else:
+            rows = df.select("col_name", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(
+                ["col_name"], names, "item", "value")
+        rows = rows.select(F.lit(frame).alias("frame"), "col_name", "item", F.round("value", 6).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # P14 ------------------------------------------------------------------------
 def kpi_row(df: DataFrame, mean_cols: Sequence[str], rate_col: str | None = None, digits: int = 2) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n_rows")]

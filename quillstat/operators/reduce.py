@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.kernels import arith_hash, gram
+from ..functions.kernels import gram, mix_hash
 
 
 def _centred_scatter(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()):
@@ -142,7 +142,7 @@ class LDAFit:
 
 
 def lda_fit(df: DataFrame, cols: Sequence[str], label: str) -> LDAFit:
-    """Binary linear discriminant: w = Sigma^-1 (mu1 - mu0), Sigma = pooled within-class scatter / n,
+    """Binary linear discriminant: w = Sigma^-1 (mu1 - mu0), Sigma = pooled within-class scatter / (n - 2),
     bias from the class priors (labels 0/1)."""
     cols = list(cols)
     means, groups = _centred_scatter(df, cols, [label])
@@ -151,7 +151,7 @@ def lda_fit(df: DataFrame, cols: Sequence[str], label: str) -> LDAFit:
     n1, mu1, s1 = g1
     n = n0 + n1
     sw = s0 + s1
-    sigma = sw / n
+    sigma = sw / (n - 2)
     w = np.linalg.solve(sigma, mu1 - mu0)
     b = float(-0.5 * (mu1 + mu0) @ w + np.log(n1 / n0)) - float(w @ means)
     within = sw / (n - 2)
@@ -166,7 +166,7 @@ def landmark_mds(df: DataFrame, vec: str, key: str, landmarks: int = 200, dims:
                  keep: Sequence[str] = ()) -> DataFrame:
     """2-D embedding by landmark MDS.  Landmarks = the ``landmarks`` smallest key hashes (TakeOrdered,
     bounded); classical MDS on them on the driver; rows triangulated in executors."""
-    lm = df.select(F.col(vec).cast("array<double>").alias("v")).orderBy(arith_hash(key, seed)).limit(landmarks).collect()
+    lm = df.select(F.col(vec).cast("array<double>").alias("v")).orderBy(mix_hash(key, "landmark", seed), key).limit(landmarks).collect()
     L = np.array([r["v"] for r in lm], dtype=float)
     d2 = ((L[:, None, :] - L[None, :, :]) ** 2).sum(-1)
     m = len(L)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import arith_hash, gram
+from ..functions.kernels import gram, mix_hash
 
 
 @dataclass
@@ -178,7 +178,7 @@ def cross_val_r2(df: DataFrame, features: Sequence[str], target: str, key: str,
 
     Output rows (fold, r2) plus the mean and population std in columns r2_mean, r2_std.
     """
-    fdf = df.withColumn("_fold", F.pmod(arith_hash(key, seed), F.lit(k)).cast("int"))
+    fdf = df.withColumn("_fold", F.pmod(mix_hash(key, "fold", seed), F.lit(k)).cast("int"))
     _, grams = centred_grams(fdf, features, target, ["_fold"])
     total = sum(grams.values())
     scores = []
@@ -191,6 +191,17 @@ def cross_val_r2(df: DataFrame, features: Sequence[str], target: str, key: str,
                                  "fold int, r2 double, r2_mean double, r2_std double")
 
 
+# R11 ------------------------------------------------------------------------
+def train_run(split: DataFrame, features: Sequence[str], target: str, key: str, flag: str = "is_test", k: int = 5) -> dict:
+    """Fit on the training rows of ``split``; ``{"fit", "train", "test", "cv"}``: the model, its metrics on both
+    parts, and the cross-validated R² of the training rows."""
+    train, test = split.where(~F.col(flag)), split.where(F.col(flag))
+    fit = fit_linear(train, features, target)
+    scored = {part: regression_metrics(rows.withColumn("_pred", fit.predict()), target, "_pred", len(features))
+              for part, rows in (("train", train), ("test", test))}
+    return {"fit": fit, **scored, "cv": cross_val_r2(train, features, target, key, k)}
+
+
 # R10 ------------------------------------------------------------------------
 def learning_curve(df: DataFrame, features: Sequence[str], target: str, key: str, k: int = 5, sizes: int = 10,
                    seed: int = 42) -> DataFrame:
@@ -199,8 +210,8 @@ def learning_curve(df: DataFrame, features: Sequence[str], target: str, key: str
     One aggregation grouped by (fold, size bucket); every (fold, size) model is
     solved on the driver from sums of Gram blocks.
     """
-    fdf = df.withColumn("_fold", F.pmod(arith_hash(key, seed), F.lit(k)).cast("int")).withColumn(
-        "_size", F.pmod(arith_hash(key, seed + 1), F.lit(sizes)).cast("int"))
+    fdf = df.withColumn("_fold", F.pmod(mix_hash(key, "fold", seed), F.lit(k)).cast("int")).withColumn(
+        "_size", F.pmod(mix_hash(key, "size", seed), F.lit(sizes)).cast("int"))
     _, grams = centred_grams(fdf, features, target, ["_fold", "_size"])
     folds = sorted({f for f, _ in grams})
     zero = np.zeros_like(next(iter(grams.values())))

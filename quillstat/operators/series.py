@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kernels import chunked_frame, finish_chunked
+from ..functions.kernels import chunked_frame, finish_chunked, lay_out, previous_values
 
 DEFAULT_CHUNK = 1_000_000
 
@@ -107,14 +107,14 @@ def find_peaks(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[s
     A NULL inside the window disqualifies (count must be full).  Plateau rows
     all count; constant windows do not.  Evaluated on bounded chunks with halo rows.
     """
-    ch, part, ordc, hcol = chunked_frame(df, keys, order, width, chunk_rows)
+    ch, part, ordc = chunked_frame(df, keys, order, width, chunk_rows)
     w = Window.partitionBy(*part).orderBy(*ordc).rowsBetween(-width, width)
     v = F.col(value)
     flagged = finish_chunked(
         ch.withColumn("_mx", F.max(v).over(w))
         .withColumn("_sm", F.sum(v).over(w))
         .withColumn("_ct", F.count(v).over(w))
-        .withColumn("_rows", F.count(F.lit(1)).over(w)), hcol)
+        .withColumn("_rows", F.count(F.lit(1)).over(w)))
     k = 2 * width
     is_peak = (
         (F.col("_rows") == k + 1)
@@ -126,13 +126,10 @@ def find_peaks(df: DataFrame, value: str, order: Sequence[str], keys: Sequence[s
 
 
 # R13 ------------------------------------------------------------------------
-def durbin_watson(df: DataFrame, resid: str, order: Sequence[str], keys: Sequence[str] = (),
-                  chunk_rows: int = DEFAULT_CHUNK) -> DataFrame:
+def durbin_watson(df: DataFrame, resid: str, order: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
     """sum((e_t - e_{t-1})^2) / sum(e_t^2) per key, with verdict (1.5 <= dw <= 2.5 -> 'no autocorrelation')."""
     keys = list(keys)
-    ch, part, ordc, hcol = chunked_frame(df, keys, order, 1, chunk_rows)
-    w = Window.partitionBy(*part).orderBy(*ordc)
-    d = finish_chunked(ch.withColumn("_prev", F.lag(resid).over(w)), hcol)
+    d = previous_values(lay_out(df, keys, order), keys, {"_prev": resid})
     agg = d.groupBy(*keys).agg(
         F.sum(F.pow(F.col(resid) - F.col("_prev"), 2)).alias("_num"),
         F.sum(F.pow(F.col(resid), 2)).alias("_den"),

@@ -1,4 +1,4 @@
-"""Reproducible splits and folds (R1–R3) from an arithmetic hash of a key.
+"""Reproducible splits and folds (R1–R3) from a mixing hash of a key.
 
 ``randomSplit`` depends on partitioning; a hash of the row key does not, and
 the same expression runs in DuckDB for the oracle.
@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import arith_hash, kth_smallest
+from ..functions.kernels import kth_smallest, mix_hash, with_positions
 
 
 # R1 -------------------------------------------------------------------------
 def hash_split(df: DataFrame, key: str, test_pct: int = 20, seed: int = 42, out: str = "is_test") -> DataFrame:
     """is_test = hash(key) % 100 < test_pct (about test_pct % of rows)."""
-    return df.withColumn(out, F.pmod(arith_hash(key, seed), F.lit(100)) < F.lit(test_pct))
+    return df.withColumn(out, F.pmod(mix_hash(key, "split", seed), F.lit(100)) < F.lit(test_pct))
 
 
 # R2 -------------------------------------------------------------------------
@@ -26,7 +26,7 @@ def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2
     Per class the cut pair comes from ``kth_smallest`` (bounded passes), so a
     large class never has to be ranked inside one task.
     """
-    h = arith_hash(key, seed)
+    h = mix_hash(key, "split", seed)
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per class
     cond = F.lit(False)
     for row in counts:
@@ -43,4 +43,12 @@ def stratified_split(df: DataFrame, key: str, label: str, test_frac: float = 0.2
 
 # R3 -------------------------------------------------------------------------
 def fold_column(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
-    return df.withColumn(out, F.pmod(arith_hash(key, seed), F.lit(k)).cast("int"))
+    """Shuffled K-fold: ``fold`` = hash(key) % k."""
+    return df.withColumn(out, F.pmod(mix_hash(key, "fold", seed), F.lit(k)).cast("int"))
+
+
+def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
+    """Shuffled stratified K-fold: each class is dealt over the folds in hash order, so the folds' class
+    counts differ by one at most."""
+    ranked = with_positions(df.withColumn("_mix", mix_hash(key, "fold", seed)), [label], ["_mix", key])
+    return ranked.withColumn(out, F.pmod("_pos", F.lit(k)).cast("int")).drop("_mix", "_pos")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.kernels import chunked_frame, finish_chunked, prefix_sum
+from ..functions.kernels import lay_out, prefix_sum, previous_values, running_sums
 
 # USD per 1000 tokens by provider, and the default for others.
 RATES_PER_1K = {"mistral": 0.002, "gemini": 0.03, "groq": 0.02}
@@ -130,7 +130,7 @@ def _admit_partition(max_calls: int, horizon: float, group_cols: list[str]):
 
 
 def quota_admission(calls: DataFrame, ts: str, tie: str, max_calls: int, keys: Sequence[str] = (),
-                    horizon_s: float = 3600.0, chunk_rows: int = 1_000_000) -> DataFrame:
+                    horizon_s: float = 3600.0) -> DataFrame:
     """Sequential admission: a call is admitted iff fewer than ``max_calls`` admitted calls of its
     quota key lie in the last ``horizon_s`` seconds (only admitted calls count).
 
@@ -143,12 +143,10 @@ def quota_admission(calls: DataFrame, ts: str, tie: str, max_calls: int, keys: S
     """
     keys = list(keys)
     base = calls.withColumn("_tsd", F.col(ts).cast("double"))
-    # gap flag from the previous call of the key, on bounded chunks (halo of 1 row)
-    ch, part, ordc, hcol = chunked_frame(base, keys, ["_tsd", tie], 1, chunk_rows)
-    w = Window.partitionBy(*part).orderBy(*ordc)
-    flagged = finish_chunked(
-        ch.withColumn("_gap", F.when((F.col("_tsd") - F.lag("_tsd").over(w)) >= horizon_s, 1).otherwise(0)), hcol)
-    runs = prefix_sum(flagged, "_gap", keys, ["_tsd", tie], "_run", chunk_rows).drop("_gap")
+    # one layout: a gap to the key's call before starts a run
+    laid = previous_values(lay_out(base, keys, ["_tsd", tie]), keys, {"_before": "_tsd"})
+    flagged = laid.withColumn("_gap", F.when(F.col("_tsd") - F.col("_before") >= horizon_s, 1).otherwise(0))
+    runs = running_sums(flagged, keys, {"_run": "_gap"}).drop("_gap", "_before", "_part", "_at")
     group_cols = keys + ["_run"]
     parts = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = runs.repartition(parts, *group_cols).sortWithinPartitions(*group_cols, "_tsd", tie)
@@ -164,9 +162,11 @@ def trailing_call_count(calls: DataFrame, ts: str, keys: Sequence[str] = (), hor
 
 
 # L7 -------------------------------------------------------------------------
-def log_history(log: DataFrame, provider: str | None = None, n: int = 50) -> DataFrame:
-    """Readable history: epoch -> timestamp, nested fields flattened, optional provider filter, newest n."""
+def log_history(log: DataFrame, provider: str | None = None, n: int = 50, tie: Sequence[str] = ()) -> DataFrame:
+    """Readable history: epoch -> timestamp, nested fields flattened, optional provider filter, newest n
+    (calls of one second by the ``tie`` columns, descending)."""
     out = log.select(
+        *tie,
         (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("ts"))).alias("time"), "ts", "provider", "method", "prompt_tokens", "completion_tokens", "cost",
         F.col("extra.success").alias("success"), F.col("extra.error").alias("error"),
         F.col("extra.api_usage.prompt_tokens").alias("api_prompt_tokens"),
@@ -174,7 +174,7 @@ def log_history(log: DataFrame, provider: str | None = None, n: int = 50) -> Dat
     )
     if provider is not None:
         out = out.where(F.col("provider") == provider)
-    return out.orderBy(F.col("ts").desc()).limit(n)
+    return out.orderBy(F.col("ts").desc(), *[F.col(c).desc() for c in tie]).limit(n).drop(*tie)
 
 
 def provider_list(log: DataFrame) -> DataFrame:
@@ -182,9 +182,9 @@ def provider_list(log: DataFrame) -> DataFrame:
 
 
 # L8 -------------------------------------------------------------------------
-def cumulative_cost(log: DataFrame, order: Sequence[str] = ("ts",), chunk_rows: int = 1_000_000) -> DataFrame:
+def cumulative_cost(log: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
     """Running cost per provider over time (split-safe two-level prefix sum)."""
-    return prefix_sum(log, "cost", ["provider"], list(order), "cum_cost", chunk_rows)
+    return prefix_sum(log, {"cum_cost": "cost"}, ["provider"], list(order))
 
 
 # L14 ------------------------------------------------------------------------

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.kernels import nan_to_null
 from ..session import read_table
 
 
@@ -38,7 +39,8 @@ def register(name: str, sql: str | None = None, ops: tuple[str, ...] = ()):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name)
+    """A table with NaN normalised to NULL: in the reference both are missing."""
+    return nan_to_null(read_table(spark, sf_dir, name))
 
 
 def load_all() -> dict[str, Query]:

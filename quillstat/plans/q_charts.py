@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import charts as V
 from ..operators import profiling as P
 from .catalog import register, table
-from .q_profiling import LI_NUM, _emb_dims
+from .q_profiling import DIMS, LI_NUM, _emb_dims
 
 
 # lineitem has no unique (orderkey, linenumber); this column list is a total order
@@ -134,10 +134,10 @@ def v_residual_trend(spark, sf):
 
 
 @register("v_radar", "\nUNION ALL\n".join(
-    f"SELECT label, 'e{i}' AS axis, round(avg(embedding[{i + 1}]::DOUBLE), 2) AS mean FROM embeddings GROUP BY label"
-    for i in range(3)), ops=("V13",))
+    f"SELECT label, '{d}' AS axis, round(avg(embedding[{i + 1}]::DOUBLE), 2) AS mean FROM embeddings GROUP BY label"
+    for i, d in enumerate(DIMS)), ops=("V13",))
 def v_radar(spark, sf):
-    return V.radar_rows(_emb_dims(spark, sf), "label", ["e0", "e1", "e2"])
+    return V.radar_rows(_emb_dims(spark, sf), "label", DIMS)
 
 
 @register("v_progression", """SELECT o_orderkey, w AS week,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.kernels import mix_hash_sql
 from ..operators import cleaning as C
 from .catalog import register, table
 
@@ -20,17 +21,13 @@ def injected_orders(spark, sf):
     return C.inject_missing(o, ["o_totalprice", "o_orderpriority"], "o_orderkey", INJECT_RATE, INJECT_SEED)
 
 
-def _h(seed: int) -> str:
-    return f"(((o_orderkey * 48271 + {seed} * 16807) % 2147483647) + 2147483647) % 2147483647"
-
-
 INJECTED_SQL = f"""injected AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
          CASE WHEN rn0 <= k THEN NULL ELSE o_totalprice END AS o_totalprice,
          CASE WHEN rn1 <= k THEN NULL ELSE o_orderpriority END AS o_orderpriority
   FROM (SELECT *,
-               row_number() OVER (ORDER BY {_h(INJECT_SEED)}, o_orderkey) AS rn0,
-               row_number() OVER (ORDER BY {_h(INJECT_SEED + 1)}, o_orderkey) AS rn1,
+               row_number() OVER (ORDER BY {mix_hash_sql("o_orderkey", "o_totalprice", INJECT_SEED)}, o_orderkey) AS rn0,
+               row_number() OVER (ORDER BY {mix_hash_sql("o_orderkey", "o_orderpriority", INJECT_SEED)}, o_orderkey) AS rn1,
                floor(count(*) OVER () * {INJECT_RATE}) AS k
         FROM orders) t)"""
 
@@ -197,7 +194,7 @@ def c_rule_flags(spark, sf):
 
 
 @register("c_sample_rows", f"""SELECT o_orderkey, o_totalprice FROM orders
-ORDER BY {_h(42)}, o_orderkey LIMIT 100""", ops=("C15", "V8"))
+ORDER BY {mix_hash_sql("o_orderkey", "sample")}, o_orderkey LIMIT 100""", ops=("C15", "V8"))
 def c_sample_rows(spark, sf):
     return C.sample_rows(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 100, "o_orderkey", 42)
 

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from ..operators import classify as K
+from ..functions.kernels import mix_hash_sql
 from ..operators import charts as V
+from ..operators import classify as K
 from ..operators import ensemble as E
+from ..operators import metrics as M
 from ..operators import profiling as P
 from ..operators import reduce as D
 from ..operators import regression as R
@@ -30,6 +32,10 @@ from .q_models import _ols2_sql
 from .q_usage import LOG_SQL, quota2_sql, usage_log
 
 
+_OLS1_SQL = ("fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS slope, "
+             "regr_intercept(l_extendedprice, l_quantity) AS intercept FROM lineitem)")
+
+
 def _scratch(spark, name: str) -> str:
     """A fresh folder URI under the shared checkpoint dir (created by the Spark writer)."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/quillstat-io/{name}-{uuid.uuid4().hex[:12]}"
@@ -62,21 +68,11 @@ w AS (SELECT * FROM live WHERE timestamp >= TIMESTAMP '2024-01-31 00:00:00' - IN
 c AS (SELECT count(*) AS n FROM w),
 chosen AS (SELECT * FROM w WHERE (SELECT n FROM c) > 0 UNION ALL
            SELECT * FROM (SELECT * FROM live ORDER BY timestamp DESC, t DESC LIMIT 300) WHERE (SELECT n FROM c) = 0)
-SELECT * FROM (SELECT * FROM chosen ORDER BY timestamp DESC, t DESC LIMIT 300) WHERE t >= 100.0""", ops=("S2", "T1", "T2", "T3", "T4"))
+SELECT * FROM chosen WHERE t >= 100.0 ORDER BY timestamp DESC, t DESC LIMIT 300""", ops=("S2", "T1", "T2", "T3", "T4"))
 def s_read_live(spark, sf):
     path = _scratch(spark, "live-csv")
     IO.write_table(live_from_events(spark, sf), path, "csv")
-    # the reference applies since_t after the tail; here: clock fix -> window/fallback -> last `limit` -> since_t
-    snap = IO.read_live(spark, path, "2024-01-31 00:00:00", limit=300, last_seconds=86400)
-    return TS.since(snap, "t", 100.0)
-
-
-@register("s_read_live_missing", "SELECT * FROM (SELECT ts AS timestamp, 0.0 AS t, 0.0 AS value1, 0.0 AS value2 FROM events) WHERE false",
-          ops=("S2",))
-def s_read_live_missing(spark, sf):
-    # a missing live file gives an empty table, never an exception
-    table(spark, sf, "events")  # the source table exists; the live file does not
-    return IO.read_live(spark, _scratch(spark, "no-such-live"), "2024-01-31 00:00:00")
+    return IO.read_live(spark, path, "2024-01-31 00:00:00", limit=300, last_seconds=86400, since_t=100.0)
 
 
 @register("t_export_live", f"WITH {_LIVE_SQL} SELECT * FROM live", ops=("T11", "S5"))
@@ -119,7 +115,7 @@ snap AS (SELECT * FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000)
 SELECT timestamp, t, value1, value2 FROM (
   SELECT *, max(value1) OVER w AS mx, sum(value1) OVER w AS sm, count(value1) OVER w AS ct, count(*) OVER w AS rws
   FROM snap WINDOW w AS (ORDER BY timestamp, t ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
-WHERE rws = 3 AND ct = 3 AND value1 = mx AND value1 > (sm - value1) / 2.0""", ops=("S8", "T9", "T8"))
+WHERE rws = 3 AND ct = 3 AND value1 = mx AND value1 > (sm - value1) / 2.0""", ops=("S8",))
 def s_report_bundle(spark, sf):
     live = live_from_events(spark, sf)
     snapshot = TS.last_n(live, ["timestamp", "t"], 1000)
@@ -128,18 +124,68 @@ def s_report_bundle(spark, sf):
     return IO.load_csv(spark, f"{base}/peaks", IO.LIVE_SCHEMA)
 
 
+# S9 / T8 / T9 ---------------------------------------------------------------
+@register("s_live_ensemble", f"""WITH {_LIVE_SQL}
+SELECT timestamp, t, value1, value2, true AS in_range, true AS label_follows FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000""",
+          ops=("S9", "T8", "T9"))
+def s_live_ensemble(spark, sf):
+    """The live job: models fitted on the older rows score the snapshot as a weighted ensemble, the predictions are
+    written beside the report bundle, and read back."""
+    live = live_from_events(spark, sf)
+    order, feats = ["timestamp", "t"], ["value1", "value2"]
+    snapshot = TS.last_n(live, order, 1000).checkpoint()
+    first = snapshot.agg(F.min("timestamp").alias("m")).first()["m"]
+    older = live.where(F.col("timestamp") < F.lit(first)).withColumn("label", (F.col("value1") > 50).cast("int"))
+    models = {"logistic": K.scaled_pipeline(older, feats, lambda d: K.logistic(d, "label")),
+              "random_forest": K.scaled_pipeline(older, feats, lambda d: K.random_forest(d, "label", 20, 5))}
+    wide, probas, preds = E.predict_all(snapshot, {n: (m, feats) for n, m in models.items()}, lambda df, _: df)
+    scored = E.ensemble_predict(wide, probas, preds, weights={"logistic": 1.0, "random_forest": 2.0})
+    peaks = TS.find_peaks(snapshot, "value1", order, [], 1)
+    base = IO.write_report(snapshot, peaks, ensure_checkpoint_dir(spark), f"e{uuid.uuid4().hex[:10]}")
+    out = scored.select(*live.columns, "ensemble_proba", "ensemble_pred")
+    IO.write_table(out, f"{base}/predictions", "csv")
+    back = IO.load_csv(spark, f"{base}/predictions", out.schema)
+    p = F.col("ensemble_proba")
+    return back.select(*live.columns, p.between(0.0, 1.0).alias("in_range"),
+                       ((p >= 0.5).cast("int") == F.col("ensemble_pred")).alias("label_follows"))
+
+
 # S10 / K18 / R17 ------------------------------------------------------------
-@register("k_train_pipeline", None, ops=("K18", "S10", "R17"))
+@register("k_train_pipeline", None, ops=("K18", "S10", "K9"))
 def k_train_pipeline(spark, sf):
+    """Train, save with the scaler, reload, evaluate: test metrics, cross-validation and the confusion matrix, long."""
+    docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42).checkpoint()
+    train = docs.where(~F.col("is_test"))
+
+    def fit(rows):
+        return K.scaled_pipeline(rows, DOC_FEATURES, lambda d: K.logistic(d, "quality"))
+
+    path = _scratch(spark, "model")
+    IO.save_model(fit(train), path, DOC_FEATURES, "logistic")
+    loaded, _, kind = IO.load_model(path, PipelineModel)
+    scored = K.proba_col(loaded.transform(docs.where(F.col("is_test")))).checkpoint()
+    metrics = K.evaluate_scored(scored, "quality")
+    test = metrics.unpivot([], metrics.columns, "item", "value").select(F.lit("test").alias("part"), "item", "value")
+    folds = K.cross_validate(S.stratified_folds(train, "doc_id", "quality", 5, 42), "quality", fit)
+    cv = spark.createDataFrame([("cv", f"fold {r['fold']} f1", r["f1"]) for r in folds], "part string, item string, value double")
+    confusion = M.confusion_matrix(scored, "quality", "prediction").select(
+        F.lit("confusion").alias("part"), F.format_string("actual %d predicted %d", "actual", "predicted").alias("item"),
+        F.col("count").cast("double").alias("value"))
+    return test.unionByName(cv).unionByName(confusion).withColumn("model", F.lit(kind))
+
+
+@register("k_saved_model_checks", f"""SELECT doc_id, true AS same FROM labels
+WHERE doc_id IN (SELECT doc_id FROM documents) AND {mix_hash_sql("doc_id", "split")} % 100 < 20""", ops=("S10", "K8"))
+def k_saved_model_checks(spark, sf):
+    """A model that is saved and loaded again scores raw rows as before: its scaler is part of it."""
     docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42)
-    train_raw = docs.where(~F.col("is_test"))
-    scaled = K.standardize_exprs(train_raw, DOC_FEATURES)
-    model = K.logistic(K.assemble(train_raw, DOC_FEATURES, scaled), "quality")
+    fitted = K.scaled_pipeline(docs.where(~F.col("is_test")), DOC_FEATURES, lambda d: K.logistic(d, "quality"))
     path = _scratch(spark, "model")
-    IO.save_model(model, path, DOC_FEATURES, "logistic")
-    loaded, feats, kind = IO.load_model(path, LogisticRegressionModel)
-    scored = K.proba_col(loaded.transform(K.assemble(docs.where(F.col("is_test")), feats, scaled)))
-    return K.evaluate_scored(scored, "quality").withColumn("model", F.lit(kind))
+    IO.save_model(fitted, path, DOC_FEATURES, "logistic")
+    test = docs.where(F.col("is_test"))
+    before = K.proba_col(fitted.transform(test)).select("doc_id", F.col("proba").alias("p0"))
+    after = K.proba_col(IO.load_model(path, PipelineModel)[0].transform(test)).select("doc_id", "proba")
+    return before.join(after, "doc_id").select("doc_id", (F.abs(F.col("p0") - F.col("proba")) < 1e-12).alias("same"))
 
 
 # S12 ------------------------------------------------------------------------
@@ -169,32 +215,66 @@ def s_oscillating_series(spark, sf):
 
 
 # P13 ------------------------------------------------------------------------
-@register("p_stats_bundle_summary", "\nUNION ALL\n".join(
+_ORDER_NUM = ("o_orderkey", "o_custkey", "o_totalprice")
+_SUMMARY_SQL = "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS col_name, count({c}) AS count, round(avg({c}), 3) AS mean, round(stddev_samp({c}), 3) AS std,
        round(min({c}), 3) AS min, round(quantile_cont({c}, 0.25), 3) AS q25, round(quantile_cont({c}, 0.5), 3) AS q50,
-       round(quantile_cont({c}, 0.75), 3) AS q75, round(max({c}), 3) AS max FROM orders""" for c in ("o_orderkey", "o_custkey", "o_totalprice")),
-    ops=("P13",))
+       round(quantile_cont({c}, 0.75), 3) AS q75, round(max({c}), 3) AS max FROM orders""" for c in _ORDER_NUM)
+
+
+@register("p_stats_bundle_summary", _SUMMARY_SQL, ops=("P13",))
 def p_stats_bundle_summary(spark, sf):
     bundle = P.stats_bundle(table(spark, sf, "orders"))
     return bundle["summary"]
 
 
+_SUMMARY_ITEMS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
+_MOMENT_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS col_name, skewness({c}) AS skewness, kurtosis({c}) AS kurtosis FROM orders" for c in _ORDER_NUM)
+
+
+@register("p_stats_bundle", f"""WITH s AS ({_SUMMARY_SQL}), m AS ({_MOMENT_SQL})
+""" + "\nUNION ALL\n".join(
+    [f"SELECT 'summary' AS frame, col_name, '{i}' AS item, round(CAST({i} AS DOUBLE), 6) AS value FROM s" for i in _SUMMARY_ITEMS]
+    + [f"SELECT 'skew_kurtosis', col_name, '{i}', round({i}, 6) FROM m" for i in ("skewness", "kurtosis")]
+    + [f"SELECT 'correlations', '{a}', '{b}', round(corr({a}, {b}), 6) FROM orders" for a in _ORDER_NUM for b in _ORDER_NUM]
+    + [f"SELECT 'categorical_counts', '{c}', {c}, round(round(count(*) / sum(count(*)) OVER (), 3), 6) FROM orders WHERE {c} IS NOT NULL GROUP BY {c}"
+       for c in ("o_orderstatus", "o_orderpriority")]), ops=("P13",))
+def p_stats_bundle(spark, sf):
+    return P.bundle_rows(P.stats_bundle(table(spark, sf, "orders")))
+
+
 # V12 ------------------------------------------------------------------------
-@register("v_qq_points", None, ops=("V12",))
+@register("v_qq_points", f"""WITH {_OLS1_SQL},
+r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice - (intercept + slope * l_quantity) AS e FROM lineitem, fit)
+SELECT row_number() OVER (ORDER BY e, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rank, round(e, 4) AS value FROM r""", ops=("V12",))
 def v_qq_points(spark, sf):
     from .q_charts import LI_ORDER, _scored_lineitem
 
+    r = _scored_lineitem(spark, sf).withColumn("residual", F.col("l_extendedprice") - F.col("pred"))
+    return V.qq_points(r.select(*LI_ORDER, "residual"), "residual", LI_ORDER).select("rank", F.round("value", 4).alias("value"))
+
+
+@register("v_qq_quantiles", None, ops=("V12",))
+def v_qq_quantiles(spark, sf):
+    """The points with their normal quantiles."""
+    from .q_charts import LI_ORDER, _scored_lineitem
+
     r = _scored_lineitem(spark, sf).withColumn("residual", F.col("l_extendedprice") - F.col("pred"))
     return V.qq_points(r.select(*LI_ORDER, "residual"), "residual", LI_ORDER)
 
 
 # D5 -------------------------------------------------------------------------
-@register("d_reduction_run", None, ops=("D5",))
+@register("d_reduction_run", None, ops=("D5", "D6"))
 def d_reduction_run(spark, sf):
+    """The full run: PCA scores, the discriminant axis and the two-dimensional map of every labelled document."""
     docs = doc_table(spark, sf)
     pca = D.pca_fit(docs, DOC_FEATURES)
     lda = D.lda_fit(docs, ["n_chars", "n_lines"], "quality")
-    return docs.select("doc_id", "quality", *pca.scores(2), lda.projection().alias("lda_axis"))
+    scored = docs.select("doc_id", "quality", *pca.scores(len(DOC_FEATURES)), lda.projection().alias("lda_axis"))
+    axes = [c for c in scored.columns if c.startswith("pc")]
+    placed = D.landmark_mds(scored.withColumn("v", F.array(*axes)), "v", "doc_id", keep=["doc_id", "quality", "pc1", "pc2", "lda_axis"])
+    return placed
 
 
 # T10 + streaming twins -------------------------------------------------------
@@ -259,38 +339,62 @@ def l_stream_quota(spark, sf):
     return spark.read.parquet(out).select("event_id", "user_id", "ts", "admitted")
 
 
-@register("t_periodic_window_stats", None, ops=("T10",))
-def t_periodic_window_stats(spark, sf):
-    """Periodic job (availableNow trigger + foreachBatch) writing hourly live statistics."""
-    ev, root, inbox, land = _land_events(spark, sf, "periodic")
-    for i in range(land.count):
-        land(i)
+def _run_windows(spark, sf, name, windows):
+    """Feed the landed events to ``windows(stream)`` slice by slice, close the last windows, return what was written.
+
+    A file source never says that it has ended, so a heartbeat far behind the
+    last event moves the watermark past all of them; its own windows stay open.
+    Each batch overwrites its own folder, so a batch that is run again leaves no second copy.
+    """
+    ev, root, inbox, land = _land_events(spark, sf, name)
     out = f"{root}/out"
-    st = L.live_stream(spark, inbox, ev.schema, "parquet", max_files_per_trigger=5)
-    stats = L.window_stats(st, "ts", ["value"], "1 hour", "1 hour")
+    land(0)
+    stream = windows(L.live_stream(spark, inbox, ev.schema, "parquet"))
 
     def handle(batch, batch_id):
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (stats.writeStream.outputMode("append").foreachBatch(handle)
-         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    q = stream.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", f"{root}/ck").start()
+    try:
+        q.processAllAvailable()
+        for i in range(1, land.count):
+            land(i)
+            q.processAllAvailable()
+        last = ev.agg(F.max("ts").alias("ts"))
+        for days in (10, 20):  # the second lets the first one's watermark take effect
+            beat = last.select((F.col("ts") + F.expr(f"INTERVAL {days} DAYS")).alias("ts")).where("ts IS NOT NULL")
+            beat.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in ev.schema.fields]) \
+                .write.mode("append").parquet(inbox)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    return spark.read.schema(stream.schema).parquet(out), last.first()["ts"]
 
 
-@register("l_stream_cost_windows", None, ops=("L4", "T10"))
+@register("t_periodic_window_stats", """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       count(*) AS n, round(avg(value), 6) AS mean_value, round(stddev_samp(value), 6) AS std_value,
+       min(value) AS min_value, max(value) AS max_value FROM events GROUP BY ALL""", ops=("T10",))
+def t_periodic_window_stats(spark, sf):
+    """Periodic job (foreachBatch) writing hourly live statistics."""
+    got, end = _run_windows(spark, sf, "periodic", lambda st: L.window_stats(st, "ts", ["value"], "1 hour", "1 hour"))
+    return got.where(F.col("window_start") <= F.lit(end)).select(
+        "window_start", "window_end", "n", F.round("mean_value", 6).alias("mean_value"), F.round("std_value", 6).alias("std_value"),
+        "min_value", "max_value")
+
+
+@register("l_stream_cost_windows", """SELECT start AS window_start, start + INTERVAL 1 HOUR AS window_end,
+       round(sum(value), 4) AS cost_last_hour, count(*) AS count_last_hour, round(sum(value), 4) >= 500 AS alert
+FROM (SELECT value, unnest([time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE FOR k IN range(12)]) AS start FROM events)
+GROUP BY start""", ops=("L4", "T10"))
 def l_stream_cost_windows(spark, sf):
     """Hourly cost alert as a stream: sliding 1-hour windows over the landed usage log."""
-    ev, root, inbox, land = _land_events(spark, sf, "stream-cost")
-    for i in range(land.count):
-        land(i)
-    st = L.live_stream(spark, inbox, ev.schema, "parquet", max_files_per_trigger=5)
-    win = L.hourly_cost_windows(st.select("ts", F.col("value").alias("cost")), "ts", "cost", threshold=500.0)
-    out = f"{root}/out"
-    q = (win.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{root}/ck")
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    got, end = _run_windows(spark, sf, "stream-cost", lambda st: L.hourly_cost_windows(
+        st.select("ts", F.col("value").alias("cost")), "ts", "cost", threshold=500.0).select(
+            F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end"),
+            "cost_last_hour", "count_last_hour"))
+    cost = F.round("cost_last_hour", 4)
+    return got.where(F.col("window_start") <= F.lit(end)).select(
+        "window_start", "window_end", cost.alias("cost_last_hour"), "count_last_hour", (cost >= 500).alias("alert"))
 
 
 # R17 (scoring of new observations with a fitted linear model, clipped) ------

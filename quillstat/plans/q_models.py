@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from ..functions.kernels import mix_hash_sql
 from ..operators import charts as V
 from ..operators import classify as K
 from ..operators import cluster as U
@@ -17,25 +18,26 @@ from ..operators import splits as S
 from ..operators.profiling import cluster_profiles
 from .catalog import register, table
 from .q_charts import _FIT, _scored_lineitem
-from .q_cleaning import _h
+
+_O_SPLIT = mix_hash_sql("o_orderkey", "split")
 
 # ----------------------------------------------------------------------------- splits
 
 
-@register("r_split", f"SELECT o_orderkey, {_h(42)} % 100 < 20 AS is_test FROM orders", ops=("R1",))
+@register("r_split", f"SELECT o_orderkey, {_O_SPLIT} % 100 < 20 AS is_test FROM orders", ops=("R1",))
 def r_split(spark, sf):
     return S.hash_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 20, 42)
 
 
 @register("r_stratified_split", f"""SELECT o_orderkey, rn <= floor(0.2 * n_c + 0.5) AS is_test FROM (
-  SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY {_h(42)}, o_orderkey) AS rn,
+  SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus = 'F' ORDER BY {_O_SPLIT}, o_orderkey) AS rn,
          count(*) OVER (PARTITION BY o_orderstatus = 'F') AS n_c FROM orders)""", ops=("R2",))
 def r_stratified_split(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", (F.col("o_orderstatus") == "F").cast("int").alias("y"))
     return S.stratified_split(o, "o_orderkey", "y", 0.2, 42).select("o_orderkey", "is_test")
 
 
-@register("r_folds", f"SELECT o_orderkey, CAST({_h(42)} % 5 AS INTEGER) AS fold FROM orders", ops=("R3",))
+@register("r_folds", f"SELECT o_orderkey, CAST({mix_hash_sql("o_orderkey", "fold")} % 5 AS INTEGER) AS fold FROM orders", ops=("R3",))
 def r_folds(spark, sf):
     return S.fold_column(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5, 42)
 
@@ -43,7 +45,8 @@ def r_folds(spark, sf):
 # ----------------------------------------------------------------------------- regression
 
 Y, X1, X2 = "l_extendedprice", "l_quantity", "l_discount"
-_LI_HASH = "(((l_orderkey * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647"
+_LI_SPLIT, _LI_FOLD = mix_hash_sql("l_orderkey", "split"), mix_hash_sql("l_orderkey", "fold")
+_VEC_SPLIT = mix_hash_sql("vec_id", "split")
 
 
 def _ols2_sql(where: str = "TRUE", alpha: float = 0.0) -> str:
@@ -66,7 +69,7 @@ def _coef_frame(spark, fit: R.LinearFit):
         "coefficient", F.round("coefficient", 6))
 
 
-@register("r_ols", _coef_sql(), ops=("R4", "R11"))
+@register("r_ols", _coef_sql(), ops=("R4",))
 def r_ols(spark, sf):
     return _coef_frame(spark, R.fit_linear(table(spark, sf, "lineitem"), [X1, X2], Y))
 
@@ -95,8 +98,8 @@ def v_coef_table(spark, sf):
     return t.select("feature", F.round("coefficient", 6).alias("coefficient"), F.round("abs_coef", 6).alias("abs_coef"))
 
 
-@register("r_ols_test_metrics", f"""WITH {_ols2_sql(where=f"NOT ({_LI_HASH} % 100 < 20)")},
-t AS (SELECT {Y} AS y, {Y} - (b0 + b1 * {X1} + b2 * {X2}) AS e FROM lineitem, fit WHERE {_LI_HASH} % 100 < 20),
+@register("r_ols_test_metrics", f"""WITH {_ols2_sql(where=f"NOT ({_LI_SPLIT} % 100 < 20)")},
+t AS (SELECT {Y} AS y, {Y} - (b0 + b1 * {X1} + b2 * {X2}) AS e FROM lineitem, fit WHERE {_LI_SPLIT} % 100 < 20),
 a AS (SELECT count(*) AS n, sum(e * e) AS sse, sum(abs(e)) AS sae, var_pop(y) AS vy FROM t)
 SELECT round(1 - sse / (vy * n), 4) AS r2,
        round(CASE WHEN n - 3 > 0 THEN 1 - (sse / (vy * n)) * (n - 1) / (n - 3) ELSE 1 - sse / (vy * n) END, 4) AS adj_r2,
@@ -108,7 +111,24 @@ def r_ols_test_metrics(spark, sf):
     return R.regression_metrics(scored, Y, "pred", k=2)
 
 
-@register("r_cv_r2", f"""WITH d AS (SELECT *, CAST({_LI_HASH} % 5 AS INTEGER) AS fold FROM lineitem),
+def _split_metrics_sql(part: str) -> str:
+    where = {"train": f"NOT ({_LI_SPLIT} % 100 < 20)", "test": f"{_LI_SPLIT} % 100 < 20"}[part]
+    return f"""SELECT '{part}' AS part, round(1 - sse / (vy * n), 4) AS r2, round(sqrt(sse / n), 4) AS rmse, round(sae / n, 4) AS mae
+FROM (SELECT count(*) AS n, sum(e * e) AS sse, sum(abs(e)) AS sae, var_pop(y) AS vy
+      FROM (SELECT {Y} AS y, {Y} - (b0 + b1 * {X1} + b2 * {X2}) AS e FROM lineitem, fit WHERE {where}))"""
+
+
+@register("r_train_pipeline", f"""WITH {_ols2_sql(where=f"NOT ({_LI_SPLIT} % 100 < 20)")}
+{_split_metrics_sql("train")} UNION ALL {_split_metrics_sql("test")}""", ops=("R11",))
+def r_train_pipeline(spark, sf):
+    """The training run's train and test metrics (its cross-validation is ``r_cv_r2``)."""
+    li = S.hash_split(table(spark, sf, "lineitem"), "l_orderkey", 20, 42)
+    run = R.train_run(li, [X1, X2], Y, "l_orderkey")
+    return run["train"].withColumn("part", F.lit("train")).unionByName(run["test"].withColumn("part", F.lit("test"))).select(
+        "part", "r2", "rmse", "mae")
+
+
+@register("r_cv_r2", f"""WITH d AS (SELECT *, CAST({_LI_FOLD} % 5 AS INTEGER) AS fold FROM lineitem),
 f AS (SELECT fold, count(*) AS n, sum({X1}) AS a1, sum({X2}) AS a2, sum({Y}) AS ay, sum({X1} * {X1}) AS a11,
              sum({X1} * {X2}) AS a12, sum({X2} * {X2}) AS a22, sum({X1} * {Y}) AS a1y, sum({X2} * {Y}) AS a2y FROM d GROUP BY fold),
 t AS (SELECT sum(n) AS n, sum(a1) AS a1, sum(a2) AS a2, sum(ay) AS ay, sum(a11) AS a11, sum(a12) AS a12, sum(a22) AS a22,
@@ -135,6 +155,42 @@ def r_lasso(spark, sf):
     return _coef_frame(spark, R.fit_linear(table(spark, sf, "lineitem"), [X1, X2, "l_tax"], Y, l1=0.1))
 
 
+@register("r_lasso_checks", f"""SELECT unnest(['{X1}', '{X2}', 'l_tax']) AS feature, true AS optimal""", ops=("R7",))
+def r_lasso_checks(spark, sf):
+    """The optimality conditions of the lasso, from a second pass over the rows: the correlation of a feature with the
+    residuals is alpha times the coefficient's sign, or at most alpha where the coefficient is zero."""
+    li, feats = table(spark, sf, "lineitem"), [X1, X2, "l_tax"]
+    fit = R.fit_linear(li, feats, Y, l1=0.1)
+    res = li.withColumn("e", F.col(Y) - fit.predict())
+    means = res.agg(*[F.avg(c).alias(c) for c in feats]).first()
+    row = res.agg(*[F.avg((F.col(c) - F.lit(means[c])) * F.col("e")).alias(c) for c in feats]).first()
+    ok = [(c, bool(abs(row[c] - 0.1 * np.sign(b)) < 1e-6 if b else abs(row[c]) <= 0.1 + 1e-6)) for c, b in zip(feats, fit.coef)]
+    return spark.createDataFrame(ok, "feature string, optimal boolean")
+
+
+_LC_SUMS = "count(*) AS n, sum({x}) AS sx, sum({y}) AS sy, sum({x} * {x}) AS sxx, sum({x} * {y}) AS sxy, sum({y} * {y}) AS syy"
+
+
+@register("r_learning_curve_simple", f"""WITH d AS (SELECT {X1} AS x, {Y} / 1000 AS y, {_LI_FOLD} % 5 AS f, {mix_hash_sql("l_orderkey", "size")} % 10 AS z
+  FROM lineitem),
+tr AS (SELECT s, k, {_LC_SUMS.format(x="x", y="y")} FROM d, range(10) a(s), range(5) b(k) WHERE f <> k AND z <= s GROUP BY s, k),
+te AS (SELECT f AS k, {_LC_SUMS.format(x="x", y="y")} FROM d GROUP BY f),
+fit AS (SELECT s, k, n, (sxy - sx * sy / n) / (sxx - sx * sx / n) AS b1,
+               (sy - (sxy - sx * sy / n) / (sxx - sx * sx / n) * sx) / n AS b0 FROM tr),
+sc AS (SELECT fit.s, fit.n,
+              1 - (tr.syy - 2 * b0 * tr.sy - 2 * b1 * tr.sxy + tr.n * b0 * b0 + 2 * b0 * b1 * tr.sx + b1 * b1 * tr.sxx) / (tr.syy - tr.sy * tr.sy / tr.n) AS a,
+              1 - (te.syy - 2 * b0 * te.sy - 2 * b1 * te.sxy + te.n * b0 * b0 + 2 * b0 * b1 * te.sx + b1 * b1 * te.sxx) / (te.syy - te.sy * te.sy / te.n) AS b
+       FROM fit JOIN tr USING (s, k) JOIN te USING (k))
+SELECT round((s + 1) / 10.0, 1) AS train_fraction, round(avg(n), 2) AS train_size, round(avg(a), 6) AS train_r2, round(avg(b), 6) AS test_r2
+FROM sc GROUP BY s""", ops=("R10",))
+def r_learning_curve_simple(spark, sf):
+    """The learning curve of one feature, which SQL can follow in closed form."""
+    li = table(spark, sf, "lineitem").withColumn("y1000", F.col(Y) / 1000)
+    lc = R.learning_curve(li, [X1], "y1000", "l_orderkey", 5, 10, 42)
+    return lc.select(F.round("train_fraction", 1).alias("train_fraction"), F.round("train_size", 2).alias("train_size"),
+                     F.round("train_r2", 6).alias("train_r2"), F.round("test_r2", 6).alias("test_r2"))
+
+
 @register("r_learning_curve", None, ops=("R10",))
 def r_learning_curve(spark, sf):
     return R.learning_curve(table(spark, sf, "lineitem"), [X1, X2], Y, "l_orderkey", 5, 10, 42)
@@ -364,8 +420,8 @@ mu AS (SELECT max(a) FILTER (WHERE quality = 1) AS a1, max(b) FILTER (WHERE qual
               max(a) FILTER (WHERE quality = 0) AS a0, max(b) FILTER (WHERE quality = 0) AS b0,
               max(n) FILTER (WHERE quality = 1) AS n1, max(n) FILTER (WHERE quality = 0) AS n0 FROM cm),
 w AS (SELECT n, saa, sab, sbb, a0, a1, b0, b1, n0, n1,
-             n * (sbb * (a1 - a0) - sab * (b1 - b0)) / (saa * sbb - sab * sab) AS wa,
-             n * (saa * (b1 - b0) - sab * (a1 - a0)) / (saa * sbb - sab * sab) AS wb FROM sw, mu)"""
+             (n - 2) * (sbb * (a1 - a0) - sab * (b1 - b0)) / (saa * sbb - sab * sab) AS wa,
+             (n - 2) * (saa * (b1 - b0) - sab * (a1 - a0)) / (saa * sbb - sab * sab) AS wb FROM sw, mu)"""
 
 
 @register("d_lda_accuracy", f"""WITH {_LDA_SQL}
@@ -390,11 +446,20 @@ def d_lda_coef(spark, sf):
     return spark.createDataFrame(rows, "feature string, coefficient double").withColumn("coefficient", F.round("coefficient", 9))
 
 
-@register("v_lda_histogram", None, ops=("V21",))
+@register("v_lda_histogram", f"""WITH {_LDA_SQL},
+u AS (SELECT n, n0, n1, a0, a1, b0, b1, wa / sqrt((wa * wa * saa + 2 * wa * wb * sab + wb * wb * sbb) / (n - 2)) AS ca,
+             wb / sqrt((wa * wa * saa + 2 * wa * wb * sab + wb * wb * sbb) / (n - 2)) AS cb FROM w),
+g AS (SELECT *, CASE WHEN (abs(ca) >= abs(cb) AND ca < 0) OR (abs(cb) > abs(ca) AND cb < 0) THEN -1 ELSE 1 END AS sg FROM u),
+p AS (SELECT quality, sg * (ca * (n_chars - (n0 * a0 + n1 * a1) / n) + cb * (n_lines - (n0 * b0 + n1 * b1) / n)) AS x FROM docs, g),
+r AS (SELECT quality, min(x) AS mn, (max(x) - min(x)) / 25 AS w FROM p GROUP BY quality),
+c AS (SELECT quality, least(floor((x - mn) / w), 24) AS bin, count(*) AS count FROM p JOIN r USING (quality) GROUP BY ALL)
+SELECT r.quality, CAST(b.bin AS INTEGER) AS bin, round(mn + b.bin * w, 6) AS lo, coalesce(c.count, 0) AS count
+FROM r CROSS JOIN range(25) b(bin) LEFT JOIN c ON c.quality = r.quality AND c.bin = b.bin""", ops=("V21",))
 def v_lda_histogram(spark, sf):
     docs = doc_table(spark, sf)
     fit = D.lda_fit(docs, ["n_chars", "n_lines"], "quality")
-    return V.histogram(docs.withColumn("axis", fit.projection()), "axis", 25, by=["quality"], density=True)
+    h = V.histogram(docs.withColumn("axis", fit.projection()), "axis", 25, by=["quality"])
+    return h.select("quality", "bin", F.round("lo", 6).alias("lo"), "count")
 
 
 @register("d_landmark_mds", None, ops=("D3", "D6"))
@@ -454,38 +519,81 @@ def u_kmeans(spark, sf):
 
 @register("u_elbow", None, ops=("U2",))
 def u_elbow(spark, sf):
-    return U.elbow(_emb_vectors(spark, sf), "features", range(1, 11), n_init=3)
+    return U.elbow(_emb_vectors(spark, sf), "features", range(1, 11), n_init=10)
 
 
 @register("u_best_k", None, ops=("U3",))
 def u_best_k(spark, sf):
+    return U.best_k_by_silhouette(_silhouettes(spark, sf, range(2, 11)))
+
+
+def _silhouettes(spark, sf, ks):
     ev = _emb_vectors(spark, sf)
     rows = []
-    for k in range(2, 11):
-        model, _ = U.kmeans_best(ev, "features", k, n_init=3)
-        s = U.silhouette_score(model.transform(ev), "embedding", "cluster").first()["silhouette"]
-        rows.append((k, float(s)))
-    return U.best_k_by_silhouette(spark.createDataFrame(rows, "k int, silhouette double"))
+    for k in ks:
+        model, _ = U.kmeans_best(ev, "features", k, n_init=10)
+        rows.append((k, float(U.silhouette_score(model.transform(ev), "embedding", "cluster").first()["silhouette"])))
+    return spark.createDataFrame(rows, "k int, silhouette double")
+
+
+@register("u_argmax", """SELECT k AS best_k FROM (SELECT l_linenumber AS k, round(avg(l_quantity), 1) AS s FROM lineitem GROUP BY 1)
+ORDER BY s DESC, k LIMIT 1""", ops=("U3",))
+def u_argmax(spark, sf):
+    """The choice among candidates by itself: greatest mean, ties to the smallest."""
+    scores = table(spark, sf, "lineitem").groupBy(F.col("l_linenumber").alias("k")).agg(F.round(F.avg("l_quantity"), 1).alias("silhouette"))
+    return U.best_k_by_silhouette(scores)
+
+
+@register("u_kmeans_checks", """SELECT vec_id, true AS nearest, 10 AS clusters, true AS inertia_falls FROM embeddings""", ops=("U1", "U2", "U6"))
+def u_kmeans_checks(spark, sf):
+    """Every vector is in the cluster of its nearest centre, and more clusters never cost more."""
+    ev = _emb_vectors(spark, sf)
+    model, _ = U.kmeans_best(ev, "features", k=10, n_init=10, seed=42)
+    costs = [r["inertia"] for r in U.elbow(ev, "features", [1, 2, 5, 10], n_init=3).orderBy("k").collect()]
+    falls = all(a >= b for a, b in zip(costs, costs[1:]))
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cid int, mean array<double>")
+    both = U.assign_nearest(model.transform(ev), "embedding", centres, "nearest_cid")
+    return both.select("vec_id", (F.col("nearest_cid") == F.col("cluster")).alias("nearest"),
+                       F.lit(len(model.clusterCenters())).alias("clusters"), F.lit(falls).alias("inertia_falls"))
 
 
 @register("u_ward", None, ops=("U5",))
 def u_ward(spark, sf):
-    out, _ = U.two_level_ward(_emb_vectors(spark, sf), "features", k=10, micro=100)
+    out, _ = U.two_level(_emb_vectors(spark, sf), "features", k=10)
     return out.select("vec_id", "label", "cluster")
 
 
+@register("u_linkages", None, ops=("U5",))
+def u_linkages(spark, sf):
+    """Cluster of every vector under each of the other linkages."""
+    out = None
+    for linkage in ("complete", "average", "single"):
+        got = U.two_level(_emb_vectors(spark, sf), "features", 10, linkage)[0].select(F.lit(linkage).alias("linkage"), "vec_id", "cluster")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 @register("v_dendrogram", None, ops=("V19",))
 def v_dendrogram(spark, sf):
-    _, merges = U.two_level_ward(_emb_vectors(spark, sf), "features", k=10, micro=100)
-    return merges
+    _, merges = U.two_level(_emb_vectors(spark, sf), "features", k=10)
+    rows = [tuple(r)[1:] for r in merges.orderBy("step").collect()]  # fewer than micro rows
+    return merges.withColumn("cut_line", F.lit(U.cut_line(rows, 10)))
 
 
 @register("u_cluster_run", None, ops=("U7", "P16", "V13"))
 def u_cluster_run(spark, sf):
-    ev = _emb_vectors(spark, sf)
-    model, _ = U.kmeans_best(ev, "features", k=3, n_init=10)
-    scored = model.transform(ev).select("cluster", "label", *[F.col("embedding")[i].alias(f"e{i}") for i in range(3)])
-    return cluster_profiles(scored, "cluster", ["e0", "e1", "e2", "label"])
+    """The full run: model comparison, elbow, and the profile of the best k-means over all features, as one long table."""
+    docs = _doc_split(spark, sf).checkpoint()
+    compared = _compared(spark, sf).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc", "cv_f1_mean", "cv_f1_std"],
+                                            "item", "value").select(F.lit("models").alias("part"), F.col("model").alias("name"), "item", "value")
+    elbow = U.elbow(docs, "features", range(2, 11)).select(
+        F.lit("elbow").alias("part"), F.col("k").cast("string").alias("name"), F.lit("inertia").alias("item"), F.col("inertia").alias("value"))
+    model, _ = U.kmeans_best(docs, "features", k=3, n_init=10)
+    profile = cluster_profiles(model.transform(docs), "cluster", [*DOC_FEATURES, "quality"])
+    profile = profile.select("cluster", *[F.col(c).cast("double").alias(c) for c in profile.columns if c != "cluster"])
+    rows = profile.unpivot(["cluster"], [c for c in profile.columns if c != "cluster"], "item", "value").select(
+        F.lit("profile").alias("part"), F.col("cluster").cast("string").alias("name"), "item", "value")
+    return compared.unionByName(elbow).unionByName(rows)
 
 
 # ----------------------------------------------------------------------------- classification
@@ -499,8 +607,8 @@ def _doc_split(spark, sf):
     return K.assemble(docs, DOC_FEATURES, scaled)
 
 
-@register("k_knn_neighbours", f"""WITH q AS (SELECT * FROM embeddings WHERE (((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20),
-t AS (SELECT * FROM embeddings WHERE NOT ((((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20))
+@register("k_knn_neighbours", f"""WITH q AS (SELECT * FROM embeddings WHERE {_VEC_SPLIT} % 100 < 20),
+t AS (SELECT * FROM embeddings WHERE NOT ({_VEC_SPLIT} % 100 < 20))
 SELECT q_id AS vec_id, t_id AS neighbour_id, round(d2, 6) AS d2, rank FROM (
   SELECT a.vec_id AS q_id, b.vec_id AS t_id, {_EMB_D} AS d2,
          row_number() OVER (PARTITION BY a.vec_id ORDER BY {_EMB_D}, b.vec_id) AS rank FROM q a, t b) WHERE rank <= 5""",
@@ -513,8 +621,8 @@ def k_knn_neighbours(spark, sf):
     return nn.select(F.col("q_id").alias("vec_id"), F.col("vec_id").alias("neighbour_id"), F.round("d2", 6).alias("d2"), "rank")
 
 
-@register("k_knn_classify", f"""WITH q AS (SELECT * FROM embeddings WHERE (((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20),
-t AS (SELECT * FROM embeddings WHERE NOT ((((vec_id * 48271 + 42 * 16807) % 2147483647) + 2147483647) % 2147483647 % 100 < 20)),
+@register("k_knn_classify", f"""WITH q AS (SELECT * FROM embeddings WHERE {_VEC_SPLIT} % 100 < 20),
+t AS (SELECT * FROM embeddings WHERE NOT ({_VEC_SPLIT} % 100 < 20)),
 nn AS (SELECT a.vec_id, CAST(b.label >= 5 AS DOUBLE) AS y,
               row_number() OVER (PARTITION BY a.vec_id ORDER BY {_EMB_D}, b.vec_id) AS rank FROM q a, t b)
 SELECT vec_id, round(avg(y), 10) AS proba, CAST(avg(y) > 0.5 AS INTEGER) AS prediction FROM nn WHERE rank <= 7 GROUP BY vec_id""",
@@ -527,16 +635,20 @@ def k_knn_classify(spark, sf):
     return out.select(F.col("q_id").alias("vec_id"), F.round("proba", 10).alias("proba"), "prediction")
 
 
-def _fit_models(spark, sf):
-    data = _doc_split(spark, sf)
-    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
-    models = {
-        "logistic": K.logistic(train, "quality"),
-        "random_forest": K.random_forest(train, "quality", 100, 8),
-    }
-    gamma = 1.0 / len(DOC_FEATURES)  # standardised features: variance 1 -> 'scale' gamma = 1/d
-    models["svm_rff"] = K.FourierSVM(len(DOC_FEATURES), gamma).fit(train, "quality")
-    return models, train, test
+GAMMA = 1.0 / len(DOC_FEATURES)  # standardised features: variance 1 -> 'scale' gamma = 1/d
+MODELS = {
+    "knn": lambda train: K.KNN("doc_id", 7).fit(train, "quality"),
+    "logistic": lambda train: K.logistic(train, "quality"),
+    "random_forest": lambda train: K.random_forest(train, "quality", 100, 8),
+    "svm_rff": lambda train: K.FourierSVM(len(DOC_FEATURES), GAMMA).fit(train, "quality"),
+}
+
+
+def _compared(spark, sf):
+    """The four models on the documents' split, cross-validated on stratified folds of the training rows."""
+    data = _doc_split(spark, sf).checkpoint()  # labelled rows: every fit scans them
+    train = S.stratified_folds(data.where(~F.col("is_test")), "doc_id", "quality", 5, 42).checkpoint()
+    return K.compare_models(train, data.where(F.col("is_test")), "quality", MODELS)
 
 
 @register("k_logistic", None, ops=("K1", "K8"))
@@ -567,17 +679,14 @@ def k_svm_rff(spark, sf):
     return K.proba_col(svm.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
 
 
-@register("k_train_all", None, ops=("K6", "K7", "K10", "V17"))
+@register("k_train_all", None, ops=("K6", "K7", "K10"))
 def k_train_all(spark, sf):
-    models, train, test = _fit_models(spark, sf)
-    tables = []
-    for name, m in models.items():
-        scored = K.proba_col(m.transform(test))
-        tables.append(K.evaluate_scored(scored, "quality").withColumn("model", F.lit(name)))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    return out.crossJoin(F.broadcast(K.best_model(out)))
+    return _compared(spark, sf)
+
+
+@register("v_model_comparison", None, ops=("V17",))
+def v_model_comparison(spark, sf):
+    return _compared(spark, sf).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"], "metric", "value")
 
 
 @register("k_feature_importance", None, ops=("K17", "V15"))
@@ -587,21 +696,44 @@ def k_feature_importance(spark, sf):
     return K.feature_importance(rf, DOC_FEATURES, spark)
 
 
-@register("k_cv_accuracy", None, ops=("K16", "R3"))
+@register("r_stratified_folds", f"""SELECT doc_id, CAST((row_number() OVER (PARTITION BY quality
+       ORDER BY {mix_hash_sql("doc_id", "fold")}, doc_id) - 1) % 5 AS INTEGER) AS fold FROM labels""", ops=("R3", "K16"))
+def r_stratified_folds(spark, sf):
+    return S.stratified_folds(table(spark, sf, "labels"), "doc_id", "quality", 5, 42).select("doc_id", "fold")
+
+
+@register("k_cv_accuracy", None, ops=("K16",))
 def k_cv_accuracy(spark, sf):
-    data = S.fold_column(_doc_split(spark, sf), "doc_id", 5, 42)
+    data = S.stratified_folds(_doc_split(spark, sf), "doc_id", "quality", 5, 42).checkpoint()
     rows = []
-    for f in range(5):
-        m = K.logistic(data.where(F.col("fold") != f), "quality")
-        acc = m.transform(data.where(F.col("fold") == f)).agg(
-            F.avg((F.col("prediction") == F.col("quality")).cast("double")).alias("a")).first()["a"]
-        rows.append((f, float(acc if acc is not None else float("nan"))))
-    arr = np.array([r[1] for r in rows])
-    return spark.createDataFrame([(f, a, float(np.nanmean(arr)), float(np.nanstd(arr))) for f, a in rows],
-                                 "fold int, accuracy double, mean double, std double")
+    for name in ("knn", "logistic"):
+        acc = [(r["fold"], r["accuracy"]) for r in K.cross_validate(data, "quality", MODELS[name])]
+        values = np.array([a for _, a in acc])
+        rows += [(name, f, a, float(values.mean()), float(values.std())) for f, a in acc]
+    return spark.createDataFrame(rows, "model string, fold int, accuracy double, mean double, std double")
+
+
+_DOC_SPLIT = mix_hash_sql("doc_id", "split")
+
+
+@register("k_model_checks", f"""SELECT model, doc_id, true AS proba_in_range, true AS label_follows
+FROM labels, (VALUES ('knn'), ('logistic'), ('random_forest'), ('svm_rff')) m(model)
+WHERE doc_id IN (SELECT doc_id FROM documents) AND {_DOC_SPLIT} % 100 < 20""", ops=("K1", "K2", "K4", "K5", "K8"))
+def k_model_checks(spark, sf):
+    """Every test row gets a probability in [0, 1] from every model, and the label follows from it."""
+    data = _doc_split(spark, sf).checkpoint()
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    out = None
+    for name, fit in MODELS.items():
+        p = F.col("proba")
+        scored = K.proba_col(fit(train).transform(test)).select(
+            F.lit(name).alias("model"), "doc_id", p.between(0.0, 1.0).alias("proba_in_range"),
+            (((p > 0.5) == (F.col("prediction") == 1)) | (F.abs(p - 0.5) < 1e-9)).alias("label_follows"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
-@register("e_ensemble_predictions", None, ops=("E2", "E4", "S9", "T8"))
+@register("e_ensemble_predictions", None, ops=("E2", "E4"))
 def e_ensemble_predictions(spark, sf):
     docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42)
     train_raw = docs.where(~F.col("is_test"))
@@ -612,7 +744,7 @@ def e_ensemble_predictions(spark, sf):
 
     train = assemble(train_raw, DOC_FEATURES)
     lr = K.logistic(train, "quality")
-    rf = K.random_forest(train, "quality", 50, 8)
+    rf = K.random_forest(train, "quality", 100, 8)
     models = {"logistic": (lr, DOC_FEATURES), "random_forest": (rf, DOC_FEATURES),
               "live_only": (lr, ["value1", "value2"])}
     wide, probas, preds = E.predict_all(docs.where(F.col("is_test")), models, assemble)

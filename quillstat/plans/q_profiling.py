@@ -9,6 +9,7 @@ from .catalog import register, table
 from .q_cleaning import INJECTED_SQL, injected_orders
 
 LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LI_NUM]  # every numeric column
 
 
 def _union(parts):
@@ -26,10 +27,10 @@ def p_group_summary(spark, sf):
 @register("p_describe", _union([
     f"""SELECT '{c}' AS col_name, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
        round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
-       round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM lineitem""" for c in LI_NUM]),
+       round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max FROM lineitem""" for c in LI_ALL]),
     ops=("P1",))
 def p_describe(spark, sf):
-    return P.describe(table(spark, sf, "lineitem"), LI_NUM, digits=6)
+    return P.describe(table(spark, sf, "lineitem"), digits=6)
 
 
 @register("p_cat_distribution", f"""WITH {INJECTED_SQL}
@@ -89,17 +90,16 @@ def p_iqr_outliers(spark, sf):
     return P.iqr_outliers(table(spark, sf, "events").select("event_id", "user_id", "value"), "value")
 
 
-@register("p_zscore_outliers", """SELECT * FROM (
-  SELECT 'value' AS col_name, count(*) FILTER (WHERE abs((value - m) / s) > 3) AS n_outliers,
-         round(count(*) FILTER (WHERE abs((value - m) / s) > 3) * 100.0 / count(*), 2) AS pct
-  FROM events, (SELECT avg(value) AS m, nullif(stddev_samp(value), 0) AS s FROM events)
-  UNION ALL
-  SELECT 'user_id', count(*) FILTER (WHERE abs((user_id - m) / s) > 3),
-         round(count(*) FILTER (WHERE abs((user_id - m) / s) > 3) * 100.0 / count(*), 2)
-  FROM events, (SELECT avg(user_id) AS m, nullif(stddev_samp(user_id), 0) AS s FROM events)
-) WHERE n_outliers > 0""", ops=("P9",))
+@register("p_zscore_outliers", "SELECT * FROM (" + _union([
+    f"""SELECT '{c}' AS col_name, count(*) FILTER (WHERE abs(({c} - m) / s) > 3) AS n_outliers,
+         round(count(*) FILTER (WHERE abs(({c} - m) / s) > 3) * 100.0 / count(*), 2) AS pct
+  FROM lineitem, (SELECT avg({c}) AS m, nullif(stddev_samp({c}), 0) AS s FROM lineitem)""" for c in LI_ALL])
+    + "\nUNION ALL\n" + """SELECT 'value', count(*) FILTER (WHERE abs((value - m) / s) > 3),
+         round(count(*) FILTER (WHERE abs((value - m) / s) > 3) * 100.0 / count(*), 2)
+  FROM events, (SELECT avg(value) AS m, nullif(stddev_samp(value), 0) AS s FROM events)) WHERE n_outliers > 0""", ops=("P9",))
 def p_zscore_outliers(spark, sf):
-    return P.zscore_outliers(table(spark, sf, "events"), 3.0, ["value", "user_id"])
+    both = P.zscore_outliers(table(spark, sf, "lineitem"), 3.0)
+    return both.unionByName(P.zscore_outliers(table(spark, sf, "events"), 3.0).where("col_name = 'value'"))
 
 
 _INJ_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
@@ -137,16 +137,18 @@ def p_group_mean(spark, sf):
     return P.group_mean(table(spark, sf, "lineitem"), "l_returnflag", "l_extendedprice", digits=6)
 
 
-def _emb_dims(spark, sf, k=3):
+DIMS = [f"e{i}" for i in range(64)]  # the width of the embeddings
+
+
+def _emb_dims(spark, sf):
     e = table(spark, sf, "embeddings")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(k)])
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(d) for i, d in enumerate(DIMS)])
 
 
-@register("p_cluster_profiles", """SELECT label, count(*) AS n, round(avg(embedding[1]::DOUBLE), 2) AS e0,
-       round(avg(embedding[2]::DOUBLE), 2) AS e1, round(avg(embedding[3]::DOUBLE), 2) AS e2
-FROM embeddings GROUP BY label""", ops=("P16",))
+@register("p_cluster_profiles", "SELECT label, count(*) AS n, " + ", ".join(
+    f"round(avg(embedding[{i + 1}]::DOUBLE), 2) AS {d}" for i, d in enumerate(DIMS)) + " FROM embeddings GROUP BY label", ops=("P16",))
 def p_cluster_profiles(spark, sf):
-    return P.cluster_profiles(_emb_dims(spark, sf), "label", ["e0", "e1", "e2"])
+    return P.cluster_profiles(_emb_dims(spark, sf), "label", DIMS)
 
 
 @register("p_value_frequency", "SELECT l_linenumber, count(*) AS count FROM lineitem GROUP BY l_linenumber",

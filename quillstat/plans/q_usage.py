@@ -140,7 +140,7 @@ def l_quota_window_count(spark, sf):
 SELECT to_timestamp(ts) AT TIME ZONE 'UTC' AS time, ts, provider, prompt_tokens, success, error, prompt_tokens AS api_prompt_tokens
 FROM log WHERE provider = 'click' ORDER BY ts DESC, call_id DESC LIMIT 20""", ops=("L7",))
 def l_log_history(spark, sf):
-    h = U.log_history(usage_log(spark, sf), "click", 20)
+    h = U.log_history(usage_log(spark, sf), "click", 20, tie=["call_id"])
     return h.select("time", "ts", "provider", "prompt_tokens", "success",
                     "error", "api_prompt_tokens")
 

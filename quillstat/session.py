@@ -47,6 +47,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: executors need a checkpoint folder that all of them share")
         configured = tempfile.mkdtemp(prefix="quillstat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured

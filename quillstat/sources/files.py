@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.kernels import with_positions
+from ..functions.kernels import nan_to_null, with_positions
 from ..operators import series as TS
 from ..operators.usage import USAGE_SCHEMA
 
@@ -36,7 +36,7 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         df = (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
               .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT).csv(path))
         df.schema  # noqa: B018 - resolve now so a missing path fails here
-        return df
+        return nan_to_null(df)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(path) from e
@@ -61,7 +61,7 @@ def read_live(spark: SparkSession, path: str, now, limit: int = 500, last_second
     except Exception:  # noqa: BLE001 - contract: errors -> empty table
         return spark.createDataFrame([], schema)
     order = [ts, tcol]
-    df = TS.fix_future_clock(df, ts, now)
+    df = TS.fix_future_clock(nan_to_null(df), ts, now)
     if last_seconds is not None:
         df = TS.window_or_fallback(df, ts, now, last_seconds, limit, order)
     if since_t is not None:

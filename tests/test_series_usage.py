@@ -64,9 +64,23 @@ def test_token_estimate(spark):
 def test_quota_admission_sequence(spark):
     calls = spark.createDataFrame([(i, float(t), "k") for i, t in enumerate([0, 10, 20, 3600, 3610])],
                                   "id int, t double, key string")
-    for chunk in (2, 1_000_000):
-        out = U.quota_admission(calls, "t", "id", 2, ["key"], chunk_rows=chunk).orderBy("id").collect()
-        assert [r["admitted"] for r in out] == [True, True, False, True, True]
+    out = U.quota_admission(calls, "t", "id", 2, ["key"]).orderBy("id").collect()
+    assert [r["admitted"] for r in out] == [True, True, False, True, True]
+
+
+def test_null_keys_are_a_key(spark):
+    rows = [(i, float(i * 900), None if i % 3 == 0 else "k", 0.5) for i in range(60)]
+    calls = spark.createDataFrame(rows, "id int, t double, provider string, cost double")
+    out = U.quota_admission(calls, "t", "id", 1, ["provider"]).collect()
+    assert len(out) == 60
+    for key in (None, "k"):  # one call an hour
+        admitted = [r["t"] for r in sorted(out, key=lambda r: r["t"]) if r["provider"] == key and r["admitted"]]
+        assert admitted[0] == (0.0 if key is None else 900.0) and min(b - a for a, b in zip(admitted, admitted[1:])) >= 3600
+    costs = U.cumulative_cost(calls, ["t", "id"]).collect()
+    assert len(costs) == 60
+    for key in (None, "k"):
+        own = sorted((r["t"], r["cum_cost"]) for r in costs if r["provider"] == key)
+        assert [c for _, c in own] == [0.5 * (i + 1) for i in range(len(own))]
 
 
 def test_alert_window_boundary(spark):
@@ -103,6 +117,6 @@ def test_chunked_moving_average_and_durbin_watson(spark):
     joined = small.join(ref.select("event_id", "ref"), "event_id")
     assert joined.count() == ev.count()
     assert joined.where(F.abs(F.col("trend") - F.col("ref")) > 1e-9).count() == 0
-    a = TS.durbin_watson(ev, "value", ["ts", "event_id"], chunk_rows=13).first()["dw"]
-    b = TS.durbin_watson(ev, "value", ["ts", "event_id"]).first()["dw"]
-    assert a == pytest.approx(b, rel=1e-12)
+    v = [r["value"] for r in ev.orderBy("ts", "event_id").collect()]
+    dw = sum((b - a) ** 2 for a, b in zip(v, v[1:])) / sum(x * x for x in v)
+    assert TS.durbin_watson(ev, "value", ["ts", "event_id"]).first()["dw"] == pytest.approx(dw, rel=1e-12)

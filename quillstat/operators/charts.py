@@ -19,6 +19,7 @@ with warnings.catch_warnings():
     from pyspark.sql.functions import PandasUDFType
 
 from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked, with_positions
+from .metrics import confusion_matrix, pr_auc, pr_curve, roc_auc, roc_curve
 from .profiling import categorical_distribution, radar_rows  # noqa: F401 - V13 is one of the charts
 
 
@@ -146,6 +147,21 @@ def moving_average(df: DataFrame, value: str, order: Sequence[str], size: int =
     return finish_chunked(ch.withColumn(out, F.avg(value).over(w)))
 
 
+# V18 ------------------------------------------------------------------------
+def regression_diagnostics(scored: DataFrame, y: str, pred: str, bins: int = 40) -> dict[str, DataFrame]:
+    """The three panels: predicted against actual, the residuals' histogram, residuals against predicted."""
+    r = residual_points(scored, y, pred, [F.col(y).alias("actual")])
+    return {"predicted": r.select("actual", F.col("fitted").alias("predicted")), "residual_histogram": histogram(r, "residual", bins),
+            "residuals": r.select("fitted", "residual")}
+
+
+def classification_diagnostics(scored: DataFrame, label: str, pred: str, proba: str, importance: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The panels: ROC with its area, confusion matrix, precision-recall with its area, and importances if there are any."""
+    out = {"roc": roc_curve(scored, label, proba), "roc_auc": roc_auc(scored, label, proba),
+           "confusion": confusion_matrix(scored, label, pred), "pr": pr_curve(scored, label, proba), "pr_auc": pr_auc(scored, label, proba)}
+    return out | ({"importance": importance} if importance is not None else {})
+
+
 # V14 ------------------------------------------------------------------------
 def weekly_progression(df: DataFrame, key: str, base: str | None, n: int = 20, weeks: int = 16,
                        noise_sd: float = 0.0, seed: int = 42, lo: float = 0.0, hi: float = 21.0) -> DataFrame:

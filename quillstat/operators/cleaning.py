@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.kernels import exact_quantiles, kth_smallest, mix_hash, numeric_cols, string_cols
 
 # Columns the reference never imputes (identifier and class label).
-IMPUTE_EXCLUDE = ("etudiant_id", "reussite")
 
 
 # C1 -------------------------------------------------------------------------
@@ -34,7 +33,7 @@ def median_row(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy().pivot("col_name", list(cols)).agg(F.first("value"))
 
 
-def impute_median(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = IMPUTE_EXCLUDE) -> DataFrame:
+def impute_median(df: DataFrame, cols: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Fill numeric NULLs with the exact column median; filled columns become double."""
     cols = list(cols) if cols is not None else numeric_cols(df, exclude)
     if not cols:
@@ -70,7 +69,7 @@ def impute_mode(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     )
 
 
-def handle_missing(df: DataFrame, exclude: Sequence[str] = IMPUTE_EXCLUDE) -> DataFrame:
+def handle_missing(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Reference cleaning step: median for numerics (except id/label), mode for strings."""
     return impute_mode(impute_median(df, exclude=exclude))
 
@@ -139,25 +138,6 @@ def encode_student(df: DataFrame) -> DataFrame:
 
 
 # C8 / C17 -------------------------------------------------------------------
-# The reference's feature-matrix column order.
-STUDENT_FEATURES = [
-    "age", "genre_num", "niveau_etudes_num",
-    "nb_connexions_semaine", "temps_etude_hebdo",
-    "exercices_completes_pct", "videos_vues_pct",
-    "participation_forums", "nb_devoirs_rendus",
-    "revenu_famille_num", "score_motivation",
-    "nombre_absences", "acces_internet_num",
-    "note_mi_parcours",
-]
-# The reference's 8-column modelling subset.
-MODEL_FEATURES = [
-    "temps_etude_hebdo", "nb_devoirs_rendus", "exercices_completes_pct",
-    "nb_connexions_semaine", "score_motivation", "nombre_absences",
-    "videos_vues_pct", "note_mi_parcours",
-]
-STUDENT_TARGETS = ["note_finale", "reussite"]
-
-
 def feature_matrix(df: DataFrame, features: Sequence[str], targets: Sequence[str] = ()) -> DataFrame:
     return df.select(*features, *targets)
 
@@ -169,7 +149,7 @@ def subset_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 # C9 -------------------------------------------------------------------------
-def clean_table(df: DataFrame, encoders: Iterable = (), exclude: Sequence[str] = IMPUTE_EXCLUDE) -> DataFrame:
+def clean_table(df: DataFrame, encoders: Iterable = (), exclude: Sequence[str] = ()) -> DataFrame:
     """Impute (median/mode) -> encode -> drop exact duplicates."""
     out = handle_missing(df, exclude)
     for enc in encoders:
@@ -177,6 +157,19 @@ def clean_table(df: DataFrame, encoders: Iterable = (), exclude: Sequence[str] =
     return out.dropDuplicates()
 
 
+def clean_job(df: DataFrame, path: str, encoders: Iterable = (), exclude: Sequence[str] = (), fmt: str = "csv") -> dict:
+    """The whole cleaning run: missing report, clean, write the table to ``path``; ``{"report", "n_duplicates", "path"}``."""
+    from ..sources.files import write_table
+    from .profiling import missing_report
+
+    report = missing_report(df)
+    out = clean_table(df, encoders, exclude)
+    write_table(out, path, fmt)
+    before = df.count()
+    kept = df.sparkSession.read.option("header", fmt == "csv").format(fmt).load(path).count()
+    return {"report": report, "n_duplicates": before - kept, "path": path}
+
+
 # C10 ------------------------------------------------------------------------
 def standardise(df: DataFrame, cols: Sequence[str], suffix: str = "_z", by: Sequence[str] = ()) -> DataFrame:
     """(x - mean) / population sigma; sigma = 0 -> divide by 1 (as the reference's scaler)."""
@@ -213,16 +206,6 @@ def rule_flags(df: DataFrame, id_cols: Sequence[str], rules: Sequence[tuple[str,
     return df.select(*id_cols, F.explode(arr).alias("recommendation"))
 
 
-def student_rules() -> list[tuple[str, Column]]:
-    # The reference's recommendation thresholds for the student table.
-    return [
-        ("increase_study_time", F.col("temps_etude_hebdo") < 10),
-        ("complete_more_exercises", F.col("exercices_completes_pct") < 70),
-        ("submit_homework", F.col("nb_devoirs_rendus") < 8),
-        ("reduce_absences", F.col("nombre_absences") > 5),
-    ]
-
-
 # C15 ------------------------------------------------------------------------
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly min(n, rows) rows, reproducible: smallest mixing hash of the key (TakeOrdered)."""

@@ -78,6 +78,21 @@ def assemble_prompt(system: Column, history: Column, data: Column, question: Col
 
 
 # L13 ------------------------------------------------------------------------
+# The reference's provider orders for summaries, narratives and aggregation.
+PRIORITIES = {
+    "summary": ("mistral", "gemini", "groq"),
+    "narrative": ("gemini", "mistral", "groq"),
+    "aggregator": ("groq", "gemini", "mistral"),
+}
+
+
+def priority_rank(provider: Column, role: str) -> Column:
+    """Place of a provider in the order of a role; others come after all of them."""
+    order = PRIORITIES[role]
+    at = F.array_position(F.array(*[F.lit(p) for p in order]), provider)
+    return F.when(at > 0, at).otherwise(F.lit(len(order) + 1))
+
+
 def first_acceptable(cands: DataFrame, group: Sequence[str], rank: Column, text: str, reject_prefix: str = "[") -> DataFrame:
     """Per group: the best-ranked text not starting with ``reject_prefix``; if none, the rank-1 text."""
     ok = ~F.startswith(F.col(text), F.lit(reject_prefix))

@@ -13,7 +13,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # E3 -------------------------------------------------------------------------
@@ -101,5 +100,3 @@ def load_weights(spark, path: str) -> dict[str, float]:
         return {}
     return {} if row is None else {k: float(v) for k, v in row.asDict().items() if v is not None}
 
-
-WEIGHTS_TYPE = T.MapType(T.StringType(), T.DoubleType())

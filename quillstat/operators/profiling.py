@@ -268,44 +268,126 @@ def snapshot_line(df: DataFrame, v1: str, v2: str, n_peaks: DataFrame | None = N
                                       "rows", F.round("m1", 4), F.round("m2", 4), "peaks").alias("line"))
 
 
-# P18 ------------------------------------------------------------------------
-def text_profile(df: DataFrame, ts: str | None = None, max_cat: int = 5, max_values: int = 10) -> DataFrame:
-    """Lines table (seq, line) describing a table for a text prompt.
-
-    Sections as in the reference: row count, column list, describe of each
-    numeric column, up to ``max_cat`` non-numeric columns with their distinct
-    count (sorted values listed when <= max_values), time range.  Sample rows
-    are left out (they depend on physical row order).
+# P18 / P19 ------------------------------------------------------------------
+def _seq_of(names: Sequence[str], base: int, step: int = 1) -> Column:
+    """Line number of a column's line: its place among ``names``, ``step`` apart, from ``base`` on."""
+    return F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(base + step * i))])[F.col("col_name")]
+
+
+def _lines(spark, rows: Sequence[tuple[int, str]]) -> DataFrame:
+    return spark.createDataFrame(list(rows), "seq int, line string")
+
+
+def _span_lines(df: DataFrame, ts: str, base: int, titles: Sequence[str]) -> DataFrame:
+    """First and last time and the time between, as three lines."""
+    s = F.floor("duration_s").cast("long")
+    took = F.format_string("%d days %02d:%02d:%02d", F.floor(s / 86400).cast("long"), F.floor(s % 86400 / 3600).cast("long"),
+                           F.floor(s % 3600 / 60).cast("long"), s % 60)
+    texts = (F.col("ts_min").cast("string"), F.col("ts_max").cast("string"), took)
+    entries = F.array(*[F.struct(F.lit(base + i).alias("seq"), F.concat(F.lit(f"  {t}: "), x).alias("line"))
+                        for i, (t, x) in enumerate(zip(titles, texts))])
+    return time_span(df, ts).select(F.explode(entries).alias("e")).select("e.*")
+
+
+def _sample_lines(df: DataFrame, order: Sequence[str], n: int, base: int, cols: Sequence[str], prefix: str) -> DataFrame:
+    """The first ``n`` rows in ``order`` as 'a=1, b=2' lines (a bounded top-n)."""
+    first = df.orderBy(*order).limit(n)
+    text = F.concat_ws(", ", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("None"))) for c in cols])
+    place = F.row_number().over(Window.orderBy(*order)) - 1  # over n rows
+    out = first.select(place.alias("i"), text.alias("t"))
+    return out.select((F.col("i") + base).cast("int").alias("seq"), F.concat(F.lit("  "), F.format_string(prefix, "i") if "%d" in prefix else F.lit(prefix), "t").alias("line"))
+
+
+def _union_lines(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part.select(F.col("seq").cast("int").alias("seq"), "line"))
+    return out
+
+
+def text_profile(df: DataFrame, ts: str | None = None, order: Sequence[str] = (), max_cat: int = 5, max_values: int = 10,
+                 sample: int = 3) -> DataFrame:
+    """Numbered lines (seq, line) that describe a table for a text prompt.
+
+    Row count, columns, statistics of each numeric column, distinct counts of up
+    to ``max_cat`` others (with the sorted values where they are few), the time
+    range, and the first ``sample`` rows in ``order`` (left out without one).  An empty line
+    precedes each section's title.
     """
+    spark = df.sparkSession
     num = numeric_cols(df)
     cat = [c for c in df.columns if c not in num][:max_cat]
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).alias("seq"), F.format_string("Data Overview: %d rows", "n").alias("line"))]
-    spark = df.sparkSession
-    parts.append(spark.range(1).select(F.lit(1).alias("seq"), F.lit("Columns: " + ", ".join(df.columns)).alias("line")))
+    titles = [(1, "Columns: " + ", ".join(df.columns))]
+    at = 2
     if num:
-        parts.append(describe(df, num).select(F.lit(2).alias("seq"), F.format_string(
+        titles += [(at, ""), (at + 1, "Numeric Statistics:")]
+        parts.append(describe(df, num).select(_seq_of(num, at + 2).alias("seq"), F.format_string(
             "  %s: mean=%.4f, std=%.4f, min=%.4f, 25%%=%.4f, 50%%=%.4f, 75%%=%.4f, max=%.4f",
             "col_name", *[F.round(c, 4) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")]).alias("line")))
+        at += 2 + len(num)
     if cat:
+        titles += [(at, ""), (at + 1, "Categorical/Other Columns:")]
         long = df.select(*[F.col(c).cast("string").alias(c) for c in cat]).unpivot([], cat, "col_name", "v")
         vals = long.where(F.col("v").isNotNull()).select("col_name", "v").distinct()
         counts = vals.groupBy("col_name").agg(F.count(F.lit(1)).alias("nd"))
         # values are gathered only for columns with few distinct values (bounded lists)
         few = vals.join(counts.where(F.col("nd") <= max_values), "col_name").groupBy("col_name").agg(
             F.array_sort(F.collect_list("v")).alias("vals"))
-        nd = counts.join(few, "col_name", "left")
-        parts.append(nd.select(F.lit(3).alias("seq"), F.when(
-            F.col("nd") <= max_values,
-            F.format_string("  %s: %d unique values | Values: %s", "col_name", "nd", F.array_join("vals", ", ")),
-        ).otherwise(F.format_string("  %s: %d unique values", "col_name", "nd")).alias("line")))
+        parts.append(counts.select(_seq_of(cat, at + 2, 2).alias("seq"), F.format_string("  %s: %d unique values", "col_name", "nd").alias("line")))
+        parts.append(few.select(_seq_of(cat, at + 3, 2).alias("seq"), F.concat(F.lit("    Values: "), F.array_join("vals", ", ")).alias("line")))
+        at += 2 + 2 * len(cat)
     if ts:
-        parts.append(time_span(df, ts).select(F.lit(4).alias("seq"), F.format_string(
-            "Time Range: %s .. %s", F.col("ts_min").cast("string"), F.col("ts_max").cast("string")).alias("line")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        titles += [(at, ""), (at + 1, "Time Range:")]
+        parts.append(_span_lines(df, ts, at + 2, ("Earliest", "Latest", "Duration")))
+        at += 5
+    if order:
+        titles.append((at, ""))
+        parts.append(df.select(F.lit(1)).limit(sample).agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(at + 1).alias("seq"), F.format_string("Sample (%d rows):", "n").alias("line")))
+        parts.append(_sample_lines(df, order, sample, at + 2, df.columns, ""))
+    return _union_lines([*parts, _lines(spark, titles)])
+
+
+def text_profile_extended(df: DataFrame, ts: str | None = None, order: Sequence[str] = (), sample: int = 5) -> DataFrame:
+    """The longer profile: one line per statistic, each numeric column's strong correlations, time, first rows."""
+    spark = df.sparkSession
+    num = numeric_cols(df)
+    stats = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).alias("seq"), F.format_string(
+        f"=== DATASET: %d lignes, {len(df.columns)} colonnes ===", "n").alias("line"))]
+    titles = [(1, "Colonnes: " + ", ".join(df.columns))]
+    at = 2
+    if num:
+        titles += [(at, ""), (at + 1, "📊 STATISTIQUES DÉTAILLÉES:")]
+        at += 2
+        step = 2 + len(stats) + 1
+        for i, c in enumerate(num):
+            titles += [(at + i * step, ""), (at + i * step + 1, f"--- {c} ---")]
+        values = (F.format_string("%.1f", F.col("count").cast("double")),
+                  *[F.format_string("%.4f", F.round(c, 4)) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")])
+        entries = F.array(*[F.struct(F.lit(j).alias("j"), F.concat(F.lit(f"  {n}: "), v).alias("line"))
+                            for j, (n, v) in enumerate(zip(stats, values))])
+        parts.append(describe(df, num).select("col_name", F.explode(entries).alias("e")).select(
+            (_seq_of(num, at + 2, step) + F.col("e.j")).alias("seq"), "e.line"))
+        strong = strong_correlations(df, num).groupBy(F.col("col_a").alias("col_name")).agg(
+            F.array_sort(F.collect_list(F.struct("rank", "col_b"))).alias("p"))
+        parts.append(strong.select(_seq_of(num, at + step - 1, step).alias("seq"), F.concat(
+            F.lit("  corrélations fortes: ['"), F.array_join(F.col("p.col_b"), "', '"), F.lit("']")).alias("line")))
+        at += step * len(num)
+    if ts:
+        titles += [(at, ""), (at + 1, "⏰ TEMPS:")]
+        parts.append(_span_lines(df, ts, at + 2, ("Début", "Fin", "Durée")))
+        at += 5
+    if order:
+        titles += [(at, ""), (at + 1, f"📝 EXEMPLE ({sample} premières lignes):")]
+        shown = [F.format_string("%.3f", F.col(c).cast("double")).alias(c) if t in ("double", "float") else F.col(c)
+                 for c, t in df.dtypes if c in df.columns[:4]]
+        keep = [c for c in order if c not in df.columns[:4]]
+        first = df.orderBy(*order).limit(sample).select(*shown, *keep, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+        parts.append(_sample_lines(first, [f"_o{i}" for i in range(len(order))], sample, at + 2, df.columns[:4], "Row %d: "))
+    return _union_lines([*parts, _lines(spark, titles)])
 
 
 # P21 ------------------------------------------------------------------------

@@ -49,10 +49,6 @@ def estimate_tokens(s: Column) -> Column:
 
 
 # L2 -------------------------------------------------------------------------
-def rate_table(spark, rates: Mapping[str, float] = RATES_PER_1K) -> DataFrame:
-    return spark.createDataFrame(list(rates.items()), "provider string, usd_per_1k double")
-
-
 def rate_of(provider: Column, rates: Mapping[str, float] = RATES_PER_1K, default: float = DEFAULT_RATE) -> Column:
     """Rate lookup as a literal map (fixed, tiny): no join needed."""
     m = F.create_map(*[x for k, v in rates.items() for x in (F.lit(k), F.lit(v))])

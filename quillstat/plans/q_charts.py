@@ -148,3 +148,21 @@ def v_progression(spark, sf):
     o = table(spark, sf, "orders").withColumn("base", F.col("o_totalprice") / 25000.0)
     p = V.weekly_progression(o, "o_orderkey", "base", n=20, weeks=16)
     return p.withColumn("value", F.round("value", 10))
+
+
+@register("v_regression_diagnostics", f"""WITH r AS (SELECT l_extendedprice AS y, intercept + slope * l_quantity AS p FROM lineitem, {_FIT}),
+h AS (SELECT min(y - p) AS mn, (max(y - p) - min(y - p)) / 40 AS w FROM r)
+SELECT 'predicted' AS panel, round(y, 4) AS x, round(p, 4) AS y, CAST(count(*) AS BIGINT) AS n FROM r GROUP BY ALL
+UNION ALL SELECT 'residuals', round(p, 4), round(y - p, 4), count(*) FROM r GROUP BY ALL
+UNION ALL SELECT 'residual_histogram', CAST(b AS DOUBLE), round(mn + b * w, 4), coalesce(n, 0)
+FROM h, range(40) t(b) LEFT JOIN (SELECT least(floor((y - p - mn) / w), 39) AS bin, count(*) AS n FROM r, h GROUP BY 1) c ON c.bin = t.b""", ops=("V18",))
+def v_regression_diagnostics(spark, sf):
+    """The three panels as one long table; equal points are one with their number."""
+    d = V.regression_diagnostics(_scored_lineitem(spark, sf), "l_extendedprice", "pred")
+    points = None
+    for name, (x, y) in {"predicted": ("actual", "predicted"), "residuals": ("fitted", "residual")}.items():
+        part = d[name].groupBy(F.lit(name).alias("panel"), F.round(x, 4).alias("x"), F.round(y, 4).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+        points = part if points is None else points.unionByName(part)
+    hist = d["residual_histogram"].select(F.lit("residual_histogram").alias("panel"), F.col("bin").cast("double").alias("x"),
+                                          F.round("lo", 4).alias("y"), F.col("count").alias("n"))
+    return points.unionByName(hist)

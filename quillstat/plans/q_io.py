@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.kernels import mix_hash_sql
 from ..operators import charts as V
 from ..operators import classify as K
+from ..operators import cleaning as C
 from ..operators import ensemble as E
 from ..operators import metrics as M
 from ..operators import profiling as P
@@ -27,6 +28,7 @@ from ..sources import files as IO
 from ..sources.generate import oscillating_series
 from ..streaming import live as L
 from .catalog import register, table
+from .q_cleaning import INJECTED_SQL, injected_orders
 from .q_models import DOC_FEATURES, doc_table
 from .q_models import _ols2_sql
 from .q_usage import LOG_SQL, quota2_sql, usage_log
@@ -124,6 +126,24 @@ def s_report_bundle(spark, sf):
     return IO.load_csv(spark, f"{base}/peaks", IO.LIVE_SCHEMA)
 
 
+# C9 -------------------------------------------------------------------------
+@register("c_clean_job", f"""WITH {INJECTED_SQL},
+m AS (SELECT o_orderpriority AS v FROM injected WHERE o_orderpriority IS NOT NULL
+      GROUP BY o_orderpriority ORDER BY count(*) DESC, o_orderpriority LIMIT 1)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
+       coalesce(o_totalprice, (SELECT quantile_cont(o_totalprice, 0.5) FROM injected)) AS o_totalprice,
+       coalesce(o_orderpriority, (SELECT v FROM m)) AS o_orderpriority, 0 AS n_duplicates,
+       (SELECT count(*) - count(o_totalprice) + count(*) - count(o_orderpriority) FROM injected) AS n_missing FROM injected""", ops=("C9",))
+def c_clean_job(spark, sf):
+    """The cleaning run over whole orders, keys and dates included: its report, its duplicates, and the table it wrote."""
+    path = _scratch(spark, "clean")
+    orders = injected_orders(spark, sf)
+    done = C.clean_job(orders, path, exclude=("o_orderkey", "o_custkey"))
+    n_missing = done["report"].agg(F.sum("n_missing")).first()[0]
+    return IO.load_csv(spark, path, orders.schema).withColumns(
+        {"n_duplicates": F.lit(done["n_duplicates"]), "n_missing": F.lit(n_missing)})
+
+
 # S9 / T8 / T9 ---------------------------------------------------------------
 @register("s_live_ensemble", f"""WITH {_LIVE_SQL}
 SELECT timestamp, t, value1, value2, true AS in_range, true AS label_follows FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000""",

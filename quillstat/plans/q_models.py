@@ -329,6 +329,25 @@ def k_score_fallback(spark, sf):
                      F.round(M.score_with_fallback(proba, raw, pred), 12).alias("score"))
 
 
+@register("v_classification_diagnostics", f"""WITH {_THR}
+SELECT 'roc' AS panel, round(cum_neg / nn, 9) AS x, round(cum_pos / p, 9) AS y FROM c
+UNION ALL SELECT 'roc', 0.0, 0.0
+UNION ALL SELECT 'pr', round(cum_pos / p, 9), round(cum_pos / (cum_pos + cum_neg), 9) FROM c WHERE cum_pos - pos < p
+UNION ALL SELECT 'pr', 0.0, 1.0
+UNION ALL SELECT 'confusion', CAST(CAST(l_returnflag = 'R' AS INTEGER) * 2 + CAST(l_discount >= 0.05 AS INTEGER) AS DOUBLE), CAST(count(*) AS DOUBLE)
+  FROM lineitem GROUP BY 2
+UNION ALL SELECT 'roc_auc', NULL, round(sum(pos * (nn - cum_neg) + 0.5 * pos * neg) / (max(p) * max(nn)), 9) FROM c""", ops=("V18", "K9"))
+def v_classification_diagnostics(spark, sf):
+    """ROC, precision-recall, confusion cells (2 * actual + predicted) and the ROC's area, as one long table."""
+    d = V.classification_diagnostics(_scored_flags(spark, sf).checkpoint(), "y", "pred", "score")
+    cols = {"roc": ("fpr", "tpr"), "pr": ("recall", "precision")}
+    out = d["confusion"].select(F.lit("confusion").alias("panel"), (F.col("actual") * 2 + F.col("predicted")).cast("double").alias("x"),
+                                F.col("count").cast("double").alias("y"))
+    for panel, (x, y) in cols.items():
+        out = out.unionByName(d[panel].select(F.lit(panel).alias("panel"), F.round(x, 9).alias("x"), F.round(y, 9).alias("y")))
+    return out.unionByName(d["roc_auc"].select(F.lit("roc_auc").alias("panel"), F.lit(None).cast("double").alias("x"), F.round("roc_auc", 9).alias("y")))
+
+
 # ----------------------------------------------------------------------------- ensemble
 
 _E_W = {"m_disc": 2.0, "m_tax": 1.0}  # m_qty has no weight -> 1.0

@@ -186,24 +186,63 @@ def p_vif(spark, sf):
 
 _TP_NUM = ["l_quantity", "l_discount"]
 _TP_CAT = ["l_returnflag", "l_linestatus", "l_shipdate"]
+_TP_ORDER = ["l_shipdate", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"]
+_TP_SQL_ORDER = ", ".join(_TP_ORDER)
+_SPAN = """printf('%d days %02d:%02d:%02d', CAST(s // 86400 AS BIGINT), CAST(s % 86400 // 3600 AS BIGINT),
+       CAST(s % 3600 // 60 AS BIGINT), CAST(s % 60 AS BIGINT))"""
+_SPAN_FROM = "(SELECT min(l_shipdate) AS a, max(l_shipdate) AS b, date_diff('second', min(l_shipdate), max(l_shipdate)) AS s FROM lineitem)"
 
 
-@register("p_text_profile", """SELECT 0 AS seq, printf('Data Overview: %d rows', count(*)) AS line FROM lineitem
-UNION ALL SELECT 1, 'Columns: l_quantity, l_discount, l_returnflag, l_linestatus, l_shipdate'
-UNION ALL """ + _union([
-    f"""SELECT 2, printf('  %s: mean=%.4f, std=%.4f, min=%.4f, 25%%=%.4f, 50%%=%.4f, 75%%=%.4f, max=%.4f', '{c}',
+def _lines_sql(rows):
+    return "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in rows) + ") v(seq, line)"
+
+
+@register("p_text_profile", "SELECT 0 AS seq, printf('Data Overview: %d rows', count(*)) AS line FROM lineitem\nUNION ALL " + _lines_sql([
+    (1, "Columns: l_quantity, l_discount, l_returnflag, l_linestatus, l_shipdate"), (2, ""), (3, "Numeric Statistics:"),
+    (6, ""), (7, "Categorical/Other Columns:"), (14, ""), (15, "Time Range:"), (19, ""), (20, "Sample (3 rows):")]) + "\nUNION ALL " + _union([
+    f"""SELECT {4 + i}, printf('  %s: mean=%.4f, std=%.4f, min=%.4f, 25%%=%.4f, 50%%=%.4f, 75%%=%.4f, max=%.4f', '{c}',
        round(avg({c}), 4), round(stddev_samp({c}), 4), round(min({c}), 4), round(quantile_cont({c}, 0.25), 4),
        round(quantile_cont({c}, 0.5), 4), round(quantile_cont({c}, 0.75), 4), round(max({c}), 4)) FROM lineitem"""
-    for c in _TP_NUM]) + "\nUNION ALL " + _union([
-    f"""SELECT 3, CASE WHEN count(DISTINCT {c}) <= 10
-       THEN printf('  %s: %d unique values | Values: %s', '{c}', count(DISTINCT {c}),
-                   array_to_string(list_sort(list(DISTINCT CAST({c} AS VARCHAR))), ', '))
-       ELSE printf('  %s: %d unique values', '{c}', count(DISTINCT {c})) END FROM lineitem""" for c in _TP_CAT]) + """
-UNION ALL SELECT 4, printf('Time Range: %s .. %s', CAST(min(l_shipdate) AS VARCHAR), CAST(max(l_shipdate) AS VARCHAR))
-FROM lineitem""", ops=("P18",))
+    for i, c in enumerate(_TP_NUM)]) + "\nUNION ALL " + _union([
+    f"SELECT {8 + 2 * i}, printf('  %s: %d unique values', '{c}', count(DISTINCT {c})) FROM lineitem" for i, c in enumerate(_TP_CAT)])
+    + "\nUNION ALL " + _union([
+    f"""SELECT {9 + 2 * i}, '    Values: ' || array_to_string(list_sort(list(DISTINCT CAST({c} AS VARCHAR))), ', ') FROM lineitem
+HAVING count(DISTINCT {c}) <= 10""" for i, c in enumerate(_TP_CAT)]) + f"""
+UNION ALL SELECT 16, '  Earliest: ' || CAST(a AS VARCHAR) FROM {_SPAN_FROM}
+UNION ALL SELECT 17, '  Latest: ' || CAST(b AS VARCHAR) FROM {_SPAN_FROM}
+UNION ALL SELECT 18, '  Duration: ' || {_SPAN} FROM {_SPAN_FROM}
+UNION ALL SELECT * FROM (SELECT CAST(20 + row_number() OVER (ORDER BY {_TP_SQL_ORDER}) AS INTEGER),
+       concat('  l_quantity=', l_quantity, ', l_discount=', l_discount, ', l_returnflag=', l_returnflag, ', l_linestatus=', l_linestatus,
+              ', l_shipdate=', l_shipdate) FROM lineitem ORDER BY {_TP_SQL_ORDER} LIMIT 3)""", ops=("P18",))
 def p_text_profile(spark, sf):
-    li = table(spark, sf, "lineitem").select(*_TP_NUM, "l_returnflag", "l_linestatus", "l_shipdate")
-    return P.text_profile(li, ts="l_shipdate")
+    li = table(spark, sf, "lineitem").select(*_TP_NUM, *_TP_CAT)
+    return P.text_profile(li, ts="l_shipdate", order=_TP_ORDER)
+
+
+_TX_NUM = ["l_quantity", "l_extendedprice"]
+_TX_STATS = [("count", "printf('%.1f', CAST(count({c}) AS DOUBLE))"), ("mean", "printf('%.4f', round(avg({c}), 4))"),
+             ("std", "printf('%.4f', round(stddev_samp({c}), 4))"), ("min", "printf('%.4f', round(min({c}), 4))"),
+             *[(f"{q}%", f"printf('%.4f', round(quantile_cont({{c}}, 0.{q}), 4))") for q in (25, 50, 75)],
+             ("max", "printf('%.4f', round(max({c}), 4))")]
+
+
+@register("p_text_profile_extended", "SELECT 0 AS seq, printf('=== DATASET: %d lignes, 3 colonnes ===', count(*)) AS line FROM lineitem\nUNION ALL "
+    + _lines_sql([(1, "Colonnes: l_quantity, l_extendedprice, l_shipdate"), (2, ""), (3, "📊 STATISTIQUES DÉTAILLÉES:"),
+                  *[x for i, c in enumerate(_TX_NUM) for x in ((4 + 11 * i, ""), (5 + 11 * i, f"--- {c} ---"))],
+                  (26, ""), (27, "⏰ TEMPS:"), (31, ""), (32, "📝 EXEMPLE (5 premières lignes):")]) + "\nUNION ALL "
+    + _union([f"SELECT {6 + 11 * i + j}, '  {n}: ' || {e.format(c=c)} FROM lineitem"
+              for i, c in enumerate(_TX_NUM) for j, (n, e) in enumerate(_TX_STATS)]) + "\nUNION ALL "
+    + _union([f"SELECT {14 + 11 * i}, '  corrélations fortes: [''{_TX_NUM[1 - i]}'']' FROM lineitem HAVING abs(corr(l_quantity, l_extendedprice)) > 0.3"
+              for i in range(2)]) + f"""
+UNION ALL SELECT 28, '  Début: ' || CAST(a AS VARCHAR) FROM {_SPAN_FROM}
+UNION ALL SELECT 29, '  Fin: ' || CAST(b AS VARCHAR) FROM {_SPAN_FROM}
+UNION ALL SELECT 30, '  Durée: ' || {_SPAN} FROM {_SPAN_FROM}
+UNION ALL SELECT * FROM (SELECT CAST(32 + row_number() OVER (ORDER BY l_shipdate, l_quantity, l_extendedprice) AS INTEGER),
+       printf('  Row %d: l_quantity=%.3f, l_extendedprice=%.3f, l_shipdate=%s', row_number() OVER (ORDER BY l_shipdate, l_quantity, l_extendedprice) - 1,
+              l_quantity, l_extendedprice, CAST(l_shipdate AS VARCHAR)) FROM lineitem ORDER BY l_shipdate, l_quantity, l_extendedprice LIMIT 5)""", ops=("P19",))
+def p_text_profile_extended(spark, sf):
+    li = table(spark, sf, "lineitem").select(*_TX_NUM, "l_shipdate")
+    return P.text_profile_extended(li, ts="l_shipdate", order=["l_shipdate", *_TX_NUM])
 
 
 @register("p_snapshot_line", """WITH pk AS (SELECT count(*) AS n FROM (

@@ -231,6 +231,26 @@ def l_first_acceptable(spark, sf):
     return D.first_acceptable(c, ["conv_id"], rank, "text", reject_prefix="E")
 
 
+_PROVIDER_OF_TURN = "CASE turn % 4 WHEN 0 THEN 'groq' WHEN 1 THEN 'mistral' WHEN 2 THEN 'gemini' ELSE 'local' END"
+_PRIORITY_SQL = "\nUNION ALL\n".join(f"""SELECT '{role}' AS role, conv_id, coalesce(arg_min(text, r) FILTER (WHERE NOT starts_with(text, 'E')), arg_min(text, r)) AS chosen
+FROM (SELECT conv_id, text, turn + 1000 * (CASE {_PROVIDER_OF_TURN} {" ".join(f"WHEN '{p}' THEN {i}" for i, p in enumerate(order, 1))} ELSE 4 END) AS r
+      FROM conversations) GROUP BY conv_id""" for role, order in D.PRIORITIES.items())
+
+
+@register("l_priority_orders", _PRIORITY_SQL, ops=("L13",))
+def l_priority_orders(spark, sf):
+    """The accepted answer of each conversation under each role's provider order."""
+    turn = F.col("turn") % 4
+    provider = F.when(turn == 0, "groq").when(turn == 1, "mistral").when(turn == 2, "gemini").otherwise("local")
+    c = table(spark, sf, "conversations").withColumn("provider", provider)
+    out = None
+    for role in D.PRIORITIES:
+        rank = F.col("turn") + 1000 * D.priority_rank(F.col("provider"), role)
+        got = D.first_acceptable(c, ["conv_id"], rank, "text", reject_prefix="E").select(F.lit(role).alias("role"), "conv_id", "chosen")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
 def _response_json_spark():
     t = F.col("text")
     shape = F.pmod("turn", F.lit(4))

@@ -8,7 +8,6 @@
                           processed row are late and dropped.
 * ``stream_quota``        sequential admission with state = admitted times in the horizon.
 * ``hourly_cost_windows`` sliding 1-hour cost sums with the alert flag.
-* ``run_periodic``        foreachBatch driver for periodic jobs (processingTime / availableNow).
 
 Checkpoint locations default to ``spark.checkpoint.dir``/<name> (shared folder).
 """
@@ -16,7 +15,7 @@ Checkpoint locations default to ``spark.checkpoint.dir``/<name> (shared folder).
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -171,14 +170,3 @@ def hourly_cost_windows(stream: DataFrame, ts: str, cost: str, threshold: float,
     return (stream.withWatermark(ts, watermark).groupBy(F.window(ts, "1 hour", slide))
             .agg(F.sum(cost).alias("cost_last_hour"), F.count(F.lit(1)).alias("count_last_hour"))
             .withColumn("alert", F.col("cost_last_hour") >= F.lit(threshold)))
-
-
-# --------------------------------------------------------------------------- periodic runs
-
-def run_periodic(stream: DataFrame, handle: Callable[[DataFrame, int], None], name: str,
-                 every: str | None = None, available_now: bool = False):
-    """Run ``handle(batch_df, batch_id)`` per micro-batch (processingTime trigger or availableNow)."""
-    spark = stream.sparkSession
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location(spark, name))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=every or "60 seconds")
-    return w.start()

@@ -83,12 +83,13 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     windows = _windows(docs, id_col, text_col, window)
     place = F.struct("id", "th", "at")
-    shared = (
+    # both tables of repeats are cut: a join on a table read from files can split a hot fingerprint or window
+    shared = cut(
         windows.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("print")
     )
     positions = cut(windows.join(shared, "print").drop("print", "at"))
     start = F.struct("id", "th", "s")
-    earliest = (
+    earliest = cut(
         positions.groupBy("key")
         .agg(F.min(start).alias("origin"), F.max(start).alias("newest"))
         .where("origin <> newest")

@@ -152,9 +152,17 @@ def quota_admission(calls: DataFrame, ts: str, tie: str, max_calls: int, keys: S
 
 
 def trailing_call_count(calls: DataFrame, ts: str, keys: Sequence[str] = (), horizon_s: int = 3600) -> DataFrame:
-    """Count-only form: calls of the key in (ts - horizon, ts] (all calls, admitted or not)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(ts)).rangeBetween(-(horizon_s - 1), 0)
-    return calls.withColumn("calls_last_hour", F.count(F.lit(1)).over(w))
+    """Count-only form: calls of the key in (ts - horizon, ts] (all calls, admitted or not; ``ts`` in whole seconds).
+
+    A key is cut into buckets of one horizon, and each call also goes to the next
+    bucket, where it is counted but not returned: a busy key spans as many tasks as
+    it has horizons.
+    """
+    own = F.floor(F.col(ts) / F.lit(horizon_s))
+    places = F.array(F.struct(own.alias("b"), F.lit(True).alias("own")), F.struct((own + 1).alias("b"), F.lit(False).alias("own")))
+    placed = calls.withColumn("_p", F.explode(places)).select("*", F.col("_p.b").alias("_bucket"), F.col("_p.own").alias("_own")).drop("_p")
+    w = Window.partitionBy(*keys, "_bucket").orderBy(F.col(ts)).rangeBetween(-(horizon_s - 1), 0)
+    return placed.withColumn("calls_last_hour", F.count(F.lit(1)).over(w)).where("_own").drop("_bucket", "_own")
 
 
 # L7 -------------------------------------------------------------------------

@@ -64,8 +64,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
-def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = bpe.load(spark, VOCABULARY)
+def op5_bpe(spark: SparkSession, sf_dir: str, vocabulary_path: str = VOCABULARY) -> DataFrame:
+    vocabulary = bpe.load(spark, vocabulary_path)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, "text", vocabulary, "ids"), "ids", vocabulary, "decoded")
     return coded.select(

@@ -149,11 +149,10 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id long, rank int, vec_id long, score long`` for ``rows`` and ``queries`` of ``(id, v)``.
 
-    A query meets every row but its own id; fewer rows give fewer results; ties
+    Both are read twice, so cut what is dear to compute.  A query meets every row but its own id; fewer rows give fewer results; ties
     go to the smaller ``vec_id``.  Scores must fit 64 bits.  No rows or no
     queries: no result.
     """
-    rows, queries = cut(rows), cut(queries)
     blocks = cut(_packed(rows, ROWS).withColumn("rows_block", F.monotonically_increasing_id()))
     asked = cut(
         _packed(queries.repartition(-(-max(1, queries.count()) // QUERIES)), QUERIES)

@@ -14,8 +14,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     Large star: every node's greater neighbours move to its smallest neighbour;
     small star: its smaller ones do.  The rounds needed grow with the logarithm
     of the number of nodes.  Every round is two pre-aggregated minima and two
-    joins on the node (a star's hub is the hot key; adaptive skew joins split
-    it), cut at the shared checkpoint folder.  Self links, repeated and NULL links
+    joins on the node, cut at the shared checkpoint folder.  A star's hub is the
+    hot key of its join; as the minima are read from files, both sides of the join are plain
+    shuffles, which adaptive skew joins split.  Self links, repeated and NULL links
     are dropped; no links give no rows.
     """
     edges = cut(
@@ -32,9 +33,9 @@ def connected_components(links: DataFrame) -> DataFrame:
             )
         before = state
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u > v").distinct()
-        low = down.groupBy("u").agg(F.min("v").alias("m"))
+        low = cut(down.groupBy("u").agg(F.min("v").alias("m")))
         small = down.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.union(low.select("u", F.col("m").alias("v"))).distinct())

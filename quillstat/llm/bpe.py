@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import struct
 
 import numpy as np
@@ -26,15 +27,19 @@ from pyspark.sql import functions as F
 
 #: Bytes of a vocabulary file, at most.
 MAX_VOCABULARY = 64 << 20
-#: Pre-tokens and fragments a worker remembers; beyond, it starts afresh.
-REMEMBERED = 300_000
-#: Fragments longer than this are not remembered.
+#: Words, pre-tokens and fragments (each) of a generation that a worker remembers.
+REMEMBERED = 250_000
+#: What is longer is not remembered, and is cut and merged by way of arrays and a heap.
 LONG = 64
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+#: A space beside white space or at an end.
+_DOUBLE = re.compile(r"^ | $| \s|\s ")
+
+
 def _byte_of_char() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves and the rest from U+0100 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -43,16 +48,20 @@ def _byte_of_char() -> dict[str, int]:
 
 
 class _Memo(dict):
-    """A bounded memory of ``make(key)``."""
+    """A bounded memory of ``make(key)``: a full generation becomes the old one, what is used again moves up."""
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old = {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= LONG:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -68,10 +77,11 @@ class Codec:
         vocab = spec["model"]["vocab"]
         self.tokens = {i: raw(t) for t, i in vocab.items()}
         self.single = {self.tokens[i]: i for i in self.tokens if len(self.tokens[i]) == 1}
-        self.merges = {}
-        for rank, pair in enumerate(spec["model"]["merges"]):
+        self.ranks, self.made = {}, []  # pair -> rank, rank -> token
+        for pair in spec["model"]["merges"]:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a], vocab[b]] = len(self.made)
+            self.made.append(vocab[a + b])
         self.inside = np.zeros(65536, dtype=bool)
         for token in self.tokens.values():
             t = np.frombuffer(token, dtype=np.uint8).astype(np.int64)
@@ -81,57 +91,85 @@ class Codec:
         self.pattern = regex.compile(PATTERN)
         by_length = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
+        self.inside_bytes = self.inside.tobytes()
         self.fragments = _Memo(self._merge)
         self.pretokens = _Memo(self._pretoken)
+        self.words = _Memo(lambda word: self._join(" " + word))
 
     def cuts(self, data: bytes) -> list[int]:
         """The forced boundaries inside ``data``."""
+        if len(data) <= LONG:
+            inside = self.inside_bytes
+            return [i + 1 for i, (a, b) in enumerate(zip(data, data[1:])) if not inside[a << 8 | b]]
         t = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
         return (np.flatnonzero(~self.inside[t[:-1] * 256 + t[1:]]) + 1).tolist()
 
     def _merge(self, data: bytes) -> bytes:
         """Merge one fragment, lowest rank first and leftmost of equals; ids as little-endian 32 bits."""
-        ids: list[int] = [self.single[data[i : i + 1]] for i in range(len(data))]
-        merges = self.merges
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-        heap = []
-        for i in range(len(ids) - 1):
-            if found := merges.get((ids[i], ids[i + 1])):
-                heap.append((found[0], i, ids[i], ids[i + 1], found[1]))
+        ids = [self.single[data[i : i + 1]] for i in range(len(data))]
+        if len(ids) > LONG:
+            ids = self._merge_long(ids)
+        else:
+            rank, none = self.ranks.get, len(self.made)
+            ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
+            while ranks and (low := min(ranks)) < none:
+                i = ranks.index(low)
+                ids[i] = self.made[low]
+                del ids[i + 1], ranks[i]
+                if i < len(ranks):
+                    ranks[i] = rank((ids[i], ids[i + 1]), none)
+                if i:
+                    ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same by a heap of pairs, for fragments of any length."""
+        n, rank = len(ids), self.ranks.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, *pair) for i, pair in enumerate(zip(ids, ids[1:])) if (r := rank(pair)) is not None]
         heapq.heapify(heap)
-        n = len(ids)
         while heap:
-            _, i, a, b, new = heapq.heappop(heap)
+            r, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j >= n or ids[j] != b:
                 continue  # a neighbour has merged meanwhile
-            ids[i], ids[j] = new, -1
+            ids[i], ids[j] = new, _ = self.made[r], -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if found := merges.get((new, ids[k])):
-                    heapq.heappush(heap, (found[0], i, new, ids[k], found[1]))
-            if (h := before[i]) >= 0 and (found := merges.get((ids[h], new))):
-                heapq.heappush(heap, (found[0], h, ids[h], new, found[1]))
-        left = [x for x in ids if x >= 0]
-        return struct.pack(f"<{len(left)}I", *left)
+                if (r := rank((new, ids[k]))) is not None:
+                    heapq.heappush(heap, (r, i, new, ids[k]))
+            if (h := before[i]) >= 0 and (r := rank((ids[h], new))) is not None:
+                heapq.heappush(heap, (r, h, ids[h], new))
+        return [x for x in ids if x >= 0]
 
     def _pretoken(self, text: str) -> bytes:
         data = text.encode("utf-8", "surrogatepass")
-        ends = [0, *self.cuts(data), len(data)]
-        if len(ends) == 2:
-            return self.fragments[data]
-        return b"".join([self.fragments[data[a:b]] for a, b in zip(ends, ends[1:])])
+        ends = self.cuts(data)
+        if not ends:
+            return self._merge(data)
+        return b"".join([self.fragments[data[a:b]] for a, b in zip([0, *ends], [*ends, len(data)])])
+
+    def _join(self, text: str) -> bytes:
+        return b"".join(map(self.pretokens.__getitem__, self.pattern.findall(text)))
 
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers; NULL is empty."""
+        """Ids of a whole text as little-endian unsigned 32-bit integers; NULL is empty.
+
+        A single space between two characters that are none begins a pre-token, so
+        where all spaces are such, a text is its words, each with the space before it.
+        """
         parts = self.split.split(text or "") if self.split else [text or ""]
         out = []
         for part in parts:
             if part in self.added:
                 out.append(struct.pack("<I", self.added[part]))
+            elif part and not _DOUBLE.search(part):
+                first, *words = part.split(" ")
+                out.append(self._join(first))
+                out.extend(map(self.words.__getitem__, words))
             elif part:
-                out.extend(map(self.pretokens.__getitem__, self.pattern.findall(part)))
+                out.append(self._join(part))
         return b"".join(out)
 
     def decode(self, ids: bytes | None) -> str:

@@ -4,7 +4,7 @@ A pair of neighbouring bytes that occurs inside no vocabulary token can never
 end up in one token: between such bytes every encoding has a cut.  A text is
 therefore cut at the vocabulary's added tokens, at its pre-token pattern and, in
 each pre-token, at every forced boundary; the fragments are merged independently
-(equal fragments once per worker) and their ids concatenated.  Decoding joins
+(side by side in arrays, equal pre-tokens once per worker) and their ids concatenated.  Decoding joins
 the tokens' bytes.
 
 The vocabulary file is read on the driver and sent to the tasks once (its size
@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import heapq
 import json
-import re
 import struct
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -27,17 +27,24 @@ from pyspark.sql import functions as F
 
 #: Bytes of a vocabulary file, at most.
 MAX_VOCABULARY = 64 << 20
-#: Words, pre-tokens and fragments (each) of a generation that a worker remembers.
+#: Words and pre-tokens (each) of a generation that a worker remembers.
 REMEMBERED = 250_000
-#: What is longer is not remembered, and is cut and merged by way of arrays and a heap.
+#: What is longer is not remembered; longer fragments are merged by way of a heap.
 LONG = 64
+#: Characters whose unknown words are merged together, about.
+GROUP = 4_000_000
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-#: A space beside white space or at an end.
-_DOUBLE = re.compile(r"^ | $| \s|\s ")
+def _plain(word: str) -> tuple[str, ...]:
+    """Pre-tokens of a space and a word of letters, with a mark at its end or without; else none."""
+    if word.isalpha():
+        return (" " + word,)
+    if word[-1] in ".,;:!?" and word[:-1].isalpha():
+        return (" " + word[:-1], word[-1])
+    return ()
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -47,24 +54,27 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
-class _Memo(dict):
-    """A bounded memory of ``make(key)``: a full generation becomes the old one, what is used again moves up."""
+class _Memory:
+    """A bounded memory in two generations: a full one becomes the old one, what is used again moves up."""
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-        self.old = {}
+    def __init__(self):
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= LONG:
-            if len(self) >= REMEMBERED:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+    def unknown(self, keys: set[str]) -> set[str]:
+        """The keys that are not remembered; the others are in ``new`` from now on."""
+        keys = keys - self.new.keys()
+        for key in keys & self.old.keys():
+            self.new[key] = self.old[key]
+        return keys - self.old.keys()
+
+    def forget(self, learned: set[str]) -> None:
+        """Drop what is too long of the last keys learned, and turn the generation if it is full."""
+        for key in learned:
+            if len(key) > LONG:
+                del self.new[key]
+        if len(self.new) > REMEMBERED:
+            self.old, self.new = self.new, {}
 
 
 class Codec:
@@ -91,36 +101,79 @@ class Codec:
         self.pattern = regex.compile(PATTERN)
         by_length = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
-        self.inside_bytes = self.inside.tobytes()
-        self.fragments = _Memo(self._merge)
-        self.pretokens = _Memo(self._pretoken)
-        self.words = _Memo(lambda word: self._join(" " + word))
+        self.words, self.pretokens = _Memory(), _Memory()
+        # pair ranks as arrays: all pairs by key, and pairs of bytes at once
+        self.byte_ids = np.array([self.single[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.wide = max(self.tokens) + 1
+        pairs = sorted((x * self.wide + y, r) for (x, y), r in self.ranks.items())
+        self.pair_keys, self.pair_ranks = (np.array(x, dtype=np.int64) for x in zip(*pairs))
+        self.made_ids = np.array(self.made, dtype=np.int64)
+        first = np.arange(256).repeat(256)
+        self.byte_pair_ranks = self._ranks_of(self.byte_ids[first], self.byte_ids[np.tile(np.arange(256), 256)])
+
+    def _ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids; the number of merges where there is none."""
+        key = a * self.wide + b
+        at = np.searchsorted(self.pair_keys, key).clip(max=len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], len(self.made))
 
     def cuts(self, data: bytes) -> list[int]:
         """The forced boundaries inside ``data``."""
-        if len(data) <= LONG:
-            inside = self.inside_bytes
-            return [i + 1 for i, (a, b) in enumerate(zip(data, data[1:])) if not inside[a << 8 | b]]
         t = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
         return (np.flatnonzero(~self.inside[t[:-1] * 256 + t[1:]]) + 1).tolist()
 
-    def _merge(self, data: bytes) -> bytes:
-        """Merge one fragment, lowest rank first and leftmost of equals; ids as little-endian 32 bits."""
-        ids = [self.single[data[i : i + 1]] for i in range(len(data))]
-        if len(ids) > LONG:
-            ids = self._merge_long(ids)
-        else:
-            rank, none = self.ranks.get, len(self.made)
-            ranks = [rank(pair, none) for pair in zip(ids, ids[1:])]
-            while ranks and (low := min(ranks)) < none:
-                i = ranks.index(low)
-                ids[i] = self.made[low]
-                del ids[i + 1], ranks[i]
-                if i < len(ranks):
-                    ranks[i] = rank((ids[i], ids[i + 1]), none)
-                if i:
-                    ranks[i - 1] = rank((ids[i - 1], ids[i]), none)
-        return struct.pack(f"<{len(ids)}I", *ids)
+    def _learn(self, pretokens: list[str]) -> list[bytes]:
+        """Ids of each pre-token, packed: all of them lie end to end, are cut into fragments, and merge together."""
+        raw = [p.encode("utf-8", "surrogatepass") for p in pretokens]
+        data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int64)
+        ends = np.cumsum([len(r) for r in raw])
+        pair = data[:-1] * 256 + data[1:]
+        bound = ~self.inside[pair]
+        bound[ends[:-1] - 1] = True  # between pre-tokens
+        token = np.full(len(data), -1, dtype=np.int64)  # at each token's first byte, its id
+        fragment = np.concatenate([[0], np.cumsum(bound)])
+        rank = np.append(np.where(bound, len(self.made), self.byte_pair_ranks[pair]), len(self.made))
+        size = np.bincount(fragment)
+        if (size > LONG).any():
+            first = np.concatenate([[0], np.cumsum(size)])
+            for f in np.flatnonzero(size > LONG):
+                ids = self._merge_long(self.byte_ids[data[first[f] : first[f + 1]]].tolist())
+                spans = np.cumsum([0, *(len(self.tokens[i]) for i in ids)])[:-1]
+                token[first[f] + spans] = ids
+        short = size[fragment] <= LONG
+        self._merge_together(token, np.flatnonzero(short), self.byte_ids[data[short]], fragment[short], rank[short])
+        real = token >= 0
+        upto = np.concatenate([[0], np.cumsum(real)[ends - 1]]) * 4
+        packed = token[real].astype("<u4").tobytes()
+        return [packed[i:j] for i, j in zip(upto, upto[1:])]
+
+    def _merge_together(self, token, at, ids, fragment, rank) -> None:
+        """In every round each fragment merges its lowest pair, the leftmost of equals; finished ones leave."""
+        none = len(self.made)
+        while len(ids):
+            start = np.concatenate([[0], np.flatnonzero(fragment[1:] != fragment[:-1]) + 1])
+            length = np.diff(np.append(start, len(ids)))
+            low = np.minimum.reduceat(rank, start).repeat(length)
+            over = low == none
+            if over.any():
+                token[at[over]] = ids[over]
+                go = ~over
+                at, ids, fragment, rank, low = at[go], ids[go], fragment[go], rank[go], low[go]
+                if not len(ids):
+                    return
+            hit = np.flatnonzero(rank == low)
+            hit = hit[np.concatenate([[True], fragment[hit[1:]] != fragment[hit[:-1]]])]
+            ids[hit] = self.made_ids[rank[hit]]
+            keep = np.ones(len(ids), dtype=bool)
+            keep[hit + 1] = False
+            at, ids, fragment, rank = at[keep], ids[keep], fragment[keep], rank[keep]
+            hit -= np.arange(len(hit))  # as many were dropped before each
+            for left in (hit, hit[hit > 0] - 1):
+                right = np.minimum(left + 1, len(ids) - 1)
+                same = (right > left) & (fragment[left] == fragment[right])
+                found = np.full(len(left), none)
+                found[same] = self._ranks_of(ids[left[same]], ids[right[same]])
+                rank[left] = found
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap of pairs, for fragments of any length."""
@@ -143,34 +196,63 @@ class Codec:
                 heapq.heappush(heap, (r, h, ids[h], new))
         return [x for x in ids if x >= 0]
 
-    def _pretoken(self, text: str) -> bytes:
-        data = text.encode("utf-8", "surrogatepass")
-        ends = self.cuts(data)
-        if not ends:
-            return self._merge(data)
-        return b"".join([self.fragments[data[a:b]] for a, b in zip([0, *ends], [*ends, len(data)])])
-
-    def _join(self, text: str) -> bytes:
-        return b"".join(map(self.pretokens.__getitem__, self.pattern.findall(text)))
-
     def encode(self, text: str | None) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit integers; NULL is empty.
-
-        A single space between two characters that are none begins a pre-token, so
-        where all spaces are such, a text is its words, each with the space before it.
-        """
-        parts = self.split.split(text or "") if self.split else [text or ""]
+        """Ids of a whole text as little-endian unsigned 32-bit integers; NULL is empty."""
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: Iterable[str | None]) -> list[bytes]:
+        """The same for many texts, which share the work on their words; some at a time, each whole."""
+        out, group, size = [], [], 0
+        for text in texts:
+            group.append(text or "")
+            size += len(group[-1])
+            if size > GROUP:
+                out += self._encode_group(group)
+                group, size = [], 0
+        return out + self._encode_group(group)
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        """A single space between two characters that are none begins a pre-token, so where all spaces
+        are such, a text is its words, each with the space before it."""
+        find = self.pattern.findall
+        plans, words, pretokens = [], set(), set()
+        for text in texts:
+            plan = []
+            for part in self.split.split(text) if self.split else [text]:
+                if part in self.added:
+                    plan.append([struct.pack("<I", self.added[part]), (), (), part, False])
+                elif part:
+                    first, *rest = part.split(" ")
+                    words.update(rest)
+                    plan.append([b"", find(first), rest, part, not first or first[-1].isspace()])
+            plans.append(plan)
+        unknown = self.words.unknown(words)
+        # a word that is empty, or has white space at an end, has no single space beside it; none is ever remembered
+        unsafe = {w for w in unknown if not w or w[0].isspace() or w[-1].isspace()}
+        for plan in plans:
+            for parts in plan:
+                if parts[2] and (parts[4] or not unsafe.isdisjoint(parts[2])):
+                    parts[1], parts[2] = find(parts[3]), ()
+                pretokens.update(parts[1])
+        spelled = {w: _plain(w) or find(" " + w) for w in unknown - unsafe}
+        pretokens.update(*spelled.values())
+        learned = self.pretokens.unknown(pretokens)
+        if learned:
+            names = list(learned)
+            self.pretokens.new.update(zip(names, self._learn(names)))
+        known, word = self.pretokens.new.__getitem__, self.words.new.__getitem__
+        self.words.new.update((w, b"".join(map(known, p))) for w, p in spelled.items())
         out = []
-        for part in parts:
-            if part in self.added:
-                out.append(struct.pack("<I", self.added[part]))
-            elif part and not _DOUBLE.search(part):
-                first, *words = part.split(" ")
-                out.append(self._join(first))
-                out.extend(map(self.words.__getitem__, words))
-            elif part:
-                out.append(self._join(part))
-        return b"".join(out)
+        for plan in plans:
+            pieces: list[bytes] = []
+            for own, head, rest, _, _ in plan:
+                pieces.append(own)
+                pieces.extend(map(known, head))
+                pieces.extend(map(word, rest))
+            out.append(b"".join(pieces))
+        self.pretokens.forget(learned)
+        self.words.forget(spelled.keys())
+        return out
 
     def decode(self, ids: bytes | None) -> str:
         """Text of packed ids; bytes that are no UTF-8 become U+FFFD."""
@@ -204,7 +286,7 @@ def encode(docs: DataFrame, text_col: str, vocabulary, out: str) -> DataFrame:
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
         codec = _codec(vocabulary)
-        return pd.Series([codec.encode(t) for t in texts], dtype=object)
+        return pd.Series(codec.encode_all(texts), dtype=object)
 
     return docs.withColumn(out, ids(F.col(f"`{text_col}`")))
 

@@ -236,16 +236,15 @@ def cross_validate(data: DataFrame, label: str, fit, fold: str = "fold", k: int
     return out
 
 
-def compare_models(train: DataFrame, test: DataFrame, label: str, models: dict, fold: str = "fold") -> DataFrame:
+def compare_models(train: DataFrame, test: DataFrame, label: str, models: dict, fold: str | None = "fold") -> DataFrame:
     """One row per model: accuracy, precision, recall, f1, roc_auc on ``test``; mean and population std of the
-    folds' F1 on ``train``; and the best model (greatest roc_auc, ties to the smaller name)."""
+    folds' F1 on ``train`` (without a fold column neither); and the best model (greatest roc_auc, ties to the smaller name)."""
     out = None
     for name, fit in models.items():
-        f1 = [r["f1"] for r in cross_validate(train, label, fit, fold)]
-        scored = proba_col(fit(train).transform(test))
-        row = evaluate_scored(scored, label).select(
-            F.lit(name).alias("model"), "*", F.lit(round(float(np.mean(f1)), 4)).alias("cv_f1_mean"),
-            F.lit(round(float(np.std(f1)), 4)).alias("cv_f1_std"))
+        row = evaluate_scored(proba_col(fit(train).transform(test)), label).select(F.lit(name).alias("model"), "*")
+        if fold:
+            f1 = [r["f1"] for r in cross_validate(train, label, fit, fold)]
+            row = row.withColumns({"cv_f1_mean": F.lit(round(float(np.mean(f1)), 4)), "cv_f1_std": F.lit(round(float(np.std(f1)), 4))})
         out = row if out is None else out.unionByName(row)
     out = out.checkpoint()  # a few rows, each worth several fits
     return out.crossJoin(F.broadcast(best_model(out)))

@@ -12,14 +12,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fits of one search that run at a time.
+PARALLEL_RUNS = 5
+
+
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, v: acc + v)
 
@@ -84,18 +90,21 @@ def silhouette_score(df: DataFrame, vec: str, cluster: str) -> DataFrame:
 
 # U1 / U2 / U3 ---------------------------------------------------------------
 def kmeans_best(df: DataFrame, features_col: str, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300):
-    """Best of ``n_init`` k-means runs (different seeds) by training cost (inertia); the runs share one cached input."""
+    """Best of ``n_init`` k-means runs (different seeds) by training cost (inertia), ties to the first; the runs share
+    one cached input, some of them at a time."""
     data = df.select(features_col).persist()
+
+    def run(i):
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col, predictionCol="cluster").fit(data)
+        return model.summary.trainingCost, i, model
+
     try:
-        best = None
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol=features_col, predictionCol="cluster").fit(data)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
+        data.count()  # cached before the runs start together
+        with ThreadPool(min(n_init, PARALLEL_RUNS)) as pool:
+            cost, _, model = min(pool.map(inheritable_thread_target(data.sparkSession)(run), range(n_init)), key=lambda x: x[:2])
     finally:
         data.unpersist()
-    return best
+    return model, cost
 
 
 def total_inertia(df: DataFrame, vec: str) -> float:

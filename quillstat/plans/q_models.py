@@ -603,8 +603,8 @@ def v_dendrogram(spark, sf):
 def u_cluster_run(spark, sf):
     """The full run: model comparison, elbow, and the profile of the best k-means over all features, as one long table."""
     docs = _doc_split(spark, sf).checkpoint()
-    compared = _compared(spark, sf).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc", "cv_f1_mean", "cv_f1_std"],
-                                            "item", "value").select(F.lit("models").alias("part"), F.col("model").alias("name"), "item", "value")
+    compared = _compared(spark, sf, False).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"],
+                                                   "item", "value").select(F.lit("models").alias("part"), F.col("model").alias("name"), "item", "value")
     elbow = U.elbow(docs, "features", range(2, 11)).select(
         F.lit("elbow").alias("part"), F.col("k").cast("string").alias("name"), F.lit("inertia").alias("item"), F.col("inertia").alias("value"))
     model, _ = U.kmeans_best(docs, "features", k=3, n_init=10)
@@ -663,11 +663,13 @@ MODELS = {
 }
 
 
-def _compared(spark, sf):
-    """The four models on the documents' split, cross-validated on stratified folds of the training rows."""
+def _compared(spark, sf, cross_validated: bool):
+    """The four models on the documents' split, on request cross-validated on stratified folds of the training rows."""
     data = _doc_split(spark, sf).checkpoint()  # labelled rows: every fit scans them
-    train = S.stratified_folds(data.where(~F.col("is_test")), "doc_id", "quality", 5, 42).checkpoint()
-    return K.compare_models(train, data.where(F.col("is_test")), "quality", MODELS)
+    train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
+    if cross_validated:
+        train = S.stratified_folds(train, "doc_id", "quality", 5, 42).checkpoint()
+    return K.compare_models(train, test, "quality", MODELS, "fold" if cross_validated else None)
 
 
 @register("k_logistic", None, ops=("K1", "K8"))
@@ -700,12 +702,12 @@ def k_svm_rff(spark, sf):
 
 @register("k_train_all", None, ops=("K6", "K7", "K10"))
 def k_train_all(spark, sf):
-    return _compared(spark, sf)
+    return _compared(spark, sf, cross_validated=True)
 
 
 @register("v_model_comparison", None, ops=("V17",))
 def v_model_comparison(spark, sf):
-    return _compared(spark, sf).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"], "metric", "value")
+    return _compared(spark, sf, False).unpivot(["model"], ["accuracy", "precision", "recall", "f1", "roc_auc"], "metric", "value")
 
 
 @register("k_feature_importance", None, ops=("K17", "V15"))

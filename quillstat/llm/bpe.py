@@ -27,24 +27,33 @@ from pyspark.sql import functions as F
 
 #: Bytes of a vocabulary file, at most.
 MAX_VOCABULARY = 64 << 20
-#: Words and pre-tokens (each) of a generation that a worker remembers.
-REMEMBERED = 250_000
-#: What is longer is not remembered; longer fragments are merged by way of a heap.
+#: Pre-tokens that a worker remembers; beyond, it starts afresh.
+REMEMBERED = 2_000_000
+#: Fragments longer than this are merged by way of a heap.
 LONG = 64
-#: Characters whose unknown words are merged together, about.
-GROUP = 4_000_000
+#: Characters that are encoded together, about; longer texts are cut at a space that begins a pre-token.
+GROUP = 2_000_000
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def _plain(word: str) -> tuple[str, ...]:
-    """Pre-tokens of a space and a word of letters, with a mark at its end or without; else none."""
-    if word.isalpha():
-        return (" " + word,)
-    if word[-1] in ".,;:!?" and word[:-1].isalpha():
-        return (" " + word[:-1], word[-1])
-    return ()
+_OTHER, _LETTER, _NUMBER, _WHITE = range(4)
+_SINGLE_SPACE = regex.compile(r"(?<=\S) (?=\S)")
+#: An odd number whose powers tell the places of a string's characters apart.
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _classes() -> np.ndarray:
+    """Class of each code point in the pattern of pre-tokens."""
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    text = "".join(map(chr, points))
+    at = np.array(points)
+    out = np.zeros(0x110000, dtype=np.uint8)
+    for kind, name in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_WHITE, r"\s+")):
+        for run in regex.finditer(name, text):
+            out[at[run.start() : run.end()]] = kind
+    return out
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -55,26 +64,27 @@ def _byte_of_char() -> dict[str, int]:
 
 
 class _Memory:
-    """A bounded memory in two generations: a full one becomes the old one, what is used again moves up."""
+    """Ids of pre-tokens by the hash of their characters, in sorted arrays."""
 
     def __init__(self):
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def unknown(self, keys: set[str]) -> set[str]:
-        """The keys that are not remembered; the others are in ``new`` from now on."""
-        keys = keys - self.new.keys()
-        for key in keys & self.old.keys():
-            self.new[key] = self.old[key]
-        return keys - self.old.keys()
-
-    def forget(self, learned: set[str]) -> None:
-        """Drop what is too long of the last keys learned, and turn the generation if it is full."""
-        for key in learned:
-            if len(key) > LONG:
-                del self.new[key]
-        if len(self.new) > REMEMBERED:
-            self.old, self.new = self.new, {}
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.first = np.zeros(0, dtype=np.int64)  # of its ids
+        self.count = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key, and whether it is there."""
+        at = np.searchsorted(self.keys, keys)
+        inside = np.minimum(at, max(0, len(self.keys) - 1))
+        return at, (self.keys[inside] == keys) if len(self.keys) else np.zeros(len(keys), dtype=bool)
+
+    def add(self, at: np.ndarray, keys: np.ndarray, count: np.ndarray, ids: np.ndarray) -> None:
+        """Insert keys, sorted, at the places that ``find`` gave."""
+        first = len(self.ids) + np.cumsum(count) - count
+        self.keys, self.first, self.count = (
+            np.insert(old, at, new) for old, new in ((self.keys, keys), (self.first, first), (self.count, count))
+        )
+        self.ids = np.append(self.ids, ids)
 
 
 class Codec:
@@ -98,10 +108,15 @@ class Codec:
             self.inside[t[:-1] * 256 + t[1:]] = True
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.tokens |= {i: t.encode("utf-8") for t, i in self.added.items()}
-        self.pattern = regex.compile(PATTERN)
         by_length = sorted(self.added, key=len, reverse=True)
         self.split = regex.compile("(" + "|".join(map(regex.escape, by_length)) + ")") if by_length else None
-        self.words, self.pretokens = _Memory(), _Memory()
+        self.memory = _Memory()
+        self.kind = _classes()
+        # all tokens' bytes end to end, for decoding
+        known = [self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)]
+        self.size = np.array([len(t) for t in known], dtype=np.int64)
+        self.place = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(known), dtype=np.uint8)
         # pair ranks as arrays: all pairs by key, and pairs of bytes at once
         self.byte_ids = np.array([self.single[bytes([b])] for b in range(256)], dtype=np.int64)
         self.wide = max(self.tokens) + 1
@@ -122,8 +137,9 @@ class Codec:
         t = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
         return (np.flatnonzero(~self.inside[t[:-1] * 256 + t[1:]]) + 1).tolist()
 
-    def _learn(self, pretokens: list[str]) -> list[bytes]:
-        """Ids of each pre-token, packed: all of them lie end to end, are cut into fragments, and merge together."""
+    def _learn(self, pretokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each pre-token, and all ids: the pre-tokens lie end to end, are cut into fragments, and
+        merge together."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pretokens]
         data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.int64)
         ends = np.cumsum([len(r) for r in raw])
@@ -138,14 +154,11 @@ class Codec:
             first = np.concatenate([[0], np.cumsum(size)])
             for f in np.flatnonzero(size > LONG):
                 ids = self._merge_long(self.byte_ids[data[first[f] : first[f + 1]]].tolist())
-                spans = np.cumsum([0, *(len(self.tokens[i]) for i in ids)])[:-1]
-                token[first[f] + spans] = ids
+                token[first[f] + np.cumsum(self.size[ids]) - self.size[ids]] = ids
         short = size[fragment] <= LONG
         self._merge_together(token, np.flatnonzero(short), self.byte_ids[data[short]], fragment[short], rank[short])
         real = token >= 0
-        upto = np.concatenate([[0], np.cumsum(real)[ends - 1]]) * 4
-        packed = token[real].astype("<u4").tobytes()
-        return [packed[i:j] for i, j in zip(upto, upto[1:])]
+        return np.diff(np.cumsum(real)[ends - 1], prepend=0), token[real].astype(np.uint32)
 
     def _merge_together(self, token, at, ids, fragment, rank) -> None:
         """In every round each fragment merges its lowest pair, the leftmost of equals; finished ones leave."""
@@ -196,67 +209,111 @@ class Codec:
                 heapq.heappush(heap, (r, h, ids[h], new))
         return [x for x in ids if x >= 0]
 
+    def _starts(self, points: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """Where pre-tokens start, by ``PATTERN``; ``opens`` are the places where a text starts."""
+        kind = self.kind[points]
+        white, space = kind == _WHITE, points == 32
+        n = len(points)
+        begins = np.zeros(n + 1, dtype=bool)
+        begins[opens] = begins[n] = True
+        ends, begins = begins[1:], begins[:-1]
+        change = np.append(True, kind[1:] != kind[:-1]) | begins
+        spaced = np.append(False, space[:-1]) & ~begins  # after a space, which then is the start
+        last = white & ~ends & ~np.append(white[1:], True)  # the last white space before a character that is none
+        starts = np.where(white, change | last, change & ~spaced)
+        # 's 't 'm 'd 're 've 'll, where the apostrophe starts a pre-token
+        quote = np.flatnonzero((points == 39) & starts & ~ends)
+        one, two = points[quote + 1], points[np.minimum(quote + 2, n - 1)]
+        pair = ~ends[quote + 1] & (((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108))
+        cut = pair | np.isin(one, (115, 116, 109, 100))
+        quote, after = quote[cut], quote[cut] + 2 + pair[cut]
+        starts[quote + 1] = False
+        inside = (after < n) & ~ends[np.minimum(after, n) - 1]
+        after = after[inside]
+        starts[after[kind[after] == _LETTER]] = True
+        return np.flatnonzero(starts)
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        """Ids of non-empty texts: their pre-tokens are looked up by hash, the new ones learned once."""
+        whole = "".join(texts)
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        opens = np.cumsum([0, *map(len, texts[:-1])])
+        start = self._starts(points, opens)
+        stop = np.append(start[1:], len(points))
+        power = np.full(len(points), _BASE, dtype=np.uint64)
+        power[0] = 1
+        power = np.multiply.accumulate(power)
+        # the hash of a pre-token: its characters, each times the power of its place from the end
+        within = power[np.repeat(stop - 1, stop - start) - np.arange(len(points))]
+        keys = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * within, start)
+        keys ^= (stop - start).astype(np.uint64) << np.uint64(48)
+        unique, sample, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.memory.keys) > REMEMBERED:
+            self.memory = _Memory()
+        at, there = self.memory.find(unique)
+        if not there.all():
+            new = sample[~there]
+            count, ids = self._learn([whole[a:b] for a, b in zip(start[new].tolist(), stop[new].tolist())])
+            self.memory.add(at[~there], unique[~there], count, ids)
+            at, _ = self.memory.find(unique)
+        at = at[inverse]
+        count = self.memory.count[at]
+        ids = self.memory.ids[_ragged(self.memory.first[at], count)]
+        if self._bytes_of(ids) != whole.encode("utf-8", "surrogatepass"):  # two pre-tokens of one hash
+            count, ids = self._learn([whole[a:b] for a, b in zip(start.tolist(), stop.tolist())])
+        upto = np.append(0, np.cumsum(count))[np.append(np.searchsorted(start, opens), len(start))]
+        packed = ids.astype("<u4").tobytes()
+        return [packed[4 * a : 4 * b] for a, b in zip(upto.tolist(), upto[1:].tolist())]
+
+    def _bytes_of(self, ids: np.ndarray) -> bytes:
+        return self.bytes[_ragged(self.place[ids], self.size[ids])].tobytes()
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers; NULL is empty."""
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: Iterable[str | None]) -> list[bytes]:
-        """The same for many texts, which share the work on their words; some at a time, each whole."""
-        out, group, size = [], [], 0
-        for text in texts:
-            group.append(text or "")
-            size += len(group[-1])
-            if size > GROUP:
-                out += self._encode_group(group)
-                group, size = [], 0
-        return out + self._encode_group(group)
+        """The same for many texts, which share the work on their pre-tokens."""
+        out: list[list[bytes]] = []
+        waiting: list[str] = []
+        places: list[tuple[int, int]] = []
+        size = 0
+
+        def work() -> None:
+            if waiting:
+                for (text, part), ids in zip(places, self._encode_group(waiting)):
+                    out[text][part] = ids
+            waiting.clear()
+            places.clear()
 
-    def _encode_group(self, texts: list[str]) -> list[bytes]:
-        """A single space between two characters that are none begins a pre-token, so where all spaces
-        are such, a text is its words, each with the space before it."""
-        find = self.pattern.findall
-        plans, words, pretokens = [], set(), set()
         for text in texts:
-            plan = []
-            for part in self.split.split(text) if self.split else [text]:
+            out.append([])
+            for part in self.split.split(text or "") if self.split else [text or ""]:
                 if part in self.added:
-                    plan.append([struct.pack("<I", self.added[part]), (), (), part, False])
-                elif part:
-                    first, *rest = part.split(" ")
-                    words.update(rest)
-                    plan.append([b"", find(first), rest, part, not first or first[-1].isspace()])
-            plans.append(plan)
-        unknown = self.words.unknown(words)
-        # a word that is empty, or has white space at an end, has no single space beside it; none is ever remembered
-        unsafe = {w for w in unknown if not w or w[0].isspace() or w[-1].isspace()}
-        for plan in plans:
-            for parts in plan:
-                if parts[2] and (parts[4] or not unsafe.isdisjoint(parts[2])):
-                    parts[1], parts[2] = find(parts[3]), ()
-                pretokens.update(parts[1])
-        spelled = {w: _plain(w) or find(" " + w) for w in unknown - unsafe}
-        pretokens.update(*spelled.values())
-        learned = self.pretokens.unknown(pretokens)
-        if learned:
-            names = list(learned)
-            self.pretokens.new.update(zip(names, self._learn(names)))
-        known, word = self.pretokens.new.__getitem__, self.words.new.__getitem__
-        self.words.new.update((w, b"".join(map(known, p))) for w, p in spelled.items())
-        out = []
-        for plan in plans:
-            pieces: list[bytes] = []
-            for own, head, rest, _, _ in plan:
-                pieces.append(own)
-                pieces.extend(map(known, head))
-                pieces.extend(map(word, rest))
-            out.append(b"".join(pieces))
-        self.pretokens.forget(learned)
-        self.words.forget(spelled.keys())
-        return out
+                    out[-1].append(struct.pack("<I", self.added[part]))
+                    continue
+                while part:
+                    cut = _SINGLE_SPACE.search(part, GROUP) if len(part) > GROUP else None
+                    piece, part = (part[: cut.start()], part[cut.start() :]) if cut else (part, "")
+                    places.append((len(out) - 1, len(out[-1])))
+                    out[-1].append(b"")
+                    waiting.append(piece)
+                    size += len(piece)
+                    if size > GROUP:
+                        work()
+                        size = 0
+        work()
+        return [b"".join(parts) for parts in out]
 
     def decode(self, ids: bytes | None) -> str:
         """Text of packed ids; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", dtype="<u4").tolist())).decode("utf-8", "replace")
+        return self._bytes_of(np.frombuffer(ids or b"", dtype="<u4")).decode("utf-8", "replace")
+
+
+def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``first, first + 1, ...`` of each run, ``count`` long, end to end."""
+    upto = np.cumsum(count)
+    return np.repeat(first - upto + count, count) + np.arange(upto[-1] if len(upto) else 0)
 
 
 _CODECS: dict[int, Codec] = {}

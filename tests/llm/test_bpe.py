@@ -68,3 +68,23 @@ def test_vocabulary_size_is_checked(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_VOCABULARY", 1000)
     with pytest.raises(ValueError):
         bpe.load(spark, VOCABULARY)
+
+
+def test_pretokens_follow_the_pattern(monkeypatch):
+    import random
+
+    import regex
+
+    monkeypatch.setattr(bpe, "GROUP", 40)
+    monkeypatch.setattr(bpe, "REMEMBERED", 200)
+    rng = random.Random(7)
+    signs = [" ", "  ", "\n", "\t", "a", "the", "é", "1", ".", "'", "'s", "'re", "'ll", "'S", "!", "　", "\xa0", "\x1c", "中", "😀", "²", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    for text, packed in zip(texts, CODEC.encode_all(texts)):
+        ids = LIBRARY.encode(text, add_special_tokens=False).ids
+        assert packed == b"".join(i.to_bytes(4, "little") for i in ids), text
+    for text in texts:
+        if text:
+            points = bpe.np.array([ord(c) for c in text], dtype=bpe.np.int64)
+            start = CODEC._starts(points, bpe.np.array([0])).tolist()
+            assert [text[a:b] for a, b in zip(start, [*start[1:], len(text)])] == regex.findall(bpe.PATTERN, text)

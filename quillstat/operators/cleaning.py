@@ -138,6 +138,19 @@ def encode_student(df: DataFrame) -> DataFrame:
 
 
 # C8 / C17 -------------------------------------------------------------------
+# The reference's feature-matrix column order and its targets.
+STUDENT_FEATURES = [
+    "age", "genre_num", "niveau_etudes_num",
+    "nb_connexions_semaine", "temps_etude_hebdo",
+    "exercices_completes_pct", "videos_vues_pct",
+    "participation_forums", "nb_devoirs_rendus",
+    "revenu_famille_num", "score_motivation",
+    "nombre_absences", "acces_internet_num",
+    "note_mi_parcours",
+]
+STUDENT_TARGETS = ["note_finale", "reussite"]
+
+
 def feature_matrix(df: DataFrame, features: Sequence[str], targets: Sequence[str] = ()) -> DataFrame:
     return df.select(*features, *targets)
 

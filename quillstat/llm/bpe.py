@@ -32,7 +32,7 @@ REMEMBERED = 2_000_000
 #: Fragments longer than this are merged by way of a heap.
 LONG = 64
 #: Characters that are encoded together, about; longer texts are cut at a space that begins a pre-token.
-GROUP = 2_000_000
+GROUP = 1_000_000
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 #: Bytes of a vocabulary file, at most.
 MAX_VOCABULARY = 64 << 20
 #: Pre-tokens that a worker remembers; beyond, it starts afresh.
-REMEMBERED = 2_000_000
+REMEMBERED = 600_000
 #: Fragments longer than this are merged by way of a heap.
 LONG = 64
 #: Characters that are encoded together, about; longer texts are cut at a space that begins a pre-token.
-GROUP = 1_000_000
+GROUP = 500_000
 
 #: Fixed value: the pattern of byte-level pre-tokens.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -46,13 +46,14 @@ _BASE = 0x9E3779B97F4A7C15
 
 def _classes() -> np.ndarray:
     """Class of each code point in the pattern of pre-tokens."""
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    text = "".join(map(chr, points))
-    at = np.array(points)
     out = np.zeros(0x110000, dtype=np.uint8)
-    for kind, name in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_WHITE, r"\s+")):
-        for run in regex.finditer(name, text):
-            out[at[run.start() : run.end()]] = kind
+    for first in range(0, 0x110000, 0x800):
+        if 0xD800 <= first < 0xE000:
+            continue  # no characters
+        text = "".join(map(chr, range(first, first + 0x800)))
+        for kind, name in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_WHITE, r"\s+")):
+            for run in regex.finditer(name, text):
+                out[first + run.start() : first + run.end()] = kind
     return out
 
 
@@ -236,16 +237,19 @@ class Codec:
     def _encode_group(self, texts: list[str]) -> list[bytes]:
         """Ids of non-empty texts: their pre-tokens are looked up by hash, the new ones learned once."""
         whole = "".join(texts)
-        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        points = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         opens = np.cumsum([0, *map(len, texts[:-1])])
         start = self._starts(points, opens)
         stop = np.append(start[1:], len(points))
-        power = np.full(len(points), _BASE, dtype=np.uint64)
+        # the hash of a pre-token: its characters, each times the power of its place from the end
+        power = np.full(int((stop - start).max()), _BASE, dtype=np.uint64)
         power[0] = 1
         power = np.multiply.accumulate(power)
-        # the hash of a pre-token: its characters, each times the power of its place from the end
-        within = power[np.repeat(stop - 1, stop - start) - np.arange(len(points))]
-        keys = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * within, start)
+        left = np.repeat((stop - 1).astype(np.int32), stop - start) - np.arange(len(points), dtype=np.int32)
+        product = power[left]
+        product *= points + np.uint64(1)
+        keys = np.add.reduceat(product, start)
+        del left, product
         keys ^= (stop - start).astype(np.uint64) << np.uint64(48)
         unique, sample, inverse = np.unique(keys, return_index=True, return_inverse=True)
         if len(self.memory.keys) > REMEMBERED:

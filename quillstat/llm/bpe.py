@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import text_batches
+
 #: Bytes of a vocabulary file, at most.
 MAX_VOCABULARY = 64 << 20
 #: Pre-tokens that a worker remembers; beyond, it starts afresh.
@@ -349,6 +351,7 @@ def encode(docs: DataFrame, text_col: str, vocabulary, out: str) -> DataFrame:
         codec = _codec(vocabulary)
         return pd.Series(codec.encode_all(texts), dtype=object)
 
+    text_batches(docs)
     return docs.withColumn(out, ids(F.col(f"`{text_col}`")))
 
 
@@ -360,4 +363,5 @@ def decode(docs: DataFrame, ids_col: str, vocabulary, out: str) -> DataFrame:
         codec = _codec(vocabulary)
         return pd.Series([codec.decode(x) for x in ids], dtype=object)
 
+    text_batches(docs)
     return docs.withColumn(out, text(F.col(f"`{ids_col}`")))

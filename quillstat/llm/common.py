@@ -13,6 +13,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = " \t\n\x0b\x0c\r"
 
 
+#: Whole texts that go to a Python worker at a time.
+TEXTS_PER_BATCH = 1000
+
+
+def text_batches(df: DataFrame) -> None:
+    """Keep Arrow batches of whole texts small: Spark bounds them by rows only, and a row may be long."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXTS_PER_BATCH:
+        conf.set(name, str(TEXTS_PER_BATCH))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from the files.
 

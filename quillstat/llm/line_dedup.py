@@ -14,6 +14,9 @@ it, so selected lines are guaranteed fingerprints of shared runs.
    documents carry costs one row each and never makes pairs.
 3. Later positions delete their window; windows that touch make one run, which
    is the full extension of the match in the later text.
+
+A line of ``alone`` words or more is a window by itself too, so a long passage
+goes wherever it repeats; shorter lines need an equal neighbour.
 """
 
 from __future__ import annotations
@@ -21,14 +24,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, fresh
+from .common import WHITE, count_words, cut, fresh
 
 #: Stands for the start and the end of a text; never a window's minimum beside a line.
 SENTINEL = (1 << 63) - 1
+#: Words from which a repeated line is a run whatever stands beside it.
+ALONE = 20
 
 
-def _windows(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+def _windows(docs: DataFrame, id_col: str, text_col: str, window: int, alone: int | None) -> DataFrame:
     """One row per window: ``id, th, s`` (where), ``key`` (its hashes), ``print`` and ``at`` (the minimum), ``first, last`` (lines)."""
+
+    def is_long(line):
+        if alone is None:
+            return F.lit(False)
+        return (F.length(line) >= 2 * alone - 1) & (count_words(line) >= alone)
+
     text = F.col(f"`{text_col}`")
     lines = F.transform(
         F.split(text, "\n"),
@@ -36,23 +47,22 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFr
     )
     items = F.transform(
         F.filter(lines, lambda x: F.length(x["t"]) > 0),
-        lambda x: F.struct(F.xxhash64(x["t"]).alias("h"), x["i"].alias("i")),
+        lambda x: F.struct(F.xxhash64(x["t"]).alias("h"), x["i"].alias("i"), is_long(x["t"]).alias("long")),
+    )
+    end = F.array(F.struct(F.lit(SENTINEL).alias("h"), F.lit(-1).alias("i"), F.lit(False).alias("long")))
+    windowed = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("items") - (window - 1))),
+        lambda s: F.struct((s - 1).alias("s"), F.slice("items", s, window).alias("w")),
+    )
+    single = F.filter(
+        F.transform("items", lambda x, i: F.struct(i.alias("s"), F.array(x).alias("w"))), lambda y: y["w"][0]["long"]
     )
-    end = F.array(F.struct(F.lit(SENTINEL).alias("h"), F.lit(-1).alias("i")))
     return (
         docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("th"), items.alias("items"))
         .where(F.size("items") > 0)
         .select("id", "th", F.concat(end, "items", end).alias("items"))
-        .select(
-            "id",
-            "th",
-            F.posexplode(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("items") - (window - 1))),
-                    lambda s: F.slice("items", s, window),
-                )
-            ).alias("s", "w"),
-        )
+        .select("id", "th", F.explode(windowed if alone is None else F.concat(windowed, single)).alias("at"))
+        .select("id", "th", "at.s", "at.w")
         .select(
             "id",
             "th",
@@ -74,14 +84,17 @@ def _windows(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFr
     )
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2) -> DataFrame:
+def repeated_runs(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, alone: int | None = ALONE
+) -> DataFrame:
     """Later repeated runs: ``id, th, runs array<struct<first int, last int>>`` (line numbers from 0).
 
     ``th`` is the XXH64 of the text; ``(id, th)`` names a document, in whose
     order earlier and later are meant (NULL ids first).  Rows equal in both are
-    one document.  Documents without a later repeated run have no row.
+    one document.  Documents without a later repeated run have no row.  With
+    ``alone=None`` no line is a run by itself.
     """
-    windows = _windows(docs, id_col, text_col, window)
+    windows = _windows(docs, id_col, text_col, window, alone)
     place = F.struct("id", "th", "at")
     # both tables of repeats are cut: a join on a table read from files can split a hot fingerprint or window
     shared = cut(
@@ -114,7 +127,12 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 2, runs_col: str | None = None
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = 2,
+    runs_col: str | None = None,
+    alone: int | None = ALONE,
 ) -> DataFrame:
     """``docs`` with later repeated runs of lines taken out of the text.
 
@@ -124,7 +142,7 @@ def dedup_lines(
     deleted runs (NULL where there are none).
     """
     id_, th, runs, lines = fresh(docs, "id__", "th__", "runs__", "lines__")
-    found = repeated_runs(docs, id_col, text_col, window).select(
+    found = repeated_runs(docs, id_col, text_col, window, alone).select(
         F.col("id").alias(id_), F.col("th").alias(th), F.col("runs").alias(runs)
     )
     whole = docs.withColumn(th, F.xxhash64(F.col(f"`{text_col}`")))

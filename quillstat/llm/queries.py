@@ -34,8 +34,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), runs_col="runs")
+def op2_line_dedup(spark: SparkSession, sf_dir: str, alone: int | None = None) -> DataFrame:
+    """``alone=None``: its SQL below knows two-line windows only; the pipeline takes ``line_dedup.ALONE``."""
+    done = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), runs_col="runs", alone=alone)
     size = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     return done.select(
         "doc_id",

@@ -73,3 +73,31 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "a\nb")], SCHEMA)
     plan = dedup_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_long_line_alone(spark):
+    long = " ".join(f"w{i}" for i in range(20))
+    short = " ".join(f"v{i}" for i in range(19))
+    rows = [
+        (1, f"a\n{long}\nb\n{short}\nc"),
+        (2, f"d\n {long}\ne\n{short}\nf"),  # the long line goes, the short one has other neighbours
+        (3, f"g\n\n{long}\nb\nh"),  # and so does what repeats beside it
+        (4, f"i\n{long}\nj\n{long}\nk"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert got(df) == [(1, rows[0][1]), (2, f"d\ne\n{short}\nf"), (3, "g\n\nh"), (4, "i\nj\nk")]
+    as_windows = [(r.doc_id, r.text) for r in dedup_lines(df, alone=None).orderBy("doc_id").collect()]
+    assert as_windows == [rows[0], rows[1], (3, "g\n\nh"), rows[3]]
+
+
+def test_given_table_keeps_no_later_long_line(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen = set()
+    for r in sorted(corpus_pipeline.dedup_lines(spark, docs, "").select("doc_id", "text").distinct().collect()):
+        for line in (r.text or "").split("\n"):
+            line = line.strip(WHITE)
+            if len(line.split()) >= 20:
+                assert line not in seen, r.doc_id
+                seen.add(line)

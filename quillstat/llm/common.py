@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +40,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The same by way of Parquet, which compresses: for tables of large binary values."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4()}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut into runs of rows with about ``most`` bytes of ``column`` at the most (one row at least)."""
+    for batch in batches:
+        sizes = batch.column(column)
+        upto = np.cumsum(np.fromiter((0 if x is None else x for x in _byte_lengths(sizes)), dtype=np.int64, count=len(sizes)))
+        at = 0
+        while at < len(upto):
+            end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def _byte_lengths(texts: pa.Array) -> list:
+    return pa.compute.binary_length(texts).to_pylist()
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (case-insensitively)."""
     taken = {c.lower() for c in df.columns}

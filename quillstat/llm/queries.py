@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import bpe, html_extract, langid, line_dedup, mixing, quality, sharding, simhash, topk, url_filter
+from . import align, bpe, html_extract, langid, line_dedup, mixing, quality, sharding, simhash, topk, url_filter
 from .common import count_words, cut
 
 #: The vocabulary file that encoding uses.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: The sentencepiece model that alignment sets beside it.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: Shards that the sharding query fills.
 SHARDS = 40
 #: The url rules.
@@ -130,6 +132,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabularies = align.load(spark, VOCABULARY, PIECES)
+    return align.align(read_table(spark, sf_dir, "documents"), "doc_id", "text", vocabularies).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -143,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_html,
         op10_mixing,
+        op13_align,
     )
 }
 

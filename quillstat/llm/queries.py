@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import align, bpe, html_extract, langid, line_dedup, mixing, quality, sharding, simhash, topk, url_filter
+from . import align, bpe, html_extract, langid, line_dedup, mixing, phrases, quality, rule_ensemble, sharding, simhash, topk, url_filter
 from .common import count_words, cut
 
 #: The vocabulary file that encoding uses.
@@ -132,6 +132,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    known = read_table(spark, sf_dir, "labels").where(~held_out)
+    ensemble = rule_ensemble.fit(rule_ensemble.sample(docs.where("NOT held_out"), known, "doc_id", "text", "quality"))
+    scored = rule_ensemble.score(docs, "text", ensemble, "score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabularies = align.load(spark, VOCABULARY, PIECES)
     return align.align(read_table(spark, sf_dir, "documents"), "doc_id", "text", vocabularies).withColumnRenamed("id", "doc_id")
@@ -150,6 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_html,
         op10_mixing,
+        op11_quality_rules,
+        op12_phrases,
         op13_align,
     )
 }
@@ -269,5 +284,38 @@ rated AS (
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated
+""",
+    "op12_phrases": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+  FROM documents),
+pieces AS (SELECT doc, lang, unnest(p) AS piece, unnest(range(len(p))) AS i FROM texts),
+listed AS (SELECT doc, lang, i, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT doc, lang, i, unnest(w) AS w1, unnest(range(len(w))) AS j FROM listed),
+grams AS (
+  SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4
+  FROM words WINDOW o AS (PARTITION BY doc, i ORDER BY j)),
+counted AS (
+  SELECT lang, [w1] AS w, count(*) AS a FROM grams GROUP BY ALL
+  UNION ALL SELECT lang, [w1, w2], count(*) FROM grams WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM grams WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM counted WHERE len(w) = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counted WHERE len(w) > 1),
+cuts AS (SELECT lang, w, a, unnest(range(1, len(w))) AS k FROM candidates),
+scores AS (
+  SELECT c.lang, c.w, c.a, c.k, l.a AS l, r.a AS r, CAST(CAST(c.a AS HUGEINT) * 2000000 // (l.a + r.a) AS BIGINT) AS score
+  FROM cuts c JOIN counted l ON l.lang = c.lang AND l.w = c.w[1:c.k] JOIN counted r ON r.lang = c.lang AND r.w = c.w[c.k + 1:]),
+weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1),
+spans AS (SELECT lang, w, a, unnest(range(1, len(w) + 1)) AS s FROM candidates),
+parts AS (SELECT lang, w, a, s, unnest(range(s + 1, len(w) + 1)) AS e FROM spans),
+longer AS (SELECT lang, w[s:e] AS part, max(a) AS most FROM parts WHERE e - s + 1 < len(w) GROUP BY ALL),
+kept AS (
+  SELECT k.* FROM weakest k LEFT JOIN longer g ON g.lang = k.lang AND g.part = k.w WHERE g.most IS NULL OR 100 * g.most < 80 * k.a),
+ranked AS (
+  SELECT *, array_to_string(w, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(w, ' '))) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """,
 }

@@ -28,6 +28,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from .bpe import MAX_VOCABULARY, Codec, _ragged
 from .common import slices, stored
 
 #: Bytes of text in a block, about (a longer text is a block by itself).
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: Entries that a run of row products expands at a time, about.
 RUN = 1 << 18
 #: Bytes of text that the second tokenizer gets in one call, about.
@@ -294,10 +295,20 @@ def _block(aligner: Aligner, ids: list, texts: list) -> dict:
         "docs": docs,
         "pairs": pairs.astype("<i8").tobytes(),
         "counts": counts.astype("<i8").tobytes(),
-        "links": place.astype("<u4").tobytes(),
+        "links": _narrow(place, len(pairs)),
     }
 
 
+def _narrow(places: np.ndarray, most: int) -> bytes:
+    """Places below ``most`` in two or four bytes each, compressed: they take most of a block."""
+    return zstandard.ZstdCompressor(level=1).compress(places.astype("<u2" if most <= 1 << 16 else "<u4").tobytes())
+
+
+def _wide(data: bytes, count: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    return np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * count else "<u4")
+
+
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for block, pairs, counts in zip(*(batch.column(c).to_pylist() for c in ("block", "pairs", "counts"))):
@@ -314,7 +325,6 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for one in range(batch.num_rows):
             row = batch.slice(one, 1)
-            links = np.frombuffer(row.column("links")[0].as_py(), dtype="<u4")
             known = row.column("known")[0].values
             n, best = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool)
             if known is not None and len(known):
@@ -323,6 +333,7 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 best = known.field("best").to_numpy(zero_copy_only=False)[order]
             docs = row.column("docs")[0].values
             upto = np.append(0, np.cumsum(docs.field("n_links").to_numpy()))
+            links = _wide(row.column("links")[0].as_py(), int(upto[-1]))
             sums = [np.append(0, np.cumsum(v[links].astype(np.int64))) for v in (best, n)]
             yield pa.RecordBatch.from_arrays(
                 [*(docs.field(c) for c in ("id", *_COUNTS)), *(pa.array(s[upto[1:]] - s[upto[:-1]]) for s in sums), docs.field("groups_sha256")],

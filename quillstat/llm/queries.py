@@ -211,15 +211,16 @@ LEFT JOIN kept k ON d.doc_id = k.doc_id AND d.text = k.text
 """,
     "op7_top_k": """
 WITH fine AS (
-  SELECT vec_id AS id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+  SELECT DISTINCT vec_id AS id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+numbered AS (SELECT *, row_number() OVER () AS n FROM fine),
 scored AS (
-  SELECT q.id AS query_id, r.id AS vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
-  FROM fine q JOIN fine r ON q.id <> r.id AND q.id % 50 = 0)
+  SELECT q.n, q.id AS query_id, r.id AS vec_id, CAST(list_inner_product(q.v, r.v) AS BIGINT) AS score
+  FROM numbered q JOIN numbered r ON q.n <> r.n AND q.id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 5
 """,
     "op8_quality": r"""

@@ -10,10 +10,12 @@ is a local score, and the score is the sum of the local ones.
 3. Resolve: the remaining local scores of the collected rows are added, and the
    rows that reach the cutoff are ranked.
 
-Scale: rows and queries are packed into blocks and every block of queries meets
-every block of rows in a task of its own, which computes with matrix products
-and returns at most the local lists, or the rows that reach the cutoff.  Cutoffs
-travel with their block of queries, not through the driver.
+Scale: rows and queries are numbered and packed into blocks by number, so their
+blocks do not depend on how the input is dealt over partitions.  Every block of
+queries meets every block of rows where the two are brought together; matrix
+products leave at most the local lists, or the rows that reach the cutoff, and
+only those are shuffled.  Cutoffs travel with their block of queries, not
+through the driver.
 """
 
 from __future__ import annotations
@@ -31,43 +33,60 @@ from .common import cut
 PARTS = 4
 #: Vectors in a block, at most.
 ROWS, QUERIES = 4096, 512
+#: Pairs of a query and a row that are resolved together.
+RESOLVED = 1 << 16
 #: Doubles add integers exactly below this.
 EXACT = 1 << 53
 
-_BLOCK = "ids binary, width int, data binary"
+_BLOCK = "block long, ids binary, width int, data binary"
 
 
 def quantized(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
     """``id long, v array<long>``: components times ``scale``, rounded down.
 
-    NULL ids, and vectors that are NULL or hold NULL or non-finite components, have no row.  Of rows
-    with equal ids the smallest vector counts, so repeated rows count once.
+    NULL ids, and vectors that are NULL or hold NULL or non-finite components, have no row.  Rows equal in id
+    and vector are one row; rows that share an id only are rows of their own.
     """
     v, i = F.col(f"`{vec_col}`"), F.col(f"`{id_col}`").cast("long")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return (
         vectors.where(i.isNotNull() & v.isNotNull() & fine)
         .select(i.alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * scale)).alias("v"))
-        .groupBy("id")
-        .agg(F.min("v").alias("v"))
+        .distinct()
     )
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks of at most ``size`` vectors as int64 matrices; short vectors are filled with zeros."""
+    """Blocks of ``size`` vectors (the last has the rest) as int64 matrices; short vectors are filled with zeros.
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), size):
-                part = batch.iloc[at : at + size]
-                width = max(map(len, part["v"]))
-                data = np.zeros((len(part), width), dtype=np.int64)
-                for i, v in enumerate(part["v"]):
-                    data[i, : len(v)] = v
-                ids = part["id"].to_numpy(dtype=np.int64)
-                yield pd.DataFrame({"ids": [ids.tobytes()], "width": [width], "data": [data.tobytes()]})
+    Rows get running numbers: their place in their partition after the rows of the partitions before it.  The
+    table of partitions has one row for each.
+    """
+
+    def pack(group: pd.DataFrame) -> pd.DataFrame:
+        width = max(map(len, group["v"]))
+        data = np.zeros((len(group), width), dtype=np.int64)
+        for i, v in enumerate(group["v"]):
+            data[i, : len(v)] = v
+        ids = group["id"].to_numpy(dtype=np.int64)
+        return pd.DataFrame({"block": group["block"][:1], "ids": [ids.tobytes()], "width": [width], "data": [data.tobytes()]})
+
+    placed = cut(rows.select("id", "v", F.monotonically_increasing_id().alias("place")))
+    part, within = F.shiftright("place", 33), F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(part.alias("part"))
+        .agg(F.count("*").alias("n"))
+        .select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
+    blocked = placed.withColumn("part", part).join(offsets, "part")
+    blocked = blocked.select("id", "v", F.floor((F.col("before") + within) / size).alias("block"))
+    return _few(cut(blocked.groupBy("block").applyInPandas(pack, _BLOCK)))
 
-    return rows.select("id", "v").mapInPandas(pack, _BLOCK)
+
+def _few(blocks: DataFrame) -> DataFrame:
+    """Blocks are few and large: no more partitions than blocks, or than there are cores."""
+    return blocks.coalesce(max(1, min(blocks.count(), blocks.sparkSession.sparkContext.defaultParallelism)))
 
 
 def _matrix(ids: bytes, width: int, data: bytes, wide: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,12 +111,29 @@ def _runs(width: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(ends, ends[1:])]
 
 
+def _own(qids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which row is the query itself: it has its id and its vector."""
+    own = qids[:, None] == ids[None, :]
+    at, to = np.nonzero(own)
+    own[at, to] = (q[at] == x[to]).all(axis=1)
+    return own
+
+
+_FOUND = "query long, query_id long, vec_id long, score long"
+
+
+def _found(block: int, at: np.ndarray, qids: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> pd.DataFrame:
+    """The k best rows of each query: the rest of a block can't be among them."""
+    order = np.lexsort((ids, -score, at))
+    rows = pd.DataFrame({"query": (block << 32) + at, "query_id": qids[at], "vec_id": ids, "score": score})
+    return rows.iloc[order].groupby("query", sort=False).head(k)
+
+
 def _gather(k: int):
-    def local_lists(pairs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for pair in pairs.itertuples(index=False):
+    def local_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pair in (pair for batch in batches for pair in batch.itertuples(index=False)):
             qids, q, ids, x = _blocks(pair)
-            own = qids[:, None] == ids[None, :]
+            own = _own(qids, q, ids, x)
             chosen = np.zeros(own.shape, dtype=bool)
             for run in _runs(q.shape[1]):
                 local = q[:, run] @ x[:, run].T
@@ -107,88 +143,60 @@ def _gather(k: int):
                 np.put_along_axis(chosen, best, True, axis=1)
             at, to = np.nonzero(chosen & ~own)
             score = np.einsum("ij,ij->i", q[at], x[to]).astype(np.int64)
-            out.append(_best(pd.DataFrame({"query_id": qids[at], "vec_id": ids[to], "score": score}), k))
-        return pd.concat(out)
+            yield _found(pair.qblock, at, qids, ids[to], score, k)
 
     return local_lists
 
 
 def _collect(k: int):
-    def sufficient(pairs: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({c: np.zeros(0, dtype=np.int64) for c in ("query_id", "vec_id", "score")})]
-        for pair in pairs.itertuples(index=False):
+    def sufficient(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pair in (pair for batch in batches for pair in batch.itertuples(index=False)):
             qids, q, ids, x = _blocks(pair)
-            cutoff = np.frombuffer(pair.cutoffs, dtype=np.int64)
+            cutoff = np.full(len(qids), -(1 << 62), dtype=np.int64)
+            known = pair.cutoffs if pair.cutoffs is not None else ()
+            for c in known:
+                cutoff[c["at"]] = c["score"]
             # local >= cutoff / PARTS, in integers
             enough = np.zeros((len(qids), len(ids)), dtype=bool)
             least = -((-cutoff) // PARTS)
             for run in _runs(q.shape[1]):
                 enough |= (q[:, run] @ x[:, run].T) >= least[:, None]
-            enough &= qids[:, None] != ids[None, :]
-            for i in np.flatnonzero(enough.any(axis=1)):
-                to = np.flatnonzero(enough[i])
-                score = (x[to] @ q[i]).astype(np.int64)
-                to, score = to[score >= cutoff[i]], score[score >= cutoff[i]]
-                out.append(_best(pd.DataFrame({"query_id": qids[i], "vec_id": ids[to], "score": score}), k))
-        return pd.concat(out)
+            at, to = np.nonzero(enough & ~_own(qids, q, ids, x))
+            del enough
+            for first in range(0, len(at), RESOLVED):
+                some, rows = at[first : first + RESOLVED], to[first : first + RESOLVED]
+                score = np.einsum("ij,ij->i", q[some], x[rows]).astype(np.int64)
+                reach = score >= cutoff[some]
+                yield _found(pair.qblock, some[reach], qids, ids[rows[reach]], score[reach], k)
 
     return sufficient
 
 
-def _best(rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k best rows of each query: the rest of a block can't be among them."""
-    order = np.lexsort((rows["vec_id"], -rows["score"], rows["query_id"]))
-    return rows.iloc[order].groupby("query_id", sort=False).head(k)
-
-
 def _ranked(found: DataFrame, k: int) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k)
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """``query_id long, rank int, vec_id long, score long`` for ``rows`` and ``queries`` of ``(id, v)``.
 
-    Both are read twice, so cut what is dear to compute.  A query meets every row but its own id; fewer rows give fewer results; ties
-    go to the smaller ``vec_id``.  Scores must fit 64 bits.  No rows or no
-    queries: no result.
+    A query meets every row but the one with its id and its vector; rows that share its id only are candidates,
+    and queries that share an id have a result each.  Fewer rows give fewer results; ties go to the smaller
+    ``vec_id``.  Scores must fit 64 bits.  No rows or no queries: no result.
     """
-    blocks = cut(_packed(rows, ROWS).withColumn("rows_block", F.monotonically_increasing_id()))
-    asked = cut(
-        _packed(queries.repartition(-(-max(1, queries.count()) // QUERIES)), QUERIES)
-        .withColumnsRenamed({"ids": "qids", "width": "qwidth", "data": "qdata"})
-        .withColumn("block", F.monotonically_increasing_id())
+    blocks = _packed(rows, ROWS)
+    asked = _packed(queries, QUERIES).withColumnsRenamed(
+        {"block": "qblock", "ids": "qids", "width": "qwidth", "data": "qdata"}
     )
-    schema = "query_id long, vec_id long, score long"
     # stated queries against all rows, block by block: each pair of blocks is one row here
-    pairs = asked.crossJoin(blocks)
-    gathered = pairs.groupBy("block", "rows_block").applyInPandas(_gather(k), schema)
-    floor = _ranked(gathered, k).groupBy("query_id").agg(F.min("score").alias("score"), F.count("*").alias("n"))
+    gathered = asked.crossJoin(blocks.drop("block")).mapInPandas(_gather(k), _FOUND)
+    floor = _ranked(gathered, k).groupBy("query").agg(F.min("score").alias("score"), F.count("*").alias("n"))
     # a query with fewer than k candidates has no cutoff: all its rows are wanted
-    floor = cut(floor.where(F.col("n") == k).select("query_id", "score"))
-
-    lowest = -(1 << 62)
-    ordered = (
-        asked.select("block", "qids")
-        .mapInPandas(_unpacked, "block long, at int, query_id long")
-        .join(floor, "query_id", "left")
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("score", F.lit(lowest)).alias("score")))).alias("c"))
-        .select("block", F.col("c.score").alias("c"))
-        .mapInPandas(_cutoffs, "block long, cutoffs binary")
+    cutoffs = (
+        floor.where(F.col("n") == k)
+        .groupBy(F.shiftright("query", 32).alias("qblock"))
+        .agg(F.collect_list(F.struct(F.col("query").bitwiseAND(F.lit((1 << 32) - 1)).alias("at"), "score")).alias("cutoffs"))
     )
-    armed = cut(asked.join(ordered, "block"))
-    collected = armed.crossJoin(blocks).groupBy("block", "rows_block").applyInPandas(_collect(k), schema)
+    armed = _few(cut(asked.join(cutoffs, "qblock", "left")))
+    collected = armed.crossJoin(blocks.drop("block")).mapInPandas(_collect(k), _FOUND)
     return _ranked(collected, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
-
-
-def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for block, qids in zip(batch["block"], batch["qids"]):
-            names = np.frombuffer(qids, dtype=np.int64)
-            yield pd.DataFrame({"block": block, "at": np.arange(len(names), dtype=np.int32), "query_id": names})
-
-
-def _cutoffs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"block": batch["block"], "cutoffs": [np.array(c, dtype=np.int64).tobytes() for c in batch["c"]]})

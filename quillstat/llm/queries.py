@@ -36,9 +36,8 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
-def op2_line_dedup(spark: SparkSession, sf_dir: str, alone: int | None = None) -> DataFrame:
-    """``alone=None``: its SQL below knows two-line windows only; the pipeline takes ``line_dedup.ALONE``."""
-    done = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), runs_col="runs", alone=alone)
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"), runs_col="runs")
     size = F.aggregate("runs", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
     return done.select(
         "doc_id",
@@ -169,8 +168,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-#: Lines with a word, numbered among themselves between two sentinels; windows of two; later holders delete.
-_LINES = """
+#: Lines with a word, numbered among themselves between two sentinels; windows of two, and of one line of 20 words
+#: or more; later holders delete.
+_LINES = r"""
 lines AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
   FROM documents WHERE text IS NOT NULL),
@@ -182,11 +182,13 @@ worded AS (
          lead(i) OVER (PARTITION BY doc_id, text ORDER BY i) AS after_i
   FROM items WHERE t <> ''),
 windows AS (
-  SELECT doc_id, text, 0 AS s, NULL AS a, t AS b, i AS first, i AS last FROM worded WHERE s = 1
+  SELECT doc_id, text, 2 AS size, 0 AS s, NULL AS a, t AS b, i AS first, i AS last FROM worded WHERE s = 1
   UNION ALL
-  SELECT doc_id, text, s, t, after_t, i, coalesce(after_i, i) FROM worded),
+  SELECT doc_id, text, 2, s, t, after_t, i, coalesce(after_i, i) FROM worded
+  UNION ALL
+  SELECT doc_id, text, 1, s, t, NULL, i, i FROM worded WHERE len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) >= 20),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, s) AS n FROM windows),
+  SELECT *, row_number() OVER (PARTITION BY size, a, b ORDER BY doc_id, s) AS n FROM windows),
 gone AS (
   SELECT DISTINCT doc_id, text, unnest(range(first, last + 1)) AS i FROM ranked WHERE n > 1),
 kept AS (

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -75,6 +75,31 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def copy_numbers(rows: DataFrame, key: Column, out: str) -> DataFrame:
+    """``rows`` with ``out long``: the running number, from 0, of a row among those of its ``key`` (not NULL).
+
+    Keys found once need no numbers and no shuffle of whole rows.  The rows of the others are written once, and
+    numbered by partition: a row's place in its key and partition after the key's rows in the partitions before, so
+    a key with a third of all rows is dealt like any other.  Which of a key's rows gets which number is open.
+    """
+    k, place, part, before = fresh(rows, "key__", "place__", "part__", "before__")
+    keyed = rows.withColumn(k, key)
+    again = cut(keyed.groupBy(k).agg(F.count("*").alias("n")).where("n > 1").select(k))
+    hot = cut(keyed.join(again, k).withColumn(place, F.monotonically_increasing_id()))
+    hot = hot.withColumn(part, F.shiftright(place, 33))
+    earlier = Window.partitionBy(k).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        hot.groupBy(k, part)
+        .agg(F.count("*").alias("n"))
+        .select(k, part, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before))
+    )
+    inside = F.row_number().over(Window.partitionBy(k, part).orderBy(place)) - 1
+    kept = [F.col(f"`{c}`") for c in rows.columns if c != out]
+    numbered = hot.withColumn(out, inside).join(offsets, [k, part]).select(*kept, (F.col(out) + F.col(before)).cast("long").alias(out))
+    once = keyed.join(again, k, "left_anti").select(*kept, F.lit(0).cast("long").alias(out))
+    return once.union(numbered)
+
+
 def count_words(text: Column) -> Column:
     """Number of words; NULL text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -2,12 +2,14 @@
 
 Tokens are summed per source; the targets give each source a repetition rate;
 a document goes out ``floor(rate)`` times, plus once more if its hash-seeded
-draw falls under the fraction that is left.  The draw depends on the id and the
-seed alone, so reruns and lost executors change nothing.
-
-Scale: one pre-aggregated pass for the sums, then a map over documents.  Only the
-source table (a row per source) is ordered and joined, and it is broadcast only
-where its measured size allows.
+draw falls under the fraction that is left.  The draw depends on the id, the text
+and the seed, and rows equal in both are told apart by a running number, so the
+copies of a document that fills its source draw one by one and the target is met.
+Reruns and lost executors change nothing but which of equal rows goes out.
+
+Scale: one pre-aggregated pass for the sums, one for the keys found more than
+once, then a map over documents.  Only the source table (a row per source) is
+ordered and joined, and it is broadcast only where its measured size allows.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, fresh
+from .common import copy_numbers, count_words, cut, fresh
 
 #: Weights by a source's place, repeating.
 WEIGHTS = (5, 2, 1)
@@ -61,18 +63,37 @@ def source_rates(
     )
 
 
-def copies(rate: Column, doc_id: Column, seed: str) -> Column:
+def copies(rate: Column, key: Column, number: Column, seed: str) -> Column:
     """How many times a document goes out: whole part of the rate, plus a draw for the rest."""
-    digest = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":" + seed)).cast("binary"))
+    digest = F.md5(F.concat_ws(":", key, number.cast("string"), F.lit(seed)).cast("binary"))
     draw = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
     return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
 
 
-def planned(sized: DataFrame, id_col: str, seed: str = "mix", **law) -> DataFrame:
-    """``sized(<id>, source, size, ...)`` with ``source_size, target, copies`` for every row."""
+def _key(doc_id: Column, text: Column) -> Column:
+    """What a draw depends on besides the running number; NULL ids and texts are empty."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
+def _same(key: Column, source: Column) -> Column:
+    return F.xxhash64(key, source)
+
+
+def planned(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", **law
+) -> DataFrame:
+    """The mix as a plan: ``id, size long, source_size long, target double, copies long`` for every row of ``docs``.
+
+    Size is the number of words (NULL text: 0); NULL sources are one source; other columns are ignored, so none
+    can clash.  Rows equal in id, text and source draw one by one; an empty table has no plan.
+    """
+    id_, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
+    sized = cut(docs.select(id_.alias("id"), source.alias("source"), count_words(text).alias("size"), _key(id_, text).alias("key")))
     rates = source_rates(sized.select("source", "size"), **law).withColumnRenamed("source", "of")
-    joined = sized.join(rates, F.col("of").eqNullSafe(sized["source"]), "left").drop("of")
-    return joined.withColumn("copies", copies(F.col("rate"), F.col(f"`{id_col}`"), seed)).drop("rate")
+    numbered = copy_numbers(sized, _same(F.col("key"), F.col("source")), "number")
+    joined = numbered.join(rates, F.col("of").eqNullSafe(F.col("source")), "left")
+    times = copies(F.col("rate"), F.col("key"), F.col("number"), seed)
+    return joined.select("id", "size", "source_size", "target", times.alias("copies"))
 
 
 def mix(
@@ -85,13 +106,15 @@ def mix(
 ) -> DataFrame:
     """``docs`` with every row as often as the mix takes it (0 times or more); the columns stay.
 
-    Size is the number of words (NULL text: 0); rows with equal ids draw alike;
+    Size is the number of words (NULL text: 0); rows equal in id, text and source draw one by one;
     NULL sources are one source; an empty table stays empty.
     """
-    of, rate, n = fresh(docs, "of__", "rate__", "copies__")
-    sized = docs.select(F.col(f"`{source_col}`").alias("source"), count_words(F.col(f"`{text_col}`")).alias("size"))
+    of, rate, n, key, number = fresh(docs, "of__", "rate__", "copies__", "draw__", "number__")
+    id_, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
+    sized = docs.select(source.alias("source"), count_words(text).alias("size"))
     rates = source_rates(sized, **law).select(F.col("source").alias(of), F.col("rate").alias(rate))
-    joined = docs.join(rates, F.col(of).eqNullSafe(docs[f"`{source_col}`"]), "left")
-    times = copies(F.col(rate), docs[f"`{id_col}`"], seed)
+    numbered = copy_numbers(docs, _same(_key(id_, text), source), number).withColumn(key, _key(id_, text))
+    joined = numbered.join(rates, F.col(of).eqNullSafe(source), "left")
+    times = copies(F.col(rate), F.col(key), F.col(number), seed)
     keep = [F.col(f"`{c}`") for c in docs.columns]
     return joined.withColumn(n, F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*keep)

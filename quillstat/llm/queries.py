@@ -78,14 +78,15 @@ def op5_bpe(spark: SparkSession, sf_dir: str, vocabulary_path: str = VOCABULARY)
     )
 
 
-def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op6_sharding(spark: SparkSession, sf_dir: str, maps: str | None = None) -> DataFrame:
+    """``maps`` is the folder of the map's versions: the newest is edited for the table.  Without one, a new folder."""
     text = F.coalesce("text", F.lit(""))
-    records = cut(
-        read_table(spark, sf_dir, "documents").select(
-            "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
-        ).withColumn("vslot", sharding.slot_of(F.col("doc_id"), F.col("text_crc32")))
+    records = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
     )
-    return sharding.assign(records, ["doc_id", "text_crc32", "size"], SHARDS).select(
+    slotted = sharding.slotted(cut(records), ["doc_id", "text_crc32", "size"])
+    slot_map = sharding.current_map(spark, maps or sharding.new_folder(spark), sharding.slot_sizes(slotted), SHARDS)
+    return sharding.assign(slotted, ["doc_id", "text_crc32", "size"], slot_map).select(
         "doc_id",
         "size",
         "text_crc32",
@@ -123,11 +124,8 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = cut(
-        read_table(spark, sf_dir, "documents").select("doc_id", "source", count_words(F.col("text")).alias("size"))
-    )
-    return mixing.planned(sized, "doc_id").select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
+    return mixing.planned(read_table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
 
 
@@ -260,7 +258,9 @@ FROM failures
 """,
     "op10_mixing": r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, '')) AS key FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key, source) - 1 AS number FROM sized),
 sums AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
          row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS place FROM sized GROUP BY source),
@@ -282,8 +282,8 @@ targets AS (
 rated AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-         CAST(('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), '') || ':mix'), 1, 13)) AS BIGINT) / 4503599627370496.0 AS draw
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+         CAST(('0x' || substr(md5(key || ':' || number || ':mix'), 1, 13)) AS BIGINT) / 4503599627370496.0 AS draw
+  FROM numbered d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM rated

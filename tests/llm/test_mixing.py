@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,20 +35,43 @@ def test_targets_against_brute_force(spark, seed):
         assert r.source_size == sizes[s] and math.isclose(r.target, want[s], abs_tol=1e-9) and r.target <= 2 * sizes[s]
 
 
-def brute_copies(rate, doc_id, seed):
-    draw = int(hashlib.md5(f"{'' if doc_id is None else doc_id}:{seed}".encode()).hexdigest()[:13], 16) / (1 << 52)
+def brute_copies(rate, doc_id, text, number, seed):
+    key = f"{'' if doc_id is None else doc_id}:{hashlib.md5((text or '').encode()).hexdigest()}"
+    draw = int(hashlib.md5(f"{key}:{number}:{seed}".encode()).hexdigest()[:13], 16) / (1 << 52)
     return math.floor(rate) + (draw < rate - math.floor(rate))
 
 
 def test_mix(spark):
-    rows = [(i, "w " * (i % 7), f"s{i % 3}") for i in range(200)] + [(None, "x y", None), (5, None, "s0"), (5, None, "s0")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({"size": F.lit(1), "rate": F.lit("r"), "of__": F.lit(0)})
-    out = M.mix(df)
-    assert out.columns == df.columns
+    rows = [(i, "w " * (i % 7), f"s{i % 3}") for i in range(200)] + [(None, "x y", None), (5, None, "s0")] + [(5, "a b", "s0")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns(
+        {c: F.lit(1) for c in ("size", "rate", "of__", "target", "source_size", "copies", "key__", "number__", "place__", "n")}
+    )
     rates = {r.source: r.rate for r in M.source_rates(df.select("source", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != "")).alias("size"))).collect()}
-    want = sorted((-1 if i is None else i, t or "") for i, t, s in rows for _ in range(brute_copies(rates[s], i, "mix")))
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in out.collect()) == want
-    assert M.mix(df.limit(0)).collect() == []
+    numbers, want = Counter(), []
+    for i, t, s in rows:
+        want += [(-1 if i is None else i, t or "")] * brute_copies(rates[s], i, t, numbers[i, t, s], "mix")
+        numbers[i, t, s] += 1
+    for parts in (1, 7):
+        out = M.mix(df.repartition(parts))
+        assert out.columns == df.columns
+        assert sorted((-1 if r.doc_id is None else r.doc_id, r.text or "") for r in out.collect()) == sorted(want)
+    plan = M.planned(df.repartition(5)).collect()
+    assert len(plan) == len(rows) and sum(r.copies for r in plan) == len(want)
+    assert M.mix(df.limit(0)).collect() == [] == M.planned(df.limit(0)).collect()
+
+
+@pytest.mark.parametrize("share_id", ["all NULL", "half equal", "half equal rows"])
+def test_targets_are_met_with_repeated_ids(spark, share_id):
+    """Taken words come within two mean deviations of a draw of their target."""
+    ids = {
+        "all NULL": lambda i: (None, f"word{i}"),
+        "half equal": lambda i: (7 if i % 4 < 2 else i, f"word{i}"),
+        "half equal rows": lambda i: (7, "same") if i % 4 < 2 else (i, f"word{i}"),
+    }[share_id]
+    rows = [(*ids(i), f"s{i % 2}") for i in range(20_000)]
+    plan = M.planned(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6))
+    for r in plan.groupBy("target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 200
 
 
 def test_query_comes_near_its_targets(spark):

@@ -24,16 +24,49 @@ def test_query(spark):
     assert max(held.values()) <= 1.05 * sum(held.values()) / 40
 
 
+def _assigned(spark, records, shards, path=None):
+    slotted = S.slotted(records, ["doc_id", "crc"])
+    slot_map = S.current_map(spark, path or S.new_folder(spark), S.slot_sizes(slotted), shards)
+    return S.assign(slotted, ["doc_id", "crc"], slot_map)
+
+
 def test_edges(spark):
     rows = [(None, 16, 0), (1, 20, 5), (1, 20, 5), (2, 500000, 7)]
-    df = spark.createDataFrame(rows, "doc_id long, size long, crc long").withColumn("shard_", F.lit(1))
-    records = df.withColumn("vslot", S.slot_of(F.col("doc_id"), F.col("crc")))
-    got = S.assign(records, ["doc_id", "crc"], 3).collect()
-    assert len(got) == 4 and {r.shard for r in got} <= {0, 1, 2}
+    df = spark.createDataFrame(rows, "doc_id long, size long, crc long").withColumns(
+        {c: F.lit(1) for c in ("shard", "place", "before", "inside", "before__", "slot__", "vslot", "copy")}
+    )
+    out = _assigned(spark, df, 3)
+    assert sorted(out.columns) == sorted(df.columns)
+    got = out.collect()
+    assert len(got) == 4 and {r.shard for r in got} <= {0, 1, 2} and {(r.before, r["slot__"]) for r in got} == {(1, 1)}
     for shard in {r.shard for r in got}:
         places = sorted(r.place for r in got if r.shard == shard)
         assert places == list(range(len(places)))
-    assert S.assign(records.limit(0), ["doc_id"], 3).collect() == []
+    assert _assigned(spark, df.limit(0), 3).collect() == []
+
+
+def test_repeated_rows_spread(spark):
+    rows = [(7 if i % 2 else i, 100, 7 if i % 2 else i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id long, size long, crc long").repartition(9)
+    held = [r["sum(size)"] for r in _assigned(spark, df, 40).groupBy("shard").sum("size").collect()]
+    assert len(held) == 40 and max(held) <= 1.05 * sum(held) / 40
+
+
+def test_stored_map_is_edited(spark):
+    path = S.new_folder(spark)
+    few = spark.range(3000).selectExpr("id AS doc_id", "100L AS size", "id AS crc")
+    first = {r.doc_id: r.shard for r in _assigned(spark, few, 8, path).collect()}
+    assert S.map_versions(spark, path) == [1]
+    again = {r.doc_id: r.shard for r in _assigned(spark, few, 8, path).collect()}
+    assert again == first and S.map_versions(spark, path) == [1]
+    more = few.withColumn("size", F.when(F.col("doc_id") < 300, 900).otherwise(100))
+    second = _assigned(spark, more, 8, path).collect()
+    assert S.map_versions(spark, path) == [1, 2]
+    held = {}
+    for r in second:
+        held[r.shard] = held.get(r.shard, 0) + r.size
+    assert max(held.values()) <= 1.05 * sum(held.values()) / 8
+    assert 0 < sum(first[r.doc_id] != r.shard for r in second) < 1500
 
 
 def test_map_is_versioned_and_edited(spark, scratch):

@@ -1,20 +1,21 @@
 """Phrase collocations by direct-address tiling of word pairs.
 
-Words are ranked by frequency, so the ids of common words are small and their
-pairs lie together: the table of pairs is cut into tiles of ``TILE`` by ``TILE``
-ids.  A tile with many pairs is counted as a dense array (``bincount`` over the
-cell number, which is an address); the pairs of the other tiles are sorted and
-their runs counted (COO).  Pairs that are frequent enough are ranked in turn and
-take the place of the words: a pair of neighbouring pairs is a phrase of three
-words, a pair of these one of four.  Everything longer than one word is thus
-found by the same step, and only over parts that are frequent themselves.
+In a block of texts words are numbered by frequency, so the numbers of common
+words are small and their pairs lie together: the table of pairs is cut into
+tiles of ``TILE`` by ``TILE`` numbers.  A tile with many pairs is counted as a
+dense array (``bincount`` over the cell number, which is an address); the pairs
+of the other tiles are sorted and their runs counted (COO).  Pairs that are
+frequent enough in the whole table are ranked in turn and take the place of the
+words: a pair of neighbouring pairs is a phrase of three words, a pair of these
+one of four.  Everything longer than one word is thus found by the same step, and
+only over parts that are frequent themselves.
 
 Scale.  Texts of one language are gathered into blocks of bounded size.  A block
-keeps its sequence of ids and its distinct pairs with their counts; Spark adds up
-the pairs of all blocks (combined before the shuffle), ranks the frequent ones
-over a range-partitioned layout and joins their ranks back to the blocks that
-hold them.  No vocabulary is ever in one place, a language with most of the texts
-is as many blocks as it needs, and a pair of all blocks costs one row a block.
+keeps its sequence of parts; its distinct pairs with their counts, one row each,
+are shuffled once by pair.  There the counts are added up, pairs that are too rare
+end, and the others go back to the blocks that hold them, with one number for each
+pair.  No vocabulary is ever in one place, a language with most of the texts is as
+many blocks as it needs, and no pair has more rows than there are blocks.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.kernels import with_positions
 from .common import stored
 
 #: Bytes of text in a block, about (a longer text is a block by itself).
@@ -52,21 +52,19 @@ def tokens(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).replace(b".", b" . ").split()
 
 
-def count_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of neighbours of a sequence (negative: no member) as left, right and count, and for each
-    place of the sequence but the last the number of its pair (-1: none)."""
-    place = np.full(max(0, len(ids) - 1), -1, dtype=np.int32)
-    at = np.flatnonzero((ids[:-1] >= 0) & (ids[1:] >= 0))
-    a, b = ids[at], ids[at + 1]
+def count_pairs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of neighbours of a sequence of frequency ranks (negative: no part) as left, right and count,
+    and for each place of the sequence but the last the number of its pair (-1: none)."""
+    place = np.full(max(0, len(numbers) - 1), -1, dtype=np.int32)
+    at = np.flatnonzero((numbers[:-1] >= 0) & (numbers[1:] >= 0))
+    a, b = numbers[at].astype(np.int64), numbers[at + 1].astype(np.int64)
     tiles, tile = np.unique((a // TILE) << 31 | b // TILE, return_inverse=True)
     cell = (a % TILE) * TILE + b % TILE
     held = np.bincount(tile, minlength=len(tiles))
     dense = held * DENSE >= TILE * TILE
     found, counts, base = [], [], 0  # pairs as tile number and cell
-    order = np.argsort(tile, kind="stable")
-    upto = np.append(0, np.cumsum(held))
     for t in np.flatnonzero(dense):
-        mine = order[upto[t] : upto[t + 1]]
+        mine = np.flatnonzero(tile == t)
         full = np.bincount(cell[mine], minlength=TILE * TILE)
         cells = np.flatnonzero(full)
         number = np.cumsum(full > 0) - 1  # by address
@@ -82,11 +80,13 @@ def count_pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return (of >> 31) * TILE + cells // TILE, (of & ((1 << 31) - 1)) * TILE + cells % TILE, counts, place
 
 
-_WORDS = "lang string, words array<struct<word:string,n:long>>, seq binary"
+_WORDS = "lang string, words array<struct<word:string,n:int>>, seq binary"
 _WORDS_ARROW = pa.schema([
-    ("lang", pa.string()), ("words", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))), ("seq", pa.binary()),
+    ("lang", pa.string()), ("words", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))), ("seq", pa.binary()),
 ])
-_PAIRS = "block long, lang string, pairs array<struct<left:long,right:long,n:long>>, seq binary"
+#: ``ids``: the parts of a block, most frequent first; ``seq``: places in that list (-1: no part).
+_PARTS = "block long, lang string, ids binary, seq binary"
+_PAIRS = "block long, at int, left long, right long, n int"
 
 
 def _worded(block: int):
@@ -100,7 +100,7 @@ def _worded(block: int):
             seq = np.fromiter((numbers.setdefault(w, len(numbers)) for w in tokens(b".".join(waiting.pop(lang)))), dtype=np.int32)
             n = np.bincount(seq, minlength=len(numbers))[1:]
             words = pa.StructArray.from_arrays(
-                [pa.array(list(numbers)[1:], type=pa.binary()).cast(pa.string()), pa.array(n, type=pa.int64())], names=["word", "n"]
+                [pa.array(list(numbers)[1:], type=pa.binary()).cast(pa.string()), pa.array(n, type=pa.int32())], names=["word", "n"]
             )
             listed = pa.ListArray.from_arrays(pa.array([0, len(words)], type=pa.int32()), words)
             return pa.RecordBatch.from_arrays([pa.array([lang]), listed, pa.array([seq.tobytes()])], schema=_WORDS_ARROW)
@@ -118,41 +118,77 @@ def _worded(block: int):
     return work
 
 
+def _reranked(places: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A sequence of items (-1: none) after the frequent ones, ``at`` with ``ids``, have got ranks of their own."""
+    number = np.full(int(places.max(initial=-1)) + 2, -1, dtype=np.int32)  # the last one: of no item
+    number[at] = np.arange(len(at))
+    seq = number[places]
+    held = np.bincount(seq[seq >= 0], minlength=len(ids))
+    order = np.argsort(-held, kind="stable")
+    rank = np.empty(len(ids) + 1, dtype=np.int32)
+    rank[order], rank[-1] = np.arange(len(ids)), -1
+    seq = rank[seq]
+    gap = seq < 0
+    return ids[order], seq[~(gap & np.append(False, gap[:-1]))]  # one place for a stretch without parts
+
+
+def _parts(places_of):
+    """Blocks of the next step: frequent items in the places that ``places_of`` a row gives."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in range(batch.num_rows):
+                row = batch.slice(one, 1)
+                known = row.column("known").flatten()
+                at, ids = (known.field(c).to_numpy() for c in ("at", "id"))
+                ids, seq = _reranked(places_of(row), at, ids)
+                yield pa.RecordBatch.from_arrays(
+                    [row.column("block"), row.column("lang"), pa.array([ids.tobytes()]), pa.array([seq.tobytes()])],
+                    names=["block", "lang", "ids", "seq"],
+                )
+
+    return work
+
+
+def _word_places(row: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(row.column("seq")[0].as_py(), dtype=np.int32) - 1  # 0 is the end of a piece
+
+
+def _sequence(row: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(row.column("seq")[0].as_py(), dtype=np.int32)
+
+
+def _pair_places(row: pa.RecordBatch) -> np.ndarray:
+    return count_pairs(_sequence(row))[3]
+
+
 def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Put the ranks of a block's frequent parts in their places, and find the pairs of neighbours."""
+    """One row for each distinct pair of a block."""
     for batch in batches:
         for one in range(batch.num_rows):
-            known = batch.column("known").slice(one, 1).flatten()
-            at, ids = (known.field(c).to_numpy() for c in ("at", "id"))
-            seq = np.frombuffer(batch.column("seq")[one].as_py(), dtype=np.int32)
-            rank = np.full(int(seq.max(initial=-1)) + 2, -1, dtype=np.int64)  # the last one: of no part
-            rank[at] = ids
-            left, right, n, place = count_pairs(rank[seq])
-            if not len(n):
-                continue
-            pairs = pa.StructArray.from_arrays([pa.array(x) for x in (left, right, n)], names=["left", "right", "n"])
-            listed = pa.ListArray.from_arrays(pa.array([0, len(n)], type=pa.int32()), pairs)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("block").slice(one, 1), batch.column("lang").slice(one, 1), listed, pa.array([place.tobytes()])],
-                names=["block", "lang", "pairs", "seq"],
-            )
+            row = batch.slice(one, 1)
+            ids = np.frombuffer(row.column("ids")[0].as_py(), dtype=np.int64)
+            left, right, n, _ = count_pairs(_sequence(row))
+            block = np.full(len(n), row.column("block")[0].as_py())
+            columns = block, np.arange(len(n), dtype=np.int32), ids[left], ids[right], n.astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["block", "at", "left", "right", "n"])
 
 
-def _ranked(counted: DataFrame, key: list[str], least: int) -> DataFrame:
-    """Frequent parts with ``id``: their rank in the language, most frequent first."""
-    frequent = counted.where(F.col("a") >= least).withColumn("less", -F.col("a"))
-    return stored(with_positions(frequent, ["lang"], ["less", *key]).drop("less").withColumnRenamed("_pos", "id"))
+def _frequent(items: DataFrame, key: list[str], blocks: int, least: int) -> DataFrame:
+    """Items found often enough, in every block that holds them, with ``a`` (in all blocks) and ``id``.
 
+    The id is that of one of an item's places, which are numbered over all ``blocks``; ``first`` says where it is.
+    """
+    every = Window.partitionBy(*key)
+    number = F.col("at").cast("long") * F.lit(blocks) + F.col("block")
+    counted = items.withColumns({"a": F.sum("n").over(every), "id": F.min(number).over(every)})
+    return stored(counted.where(F.col("a") >= least).withColumn("first", F.col("id") == number).drop("n"))
 
-def _answered(blocks: DataFrame, items: DataFrame, ranked: DataFrame, key: list[str]) -> DataFrame:
-    """Blocks with ``known``: which of their items are frequent, and their ranks."""
-    known = (
-        items.select("block", "lang", "at", *key)
-        .join(ranked.select("lang", *key, "id"), ["lang", *key])
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("at", "id")).alias("known"))
-    )
-    return blocks.select("block", "lang", "seq").join(known, "block")
+
+def _next(blocks: DataFrame, found: DataFrame, places_of) -> DataFrame:
+    """The blocks with the frequent items found in them as their parts."""
+    known = found.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("known"))
+    return stored(blocks.select("block", "lang", "seq").join(known, "block").mapInArrow(_parts(places_of), _PARTS))
 
 
 def phrase_counts(
@@ -168,30 +204,34 @@ def phrase_counts(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
     )
-    blocks = stored(slim.mapInArrow(_worded(block), _WORDS).withColumn("block", F.monotonically_increasing_id()))
-    # the number 0 of a block's sequence is the end of a piece
-    items = blocks.select("block", "lang", F.posexplode("words").alias("at", "w")).select(
-        "block", "lang", (F.col("at") + 1).alias("at"), "w.word", "w.n"
-    )
-    counted = stored(items.groupBy("lang", "word").agg(F.sum("n").alias("a")))
-    totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
-    key = ["word"]
-    ranked = _ranked(counted, key, least)
+    blocks = stored(slim.mapInArrow(_worded(block), _WORDS).withColumn("number", F.monotonically_increasing_id()))
+    # blocks are numbered closely, by partition and place in it
+    part, within = F.shiftright("number", 33), F.col("number").bitwiseAND(F.lit((1 << 33) - 1))
+    last, most = blocks.agg(F.max(part), F.max(within) + 1).first()
+    most = most or 1
+    numbers = ((last or 0) + 1) * most
+    blocks = blocks.withColumn("block", part * F.lit(most) + within)
+    items = blocks.select("block", "lang", F.posexplode("words").alias("at", "w")).select("block", "lang", "at", "w.*")
+    totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w["n"])).alias("n"))
+    found = _frequent(items, ["lang", "word"], numbers, least)
     none = F.array().cast("array<long>")
-    tables = [ranked.select("lang", "id", "a", F.col("word").alias("phrase"), F.col("word").alias("last"), none.alias("pre"), none.alias("post"))]
+    word = F.col("word")
+    tables = [found.where("first").select("lang", "id", "a", word.alias("phrase"), word.alias("last"), none.alias("pre"), none.alias("post"))]
+    places_of = _word_places
     for _ in range(1, most_words):
-        blocks = stored(_answered(blocks, items, ranked, key).mapInArrow(_paired, _PAIRS))
-        items = blocks.select("block", "lang", F.posexplode("pairs").alias("at", "p")).select("block", "lang", "at", "p.*")
-        key = ["left", "right"]
-        ranked = _ranked(items.groupBy("lang", *key).agg(F.sum("n").alias("a")), key, least)
+        blocks = _next(blocks, found, places_of)
+        places_of = _pair_places
+        # ids of one language are no other's, so a pair's key needs no language
+        found = _frequent(blocks.mapInArrow(_paired, _PAIRS), ["left", "right"], numbers, least)
+        ranked = found.where("first").select("id", "left", "right", "a")
         parts = tables[-1].drop("left", "right")
         head, tail = (parts.select(*(F.col(c).alias(f"{side}_{c}") for c in parts.columns)) for side in ("l", "r"))
         tables.append(
             stored(
-                ranked.join(head, (F.col("lang") == F.col("l_lang")) & (F.col("left") == F.col("l_id")))
-                .join(tail, (F.col("lang") == F.col("r_lang")) & (F.col("right") == F.col("r_id")))
+                ranked.join(head, F.col("left") == F.col("l_id"))
+                .join(tail, F.col("right") == F.col("r_id"))
                 .select(
-                    "lang",
+                    F.col("l_lang").alias("lang"),
                     "id",
                     "left",
                     "right",
@@ -233,8 +273,8 @@ def collocations(
             ),
         )
         if words < most_words:
-            longer = tables[words].select("lang", F.explode(F.array("left", "right")).alias("id"), F.col("a").alias("longer"))
-            table = table.join(longer.groupBy("lang", "id").agg(F.max("longer").alias("longer")), ["lang", "id"], "left")
+            longer = tables[words].select(F.explode(F.array("left", "right")).alias("id"), F.col("a").alias("longer"))
+            table = table.join(longer.groupBy("id").agg(F.max("longer").alias("longer")), "id", "left")
             wide = lambda c: F.col(c).cast("decimal(20,0)")
             table = table.where(F.coalesce(100 * wide("longer") < COVERED * wide("a"), F.lit(True)))
         scored.append(table.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"))

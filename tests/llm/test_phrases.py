@@ -85,7 +85,7 @@ def test_tiles(monkeypatch):
     for tile, dense in ((4, 1), (4, 1000), (256, 8)):
         monkeypatch.setattr(phrases, "TILE", tile)
         monkeypatch.setattr(phrases, "DENSE", dense)
-        ids = np.minimum(rng.geometric(0.15, 5000) - 2, 40 + (1 << 33) * (rng.random(5000) < 0.01))
+        ids = np.where(rng.random(5000) < 0.01, 70_000, rng.geometric(0.15, 5000) - 2)
         left, right, n, place = phrases.count_pairs(ids)
         want = Counter((a, b) for a, b in zip(ids.tolist(), ids[1:].tolist()) if a >= 0 and b >= 0)
         assert dict(zip(zip(left.tolist(), right.tolist()), n.tolist())) == want

@@ -1,20 +1,31 @@
 """Main text of web pages with a suffix array of each host's boilerplate.
 
-A page is cut into blocks of text.  What HTML itself marks as something else
-(menus, headers, footers, sidebars, forms, scripts, adverts, notices, comments)
-is no content, and what stands in an ``article`` or ``main`` element is.  All
-blocks outside such an element, marked or not, are the page's token stream in
-the array of its host: every position has the suffix that starts there, and a
-run of tokens is boilerplate if suffixes of enough distinct page texts share at
-least ``run`` tokens: a tenth of the host's, two at least, so that copies and
-phrases of a large host stay.  Only the first ``run`` tokens decide that, so suffixes are
-compared to this depth and no further.  Covered tokens leave the blocks that
-nothing marks; unique runs stay.
-
-Scale.  Suffixes are grouped by host, prefix and page text, then counted with
-map-side combining, so neither a host with a third of all pages nor a
-sentence on all of them gathers anywhere.  A page without unmarked blocks outside
-its article needs no lookup and no shuffle.
+A page is cut into blocks of text, once.  What HTML itself marks as something
+else (menus, headers, footers, sidebars, forms, scripts, adverts, notices,
+comments) is no content.  All other blocks stand or fall by the suffix array of
+their host: the token streams of the host's pages end to end, every position with
+the suffix that starts there.  A long substring that enough distinct page texts
+share is boilerplate, and what unmarked blocks have of it goes.
+
+* Outside an ``article`` or ``main`` element, ``RUN`` tokens shared by one in
+  ``PER`` of the host's page texts (two at least) are boilerplate, so copies and
+  phrases of a large host stay.
+* Inside one, ``LONG`` tokens shared by more than half of them (``LEAST`` at
+  least).  If that would take half of a page's main text, the pages are copies of
+  one article, and it stays whole.
+
+Suffixes are ordered by prefix doubling: the classes of their first ``RUN`` tokens
+come first, and the class of a prefix twice as long is the pair of the classes of
+its halves.  Suffixes without enough company leave the array after each step, so
+what is left at ``LONG`` tokens are the starts of long shared substrings; the
+starts that touch make up the maximal runs.
+
+Scale.  Main text enters the array by its winnowed fingerprints (the smallest of
+every ``LONG - RUN + 1`` neighbouring classes), of which any shared substring of
+``LONG`` tokens has one; only pages that hold a shared one bring all their
+suffixes.  Classes are counted by host and page text with map-side combining, so
+neither a host with a third of all pages nor a sentence on all of them gathers
+anywhere.
 """
 
 from __future__ import annotations
@@ -22,18 +33,25 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, host_of
+from .common import cut, host_of, slices, stored
 
-#: Tokens that two pages must share in a row.
-RUN = 6
-#: A run is boilerplate on one in so many page texts of a host (two at least).
+#: Tokens of a shared substring outside the main element, and inside it (``RUN`` times a power of two).
+RUN, LONG = 6, 24
+#: Outside, a run is boilerplate on one in so many page texts of a host (two at least).
 PER = 10
+#: Inside, on more than half of them, and on so many at least.
+LEAST = 5
+#: Bytes of html that are parsed together, about.
+SLICE = 4 << 20
 
 #: Elements whose content is raw text, and elements whose content is not shown as text.
 _RAW = {"script", "style", "textarea", "title"}
@@ -201,48 +219,128 @@ def _hinted(name: str, attributes: str) -> bool:
     )
 
 
-def _suffixes(page: str | None, run: int) -> list[tuple[int, bool]]:
-    """For each position of a page's stream, the hash of the ``run`` tokens that start there and whether
-    one of them stands in an unmarked block."""
-    stream = [(w, not other) for text, main, other in blocks(page) if not main for w in text.split(" ")]
-    hashed = xxhash.xxh64_intdigest
-    return [
-        (
-            hashed("\0".join(w for w, _ in stream[p : p + run]).encode("utf-8", "surrogatepass")) - (1 << 63),
-            any(unmarked for _, unmarked in stream[p : p + run]),
-        )
-        for p in range(len(stream) - run + 1)
-    ]
+#: An odd number whose powers tell the places of a class's tokens apart.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
 
+def _classes(tokens: list[str], run: int, known: dict[str, int]) -> np.ndarray:
+    """The class of the first ``run`` tokens of each suffix that has so many, as a hash."""
+    if len(tokens) < run:
+        return np.zeros(0, dtype=np.int64)
+    for t in tokens:
+        if t not in known:
+            known[t] = xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"))
+    hashed = np.array([known[t] for t in tokens], dtype=np.uint64)
+    out = np.zeros(len(tokens) - run + 1, dtype=np.uint64)
+    for i in range(run):
+        out = out * _BASE + hashed[i : len(hashed) - run + 1 + i]
+    out ^= out >> np.uint64(29)
+    return (out * _BASE).view(np.int64)
 
-def _parts(page: str | None) -> tuple[str | None, list | None]:
-    """The text if no block is in doubt; else the parts in page order, with their places in the stream."""
-    found = blocks(page)
-    if all(main or other for _, main, other in found):
-        return " ".join(t for t, main, other in found if main and not other), None
-    parts, pos = [], 0
-    for text, main, other in found:
-        if not other:
-            parts.append({"pos": -1 if main else pos, "text": text})
-        pos += 0 if main else text.count(" ") + 1
-    return None, parts
+
+def _winnowed(classes: np.ndarray, window: int) -> np.ndarray:
+    """The places of the smallest (leftmost of equals) of every ``window`` neighbouring classes."""
+    if len(classes) < window:
+        return np.zeros(0, dtype=np.int64)
+    views = np.lib.stride_tricks.sliding_window_view(classes, window)
+    return np.unique(views.argmin(axis=1) + np.arange(len(views)))
+
+
+def _parsed(page: str | None, run: int, long: int, known: dict[str, int]) -> dict:
+    """Unmarked blocks of a page, the classes of the stream outside the main element, and the fingerprints inside."""
+    parts, outside, unmarked, main = [], [], [], []
+    for text, inside, other in blocks(page):
+        words = text.split(" ")
+        if inside:
+            if other:
+                continue
+            parts.append({"pos": len(main), "main": True, "text": text})
+            main += words
+        else:
+            if not other:
+                parts.append({"pos": len(outside), "main": False, "text": text})
+            outside += words
+            unmarked += [not other] * len(words)
+    all_classes = _classes(outside, run, known)
+    doubted = np.convolve(unmarked, np.ones(run, dtype=int), "valid") > 0 if len(all_classes) else all_classes
+    inner = _classes(main, run, known)
+    return {
+        "parts": parts,
+        "outside": all_classes.tolist(),
+        "doubted": np.flatnonzero(doubted).tolist(),
+        "inside": inner[_winnowed(inner, long - run + 1)].tolist(),
+    }
 
 
-def _uncovered(parts: list, starts, run: int) -> str:
+def _uncovered(parts: list, starts, run: int) -> list[str | None]:
+    """Blocks without the tokens that the runs from ``starts`` cover; None where nothing is left."""
     covered = {p + i for p in starts for i in range(run)} if starts is not None else set()
     out = []
     for part in parts:
-        if part["pos"] < 0:
-            out.append(part["text"])
-        else:
-            words = [w for i, w in enumerate(part["text"].split(" "), part["pos"]) if i not in covered]
-            if words:
-                out.append(" ".join(words))
-    return " ".join(out)
+        words = [w for i, w in enumerate(part["text"].split(" "), part["pos"]) if i not in covered]
+        out.append(" ".join(words) if words else None)
+    return out
+
+
+def _composed(parts: list, outer, inner, run: int, long: int) -> str:
+    """A page's text: its blocks in order without their covered runs."""
+    main = [p for p in parts if p["main"]]
+    left = _uncovered(main, inner, long)
+    before, after = (sum(t.count(" ") + 1 for t in some if t) for some in ((p["text"] for p in main), left))
+    if 2 * after <= before:
+        left = [p["text"] for p in main]  # copies of one article
+    rest = _uncovered([p for p in parts if not p["main"]], outer, run)
+    each = {True: iter(left), False: iter(rest)}
+    return " ".join(t for p in parts if (t := next(each[p["main"]])) is not None)
+
+
+_PARSED = "parts array<struct<pos:int,main:boolean,text:string>>, outside array<long>, doubted array<int>, inside array<long>"
+_PARSED_ARROW = pa.struct([
+    ("parts", pa.list_(pa.struct([("pos", pa.int32()), ("main", pa.bool_()), ("text", pa.string())]))),
+    ("outside", pa.list_(pa.int64())),
+    ("doubted", pa.list_(pa.int32())),
+    ("inside", pa.list_(pa.int64())),
+])
+
+
+def _long_runs(pages: DataFrame, shared: DataFrame, needs: DataFrame, run: int, long: int) -> DataFrame:
+    """``host, hash, inner``: starts of the shared substrings of ``long`` tokens in the main text of page texts."""
+
+    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[str, int] = {}
+            for host, hash_, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "hash", "texts"))):
+                classes = _classes([w for t in texts for w in t.split(" ")], run, known)
+                n = len(classes)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([host] * n, type=pa.string()), pa.array([hash_] * n, type=pa.int64()), pa.array(range(n), type=pa.int32()), pa.array(classes)],
+                    names=["host", "hash", "pos", "key"],
+                )
+
+    # page texts in doubt: they hold a fingerprint that enough others have
+    held = pages.select("host", "hash", F.explode("inside").alias("key")).join(shared, ["host", "key"])
+    doubt = cut(held.select("host", "hash").distinct())
+    texts = F.transform(F.filter("parts", lambda p: p["main"]), lambda p: p["text"])
+    array = (
+        pages.join(doubt, ["host", "hash"])
+        .select("host", "hash", texts.alias("texts"))
+        .dropDuplicates(["host", "hash"])
+        .mapInArrow(suffixes, "host string, hash long, pos int, key long")
+    )
+    depth = run
+    while True:
+        array = cut(array)
+        enough = array.groupBy("host", "key").agg(F.count_distinct("hash").alias("n")).join(needs, "host").where("n >= need_inside")
+        array = cut(array.join(enough.select("host", "key"), ["host", "key"]))
+        if depth >= long:
+            return array.groupBy("host", "hash").agg(F.collect_set("pos").alias("inner"))
+        half = array.select("host", "hash", (F.col("pos") - depth).alias("pos"), F.col("key").alias("next"))
+        array = array.join(half, ["host", "hash", "pos"]).select("host", "hash", "pos", F.xxhash64("key", "next").alias("key"))
+        depth *= 2
 
 
 def main_text(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", run: int = RUN, long: int = LONG
 ) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page.
 
@@ -250,50 +348,52 @@ def main_text(
     without a host, are one host.  Rows of a host equal in html are one page text,
     so repeated rows and exact copies make no boilerplate.  Other columns are ignored.
     """
-
-    @F.pandas_udf("array<struct<key:long, unmarked:boolean>>")
-    def suffixes(html: pd.Series) -> pd.Series:
-        return pd.Series([[{"key": k, "unmarked": u} for k, u in _suffixes(x, run)] for x in html], dtype=object)
-
-    @F.pandas_udf("text string, parts array<struct<pos:int, text:string>>")
-    def parsed(html: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_parts(x) for x in html], columns=["text", "parts"], dtype=object)
-
-    @F.pandas_udf("string")
-    def uncovered(parts: pd.Series, starts: pd.Series) -> pd.Series:
-        return pd.Series([_uncovered(p, s, run) for p, s in zip(parts, starts)], dtype=object)
-
     slim = pages.select(
         F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"), F.col(f"`{html_col}`").alias("html")
-    )
-    here = slim.withColumn("hash", F.xxhash64("html"))
-    texts = cut(
-        here.groupBy(host_of(F.col("url")).alias("host"), "hash").agg(F.lit(1).alias("one")).groupBy("host").agg(
-            F.greatest(F.lit(2), F.ceil(F.count("one") / PER)).alias("need")
+    ).withColumns({"host": host_of(F.col("url")), "hash": F.xxhash64("html")})
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "html", SLICE):
+            known: dict[str, int] = {}
+            rows = pa.array([_parsed(x, run, long, known) for x in part.column("html").to_pylist()], type=_PARSED_ARROW)
+            kept = ["page_id", "url", "host", "hash"]
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in kept), *rows.flatten()], names=[*kept, *(f.name for f in _PARSED_ARROW)]
+            )
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.drop("html").schema)
+    parsed = stored(slim.mapInArrow(parse, f"{kept}, {_PARSED}"))
+    needs = cut(
+        parsed.groupBy("host", "hash").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("one").alias("n")).select(
+            "host",
+            F.greatest(F.lit(2), F.ceil(F.col("n") / PER)).alias("need"),
+            F.greatest(F.lit(LEAST), F.floor(F.col("n") / 2) + 1).alias("need_inside"),
         )
     )
-    stream = here.select(
-        host_of(F.col("url")).alias("host"), "page_id", "hash", F.posexplode(suffixes("html")).alias("pos", "s")
-    ).select("host", "page_id", "hash", "pos", "s.key", "s.unmarked")
-    boilerplate = cut(  # read from files, a join on a suffix of all pages can split
-        stream.groupBy("host", "key")
-        .agg(F.count_distinct("hash").alias("n"))
-        .where("n > 1")
-    )
-    starts = (
-        stream.where("unmarked")
+
+    def counted(keys: str) -> DataFrame:
+        rows = parsed.select("host", "hash", F.explode(keys).alias("key"))
+        return rows.groupBy("host", "key").agg(F.count_distinct("hash").alias("n")).where("n > 1").join(needs, "host")
+
+    # both are read from files: a join on a class of all pages can split
+    boilerplate = cut(counted("outside").where("n >= need").select("host", "key"))
+    fingerprints = cut(counted("inside").where("n >= need_inside").select("host", "key"))
+    outer = (
+        parsed.where(F.size("doubted") > 0)
+        .select("host", "hash", "outside", F.explode("doubted").alias("pos"))
+        .select("host", "hash", "pos", F.col("outside")[F.col("pos")].alias("key"))
         .join(boilerplate, ["host", "key"])
-        .join(texts, "host")
-        .where("n >= need")
-        .groupBy("page_id", "hash")
-        .agg(F.collect_set("pos").alias("starts"))
-        .withColumnsRenamed({"page_id": "of_id", "hash": "of_hash"})
-    )
-    read = here.withColumn("p", parsed("html")).select("page_id", "url", "hash", "p.text", "p.parts")
-    sure = read.where("parts IS NULL").select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
-    doubted = (
-        read.where("parts IS NOT NULL")
-        .join(starts, F.col("of_id").eqNullSafe(F.col("page_id")) & (F.col("of_hash") == F.col("hash")), "left")
-        .select("page_id", "url", uncovered("parts", "starts").alias("text"))
+        .groupBy("host", "hash")
+        .agg(F.collect_set("pos").alias("outer"))
     )
+    inner = _long_runs(parsed, fingerprints, needs, run, long)
+    starts = cut(outer.join(inner, ["host", "hash"], "full"))
+
+    @F.pandas_udf("string")
+    def composed(parts: pd.Series, outer: pd.Series, inner: pd.Series) -> pd.Series:
+        return pd.Series([_composed(*x, run, long) for x in zip(parts, outer, inner)], dtype=object)
+
+    whole = F.concat_ws(" ", F.transform("parts", lambda p: p["text"]))
+    sure = parsed.join(starts, ["host", "hash"], "left_anti").select("page_id", "url", whole.alias("text"))
+    doubted = parsed.join(starts, ["host", "hash"]).select("page_id", "url", composed("parts", "outer", "inner").alias("text"))
     return sure.union(doubted).withColumn("n_chars", F.char_length("text").cast("long"))

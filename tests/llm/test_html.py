@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -61,7 +62,49 @@ def test_repeated_runs_against_brute_force(spark):
     streams = [list(x) for x in {tuple(s) for s in streams}]
     got = texts(page(spark, *[("http://h/p", f"<p>{' '.join(s)}</p>") for s in streams]))
     for i, (s, starts) in enumerate(zip(streams, brute_runs(streams, 6))):
-        assert got[i] == _uncovered([{"pos": 0, "text": " ".join(s)}] if s else [], starts, 6)
+        assert got[i] == " ".join(filter(None, _uncovered([{"pos": 0, "text": " ".join(s)}] if s else [], starts, 6)))
+
+
+def test_runs_inside_articles(spark):
+    """The array takes a long run from most pages' articles, in whatever blocks it stands; copies and quotes stay."""
+    import random
+
+    rng = random.Random(2)
+    words = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    share, quote, short = words(30), words(40), words(10)
+    copy = f"<p>{words(60)}</p><p>{share}</p>"
+    bodies = [(words(50), words(20)) for _ in range(20)]
+    pages = [("http://h/", f"<article><p>{a}</p><p>{share}</p><p>{b} {quote if i < 9 else ''} {short}</p></article>") for i, (a, b) in enumerate(bodies)]
+    pages += [("http://two/", f"<article>{copy}<p>{words(3)}</p></article>") for _ in range(8)]
+    got = texts(page(spark, *pages))
+    for i, (a, b) in enumerate(bodies):
+        assert got[i] == " ".join(f"{a} {b} {quote if i < 9 else ''} {short}".split())
+    assert all(got[i] == " ".join(re.sub("<[^>]*>", " ", pages[i][1]).split()) for i in range(20, 28))
+
+
+def test_article_runs_against_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    passages = [[f"p{k}x{i}" for i in range((20, 30, 40, 60)[k])] for k in range(4)]
+    streams = []
+    for i in range(12):
+        s = [f"own{i}x{j}" for j in range(150)]
+        for p in passages:
+            if rng.random() < 0.85:
+                at = rng.choice((0, 50, 100)) if s[0] == f"own{i}x0" else len(s)
+                s[at:at] = p[rng.randint(0, 3) :]
+        streams.append(s)
+    need = 7
+    held = Counter(g for s in streams for g in {tuple(s[p : p + 24]) for p in range(len(s) - 23)})
+    got = texts(page(spark, *[("http://h/p", f"<main>{' '.join(s)}</main>") for s in streams]))
+    changed = 0
+    for i, s in enumerate(streams):
+        starts = [p for p in range(len(s) - 23) if held[tuple(s[p : p + 24])] >= need]
+        changed += bool(starts)
+        covered = {p + j for p in starts for j in range(24)}
+        assert got[i] == " ".join(w for j, w in enumerate(s) if j not in covered)
+    assert changed >= need
 
 
 def test_edges(spark):

@@ -317,59 +317,18 @@ def _land_events(spark, sf, name, batches: int = 6):
     return ev, root, inbox, land
 
 
-@register("t_stream_peaks", """SELECT user_id, ts, event_id, value FROM (
-  SELECT *, max(value) OVER w AS mx, sum(value) OVER w AS sm, count(value) OVER w AS ct, count(*) OVER w AS rws
-  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
-WHERE rws = 3 AND ct = 3 AND value = mx AND value > (sm - value) / 2.0""", ops=("T7", "T10"))
-def t_stream_peaks(spark, sf):
-    """Peaks from a Structured Streaming query over the events landed day by day (state per user)."""
-    ev, root, inbox, land = _land_events(spark, sf, "stream-peaks")
-    out = f"{root}/out"
-    land(0)
-    st = L.live_stream(spark, inbox, ev.schema, "parquet")
-    q = (L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 1).writeStream.format("parquet")
-         .option("path", out).option("checkpointLocation", f"{root}/ck").outputMode("append").start())
-    try:
-        q.processAllAvailable()
-        for i in range(1, land.count):
-            land(i)
-            q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.read.schema(st.select("user_id", "ts", "event_id", "value").schema).parquet(out)
-
-
-@register("l_stream_quota", quota2_sql("src AS (SELECT event_id, user_id, ts FROM events)", "ts", "INTERVAL 3600 SECOND",
-                                      tie="event_id", time_type="TIMESTAMP"), ops=("L5", "T10"))
-def l_stream_quota(spark, sf):
-    """Quota admission as a stateful stream (availableNow run over the landed events)."""
-    ev, root, inbox, land = _land_events(spark, sf, "stream-quota")
-    out = f"{root}/out"
-    land(0)
-    st = L.live_stream(spark, inbox, ev.schema, "parquet")
-    q = (L.stream_quota(st.select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", 2).writeStream
-         .format("parquet").option("path", out).option("checkpointLocation", f"{root}/ck").start())
-    try:
-        q.processAllAvailable()
-        for i in range(1, land.count):
-            land(i)
-            q.processAllAvailable()
-    finally:
-        q.stop()
-    return spark.read.parquet(out).select("event_id", "user_id", "ts", "admitted")
-
+def _run_stream(spark, sf, name, job, order=None):
+    """Feed the landed events to ``job(stream)`` slice by slice (in ``order``), close it, return what was written.
 
-def _run_windows(spark, sf, name, windows):
-    """Feed the landed events to ``windows(stream)`` slice by slice, close the last windows, return what was written.
-
-    A file source never says that it has ended, so a heartbeat far behind the
-    last event moves the watermark past all of them; its own windows stay open.
+    A file source never says that it has ended, so heartbeats far behind the
+    last event move the watermark past all of them; their own rows stay open.
     Each batch overwrites its own folder, so a batch that is run again leaves no second copy.
     """
     ev, root, inbox, land = _land_events(spark, sf, name)
     out = f"{root}/out"
-    land(0)
-    stream = windows(L.live_stream(spark, inbox, ev.schema, "parquet"))
+    order = [i for i in order or range(land.count) if i < land.count]
+    land(order[0])
+    stream = job(L.live_stream(spark, inbox, ev.schema, "parquet"))
 
     def handle(batch, batch_id):
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
@@ -377,11 +336,11 @@ def _run_windows(spark, sf, name, windows):
     q = stream.writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", f"{root}/ck").start()
     try:
         q.processAllAvailable()
-        for i in range(1, land.count):
+        for i in order[1:]:
             land(i)
             q.processAllAvailable()
         last = ev.agg(F.max("ts").alias("ts"))
-        for days in (10, 20):  # the second lets the first one's watermark take effect
+        for days in (30, 60):  # the second lets the first one's watermark take effect
             beat = last.select((F.col("ts") + F.expr(f"INTERVAL {days} DAYS")).alias("ts")).where("ts IS NOT NULL")
             beat.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in ev.schema.fields]) \
                 .write.mode("append").parquet(inbox)
@@ -391,12 +350,37 @@ def _run_windows(spark, sf, name, windows):
     return spark.read.schema(stream.schema).parquet(out), last.first()["ts"]
 
 
+#: Slices are landed in this order, each second one before the one before it, so rows come out of order.
+_SWAPPED = [1, 0, 3, 2, 5, 4]
+_SWAPPED_DELAY = "11 days"
+
+
+@register("t_stream_peaks", """SELECT user_id, ts, event_id, value FROM (
+  SELECT *, max(value) OVER w AS mx, sum(value) OVER w AS sm, count(value) OVER w AS ct, count(*) OVER w AS rws
+  FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING))
+WHERE rws = 3 AND ct = 3 AND value = mx AND value > (sm - value) / 2.0""", ops=("T7", "T10"))
+def t_stream_peaks(spark, sf):
+    """Peaks from a Structured Streaming query over events landed out of order (state per user)."""
+    got, _ = _run_stream(spark, sf, "stream-peaks", lambda st: L.stream_peaks(
+        st, ["user_id"], "ts", "event_id", "value", 1, delay=_SWAPPED_DELAY), _SWAPPED)
+    return got.select("user_id", "ts", "event_id", "value")
+
+
+@register("l_stream_quota", quota2_sql("src AS (SELECT event_id, user_id, ts FROM events)", "ts", "INTERVAL 3600 SECOND",
+                                      tie="event_id", time_type="TIMESTAMP"), ops=("L5", "T10"))
+def l_stream_quota(spark, sf):
+    """Quota admission as a stateful stream over events landed out of order."""
+    got, _ = _run_stream(spark, sf, "stream-quota", lambda st: L.stream_quota(
+        st.select("event_id", "user_id", "ts"), ["user_id"], "ts", "event_id", 2, delay=_SWAPPED_DELAY), _SWAPPED)
+    return got.where(F.col("event_id").isNotNull()).select("event_id", "user_id", "ts", "admitted")
+
+
 @register("t_periodic_window_stats", """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        count(*) AS n, round(avg(value), 6) AS mean_value, round(stddev_samp(value), 6) AS std_value,
        min(value) AS min_value, max(value) AS max_value FROM events GROUP BY ALL""", ops=("T10",))
 def t_periodic_window_stats(spark, sf):
     """Periodic job (foreachBatch) writing hourly live statistics."""
-    got, end = _run_windows(spark, sf, "periodic", lambda st: L.window_stats(st, "ts", ["value"], "1 hour", "1 hour"))
+    got, end = _run_stream(spark, sf, "periodic", lambda st: L.window_stats(st, "ts", ["value"], "1 hour", "1 hour"))
     return got.where(F.col("window_start") <= F.lit(end)).select(
         "window_start", "window_end", "n", F.round("mean_value", 6).alias("mean_value"), F.round("std_value", 6).alias("std_value"),
         "min_value", "max_value")
@@ -408,7 +392,7 @@ FROM (SELECT value, unnest([time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5
 GROUP BY start""", ops=("L4", "T10"))
 def l_stream_cost_windows(spark, sf):
     """Hourly cost alert as a stream: sliding 1-hour windows over the landed usage log."""
-    got, end = _run_windows(spark, sf, "stream-cost", lambda st: L.hourly_cost_windows(
+    got, end = _run_stream(spark, sf, "stream-cost", lambda st: L.hourly_cost_windows(
         st.select("ts", F.col("value").alias("cost")), "ts", "cost", threshold=500.0).select(
             F.col("window.start").cast("timestamp_ntz").alias("window_start"), F.col("window.end").cast("timestamp_ntz").alias("window_end"),
             "cost_last_hour", "count_last_hour"))

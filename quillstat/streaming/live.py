@@ -2,29 +2,29 @@
 
 * ``live_stream``         file source with a fixed schema (new files = new data).
 * ``window_stats``        per-window live statistics with a watermark.
-* ``stream_peaks``        local peaks with ``applyInPandasWithState`` keyed by series:
-                          state = the last 2*width rows; row i is emitted once row
-                          i+width has arrived; rows older than the series' last
-                          processed row are late and dropped.
-* ``stream_quota``        sequential admission with state = admitted times in the horizon.
+* ``stream_peaks``        local peaks of each series, in event-time order.
+* ``stream_quota``        sequential admission in event-time order.
 * ``hourly_cost_windows`` sliding 1-hour cost sums with the alert flag.
 
+Peaks and admission stand on ``event_time.in_event_order``: rows wait in keyed state
+until the watermark has passed them; timers wake waiting keys and drop idle ones.
+
 Checkpoint locations default to ``spark.checkpoint.dir``/<name> (shared folder).
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from datetime import timedelta
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..session import ensure_checkpoint_dir
+from .event_time import MICROS, in_event_order
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -66,99 +66,71 @@ def window_stats(stream: DataFrame, ts: str, values: Sequence[str], window: str
 
 # --------------------------------------------------------------------------- peaks with state
 
-def _to_micros(col: pd.Series) -> np.ndarray:
-    if col.dtype.kind == "M":
-        return (col.astype("datetime64[us]").astype("int64")).to_numpy(dtype="float64")
-    return col.to_numpy(dtype="float64")
-
-
-def _peaks_fn(keys: Sequence[str], ts: str, tie: str, value: str, width: int, ts_is_time: bool):
+def _peaks(tie: str, value: str, width: int):
     k = 2 * width
 
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState):
-        if state.exists:
-            o0, t0, v0 = (list(x) for x in state.get)
-        else:
-            o0, t0, v0 = [], [], []
-        new = pd.concat(list(pdfs), ignore_index=True)
-        no, nt = _to_micros(new[ts]), new[tie].to_numpy()
-        nv = new[value].to_numpy(dtype="float64", na_value=np.nan)
-        order = np.lexsort((nt, no))
-        no, nt, nv = no[order], nt[order], nv[order]
-        if o0:  # late rows (not after the last processed row of the series) are dropped
-            late = (no < o0[-1]) | ((no == o0[-1]) & (nt <= t0[-1]))
-            no, nt, nv = no[~late], nt[~late], nv[~late]
-        o = np.concatenate([np.array(o0, dtype="float64"), no])
-        t = np.concatenate([np.array(t0, dtype=nt.dtype if len(nt) else "int64"), nt])
-        v = np.concatenate([np.array(v0, dtype="float64"), nv])
+    def process(key, rows: pd.DataFrame, carried):
+        us, ties, values = (list(x) for x in carried) if carried else ([], [], [])
+        us += rows[MICROS].tolist()
+        ties += rows[tie].tolist()
+        values += rows[value].tolist()
         hits = []
-        for i in range(width, len(v) - width):
-            win = v[i - width:i + width + 1]
-            if np.isnan(win).any():
-                continue
-            c = v[i]
-            if c == win.max() and c > (win.sum() - c) / k:
+        for i in range(width, len(values) - width):  # the last row carried is the first centre's left neighbour
+            window = values[i - width:i + width + 1]
+            if None not in window and values[i] == max(window) and values[i] > (sum(window) - values[i]) / k:
                 hits.append(i)
-        keep = slice(max(len(v) - k, 0), len(v))
-        state.update((o[keep].tolist(), t[keep].tolist(), v[keep].tolist()))
-        if hits:
-            idx = np.array(hits)
-            out = {kc: [kv] * len(idx) for kc, kv in zip(keys, key)}
-            out[ts] = pd.to_datetime(o[idx].astype("int64"), unit="us") if ts_is_time else o[idx]
-            out[tie] = t[idx]
-            out[value] = v[idx]
-            yield pd.DataFrame(out)
+        found = pd.DataFrame({MICROS: [us[i] for i in hits], tie: [ties[i] for i in hits], value: [values[i] for i in hits]})
+        keep = slice(max(0, len(us) - k), None)
+        return found, (us[keep], ties[keep], values[keep])
 
-    return fn
+    return process
 
 
-def stream_peaks(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, width: int = 1) -> DataFrame:
+def stream_peaks(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, width: int = 1,
+                 delay: str = "1 hour", idle: timedelta | None = None) -> DataFrame:
     """Streaming local peaks (same rule as the batch ``find_peaks``) per series key.
 
-    Output (keys, ts, tie, value) of each peak.  Exact equality with the batch
-    result holds when each series arrives in (ts, tie) order across
-    micro-batches; rows not after the last processed row of their series are
-    dropped as late.
+    Output (keys, tie, value, ts) of each peak, once the watermark has passed its window: rows may come in any
+    order within ``delay``.  The state of a series is its rows within the delay and the last 2*width before;
+    with ``idle`` a series that is silent for that long is dropped and starts anew.
     """
     schema = stream.schema
-    out_schema = T.StructType([schema[c] for c in list(keys) + [ts, tie, value]])
-    state_schema = T.StructType([
-        T.StructField("o", T.ArrayType(T.DoubleType())),
-        T.StructField("tie", T.ArrayType(schema[tie].dataType)),
-        T.StructField("v", T.ArrayType(T.DoubleType())),
+    carry = T.StructType([
+        T.StructField("us", T.ArrayType(T.LongType())),
+        T.StructField("ties", T.ArrayType(schema[tie].dataType)),
+        T.StructField("values", T.ArrayType(schema[value].dataType)),
     ])
-    ts_is_time = isinstance(schema[ts].dataType, (T.TimestampType, T.TimestampNTZType))
-    fn = _peaks_fn(list(keys), ts, tie, value, width, ts_is_time)
-    src = stream.select(*keys, ts, tie, value)
-    return src.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout)
+    return in_event_order(stream, keys, ts, tie, delay, _peaks(tie, value, width), carry, keep=[tie, value], idle=idle)
 
 
 # --------------------------------------------------------------------------- quota with state
 
-def stream_quota(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, max_calls: int,
-                 horizon_s: float = 3600.0) -> DataFrame:
-    """Streaming admission (same rule as the batch ``quota_admission``); state = admitted times in the horizon."""
-    out_schema = T.StructType(stream.schema.fields + [T.StructField("admitted", T.BooleanType())])
-    state_schema = T.StructType([T.StructField("admitted_times", T.ArrayType(T.DoubleType()))])
-
-    def fn(key, pdfs, state: GroupState):
-        times = list(state.get[0]) if state.exists else []
-        new = pd.concat(list(pdfs), ignore_index=True)
-        o = _to_micros(new[ts]) / 1e6 if new[ts].dtype.kind == "M" else new[ts].to_numpy(dtype="float64")
-        new = new.assign(_o=o).sort_values(["_o", tie], kind="mergesort")
+def _admission(max_calls: int, horizon_us: int):
+    def process(key, rows: pd.DataFrame, carried):
+        admitted = list(carried[0]) if carried else []
         flags = []
-        for t in new["_o"].to_numpy(dtype="float64").tolist():
-            times = [a for a in times if t - a < horizon_s]
-            if len(times) < max_calls:
-                times.append(t)
-                flags.append(True)
-            else:
-                flags.append(False)
-        state.update(([float(a) for a in times],))
-        yield new.drop(columns=["_o"]).assign(admitted=flags)
-
-    return stream.groupBy(*keys).applyInPandasWithState(fn, out_schema, state_schema, "append",
-                                                        GroupStateTimeout.NoTimeout)
+        for us in rows[MICROS]:
+            admitted = [a for a in admitted if us - a < horizon_us]
+            flags.append(len(admitted) < max_calls)
+            if flags[-1]:
+                admitted.append(us)
+        return rows.assign(admitted=flags), (admitted,)
+
+    return process
+
+
+def stream_quota(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, max_calls: int,
+                 horizon_s: float = 3600.0, delay: str = "1 hour") -> DataFrame:
+    """Streaming admission (same rule as the batch ``quota_admission``), in event-time order within ``delay``.
+
+    State: the calls within the delay and the admitted times within the horizon; a key without calls for a
+    horizon has nothing to remember and is dropped.
+    """
+    horizon = timedelta(seconds=horizon_s)
+    carry = T.StructType([T.StructField("admitted_us", T.ArrayType(T.LongType()))])
+    added = T.StructType([T.StructField("admitted", T.BooleanType())])
+    process = _admission(max_calls, horizon // timedelta(microseconds=1))
+    return in_event_order(stream, keys, ts, tie, delay, process, carry, added, idle=horizon)
 
 
 # --------------------------------------------------------------------------- cost alert

@@ -1,7 +1,10 @@
+import datetime
 import glob
 import os
+import random
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from quillstat.operators import series as TS
@@ -17,31 +20,105 @@ def _feed(spark, scratch, ev):
     return days, inbox
 
 
-def test_stream_peaks_and_quota_equal_batch(spark, scratch):
-    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
-    days, inbox = _feed(spark, scratch, ev)
+def _run(stream, name, scratch, feeds):
+    q = stream.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{scratch}/ck-{name}").start()
+    try:
+        for feed in feeds:
+            feed()
+            q.processAllAvailable()
+        progress = q.lastProgress
+    finally:
+        q.stop()
+    return progress["stateOperators"][0]["numRowsTotal"]
+
+
+SCHEMA = "event_id long, user_id string, ts timestamp_ntz, value double"
+
+
+def _events(n=400, users=5, seed=3):
+    """Rows with ties in time, a NULL key, NULL values and bursts."""
+    rng = random.Random(seed)
+    start = datetime.datetime(2024, 3, 1)
+    out = []
+    for i in range(n):
+        ts = start + datetime.timedelta(minutes=rng.choice([rng.randrange(1200), 60 * rng.randrange(20)]))
+        out.append((i, rng.choice([None, *"abcde"[:users]]), ts, rng.choice([None, 1.0, 2.0, rng.random()])))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_shuffled_batches_equal_batch(spark, scratch, seed):
+    """Rows in any order within the delay give the batch results, ties and NULL keys included."""
+    rows = _events(seed=seed)
+    rng = random.Random(seed)
+    rng.shuffle(rows)
+    inbox = f"{scratch}/inbox"
+
+    def land(some):
+        return lambda: spark.createDataFrame(some, SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+
+    end = max(r[2] for r in rows)
+    beats = [[(-1, "beat", end + datetime.timedelta(days=d), None)] for d in (4, 8)]
+    feeds = [land(rows[i::4]) for i in range(4)] + [land(b) for b in beats]
+    feeds[0]()
+    ev = spark.createDataFrame(rows, SCHEMA)
     st = L.live_stream(spark, inbox, ev.schema, "parquet")
-    q1 = (L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 1).writeStream.format("memory")
-          .queryName("t_peaks").option("checkpointLocation", f"{scratch}/ck1").start())
-    calls = st.select("event_id", "user_id", "ts")
-    q2 = (L.stream_quota(calls, ["user_id"], "ts", "event_id", 2).writeStream.format("memory")
-          .queryName("t_quota").option("checkpointLocation", f"{scratch}/ck2").start())
-    for i, day in enumerate(days):
-        for f in glob.glob(f"{scratch}/src/{day}/*.parquet"):
-            shutil.copy(f, f"{inbox}/{i:03d}-{os.path.basename(f)}")
-        q1.processAllAvailable()
-        q2.processAllAvailable()
-    q1.stop()
-    q2.stop()
-    got = spark.sql("select event_id from t_peaks")
-    exp = TS.find_peaks(ev, "value", ["ts", "event_id"], ["user_id"], 1).select("event_id")
-    assert got.count() == exp.count() and got.exceptAll(exp).count() == 0
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    batch = U.quota_admission(ev.select("event_id", "user_id", F.timestamp_diff("MICROSECOND", epoch, "ts").alias("us"))
-                              .withColumn("t", F.col("us") / 1e6), "t", "event_id", 2, ["user_id"])
-    sq = spark.sql("select event_id, admitted from t_quota")
-    diff = sq.join(batch.select("event_id", F.col("admitted").alias("b")), "event_id").where("admitted <> b").count()
-    assert sq.count() == ev.count() and diff == 0
+    _run(L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 2, delay="2 days"), f"peaks{seed}", scratch, [lambda: None, *feeds[1:]])
+    got = spark.table(f"peaks{seed}").select("event_id", "user_id", "ts", "value")
+    want = TS.find_peaks(ev, "value", ["ts", "event_id"], ["user_id"], 2)
+    assert want.count() > 5 and sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    seconds = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "ts")
+    _run(L.stream_quota(st.drop("value"), ["user_id"], "ts", "event_id", 2, delay="2 days"), f"quota{seed}", scratch, [lambda: None])
+    got = spark.table(f"quota{seed}").where("event_id >= 0").select("event_id", "admitted")
+    want = U.quota_admission(ev.withColumn("t", seconds), "t", "event_id", 2, ["user_id"]).select("event_id", "admitted")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_late_rows_are_dropped_and_waiting_rows_wait(spark, scratch):
+    at = lambda h: datetime.datetime(2024, 3, 1) + datetime.timedelta(hours=h)
+    inbox = f"{scratch}/inbox"
+    land = lambda *some: spark.createDataFrame(some, SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+    land((1, "a", at(0), 1.0))
+    st = L.live_stream(spark, inbox, spark.createDataFrame([], SCHEMA).schema, "parquet").drop("value")
+    stream = L.stream_quota(st, ["user_id"], "ts", "event_id", 1, delay="2 hours")
+    q = stream.writeStream.format("memory").queryName("late").option("checkpointLocation", f"{scratch}/ck").start()
+    ids = lambda: sorted(r.event_id for r in spark.table("late").collect())
+    try:
+        q.processAllAvailable()
+        assert ids() == []
+        land((2, "b", at(5), 1.0))
+        q.processAllAvailable()
+        assert ids() == [1]  # woken by its timer: its key has no new row
+        land((3, "a", at(2), 1.0), (4, "b", at(4), 1.0))  # behind the watermark; within the delay
+        q.processAllAvailable()
+        land((5, "b", at(9), 1.0), (6, "c", None, 1.0))
+        q.processAllAvailable()
+        assert ids() == [1, 2, 4]
+        assert {r.event_id: r.admitted for r in spark.table("late").collect()} == {1: True, 2: True, 4: True}
+    finally:
+        q.stop()
+
+
+@pytest.mark.parametrize("what", ["peaks", "quota"])
+def test_idle_state_goes(spark, scratch, what):
+    at = lambda h: datetime.datetime(2024, 3, 1) + datetime.timedelta(hours=h)
+    inbox = f"{scratch}/inbox"
+    land = lambda some: lambda: spark.createDataFrame(some, SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+    many = [(i, f"u{i}", at(0), 1.0) for i in range(50)]
+    land(many)()
+    st = L.live_stream(spark, inbox, spark.createDataFrame([], SCHEMA).schema, "parquet")
+    if what == "peaks":
+        stream = L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 1, delay="1 hour", idle=datetime.timedelta(hours=3))
+    else:
+        stream = L.stream_quota(st, ["user_id"], "ts", "event_id", 1, delay="1 hour")
+    kept = _run(stream, f"idle_{what}", scratch, [lambda: None, *(land([(100 + h, "live", at(h), 1.0)]) for h in (2, 8, 9))])
+    assert kept == 1
+
+
+def test_numbers_are_no_event_time(spark, scratch):
+    schema = spark.range(1).selectExpr("id", "id AS k", "id AS t", "0.5D AS v").schema
+    with pytest.raises(TypeError):
+        L.stream_peaks(L.live_stream(spark, scratch, schema), ["k"], "t", "id", "v")
 
 
 def test_window_stats_stream(spark, scratch):

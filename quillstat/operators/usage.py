@@ -7,14 +7,18 @@ is out of scope; these are the queries around the log.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import bisect
+from collections import deque
+from collections.abc import Iterator, Mapping, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.kernels import lay_out, prefix_sum, previous_values, running_sums
+from ..functions.kernels import lay_out, prefix_sum
 
 # USD per 1000 tokens by provider, and the default for others.
 RATES_PER_1K = {"mistral": 0.002, "gemini": 0.03, "groq": 0.02}
@@ -94,35 +98,118 @@ def hourly_cost_alert(log: DataFrame, now_epoch: int, threshold: float, horizon_
 
 
 # L5 -------------------------------------------------------------------------
-def _admit_partition(max_calls: int, horizon: float, group_cols: list[str]):
-    """Sequential admission over a partition sorted by (group, time); state resets per group."""
-    import numpy as np
-
-    def fn(batches):
-        prev_key = None
-        admitted: list[float] = []
-        start = 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(admitted=pd.Series([], dtype=bool))
-                continue
-            keys = list(zip(*[pdf[c].tolist() for c in group_cols]))
-            times = pdf["_tsd"].to_numpy(dtype="float64")
-            out = np.empty(len(pdf), dtype=bool)
-            for i, (k, t) in enumerate(zip(keys, times)):
-                if k != prev_key:
-                    prev_key, admitted, start = k, [], 0
-                # keep entries with t - a < horizon (the reference prunes t - a >= horizon)
-                while start < len(admitted) and t - admitted[start] >= horizon:
-                    start += 1
-                if len(admitted) - start < max_calls:
-                    admitted.append(t)
-                    out[i] = True
+#: Calls of one key that are packed and admitted together.
+_SEGMENT = 1 << 20
+
+
+def _first_free(times: list[float], oldest: float, horizon: float, at: int) -> int:
+    """The first place from ``at`` on whose time is ``horizon`` or more behind ``oldest``."""
+    j = bisect.bisect_left(times, oldest + horizon, at)
+    while j > at and times[j - 1] - oldest >= horizon:  # sums and differences may round differently
+        j -= 1
+    while j < len(times) and times[j] - oldest < horizon:
+        j += 1
+    return j
+
+
+def admit(times: list[float], before: Sequence[float], max_calls: int, horizon: float,
+          guess: Sequence[int] = ()) -> list[int]:
+    """Places of the admitted calls among ``times`` (sorted), after the admitted times ``before``.
+
+    A call has to wait for the one admitted ``max_calls`` before it, so rejected calls are skipped by
+    search.  ``guess`` is the answer for some other ``before``: once the last ``max_calls`` admitted calls
+    are the guess's as well, its rest is the answer's.
+    """
+    if max_calls <= 0:
+        return []
+    admitted, out, at = deque(before, maxlen=max_calls), [], 0
+    g = agreed = 0
+    while at < len(times):
+        if len(admitted) == max_calls and times[at] - admitted[0] < horizon:
+            at = _first_free(times, admitted[0], horizon, at)
+            if at == len(times):
+                break
+        admitted.append(times[at])
+        out.append(at)
+        passed = g
+        while g < len(guess) and guess[g] < at:
+            g += 1
+        if g < len(guess) and guess[g] == at:
+            agreed = agreed + 1 if g == passed else 1
+            g += 1
+            if agreed >= max_calls:
+                return out + list(guess[g:])
+        else:
+            agreed = 0
+        at += 1
+    return out
+
+
+def _speculated(keys: list[str], max_calls: int, horizon: float):
+    """Calls of a laid-out partition as segments of one key: where they are, their times, and the places that
+    would be admitted with nothing admitted before."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, times, first = None, [], 0
+
+        def segment(part: pa.Scalar) -> pa.RecordBatch:
+            guess = admit(times, (), max_calls, horizon)
+            columns = [*held, pa.array([part]), pa.array([first], type=pa.int64()),
+                       pa.array([np.array(times).tobytes()]), pa.array([np.array(guess, dtype=np.int32).tobytes()])]
+            return pa.RecordBatch.from_arrays(columns, names=[*keys, "_part", "_first", "times", "guess"])
+
+        part = None
+        for batch in batches:
+            part, n = batch.column("_part")[0].as_py(), batch.num_rows
+            change = np.zeros(n, dtype=bool)
+            for k in keys:
+                c = batch.column(k)
+                same = pc.fill_null(pc.equal(c[1:], c[:-1]), False)
+                both_null = pc.and_(pc.is_null(c[1:]), pc.is_null(c[:-1]))
+                change[1:] |= ~pc.or_(same, both_null).to_numpy(zero_copy_only=False)
+            at = batch.column("_at").to_numpy()
+            change[1:] |= np.diff(at) != 1  # calls without a time stand between
+            starts = np.append(np.flatnonzero(np.append(True, change[1:])), n)
+            values = batch.column("_tsd").to_numpy()
+            for i, j in zip(starts.tolist(), starts[1:].tolist()):
+                own = [batch.column(k).slice(i, 1) for k in keys]
+                joins = held is not None and i == 0 and own == held and first + len(times) == at[0]
+                if held is not None and not (joins and len(times) + j - i <= _SEGMENT):
+                    yield segment(part)
+                    held = None
+                if held is None:
+                    held, times, first = own, [], int(at[i])
+                times.extend(values[i:j].tolist())
+        if held is not None:
+            yield segment(part)
+
+    return pack
+
+
+def _stitched(keys: list[str], max_calls: int, horizon: float):
+    """Segments of each key in order: what is admitted in truth, after what was admitted before."""
+
+    def stitch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, before = None, deque(maxlen=max(1, max_calls))
+        for batch in batches:
+            own_keys = list(zip(*(batch.column(k).to_pylist() for k in keys))) if keys else [()] * batch.num_rows
+            for row, own in enumerate(own_keys):
+                if own != key:
+                    key = own
+                    before.clear()
+                times = np.frombuffer(batch.column("times")[row].as_py(), dtype=np.float64)
+                guess = np.frombuffer(batch.column("guess")[row].as_py(), dtype=np.int32)
+                if not before or times[0] - before[-1] >= horizon:
+                    found = guess
                 else:
-                    out[i] = False
-            yield pdf.assign(admitted=out)
+                    found = np.array(admit(times.tolist(), before, max_calls, horizon, guess.tolist()), dtype=np.int64)
+                before.extend(times[found[-max_calls:]].tolist() if max_calls > 0 else ())
+                if len(found):
+                    part = np.full(len(found), batch.column("_part")[row].as_py(), dtype=np.int64)
+                    places = batch.column("_first")[row].as_py() + found.astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(places)], names=["_p", "_a"])
 
-    return fn
+    return stitch
 
 
 def quota_admission(calls: DataFrame, ts: str, tie: str, max_calls: int, keys: Sequence[str] = (),
@@ -130,25 +217,25 @@ def quota_admission(calls: DataFrame, ts: str, tie: str, max_calls: int, keys: S
     """Sequential admission: a call is admitted iff fewer than ``max_calls`` admitted calls of its
     quota key lie in the last ``horizon_s`` seconds (only admitted calls count).
 
-    The work splits into independent runs at gaps >= horizon (the admitted
-    set is empty after such a gap), so one busy key is cut into many runs.
-    Runs are hash-partitioned, sorted inside partitions, and scanned once by
-    ``mapInPandas`` with the admission state reset at each run boundary.
-    A run with no 1-hour pause is sequential by definition and stays in one task.
-    Output = input + ``admitted``.
+    Calls are laid out by (key, time), so a busy key spans many partitions, and every segment of a key is admitted
+    in its own task as if nothing had been admitted before it.  Then a key's segments are stitched in order: what
+    is carried from segment to segment are the last ``max_calls`` admitted times, and a segment is gone through again
+    only until it agrees with the guess.  Stitching sees eight bytes a call, skips rejected calls by search, and
+    takes at most ``max_calls`` steps a horizon; whole rows never meet in one task.  Calls without a time are never
+    admitted and take no room.  Output = input + ``admitted``.
     """
     keys = list(keys)
-    base = calls.withColumn("_tsd", F.col(ts).cast("double"))
-    # one layout: a gap to the key's call before starts a run
-    laid = previous_values(lay_out(base, keys, ["_tsd", tie]), keys, {"_before": "_tsd"})
-    flagged = laid.withColumn("_gap", F.when(F.col("_tsd") - F.col("_before") >= horizon_s, 1).otherwise(0))
-    runs = running_sums(flagged, keys, {"_run": "_gap"}).drop("_gap", "_before", "_part", "_at")
-    group_cols = keys + ["_run"]
-    parts = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = runs.repartition(parts, *group_cols).sortWithinPartitions(*group_cols, "_tsd", tie)
-    schema = T.StructType(ordered.schema.fields + [T.StructField("admitted", T.BooleanType())])
-    res = ordered.mapInPandas(_admit_partition(max_calls, horizon_s, group_cols), schema)
-    return res.drop("_run", "_tsd")
+    laid = lay_out(calls.withColumn("_tsd", F.col(ts).cast("double")), keys, ["_tsd", tie])
+    timed = laid.where(F.col("_tsd").isNotNull() & ~F.isnan("_tsd")).select(*keys, "_part", "_at", "_tsd")
+    kept = T.StructType([calls.schema[k] for k in keys])
+    places = [T.StructField("_part", T.LongType()), T.StructField("_first", T.LongType())]
+    packed = [T.StructField("times", T.BinaryType()), T.StructField("guess", T.BinaryType())]
+    segments = timed.mapInArrow(_speculated(keys, max_calls, horizon_s), T.StructType([*kept.fields, *places, *packed]))
+    by_key = segments.repartition(*keys) if keys else segments.repartition(1)
+    admitted = by_key.sortWithinPartitions(*keys, "_part", "_first").mapInArrow(
+        _stitched(keys, max_calls, horizon_s), "_p long, _a long").withColumn("_admitted", F.lit(True))
+    return (laid.join(admitted, (F.col("_part") == F.col("_p")) & (F.col("_at") == F.col("_a")), "left")
+            .select(*calls.columns, F.coalesce("_admitted", F.lit(False)).alias("admitted")))
 
 
 def trailing_call_count(calls: DataFrame, ts: str, keys: Sequence[str] = (), horizon_s: int = 3600) -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import datetime as dt
 
 import pytest
@@ -68,6 +69,55 @@ def test_quota_admission_sequence(spark):
     assert [r["admitted"] for r in out] == [True, True, False, True, True]
 
 
+def _admitted_one_by_one(times, max_calls, horizon, before=()):
+    state, out = list(before), []
+    for i, t in enumerate(times):
+        if sum(t - a < horizon for a in state) < max_calls:
+            state.append(t)
+            out.append(i)
+    return out
+
+
+def test_admit_after_any_state_and_guess():
+    rng = random.Random(11)
+    for _ in range(600):
+        n, m, horizon = rng.randint(0, 60), rng.randint(1, 5), rng.choice([3.0, 10.0, 0.3])
+        times = sorted(rng.choice([rng.uniform(0, 40), float(rng.randint(0, 40)), rng.randint(0, 400) / 10]) for _ in range(n))
+        before = sorted(rng.uniform(-12, times[0] if times else 0) for _ in range(rng.randint(0, m)))
+        want = _admitted_one_by_one(times, m, horizon, before)
+        guess = U.admit(times, (), m, horizon)
+        assert guess == _admitted_one_by_one(times, m, horizon)
+        assert U.admit(times, before, m, horizon) == want
+        assert U.admit(times, before, m, horizon, guess) == want
+
+
+@pytest.mark.parametrize("max_calls, per_hour", [(1, 7), (3, 2), (3, 500), (40, 45)])
+def test_a_run_without_a_pause_splits(spark, monkeypatch, max_calls, per_hour):
+    """One key with all calls and no gap of an hour: admitted over many segments and tasks as one by one."""
+    monkeypatch.setattr(U, "_SEGMENT", 300)
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "100")
+    rng = random.Random(max_calls)
+    t, rows = 0.0, []
+    for i in range(4000):
+        t += min(3500.0, rng.expovariate(per_hour / 3600)) if rng.random() < 0.9 else 0.0
+        rows.append((i, float(round(t)), None))
+    rng.shuffle(rows)
+    calls = spark.createDataFrame(rows + [(4000, None, None)], "id int, t double, key string")
+    rows.sort(key=lambda r: (r[1], r[0]))
+    want = [rows[i][0] for i in _admitted_one_by_one([r[1] for r in rows], max_calls, 3600)]
+    for keys in (["key"], []):
+        out = U.quota_admission(calls, "t", "id", max_calls, keys).collect()
+        assert len(out) == 4001
+        assert sorted(r["id"] for r in out if r["admitted"]) == sorted(want)
+    laid = U.lay_out(calls.withColumn("_tsd", F.col("t")), ["key"], ["_tsd", "id"])
+    segments = laid.where("t IS NOT NULL").select("key", "_part", "_at", "_tsd").mapInArrow(
+        U._speculated(["key"], max_calls, 3600.0), "key string, _part long, _first long, times binary, guess binary")
+    assert segments.count() >= 14 and segments.select("_part").distinct().count() == 4
+    spark.conf.set(batch, before)
+
+
 def test_null_keys_are_a_key(spark):
     rows = [(i, float(i * 900), None if i % 3 == 0 else "k", 0.5) for i in range(60)]
     calls = spark.createDataFrame(rows, "id int, t double, provider string, cost double")

@@ -319,7 +319,7 @@ def _long_runs(pages: DataFrame, shared: DataFrame, needs: DataFrame, run: int,
 
     # page texts in doubt: they hold a fingerprint that enough others have
     held = pages.select("host", "hash", F.explode("inside").alias("key")).join(shared, ["host", "key"])
-    doubt = cut(held.select("host", "hash").distinct())
+    doubt = stored(held.select("host", "hash").distinct())  # of known size: few are joined without a shuffle of texts
     texts = F.transform(F.filter("parts", lambda p: p["main"]), lambda p: p["text"])
     array = (
         pages.join(doubt, ["host", "hash"])
@@ -387,7 +387,7 @@ def main_text(
         .agg(F.collect_set("pos").alias("outer"))
     )
     inner = _long_runs(parsed, fingerprints, needs, run, long)
-    starts = cut(outer.join(inner, ["host", "hash"], "full"))
+    starts = stored(outer.join(inner, ["host", "hash"], "full"))  # of known size, as above
 
     @F.pandas_udf("string")
     def composed(parts: pd.Series, outer: pd.Series, inner: pd.Series) -> pd.Series:

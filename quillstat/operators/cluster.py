@@ -4,9 +4,7 @@
 * assignment to the nearest centroid and the squared-Euclidean silhouette
   are per-row expressions against a broadcast k x d cluster table — never a
   pairwise cross join.
-* hierarchical clustering is two-level: tables of more than 500 distinct vectors
-  go into 500 k-means clusters on Spark, the weighted centres are merged on the
-  driver (ward, complete, average or single linkage), the label map broadcast back.
+* hierarchical clustering (ward, complete, average, single) is exact at any size: see ``linkage.py``.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import linkage
 
 #: Fits of one search that run at a time.
 PARALLEL_RUNS = 5
@@ -84,8 +83,36 @@ def silhouette(df: DataFrame, vec: str, cluster: str, out: str = "silhouette") -
     return j.withColumn(out, s).drop("_cl", "_d")
 
 
-def silhouette_score(df: DataFrame, vec: str, cluster: str) -> DataFrame:
-    return silhouette(df, vec, cluster).agg(F.avg("silhouette").alias("silhouette"))
+def silhouette_score(df: DataFrame, vec: str, cluster: str, distance: str = "euclidean") -> DataFrame:
+    """Mean silhouette; ``distance`` is ``euclidean`` (all pairs, in blocks) or ``squared`` (closed form)."""
+    if distance == "squared":
+        return silhouette(df, vec, cluster).agg(F.avg("silhouette").alias("silhouette"))
+    numbered = df.select(F.monotonically_increasing_id().alias("_id"), F.col(vec).alias("_v"), F.col(cluster).alias("_c")).checkpoint()
+    return euclidean_silhouette(numbered, "_v", "_c", "_id").agg(F.avg("silhouette").alias("silhouette"))
+
+
+def euclidean_silhouette(df: DataFrame, vec: str, cluster: str, id_col: str, out: str = "silhouette") -> DataFrame:
+    """``id_col, cluster, out`` with Euclidean distances between all rows; singleton clusters -> 0.
+
+    Rows without a cluster or a vector take no part.  ``id_col`` is a unique whole number.
+    """
+    rows = df.where(F.col(cluster).isNotNull() & F.col(vec).isNotNull()).select(
+        F.col(id_col).cast("long").alias("leaf"), F.col(cluster).cast("long").alias("c"), F.col(vec).cast("array<double>").alias("v"))
+    sums = linkage.distance_sums(rows)
+    sizes = rows.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    own = F.col("to") == F.col("c")
+    per = (
+        sums.join(sizes.withColumnRenamed("c", "to"), "to")
+        .groupBy("leaf", "c")
+        .agg(
+            F.max(F.when(own, F.col("n"))).alias("n"),
+            F.max(F.when(own, F.col("total"))).alias("inside"),
+            F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
+        )
+    )
+    a = F.col("inside") / (F.col("n") - 1)
+    s = F.when(F.col("n") <= 1, F.lit(0.0)).otherwise((F.col("b") - a) / F.nullif(F.greatest(a, "b"), F.lit(0.0)))
+    return per.select(F.col("leaf").alias(id_col), F.col("c").alias(cluster), F.coalesce(s, F.lit(0.0)).alias(out))
 
 
 # U1 / U2 / U3 ---------------------------------------------------------------
@@ -134,103 +161,3 @@ def best_k_by_silhouette(scores: DataFrame) -> DataFrame:
     return scores.agg(F.min_by("k", F.struct(-F.col("silhouette"), F.col("k"))).alias("best_k"))
 
 
-# U5 / V19 -------------------------------------------------------------------
-LINKAGES = ("ward", "complete", "average", "single")
-
-
-def agglomerate(points: np.ndarray, sizes: np.ndarray, linkage: str = "ward"):
-    """Agglomeration of (M, d) weighted points by Lance-Williams updates of one M x M matrix.  Merge table rows
-    (left, right, distance, size) with new ids M + step."""
-    if linkage not in LINKAGES:
-        raise ValueError(linkage)
-    m = len(points)
-    size = np.asarray(sizes, dtype=float).copy()
-    norm = (points ** 2).sum(1)
-    d2 = np.maximum(norm[:, None] - 2 * points @ points.T + norm[None, :], 0.0)
-    dist = 2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * d2 if linkage == "ward" else np.sqrt(d2)
-    np.fill_diagonal(dist, np.inf)
-    ids = np.arange(m)
-    merges = []
-    for step in range(m - 1):
-        a, b = sorted(np.unravel_index(np.argmin(dist), dist.shape))
-        da, db, dab, na, nb = dist[a].copy(), dist[b].copy(), dist[a, b], size[a], size[b]
-        if linkage == "ward":
-            new = ((size + na) * da + (size + nb) * db - size * dab) / (size + na + nb)
-        elif linkage == "average":
-            new = (na * da + nb * db) / (na + nb)
-        else:
-            new = (np.maximum if linkage == "complete" else np.minimum)(da, db)
-        gone = np.isinf(da) | np.isinf(db)
-        new[gone] = np.inf
-        new[a] = new[b] = np.inf
-        merges.append((int(min(ids[a], ids[b])), int(max(ids[a], ids[b])),
-                       float(np.sqrt(dab) if linkage == "ward" else dab), int(na + nb)))
-        dist[a], dist[:, a] = new, new
-        dist[b], dist[:, b] = np.inf, np.inf
-        size[a], ids[a] = na + nb, m + step
-    return merges
-
-
-def cut_line(merges, k: int) -> float | None:
-    """Height of the tree's cut line for ``k`` clusters: halfway between the last merge below and the first above."""
-    heights = [d for _, _, d, _ in merges]
-    n = len(heights) + 1
-    if not 1 < k <= n:
-        return None
-    above = heights[n - k]
-    return (heights[n - k - 1] + above) / 2 if n - k > 0 else above / 2
-
-
-def cut_tree(merges, m: int, k: int) -> np.ndarray:
-    """Leaf -> cluster label after undoing the last k-1 merges (labels 0..k-1 by first leaf)."""
-    parent = list(range(m + len(merges)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for step, (l, r, _, _) in enumerate(merges[: m - k]):
-        new = m + step
-        parent[find(l)] = new
-        parent[find(r)] = new
-    roots = [find(i) for i in range(m)]
-    relabel = {}
-    return np.array([relabel.setdefault(r, len(relabel)) for r in roots])
-
-
-def two_level(df: DataFrame, features_col: str, k: int, linkage: str = "ward", micro: int = 500, seed: int = 42):
-    """Hierarchical clustering at scale: returns (labelled df with 'cluster', merge table DataFrame).
-
-    Up to ``micro`` distinct vectors are agglomerated as they are, which is exact;
-    larger tables first go into ``micro`` k-means clusters, whose centres are
-    agglomerated with their sizes as weights.
-    """
-    spark = df.sparkSession
-    vec = vector_to_array(features_col)
-    distinct = df.groupBy(vec.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    rows = distinct.orderBy("_v").limit(micro + 1).collect()  # at most micro + 1 rows
-    exact = len(rows) <= micro
-    if exact:
-        points, sizes = np.array([r["_v"] for r in rows]), np.array([r["_n"] for r in rows])
-        assigned = df.withColumn("_v", vec)
-    else:
-        km = KMeans(k=micro, seed=seed, featuresCol=features_col, predictionCol="_micro").fit(df)
-        assigned = km.transform(df).withColumn("_micro", F.col("_micro").cast("int"))
-        sizes = np.zeros(len(km.clusterCenters()))
-        for r in assigned.groupBy("_micro").count().collect():  # <= micro rows
-            sizes[r["_micro"]] = r["count"]
-        live = np.where(sizes > 0)[0]
-        points, sizes = np.array(km.clusterCenters())[live], sizes[live]
-    merges = agglomerate(points, sizes, linkage)
-    labels = cut_tree(merges, len(points), min(k, len(points)))
-    if exact:
-        label_map = spark.createDataFrame([(r["_v"], int(c)) for r, c in zip(rows, labels)], "_v array<double>, cluster int")
-        out = assigned.join(F.broadcast(label_map), "_v").drop("_v")
-    else:
-        label_map = spark.createDataFrame([(int(i), int(c)) for i, c in zip(live, labels)], "_micro int, cluster int")
-        out = assigned.join(F.broadcast(label_map), "_micro").drop("_micro")
-    merge_df = spark.createDataFrame([(i, l, r, d, s) for i, (l, r, d, s) in enumerate(merges)],
-                                     "step int, left int, right int, distance double, size int")
-    return out, merge_df

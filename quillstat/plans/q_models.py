@@ -11,6 +11,7 @@ from ..operators import charts as V
 from ..operators import classify as K
 from ..operators import cluster as U
 from ..operators import ensemble as E
+from ..operators import linkage as H
 from ..operators import metrics as M
 from ..operators import reduce as D
 from ..operators import regression as R
@@ -520,7 +521,16 @@ def u_silhouette(spark, sf):
     return s.select("vec_id", F.round("silhouette", 8).alias("silhouette"))
 
 
-@register("u_silhouette_score", f"WITH {_SIL_SQL} SELECT round(avg(silhouette), 8) AS silhouette FROM sil", ops=("U4", "U3"))
+_EUCLIDEAN_SQL = _SIL_SQL.replace("sum(d2)", "sum(sqrt(d2))")
+
+
+@register("u_silhouette_euclidean", f"WITH {_EUCLIDEAN_SQL} SELECT vec_id, round(silhouette, 8) AS silhouette FROM sil", ops=("U4",))
+def u_silhouette_euclidean(spark, sf):
+    s = U.euclidean_silhouette(table(spark, sf, "embeddings"), "embedding", "label", "vec_id")
+    return s.select("vec_id", F.round("silhouette", 8).alias("silhouette"))
+
+
+@register("u_silhouette_score", f"WITH {_EUCLIDEAN_SQL} SELECT round(avg(silhouette), 8) AS silhouette FROM sil", ops=("U4", "U3"))
 def u_silhouette_score(spark, sf):
     s = U.silhouette_score(table(spark, sf, "embeddings"), "embedding", "label")
     return s.select(F.round("silhouette", 8).alias("silhouette"))
@@ -578,7 +588,7 @@ def u_kmeans_checks(spark, sf):
 
 @register("u_ward", None, ops=("U5",))
 def u_ward(spark, sf):
-    out, _ = U.two_level(_emb_vectors(spark, sf), "features", k=10)
+    out, _ = H.hierarchical(table(spark, sf, "embeddings"), "embedding", k=10)
     return out.select("vec_id", "label", "cluster")
 
 
@@ -587,16 +597,16 @@ def u_linkages(spark, sf):
     """Cluster of every vector under each of the other linkages."""
     out = None
     for linkage in ("complete", "average", "single"):
-        got = U.two_level(_emb_vectors(spark, sf), "features", 10, linkage)[0].select(F.lit(linkage).alias("linkage"), "vec_id", "cluster")
+        got = H.hierarchical(table(spark, sf, "embeddings"), "embedding", 10, linkage)[0].select(F.lit(linkage).alias("linkage"), "vec_id", "cluster")
         out = got if out is None else out.unionByName(got)
     return out
 
 
 @register("v_dendrogram", None, ops=("V19",))
 def v_dendrogram(spark, sf):
-    _, merges = U.two_level(_emb_vectors(spark, sf), "features", k=10)
-    rows = [tuple(r)[1:] for r in merges.orderBy("step").collect()]  # fewer than micro rows
-    return merges.withColumn("cut_line", F.lit(U.cut_line(rows, 10)))
+    _, merges = H.hierarchical(table(spark, sf, "embeddings"), "embedding", k=10)
+    rows = [tuple(r)[1:] for r in merges.orderBy("step").collect()]  # the top of the tree
+    return merges.withColumn("cut_line", F.lit(H.cut_line(rows, 10)))
 
 
 @register("u_cluster_run", None, ops=("U7", "P16", "V13"))

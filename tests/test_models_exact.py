@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillstat.operators import charts as V
 from quillstat.operators import classify as K
 from quillstat.operators import cluster as U
+from quillstat.operators import linkage as H
 from quillstat.operators import profiling as P
 from quillstat.operators import splits as S
 from quillstat.operators import usage
@@ -41,29 +42,152 @@ def naive_agglomeration(points, linkage):
     return out
 
 
-@pytest.mark.parametrize("linkage", U.LINKAGES)
-def test_agglomeration(linkage):
+def lance_williams(points, sizes, linkage):
+    """Agglomeration of (M, d) weighted points by Lance-Williams updates of one M x M matrix.  Merge table rows
+    (left, right, distance, size) with new ids M + step."""
+    m = len(points)
+    size = np.asarray(sizes, dtype=float).copy()
+    norm = (points ** 2).sum(1)
+    d2 = np.maximum(norm[:, None] - 2 * points @ points.T + norm[None, :], 0.0)
+    dist = 2 * size[:, None] * size[None, :] / (size[:, None] + size[None, :]) * d2 if linkage == "ward" else np.sqrt(d2)
+    np.fill_diagonal(dist, np.inf)
+    ids = np.arange(m)
+    merges = []
+    for step in range(m - 1):
+        a, b = sorted(np.unravel_index(np.argmin(dist), dist.shape))
+        da, db, dab, na, nb = dist[a].copy(), dist[b].copy(), dist[a, b], size[a], size[b]
+        if linkage == "ward":
+            new = ((size + na) * da + (size + nb) * db - size * dab) / (size + na + nb)
+        elif linkage == "average":
+            new = (na * da + nb * db) / (na + nb)
+        else:
+            new = (np.maximum if linkage == "complete" else np.minimum)(da, db)
+        gone = np.isinf(da) | np.isinf(db)
+        new[gone] = np.inf
+        new[a] = new[b] = np.inf
+        merges.append((int(min(ids[a], ids[b])), int(max(ids[a], ids[b])),
+                       float(np.sqrt(dab) if linkage == "ward" else dab), int(na + nb)))
+        dist[a], dist[:, a] = new, new
+        dist[b], dist[:, b] = np.inf, np.inf
+        size[a], ids[a] = na + nb, m + step
+    return merges
+
+
+def cut_tree(merges, m: int, k: int) -> np.ndarray:
+    """Leaf -> cluster label after undoing the last k-1 merges (labels 0..k-1 by first leaf)."""
+    parent = list(range(m + len(merges)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for step, (l, r, _, _) in enumerate(merges[: m - k]):
+        new = m + step
+        parent[find(l)] = new
+        parent[find(r)] = new
+    roots = [find(i) for i in range(m)]
+    relabel = {}
+    return np.array([relabel.setdefault(r, len(relabel)) for r in roots])
+
+
+@pytest.mark.parametrize("linkage", H.LINKAGES)
+def test_brute_force_and_chain_agree(linkage):
     points = np.random.default_rng(4).normal(size=(25, 3))
-    got, want = U.agglomerate(points, np.ones(25), linkage), naive_agglomeration(points, linkage)
+    got, want = lance_williams(points, np.ones(25), linkage), naive_agglomeration(points, linkage)
     assert [(a, b, n) for a, b, _, n in got] == [(a, b, n) for a, b, _, n in want]
     assert np.allclose([x[2] for x in got], [x[2] for x in want])
+    d = H._distances(points, points)  # for two single points, ward has the distance itself
+    chain = sorted(h for _, _, h in H.merge_matrix(d, np.ones(25), linkage))
+    assert np.allclose(chain, [x[2] for x in want])
 
 
 def test_cut_line():
     merges = [(0, 1, 1.0, 2), (2, 3, 2.0, 2), (4, 5, 6.0, 4)]
-    assert U.cut_line(merges, 2) == 4.0 and U.cut_line(merges, 3) == 1.5 and U.cut_line(merges, 4) == 0.5
-    assert U.cut_line(merges, 1) is None and U.cut_line(merges, 9) is None
+    assert H.cut_line(merges, 2) == 4.0 and H.cut_line(merges, 3) == 1.5 and H.cut_line(merges, 4) == 0.5
+    assert H.cut_line(merges, 1) is None and H.cut_line(merges, 9) is None
+
+
+def _same_tree(points, sizes, linkage, merges, labels, k):
+    want = lance_williams(points, sizes, linkage)
+    assert [(a, b, n) for a, b, _, n in merges] == [(a, b, n) for a, b, _, n in want]
+    assert np.allclose([x[2] for x in merges], [x[2] for x in want])
+    assert labels == cut_tree(want, len(points), k).tolist()
 
 
-def test_small_tables_are_clustered_exactly(spark):
+@pytest.mark.parametrize("linkage", H.LINKAGES)
+def test_rounds_over_blocks_are_exact(spark, linkage):
+    """Rounds, clusters larger than a block and the last task together give the tree of plain agglomeration."""
+    rng = np.random.default_rng(len(linkage))
+    rows = [[float(x) for x in rng.normal(loc=3 * (i % 4 == 0), size=3)] for i in range(34)]
+    rows += rows[:6] + rows[:1] * 3  # repeated vectors are one leaf
+    points = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, v array<double>")
+    leaves = H.leaves(points, "v")
+    got = leaves.orderBy("leaf").collect()
+    x, w = np.array([r["v"] for r in got]), np.array([r["w"] for r in got])
+    assert len(got) == 34 and sorted(w)[-1] == 5
+    edges = H.tree(leaves, linkage, block=9, finish=12)
+    labels = [r["cluster"] for r in H.cut(edges, leaves, 5).orderBy("leaf").collect()]
+    _same_tree(x, w, linkage, H.merge_table(edges, leaves), labels, 5)
+    top = H.merge_table(edges, leaves, top=4)
+    assert len(top) == 4 and top[-1][3] == len(rows) and np.allclose([m[2] for m in top], sorted(r["height"] for r in edges.collect())[-4:])
+
+
+@pytest.mark.parametrize("linkage", ["ward", "average"])
+def test_two_thousand_vectors_are_exact(spark, linkage):
+    leaves = H.leaves(spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"), "embedding")
+    got = leaves.orderBy("leaf").collect()
+    edges = H.tree(leaves, linkage)
+    labels = [r["cluster"] for r in H.cut(edges, leaves, 10).orderBy("leaf").collect()]
+    _same_tree(np.array([r["v"] for r in got]), np.array([r["w"] for r in got]), linkage, H.merge_table(edges, leaves), labels, 10)
+
+
+def test_components_by_rounds(spark):
+    edges = [(9, 8), (8, 7), (7, 1), (20, 21), (21, 22), (22, 5), (3, 4)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    want = {**dict.fromkeys((1, 7, 8, 9), 1), **dict.fromkeys((5, 20, 21, 22), 5), 3: 3, 4: 3}
+    for small in (0, 100):
+        assert dict(map(tuple, H.components(df, small).collect())) == want
+    assert H.components(df.limit(0), 100).count() == 0
+
+
+def test_small_and_empty_tables_are_clustered(spark):
     rng = np.random.default_rng(1)
-    rows = [(i, [float(x) for x in rng.normal(loc=10 * (i % 3), size=2)]) for i in range(30)] + [(30, [0.0, 0.0]), (31, [0.0, 0.0])]
-    df = spark.createDataFrame(rows, "id int, v array<double>").withColumn("features", array_to_vector("v"))
-    out, merges = U.two_level(df, "features", 3)
+    rows = [(i, [float(x) for x in rng.normal(loc=10 * (i % 3), size=2)]) for i in range(30)] + [(30, [0.0, 0.0]), (31, [0.0, 0.0]), (32, None)]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    out, merges = H.hierarchical(df, "v", 3)
     groups = {}
     for r in out.collect():
         groups.setdefault(r["cluster"], set()).add(r["id"] % 3 if r["id"] < 30 else 0)
+    assert groups.pop(None) == {0}
     assert sorted(map(sorted, groups.values())) == [[0], [1], [2]] and merges.count() == 30
+    out, merges = H.hierarchical(df.limit(0), "v", 3)
+    assert out.count() == merges.count() == 0
+    out, merges = H.hierarchical(df.where("id = 0"), "v", 3)
+    assert [r["cluster"] for r in out.collect()] == [0] and merges.count() == 0
+
+
+def test_euclidean_silhouette(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 3))
+    c = [0] * 40 + [1] * 19 + [2]
+    df = spark.createDataFrame([(i, [float(a) for a in v], k) for i, (v, k) in enumerate(zip(x, c))] + [(60, None, 1), (61, [0.0] * 3, None)],
+                               "id long, v array<double>, c int")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    c = np.array(c)
+    for block in (8, 1024):
+        H_block, H.distance_sums.__defaults__ = H.distance_sums.__defaults__, (block,)
+        got = {r["id"]: r["silhouette"] for r in U.euclidean_silhouette(df, "v", "c", "id").collect()}
+        H.distance_sums.__defaults__ = H_block
+        assert set(got) == set(range(60))
+        for i in range(60):
+            if c[i] == 2:
+                assert got[i] == 0.0
+                continue
+            a = d[i, c == c[i]].sum() / ((c == c[i]).sum() - 1)
+            b = min(d[i, c == k].mean() for k in range(3) if k != c[i])
+            assert math.isclose(got[i], (b - a) / max(a, b), rel_tol=1e-9)
 
 
 def test_knn_keeps_true_neighbours_of_large_vectors(spark):

@@ -11,11 +11,13 @@ one of four.  Everything longer than one word is thus found by the same step, an
 only over parts that are frequent themselves.
 
 Scale.  Texts of one language are gathered into blocks of bounded size.  A block
-keeps its sequence of parts; its distinct pairs with their counts, one row each,
-are shuffled once by pair.  There the counts are added up, pairs that are too rare
-end, and the others go back to the blocks that hold them, with one number for each
-pair.  No vocabulary is ever in one place, a language with most of the texts is as
-many blocks as it needs, and no pair has more rows than there are blocks.
+keeps its sequence of parts, and deals its distinct pairs with their counts to
+buckets by their hash, sorted and compressed, a row for each block and bucket.
+Buckets are so many that about ``BUCKET`` pairs meet in each.  There the counts are
+added up, pairs that are too rare end, and the others go back to the blocks that hold
+them, with one number for each pair.  No vocabulary is ever in one place, a language
+with most of the texts is as many blocks as it needs, and as a block sends a pair
+once, no pair weighs more in its bucket than there are blocks.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,8 @@ from .common import stored
 
 #: Bytes of text in a block, about (a longer text is a block by itself).
 BLOCK = 8 << 20
+#: Pairs or words of blocks that meet in a bucket, about.
+BUCKET = 500_000
 #: Ids on a tile's side, and the share of its cells that its pairs must reach to be counted densely.
 TILE, DENSE = 256, 8
 #: Occurrences of a candidate, words in it, results of each language.
@@ -80,13 +86,32 @@ def count_pairs(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return (of >> 31) * TILE + cells // TILE, (of & ((1 << 31) - 1)) * TILE + cells % TILE, counts, place
 
 
-_WORDS = "lang string, words array<struct<word:string,n:int>>, seq binary"
+#: ``words``: the words of a block, end to end with line feeds (no word has one), ``n``: how often each is there;
+#: ``seq``: places in that list, from 1 (0: the end of a piece).
+_WORDS = "lang string, words binary, n binary, seq binary, total long, size long"
 _WORDS_ARROW = pa.schema([
-    ("lang", pa.string()), ("words", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int32())]))), ("seq", pa.binary()),
+    ("lang", pa.string()), ("words", pa.binary()), ("n", pa.binary()), ("seq", pa.binary()), ("total", pa.int64()), ("size", pa.int64()),
 ])
-#: ``ids``: the parts of a block, most frequent first; ``seq``: places in that list (-1: no part).
-_PARTS = "block long, lang string, ids binary, seq binary"
-_PAIRS = "block long, at int, left long, right long, n int"
+#: ``ids``: the parts of a block, most frequent first; ``seq``: places in that list (-1: no part); ``size``: its pairs.
+_PARTS = "block long, lang string, ids binary, seq binary, size long"
+#: What a block sends to a bucket: items from its place ``base`` on.
+_DEALT = "bucket long, lang string, block long, base int, count int, items binary"
+#: What a bucket finds: frequent items for the blocks that sent them (``known``: places and ids), and one row for each
+#: (``id`` and ``a``, with ``word`` or ``left`` and ``right``).
+_FOUND = "block long, known binary, lang string, id long, a long, word string, left long, right long"
+_FOUND_ARROW = pa.schema([
+    ("block", pa.int64()), ("known", pa.binary()), ("lang", pa.string()), ("id", pa.int64()), ("a", pa.int64()),
+    ("word", pa.string()), ("left", pa.int64()), ("right", pa.int64()),
+])
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Whole numbers, compressed by columns."""
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.astype("<i8").tobytes() for a in arrays))
+
+
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype="<i8").reshape(-1, count)
 
 
 def _worded(block: int):
@@ -99,11 +124,8 @@ def _worded(block: int):
             numbers = {b".": 0}
             seq = np.fromiter((numbers.setdefault(w, len(numbers)) for w in tokens(b".".join(waiting.pop(lang)))), dtype=np.int32)
             n = np.bincount(seq, minlength=len(numbers))[1:]
-            words = pa.StructArray.from_arrays(
-                [pa.array(list(numbers)[1:], type=pa.binary()).cast(pa.string()), pa.array(n, type=pa.int32())], names=["word", "n"]
-            )
-            listed = pa.ListArray.from_arrays(pa.array([0, len(words)], type=pa.int32()), words)
-            return pa.RecordBatch.from_arrays([pa.array([lang]), listed, pa.array([seq.tobytes()])], schema=_WORDS_ARROW)
+            values = lang, b"\n".join(list(numbers)[1:]), n.astype("<i8").tobytes(), seq.tobytes(), int(n.sum()), len(n)
+            return pa.RecordBatch.from_arrays([pa.array([v], type=f.type) for v, f in zip(values, _WORDS_ARROW)], schema=_WORDS_ARROW)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang"), batch.column("text")):
@@ -132,67 +154,236 @@ def _reranked(places: np.ndarray, at: np.ndarray, ids: np.ndarray) -> tuple[np.n
     return ids[order], seq[~(gap & np.append(False, gap[:-1]))]  # one place for a stretch without parts
 
 
+def _column(rows: pa.RecordBatch, name: str, row: int = 0):
+    return rows.column(name)[row].as_py()
+
+
 def _parts(places_of):
-    """Blocks of the next step: frequent items in the places that ``places_of`` a row gives."""
+    """Blocks of the next step: frequent items in the places that ``places_of`` a block gives."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for one in range(batch.num_rows):
                 row = batch.slice(one, 1)
-                known = row.column("known").flatten()
-                at, ids = (known.field(c).to_numpy() for c in ("at", "id"))
+                known = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), dtype="<i8").reshape(2, -1) for x in _column(row, "known")]
+                at, ids = np.concatenate(known, axis=1)
                 ids, seq = _reranked(places_of(row), at, ids)
-                yield pa.RecordBatch.from_arrays(
-                    [row.column("block"), row.column("lang"), pa.array([ids.tobytes()]), pa.array([seq.tobytes()])],
-                    names=["block", "lang", "ids", "seq"],
-                )
+                size = len(count_pairs(seq)[2])
+                if size:
+                    yield pa.RecordBatch.from_arrays(
+                        [row.column("block"), row.column("lang"), pa.array([ids.tobytes()]), pa.array([seq.tobytes()]), pa.array([size])],
+                        names=["block", "lang", "ids", "seq", "size"],
+                    )
 
     return work
 
 
-def _word_places(row: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(row.column("seq")[0].as_py(), dtype=np.int32) - 1  # 0 is the end of a piece
+def _sequence(row: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(_column(row, "seq"), dtype=np.int32)
 
 
-def _sequence(row: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(row.column("seq")[0].as_py(), dtype=np.int32)
+def _ids(row: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(_column(row, "ids"), dtype=np.int64)
+
+
+def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A hash of pairs of ids."""
+    h = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
 
+def _in_buckets(buckets: np.ndarray):
+    """Runs of equal buckets of a sorted array: bucket, first and last place."""
+    starts = np.append(np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])), len(buckets)) if len(buckets) else [0]
+    for i, j in zip(starts, starts[1:]):
+        yield int(buckets[i]), int(i), int(j)
 
-def _pair_places(row: pa.RecordBatch) -> np.ndarray:
-    return count_pairs(_sequence(row))[3]
+
+def _dealt_rows(row: pa.RecordBatch, runs) -> Iterator[pa.RecordBatch]:
+    columns = list(zip(*runs))
+    if columns:
+        bucket, base, count, items = columns
+        k = len(bucket)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(bucket, type=pa.int64()), pa.array([_column(row, "lang")] * k, type=pa.string()),
+             pa.array([_column(row, "block")] * k, type=pa.int64()), pa.array(base, type=pa.int32()), pa.array(count, type=pa.int32()),
+             pa.array(items, type=pa.binary())],
+            names=["bucket", "lang", "block", "base", "count", "items"],
+        )
+
+
+def _word_order(row: pa.RecordBatch, buckets: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of a block, the order in which they are dealt, and their buckets in that order."""
+    raw = _column(row, "words")
+    words = raw.split(b"\n") if raw else []
+    of = np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words)) % np.uint64(buckets)
+    order = np.array(sorted(range(len(words)), key=lambda i: (of[i], words[i])), dtype=np.int64)
+    return words, order, of[order].astype(np.int64)
+
+
+def _pair_order(row: pa.RecordBatch, buckets: int):
+    """Left, right and count of a block's pairs, the order in which they are dealt, their buckets, and ``count_pairs``' places."""
+    ids = _ids(row)
+    left, right, n, place = count_pairs(_sequence(row))
+    left, right = ids[left], ids[right]
+    of = (_mixed(left, right) % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((right, left, of))
+    return left, right, n, order, of[order], place
+
+
+def _deal_words(buckets: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in range(batch.num_rows):
+                row = batch.slice(one, 1)
+                words, order, of = _word_order(row, buckets)
+                n = np.frombuffer(_column(row, "n"), dtype="<i8")[order] if len(order) else order
+                pack = zstandard.ZstdCompressor(level=3).compress
+                runs = []
+                for bucket, i, j in _in_buckets(of):
+                    text = b"\n".join([words[w] for w in order[i:j].tolist()])
+                    runs.append((bucket, i, j - i, pack(n[i:j].astype("<i8").tobytes() + text)))
+                yield from _dealt_rows(row, runs)
+
+    return work
 
 
-def _paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each distinct pair of a block."""
+def _deal_pairs(buckets: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in range(batch.num_rows):
+                row = batch.slice(one, 1)
+                left, right, n, order, of, _ = _pair_order(row, buckets)
+                left, right, n = left[order], right[order], n[order]
+                # lefts are sorted, so their differences are small
+                runs = [(b, i, j - i, _packed(np.diff(left[i:j], prepend=0), right[i:j], n[i:j])) for b, i, j in _in_buckets(of)]
+                yield from _dealt_rows(row, runs)
+
+    return work
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]):
+    """Rows of each bucket, which stand together."""
+    held, rows = None, []
     for batch in batches:
-        for one in range(batch.num_rows):
-            row = batch.slice(one, 1)
-            ids = np.frombuffer(row.column("ids")[0].as_py(), dtype=np.int64)
-            left, right, n, _ = count_pairs(_sequence(row))
-            block = np.full(len(n), row.column("block")[0].as_py())
-            columns = block, np.arange(len(n), dtype=np.int32), ids[left], ids[right], n.astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["block", "at", "left", "right", "n"])
+        for row in batch.to_pylist():
+            key = row["bucket"], row["lang"]
+            if key != held and rows:
+                yield held[1], rows
+                rows = []
+            held = key
+            rows.append(row)
+    if rows:
+        yield held[1], rows
+
+
+def _answers(rows: list[dict], key: np.ndarray, n: np.ndarray, blocks: int, least: int):
+    """Of the items of a bucket, ``key`` from 0: answers to the blocks, and for each frequent item a place, id and count."""
+    counts = np.array([r["count"] for r in rows])
+    at = np.concatenate([np.arange(r["base"], r["base"] + r["count"], dtype=np.int64) for r in rows])
+    number = at * blocks + np.repeat([r["block"] for r in rows], counts)
+    total = np.zeros(int(key.max()) + 1, dtype=np.int64)
+    np.add.at(total, key, n)
+    first = np.full(len(total), np.iinfo(np.int64).max)
+    np.minimum.at(first, key, number)
+    often = total[key] >= least
+    upto = np.append(0, np.cumsum(counts))
+    answers = [
+        (r["block"], _packed(at[i:j][often[i:j]], first[key[i:j][often[i:j]]]))
+        for r, i, j in zip(rows, upto, upto[1:]) if often[i:j].any()
+    ]
+    chosen = np.flatnonzero(often & (number == first[key]))
+    return answers, chosen, number[chosen], total[key[chosen]]
+
+
+def _found_rows(lang: str, answers, ids, a, **columns) -> Iterator[pa.RecordBatch]:
+    k, m = len(answers), len(ids)
+    values = {
+        "block": [b for b, _ in answers] + [None] * m, "known": [x for _, x in answers] + [None] * m, "lang": [lang] * (k + m),
+        "id": [None] * k + ids.tolist(), "a": [None] * k + a.tolist(),
+    } | {c: [None] * k + list(v) for c, v in columns.items()}
+    if k + m:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values.get(f.name, [None] * (k + m)), type=f.type) for f in _FOUND_ARROW], schema=_FOUND_ARROW
+        )
 
 
-def _frequent(items: DataFrame, key: list[str], blocks: int, least: int) -> DataFrame:
-    """Items found often enough, in every block that holds them, with ``a`` (in all blocks) and ``id``.
+def _merge_words(blocks: int, least: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, rows in _by_bucket(batches):
+            numbers: dict[bytes, int] = {}
+            keys, ns, words = [], [], []
+            for r in rows:
+                data = zstandard.ZstdDecompressor().decompress(r["items"])
+                ns.append(np.frombuffer(data[: 8 * r["count"]], dtype="<i8"))
+                own = data[8 * r["count"] :].split(b"\n")
+                keys.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), dtype=np.int64, count=len(own)))
+                words.append(own)
+            key = np.concatenate(keys)
+            answers, chosen, ids, a = _answers(rows, key, np.concatenate(ns), blocks, least)
+            names = list(numbers)
+            yield from _found_rows(lang, answers, ids, a, word=[names[key[i]].decode("utf-8") for i in chosen.tolist()])
+
+    return work
 
-    The id is that of one of an item's places, which are numbered over all ``blocks``; ``first`` says where it is.
-    """
-    every = Window.partitionBy(*key)
-    number = F.col("at").cast("long") * F.lit(blocks) + F.col("block")
-    counted = items.withColumns({"a": F.sum("n").over(every), "id": F.min(number).over(every)})
-    return stored(counted.where(F.col("a") >= least).withColumn("first", F.col("id") == number).drop("n"))
+
+def _merge_pairs(blocks: int, least: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, rows in _by_bucket(batches):
+            left, right, n = np.concatenate([_unpacked(r["items"], r["count"]) for r in rows], axis=1)
+            ends = np.cumsum([r["count"] for r in rows])
+            sums = np.cumsum(left)  # lefts are differences within a row
+            left = sums - np.repeat(np.append(0, sums[ends[:-1] - 1]), np.diff(ends, prepend=0))
+            _, l = np.unique(left, return_inverse=True)
+            kinds, r = np.unique(right, return_inverse=True)
+            _, key = np.unique(l * len(kinds) + r, return_inverse=True)  # sorted COO of the bucket
+            answers, chosen, ids, a = _answers(rows, key, n, blocks, least)
+            yield from _found_rows(lang, answers, ids, a, left=left[chosen].tolist(), right=right[chosen].tolist())
+
+    return work
+
+
+def _frequent(blocks: DataFrame, deal, merge, numbers: int, least: int, bucket: int) -> tuple[DataFrame, int]:
+    """What the buckets find, and how many there are."""
+    items = blocks.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-items // bucket))
+    dealt = blocks.mapInArrow(deal(buckets), _DEALT).repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang")
+    return stored(dealt.mapInArrow(merge(numbers, least), _FOUND)), buckets
 
 
 def _next(blocks: DataFrame, found: DataFrame, places_of) -> DataFrame:
     """The blocks with the frequent items found in them as their parts."""
-    known = found.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("known"))
-    return stored(blocks.select("block", "lang", "seq").join(known, "block").mapInArrow(_parts(places_of), _PARTS))
+    known = found.where("block IS NOT NULL").groupBy("block").agg(F.collect_list("known").alias("known"))
+    return stored(blocks.join(known, "block").mapInArrow(_parts(places_of), _PARTS))
+
+
+def _places(order: np.ndarray, count: int) -> np.ndarray:
+    """Where each item of a block stands in the order in which it was dealt; the last one: none."""
+    where = np.full(count + 1, -1, dtype=np.int64)
+    where[order] = np.arange(count)
+    return where
+
+
+def _word_places(buckets: int):
+    def places(row: pa.RecordBatch) -> np.ndarray:
+        words, order, _ = _word_order(row, buckets)
+        return _places(order, len(words))[_sequence(row) - 1]
+
+    return places
+
+
+def _pair_places(buckets: int):
+    def places(row: pa.RecordBatch) -> np.ndarray:
+        left, _, _, order, _, place = _pair_order(row, buckets)
+        return _places(order, len(left))[place]
+
+    return places
 
 
 def phrase_counts(
-    docs: DataFrame, text_col: str, lang_col: str, least: int = LEAST, most_words: int = MOST_WORDS, block: int = BLOCK
+    docs: DataFrame, text_col: str, lang_col: str, least: int = LEAST, most_words: int = MOST_WORDS, block: int = BLOCK,
+    bucket: int = BUCKET,
 ) -> tuple[list[DataFrame], DataFrame]:
     """Frequent phrases of 1, 2, ... words, and ``lang, n`` (all word occurrences).
 
@@ -211,19 +402,18 @@ def phrase_counts(
     most = most or 1
     numbers = ((last or 0) + 1) * most
     blocks = blocks.withColumn("block", part * F.lit(most) + within)
-    items = blocks.select("block", "lang", F.posexplode("words").alias("at", "w")).select("block", "lang", "at", "w.*")
-    totals = blocks.groupBy("lang").agg(F.sum(F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + w["n"])).alias("n"))
-    found = _frequent(items, ["lang", "word"], numbers, least)
+    totals = blocks.groupBy("lang").agg(F.sum("total").alias("n"))
+    found, buckets = _frequent(blocks, _deal_words, _merge_words, numbers, least, bucket)
     none = F.array().cast("array<long>")
     word = F.col("word")
-    tables = [found.where("first").select("lang", "id", "a", word.alias("phrase"), word.alias("last"), none.alias("pre"), none.alias("post"))]
-    places_of = _word_places
+    items = found.where("id IS NOT NULL")
+    tables = [items.select("lang", "id", "a", word.alias("phrase"), word.alias("last"), none.alias("pre"), none.alias("post"))]
+    places_of = _word_places(buckets)
     for _ in range(1, most_words):
         blocks = _next(blocks, found, places_of)
-        places_of = _pair_places
-        # ids of one language are no other's, so a pair's key needs no language
-        found = _frequent(blocks.mapInArrow(_paired, _PAIRS), ["left", "right"], numbers, least)
-        ranked = found.where("first").select("id", "left", "right", "a")
+        found, buckets = _frequent(blocks, _deal_pairs, _merge_pairs, numbers, least, bucket)
+        places_of = _pair_places(buckets)
+        ranked = found.where("id IS NOT NULL").select("id", "left", "right", "a")
         parts = tables[-1].drop("left", "right")
         head, tail = (parts.select(*(F.col(c).alias(f"{side}_{c}") for c in parts.columns)) for side in ("l", "r"))
         tables.append(
@@ -254,6 +444,7 @@ def collocations(
     most_words: int = MOST_WORDS,
     first: int = FIRST,
     block: int = BLOCK,
+    bucket: int = BUCKET,
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: the ``first`` collocations of each language.
 
@@ -262,7 +453,7 @@ def collocations(
     and among phrases to the more frequent and then the smaller one.  Repeated rows count as often as they stand
     there; other columns are ignored; an empty table, or one without frequent phrases, gives no rows.
     """
-    tables, totals = phrase_counts(docs, text_col, lang_col, least, most_words, block)
+    tables, totals = phrase_counts(docs, text_col, lang_col, least, most_words, block, bucket)
     scored = []
     for words, table in enumerate(tables[1:], 2):
         cuts = [(k, F.col("pre")[k - 1], F.col("post")[words - k - 1]) for k in range(1, words)]

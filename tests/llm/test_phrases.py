@@ -63,8 +63,8 @@ HARD = [
 
 def test_hard_texts(spark):
     docs = spark.createDataFrame(HARD, "lang string, text string").selectExpr("*", "1 AS id", "2 AS block", "3 AS word", "4 AS n")
-    for least, first, block in ((2, 2000, 1), (3, 3, 1 << 20)):
-        got = _rows(phrases.collocations(docs, least=least, first=first, block=block))
+    for least, first, block, bucket in ((2, 2000, 1, 20), (3, 3, 1 << 20, 1 << 20)):
+        got = _rows(phrases.collocations(docs, least=least, first=first, block=block, bucket=bucket))
         assert got == brute_force(HARD, least, first=first)
 
 

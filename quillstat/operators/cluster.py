@@ -1,6 +1,7 @@
 """Clustering.
 
-* k-means: Spark ML ``KMeans`` (k-means|| init), best of ``n_init`` seeds by cost.
+* k-means: every k and every start of a search in the same passes (``kmeans_search``); Spark ML
+  ``KMeans`` where a model is to be kept (``kmeans_best``).
 * assignment to the nearest centroid and the squared-Euclidean silhouette
   are per-row expressions against a broadcast k x d cluster table — never a
   pairwise cross join.
@@ -9,15 +10,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import linkage
 
@@ -35,8 +39,6 @@ def _norm2(a: Column) -> Column:
 
 def cluster_table(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     """One row per cluster: id, n, mean vector (array<double>), mean squared norm — k x d, bounded."""
-    from pyspark.ml.stat import Summarizer
-
     v = array_to_vector(F.col(vec).cast("array<double>"))
     t = df.where(F.col(cluster).isNotNull()).groupBy(F.col(cluster).alias("cid")).agg(
         F.count(F.lit(1)).alias("n"), Summarizer.mean(v).alias("_m"),
@@ -134,26 +136,144 @@ def kmeans_best(df: DataFrame, features_col: str, k: int, n_init: int = 10, seed
     return model, cost
 
 
-def total_inertia(df: DataFrame, vec: str) -> float:
-    """k = 1: sum of squared distances to the global mean (Spark's KMeans needs k >= 2)."""
-    from pyspark.ml.stat import Summarizer
+def elbow(df: DataFrame, features_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 42) -> DataFrame:
+    """``k, inertia``: the least cost of ``n_init`` starts for every k, all of them in the same passes."""
+    found = kmeans_search(df, features_col, ks, n_init, seed)
+    return df.sparkSession.createDataFrame([(int(k), found[k][0]) for k in ks], "k int, inertia double")
+
 
-    v = F.col(vec)
-    row = df.agg(Summarizer.mean(v).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    mean = row["m"].toArray()
-    sq = df.agg(F.sum(F.aggregate(vector_to_array(v), F.lit(0.0), lambda a, x: a + x * x)).alias("s")).first()["s"]
-    return float(sq - row["n"] * float(mean @ mean))
+#: Rows of a block that one matrix product compares with all centres.
+_BLOCK = 4096
 
 
-def elbow(df: DataFrame, features_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 42) -> DataFrame:
-    rows = []
-    for k in ks:
-        if k == 1:
-            rows.append((1, total_inertia(df, features_col)))
-            continue
-        _, cost = kmeans_best(df, features_col, k, n_init, seed)
-        rows.append((int(k), float(cost)))
-    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
+def _matrix_blocks(df: DataFrame, features_col: str) -> DataFrame:
+    """Vectors as blocks of doubles, ``block, width, data``, written once; rows without a vector are left out."""
+    vec = F.col(features_col)
+    if not isinstance(df.schema[features_col].dataType, T.ArrayType):
+        vec = vector_to_array(vec)
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), _BLOCK):
+                part = np.stack(batch["v"].iloc[at:at + _BLOCK].to_numpy()).astype(np.float64)
+                yield pd.DataFrame({"width": [part.shape[1]], "data": [part.tobytes()]})
+
+    rows = df.select(vec.cast("array<double>").alias("v")).where("v IS NOT NULL")
+    return rows.mapInPandas(pack, "width int, data binary").withColumn("block", F.monotonically_increasing_id()).checkpoint()
+
+
+def _rows_of(batches: Iterator[pd.DataFrame]):
+    for batch in batches:
+        for block, width, data in zip(batch["block"], batch["width"], batch["data"]):
+            yield int(block), np.frombuffer(data, dtype=np.float64).reshape(-1, width)
+
+
+def _squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    d = (x ** 2).sum(1)[:, None] - 2 * x @ centres.T + (centres ** 2).sum(1)[None, :]
+    return np.maximum(d, 0.0)
+
+
+def start_centres(blocks: DataFrame, k: int, seeds: Sequence[int]) -> list[np.ndarray]:
+    """The first ``k`` centres of k-means++ for each seed, one pass for each centre.
+
+    A row is drawn with a chance in proportion to its squared distance: every row waits for an exponential time
+    at that rate, by a hash of seed, place and row, and the first one wins.  The draws for k centres are the first
+    of those for more.  Fewer distinct rows give fewer centres.
+    """
+    chosen: list[list[np.ndarray]] = [[] for _ in seeds]
+
+    def race(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for block, x in _rows_of(batches):
+            for s, seed in enumerate(seeds):
+                rate = _squared(x, np.array(chosen[s])).min(1) if chosen[s] else np.ones(len(x))
+                # what rounding leaves of a distance of zero is no distance
+                rate[rate <= 1e-12 * (x ** 2).sum(1)] = 0.0
+                wait = np.random.default_rng((seed, len(chosen[s]), block)).exponential(size=len(x))
+                with np.errstate(divide="ignore"):
+                    wait = np.where(rate > 0, wait / rate, np.inf)
+                i = int(wait.argmin())
+                if np.isfinite(wait[i]):
+                    yield pd.DataFrame({"s": [s], "wait": [wait[i]], "row": [x[i].tolist()]})
+
+    for _ in range(k):
+        first = blocks.mapInPandas(race, "s int, wait double, row array<double>").groupBy("s").agg(F.min_by("row", "wait").alias("row"))
+        drawn = {r["s"]: np.array(r["row"]) for r in first.collect()}  # a row for each seed
+        chosen = [have + [drawn[s]] if s in drawn else have for s, have in enumerate(chosen)]
+    return [np.array(have) for have in chosen]
+
+
+def kmeans_search(df: DataFrame, features_col: str, ks: Sequence[int], n_init: int = 10, seed: int = 42,
+                  max_iter: int = 300, tol: float = 1e-4) -> dict[int, tuple[float, np.ndarray]]:
+    """k -> (cost, centres) of the best of ``n_init`` k-means++ starts, ties to the first.
+
+    The centre sets of every k and every start travel together: one pass over the blocks assigns all rows to all
+    sets and returns sums for each centre, so the search takes as many passes as its slowest run has iterations.
+    A run ends when its centres move by no more than ``tol`` times the mean variance (0: not at all).  Clusters that
+    lose all rows keep their centre.  What the driver holds are the centres, of which there are sum(ks) * n_init.
+    """
+    blocks = _matrix_blocks(df, features_col)
+    starts = start_centres(blocks, max(ks), [seed + i for i in range(n_init)])
+    runs = {(k, i): start[:k] for k in ks for i, start in enumerate(starts) if len(start)}
+    if not runs:
+        return {k: (0.0, np.zeros((0, 0))) for k in ks}
+
+    def sums_of(centres: dict):
+        names = list(centres)
+        stacked = np.concatenate([centres[r] for r in names])
+        ends = np.cumsum([len(centres[r]) for r in names])
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            n, cost, total = np.zeros(len(stacked)), np.zeros(len(names)), np.zeros_like(stacked)
+            for _, x in _rows_of(batches):
+                d = _squared(x, stacked)
+                for r, (i, j) in enumerate(zip(np.append(0, ends), ends)):
+                    near = d[:, i:j].argmin(1)
+                    cost[r] += ((x - stacked[i + near]) ** 2).sum()
+                    n[i:j] += np.bincount(near, minlength=j - i)
+                    member = np.zeros((j - i, len(x)))
+                    member[near, np.arange(len(x))] = 1.0
+                    total[i:j] += member @ x
+            if n.any():
+                owner = np.repeat(np.arange(len(names)), np.diff(ends, prepend=0))
+                shared = np.where(np.diff(owner, prepend=-1) > 0, cost[owner], 0.0)  # a run's cost, with its first centre
+                yield pd.DataFrame({"centre": np.arange(len(stacked)), "n": n, "cost": shared, "total": list(total)})
+
+        summed = blocks.mapInPandas(work, "centre int, n double, cost double, total array<double>")
+        rows = summed.groupBy("centre").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                            vector_to_array(Summarizer.sum(array_to_vector("total"))).alias("total")).collect()
+        out = {}
+        by = {r["centre"]: r for r in rows}
+        for name, i, j in zip(names, np.append(0, ends), ends):
+            out[name] = (sum(by[c]["cost"] for c in range(i, j)), np.array([by[c]["n"] for c in range(i, j)]),
+                         np.array([by[c]["total"] for c in range(i, j)]))
+        return out
+
+    row = blocks.mapInPandas(_moments, "n double, s array<double>, q double").agg(
+        F.sum("n").alias("n"), vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"), F.sum("q").alias("q")).first()
+    spread = max(0.0, row["q"] / row["n"] - float((np.array(row["s"]) ** 2).sum()) / row["n"] ** 2) / len(row["s"])
+    active, costs = dict(runs), {}
+    for _ in range(max_iter):
+        for name, (_, n, total) in sums_of(active).items():
+            new = np.where(n[:, None] > 0, total / np.maximum(n, 1.0)[:, None], runs[name])
+            if ((new - runs[name]) ** 2).sum() <= tol * spread:
+                del active[name]
+            runs[name] = new
+        active = {name: runs[name] for name in active}
+        if not active:
+            break
+    costs = {name: cost for name, (cost, _, _) in sums_of(runs).items()}
+    best = {k: min((costs[k, i], i) for kk, i in runs if kk == k) for k in ks}
+    return {k: (float(cost), runs[k, i]) for k, (cost, i) in best.items()}
+
+
+def _moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for _, x in _rows_of(batches):
+        yield pd.DataFrame({"n": [float(len(x))], "s": [x.sum(0)], "q": [float((x ** 2).sum())]})
+
+
+def centre_table(spark: SparkSession, centres: np.ndarray) -> DataFrame:
+    """Centres as ``cid, mean`` for ``assign_nearest``."""
+    return spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(centres)], "cid int, mean array<double>")
 
 
 def best_k_by_silhouette(scores: DataFrame) -> DataFrame:

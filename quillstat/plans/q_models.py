@@ -542,8 +542,9 @@ def _emb_vectors(spark, sf):
 
 @register("u_kmeans", None, ops=("U1",))
 def u_kmeans(spark, sf):
-    model, cost = U.kmeans_best(_emb_vectors(spark, sf), "features", k=10, n_init=10, seed=42)
-    return model.transform(_emb_vectors(spark, sf)).select("vec_id", "label", "cluster")
+    e = table(spark, sf, "embeddings")
+    _, centres = U.kmeans_search(e, "embedding", [10], n_init=10, seed=42)[10]
+    return U.assign_nearest(e, "embedding", U.centre_table(spark, centres)).select("vec_id", "label", "cluster")
 
 
 @register("u_elbow", None, ops=("U2",))
@@ -557,11 +558,11 @@ def u_best_k(spark, sf):
 
 
 def _silhouettes(spark, sf, ks):
-    ev = _emb_vectors(spark, sf)
+    e = table(spark, sf, "embeddings").where("embedding IS NOT NULL")
     rows = []
-    for k in ks:
-        model, _ = U.kmeans_best(ev, "features", k, n_init=10)
-        rows.append((k, float(U.silhouette_score(model.transform(ev), "embedding", "cluster").first()["silhouette"])))
+    for k, (_, centres) in U.kmeans_search(e, "embedding", ks, n_init=10).items():
+        clustered = U.assign_nearest(e, "embedding", U.centre_table(spark, centres))
+        rows.append((k, float(U.silhouette_score(clustered, "embedding", "cluster").first()["silhouette"])))
     return spark.createDataFrame(rows, "k int, silhouette double")
 
 
@@ -573,17 +574,27 @@ def u_argmax(spark, sf):
     return U.best_k_by_silhouette(scores)
 
 
-@register("u_kmeans_checks", """SELECT vec_id, true AS nearest, 10 AS clusters, true AS inertia_falls FROM embeddings""", ops=("U1", "U2", "U6"))
+@register("u_kmeans_checks", """SELECT vec_id, true AS nearest, true AS settled, 10 AS clusters, true AS inertia_falls,
+true AS inertia_is_cost FROM embeddings""", ops=("U1", "U2", "U6"))
 def u_kmeans_checks(spark, sf):
-    """Every vector is in the cluster of its nearest centre, and more clusters never cost more."""
-    ev = _emb_vectors(spark, sf)
-    model, _ = U.kmeans_best(ev, "features", k=10, n_init=10, seed=42)
-    costs = [r["inertia"] for r in U.elbow(ev, "features", [1, 2, 5, 10], n_init=3).orderBy("k").collect()]
-    falls = all(a >= b for a, b in zip(costs, costs[1:]))
-    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cid int, mean array<double>")
-    both = U.assign_nearest(model.transform(ev), "embedding", centres, "nearest_cid")
-    return both.select("vec_id", (F.col("nearest_cid") == F.col("cluster")).alias("nearest"),
-                       F.lit(len(model.clusterCenters())).alias("clusters"), F.lit(falls).alias("inertia_falls"))
+    """No centre is nearer than a vector's own, centres are the means of their vectors, the cost is the sum of the squared
+    distances, and more clusters never cost more (all k of the elbow, all starts)."""
+    e = table(spark, sf, "embeddings")
+    found = U.kmeans_search(e, "embedding", range(1, 11), n_init=10, seed=42, tol=0.0)
+    costs = [found[k][0] for k in range(1, 11)]
+    cost, centres = found[10]
+    near = U.assign_nearest(e, "embedding", U.centre_table(spark, centres))
+    centre = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres])
+    away = lambda c: F.aggregate(F.zip_with("embedding", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, d: a + d)
+    least = F.array_min(F.transform(centre, away))
+    own = F.element_at(centre, F.col("cluster") + 1)
+    mean = near.select("cluster", F.posexplode("embedding").alias("i", "x")).groupBy("cluster", "i").agg(F.avg("x").alias("m"))
+    off = mean.agg(F.max(F.abs(F.col("m") - F.element_at(F.element_at(centre, F.col("cluster") + 1), F.col("i") + 1))).alias("off"))
+    total = near.agg(F.sum(away(own)).alias("total"))
+    return near.crossJoin(off).crossJoin(total).select(  # one row each
+        "vec_id", (away(own) <= least + 1e-9).alias("nearest"), (F.col("off") < 1e-6).alias("settled"), F.lit(len(centres)).alias("clusters"),
+        F.lit(all(a >= b for a, b in zip(costs, costs[1:]))).alias("inertia_falls"),
+        (F.abs(F.col("total") - F.lit(cost)) < 1e-6 * F.lit(cost)).alias("inertia_is_cost"))
 
 
 @register("u_ward", None, ops=("U5",))

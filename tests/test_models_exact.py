@@ -143,6 +143,29 @@ def test_two_thousand_vectors_are_exact(spark, linkage):
     _same_tree(np.array([r["v"] for r in got]), np.array([r["w"] for r in got]), linkage, H.merge_table(edges, leaves), labels, 10)
 
 
+def test_kmeans_search_is_lloyd_from_the_same_starts(spark):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(c, 1.0, (40, 3)) for c in (0, 4, 9, 15)])
+    df = spark.createDataFrame([([float(a) for a in v],) for v in x] + [(None,)], "v array<double>").repartition(3)
+    found = U.kmeans_search(df, "v", [1, 2, 4, 6], n_init=3, seed=5, tol=0.0)
+    starts = U.start_centres(U._matrix_blocks(df, "v"), 6, [5, 6, 7])
+    for k, (cost, centres) in found.items():
+        costs = []
+        for start in starts:
+            c = start[:k].copy()
+            for _ in range(300):
+                near = ((x[:, None] - c[None]) ** 2).sum(-1).argmin(1)
+                new = np.array([x[near == i].mean(0) if (near == i).any() else c[i] for i in range(k)])
+                if (new == c).all():
+                    break
+                c = new
+            costs.append(((x[:, None] - c[None]) ** 2).sum(-1).min(1).sum())
+        assert math.isclose(cost, min(costs), rel_tol=1e-9) and len(centres) == k
+    few = spark.createDataFrame([([1.0, 2.0],)] * 5 + [([3.0, 4.0],)] * 2, "v array<double>")
+    assert [len(U.kmeans_search(few, "v", [3], n_init=2)[3][1]), U.kmeans_search(few, "v", [3], n_init=2)[3][0]] == [2, 0.0]
+    assert U.kmeans_search(few.limit(0), "v", [2])[2][0] == 0.0
+
+
 def test_components_by_rounds(spark):
     edges = [(9, 8), (8, 7), (7, 1), (20, 21), (21, 22), (22, 5), (3, 4)]
     df = spark.createDataFrame(edges, "u long, v long")

@@ -371,21 +371,23 @@ def main_text(
         )
     )
 
-    def counted(keys: str) -> DataFrame:
-        rows = parsed.select("host", "hash", F.explode(keys).alias("key"))
-        return rows.groupBy("host", "key").agg(F.count_distinct("hash").alias("n")).where("n > 1").join(needs, "host")
-
-    # both are read from files: a join on a class of all pages can split
-    boilerplate = cut(counted("outside").where("n >= need").select("host", "key"))
-    fingerprints = cut(counted("inside").where("n >= need_inside").select("host", "key"))
-    outer = (
-        parsed.where(F.size("doubted") > 0)
-        .select("host", "hash", "outside", F.explode("doubted").alias("pos"))
-        .select("host", "hash", "pos", F.col("outside")[F.col("pos")].alias("key"))
-        .join(boilerplate, ["host", "key"])
-        .groupBy("host", "hash")
-        .agg(F.collect_set("pos").alias("outer"))
+    def shared(rows: DataFrame, need: str, least: int) -> DataFrame:
+        """``host, key`` of the classes on enough distinct page texts; those on fewer pages than any host needs leave
+        by a plain count of their hash."""
+        name = F.xxhash64("host", "key").alias("name")
+        often = stored(rows.groupBy(name).agg(F.count("*").alias("n")).where(F.col("n") >= least).select("name"))
+        held = rows.select("*", name).join(often, "name", "left_semi").groupBy("host", "key").agg(F.count_distinct("hash").alias("n"))
+        # read from files: a join on a class of all pages can split
+        return cut(held.join(needs, "host").where(F.col("n") >= F.col(need)).select("host", "key"))
+
+    asked = parsed.where(F.size("doubted") > 0).select("host", "hash", "outside", F.explode("doubted").alias("pos")).select(
+        "host", "hash", "pos", F.col("outside")[F.col("pos")].alias("key")
     )
+    wanted = stored(asked.select("host", "key").distinct())
+    outside = parsed.select("host", "hash", F.explode("outside").alias("key")).join(wanted, ["host", "key"], "left_semi")
+    boilerplate = shared(outside, "need", 2)
+    fingerprints = shared(parsed.select("host", "hash", F.explode("inside").alias("key")), "need_inside", LEAST)
+    outer = asked.join(boilerplate, ["host", "key"]).groupBy("host", "hash").agg(F.collect_set("pos").alias("outer"))
     inner = _long_runs(parsed, fingerprints, needs, run, long)
     starts = stored(outer.join(inner, ["host", "hash"], "full"))  # of known size, as above
 

@@ -126,9 +126,10 @@ def _with_rates(urls: DataFrame, rates: DataFrame, overall: float, own: bool) ->
 def train(labelled: DataFrame, sample: int = SAMPLE, trees: int = 10, depth: int = 4, seed: int = 7) -> Model:
     """Fit on ``labelled(url, label 0/1)``, 1 meaning block.
 
-    Statistics count every labelled url; the trees see a sample of about
-    ``sample`` of them, chosen by the url's hash.  Without both labels there are no trees
-    and every url gets the majority's verdict (allow, if there is none).
+    Statistics count every labelled url; the trees see at most ``sample`` distinct ones, half of them of
+    each label, chosen by the url's hash and weighted to the number of distinct urls of the label.  Repeated
+    rows teach the trees once.  Without both labels there are no trees and every url gets the majority's
+    verdict (allow, if there is none).
     """
     known = labelled.where("label IS NOT NULL").select("url", F.col("label").cast("int").alias("label"))
     known = known.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
@@ -138,13 +139,24 @@ def train(labelled: DataFrame, sample: int = SAMPLE, trees: int = 10, depth: int
         return Model(None, None, overall)
     featured = with_features(known)
     rates = cut(_rates(featured))
-    share = min(1.0, sample / total["n"])
-    chosen = featured.where(F.pmod(F.xxhash64("url"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    ready = cut(_with_rates(chosen, rates, overall, own=True).select(*FEATURES, "label"))
+    distinct = cut(known.select("url", "label").distinct())
+    there = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
+    most = max(1, sample // 2)
+    picked = [
+        distinct.where(F.col("label") == label)
+        .orderBy(F.xxhash64("url"), "url")
+        .limit(most)
+        .withColumn("weight", F.lit(max(1.0, count / most)))
+        for label, count in sorted(there.items())
+    ]
+    chosen = with_features(
+        cut(picked[0].union(picked[1])).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    )
+    ready = cut(_with_rates(chosen, rates, overall, own=True).select(*FEATURES, "label", "weight"))
     fitted = Pipeline(
         stages=[
             VectorAssembler(inputCols=FEATURES, outputCol="features"),
-            GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=seed),
+            GBTClassifier(labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth, maxBins=64, stepSize=0.3, seed=seed),
         ]
     ).fit(ready)
     return Model(fitted, rates, overall)

@@ -62,6 +62,25 @@ def test_nothing_labelled_and_empty(spark):
     assert {r.verdict for r in U.filter_urls(df, URL_RULES, labelled=one).collect()} == {"block"}
 
 
+def test_sample_holds_both_labels_and_its_bound(spark, monkeypatch):
+    """Thousands of copies of one url neither fill the sample nor keep it out."""
+    seen = []
+    real = U._with_rates
+
+    def spy(urls, *args, own):
+        if own:
+            seen.append(urls)
+        return real(urls, *args, own=own)
+
+    monkeypatch.setattr(U, "_with_rates", spy)
+    for copies in ("http://bad.com/de/x", "http://good.org/a"):
+        rows = [(copies, int("bad" in copies))] * 3000 + [(f"http://h{i}.net/{i}", i % 2) for i in range(30)]
+        model = U.train(spark.createDataFrame(rows, "url string, label int"), sample=20)
+        got = seen.pop().select("url", "label", "weight").collect()
+        assert len(got) == len({r.url for r in got}) == 20 and sum(r.label for r in got) == 10
+        assert all(r.weight in (1.5, 1.6) for r in got) and model.trees is not None
+
+
 def test_held_out_accuracy(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
     parts = {"host": U.host_of(F.col("url")), "path": U.path_of(F.col("url"))}

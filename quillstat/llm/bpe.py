@@ -344,7 +344,11 @@ def _codec(vocabulary) -> Codec:
 
 
 def encode(docs: DataFrame, text_col: str, vocabulary, out: str) -> DataFrame:
-    """``docs`` with ``out binary``: the ids of each text, 4 bytes each, little-endian."""
+    """``docs`` with ``out binary``: the ids of each text, 4 bytes each, little-endian.
+
+    NULL and empty texts have no ids (empty, not NULL).  Rows are encoded one by one, so repeated rows and an empty
+    table need no care; an input column named ``out`` is replaced, all others stay.
+    """
 
     @F.pandas_udf("binary")
     def ids(texts: pd.Series) -> pd.Series:
@@ -356,7 +360,7 @@ def encode(docs: DataFrame, text_col: str, vocabulary, out: str) -> DataFrame:
 
 
 def decode(docs: DataFrame, ids_col: str, vocabulary, out: str) -> DataFrame:
-    """``docs`` with ``out string``: the text of packed ids (NULL: empty)."""
+    """``docs`` with ``out string``: the text of packed ids (NULL: empty); rows and columns as with ``encode``."""
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:

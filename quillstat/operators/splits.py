@@ -47,6 +47,17 @@ def fold_column(df: DataFrame, key: str, k: int = 5, seed: int = 42, out: str =
     return df.withColumn(out, F.pmod(mix_hash(key, "fold", seed), F.lit(k)).cast("int"))
 
 
+def contiguous_folds(df: DataFrame, order: list[str], k: int = 5, out: str = "fold") -> DataFrame:
+    """Unshuffled K-fold: runs of neighbouring rows in ``order`` (unique), the first ``n % k`` folds one row longer."""
+    placed = with_positions(df, [], order)
+    n = df.count()
+    short, longer = divmod(n, k)
+    head = longer * (short + 1)  # rows in the longer folds
+    fold = F.when(F.col("_pos") < head, F.floor(F.col("_pos") / (short + 1))) \
+        .otherwise(longer + F.floor((F.col("_pos") - head) / max(1, short)))
+    return placed.withColumn(out, fold.cast("int")).drop("_pos")
+
+
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, out: str = "fold") -> DataFrame:
     """Shuffled stratified K-fold: each class is dealt over the folds in hash order, so the folds' class
     counts differ by one at most."""

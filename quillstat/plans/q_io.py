@@ -146,7 +146,7 @@ def c_clean_job(spark, sf):
 
 # S9 / T8 / T9 ---------------------------------------------------------------
 @register("s_live_ensemble", f"""WITH {_LIVE_SQL}
-SELECT timestamp, t, value1, value2, true AS in_range, true AS label_follows FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000""",
+SELECT timestamp, t, value1, value2, true AS in_range, true AS label_follows, true AS vote_adds_up FROM live ORDER BY timestamp DESC, t DESC LIMIT 1000""",
           ops=("S9", "T8", "T9"))
 def s_live_ensemble(spark, sf):
     """The live job: models fitted on the older rows score the snapshot as a weighted ensemble, the predictions are
@@ -157,17 +157,18 @@ def s_live_ensemble(spark, sf):
     first = snapshot.agg(F.min("timestamp").alias("m")).first()["m"]
     older = live.where(F.col("timestamp") < F.lit(first)).withColumn("label", (F.col("value1") > 50).cast("int"))
     models = {"logistic": K.scaled_pipeline(older, feats, lambda d: K.logistic(d, "label")),
-              "random_forest": K.scaled_pipeline(older, feats, lambda d: K.random_forest(d, "label", 20, 5))}
+              "random_forest": K.scaled_pipeline(older, feats, lambda d: K.random_forest(d, "label", 100, 8))}
     wide, probas, preds = E.predict_all(snapshot, {n: (m, feats) for n, m in models.items()}, lambda df, _: df)
     scored = E.ensemble_predict(wide, probas, preds, weights={"logistic": 1.0, "random_forest": 2.0})
     peaks = TS.find_peaks(snapshot, "value1", order, [], 1)
     base = IO.write_report(snapshot, peaks, ensure_checkpoint_dir(spark), f"e{uuid.uuid4().hex[:10]}")
-    out = scored.select(*live.columns, "ensemble_proba", "ensemble_pred")
+    out = scored.select(*live.columns, *probas.values(), "ensemble_proba", "ensemble_pred")
     IO.write_table(out, f"{base}/predictions", "csv")
     back = IO.load_csv(spark, f"{base}/predictions", out.schema)
     p = F.col("ensemble_proba")
     return back.select(*live.columns, p.between(0.0, 1.0).alias("in_range"),
-                       ((p >= 0.5).cast("int") == F.col("ensemble_pred")).alias("label_follows"))
+                       ((p >= 0.5).cast("int") == F.col("ensemble_pred")).alias("label_follows"),
+                       (F.abs(p - (F.col(probas["logistic"]) + 2 * F.col(probas["random_forest"])) / 3) < 1e-9).alias("vote_adds_up"))
 
 
 # S10 / K18 / R17 ------------------------------------------------------------

@@ -43,6 +43,13 @@ def r_folds(spark, sf):
     return S.fold_column(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 5, 42)
 
 
+@register("r_contiguous_folds", """WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS n FROM orders)
+SELECT o_orderkey, CAST(CASE WHEN i < (n % 7) * (n // 7 + 1) THEN i // (n // 7 + 1)
+  ELSE n % 7 + (i - (n % 7) * (n // 7 + 1)) // (n // 7) END AS INTEGER) AS fold FROM o""", ops=("R3",))
+def r_contiguous_folds(spark, sf):
+    return S.contiguous_folds(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 7)
+
+
 # ----------------------------------------------------------------------------- regression
 
 Y, X1, X2 = "l_extendedprice", "l_quantity", "l_discount"

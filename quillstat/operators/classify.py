@@ -125,9 +125,8 @@ def _pack(key: str, vec: str, size: int):
 def _local_topk(k: int):
     """The k nearest rows of one block of rows for each query of one block of queries."""
 
-    def fn(pairs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for pair in pairs.itertuples(index=False):
+    def fn(batches):
+        for pair in (pair for batch in batches for pair in batch.itertuples(index=False)):
             qkeys, tkeys = np.array(pair.qkeys), np.array(pair.keys)
             q = np.frombuffer(pair.qmat).reshape(len(qkeys), -1)
             t = np.frombuffer(pair.mat).reshape(len(tkeys), -1)
@@ -140,8 +139,7 @@ def _local_topk(k: int):
             qi, ti = np.nonzero(d2 <= (kth + slack)[:, None])
             diff = q[qi] - t[ti]
             found = pd.DataFrame({"_q": qkeys[qi], "_t": tkeys[ti], "d2": (diff * diff).sum(1)})
-            out.append(found.sort_values(["_q", "d2", "_t"]).groupby("_q", sort=False).head(k))
-        return pd.concat(out)
+            yield found.sort_values(["_q", "d2", "_t"]).groupby("_q", sort=False).head(k)
 
     return fn
 
@@ -151,8 +149,8 @@ def knn_join(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec: st
     """Exact k nearest train rows (squared Euclidean, ties by train key) for every query row.
 
     Keys are unique and the vectors of one length.  Queries and rows are packed
-    into blocks of at most ``block`` rows; each pair of blocks is one row of a table, computed in
-    a task of its own, and returns k rows for each of its queries at most.  The
+    into blocks of at most ``block`` rows, whatever their partitions; each pair of blocks is computed where the
+    two are brought together and returns k rows for each of its queries at most.  The
     merge ranks queries x k x blocks candidates.
     Output: (qkey, tkey, d2, rank, *keep from train).
     """
@@ -161,12 +159,14 @@ def knn_join(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec: st
     def packed(df, key, key_type):
         src = df.where(F.col(vec).isNotNull()).select(F.col(key).alias("_k"), F.col(vec).cast("array<double>").alias("_v"))
         schema = T.StructType([T.StructField("keys", T.ArrayType(key_type)), T.StructField("mat", T.BinaryType())])
-        return src.mapInPandas(_pack("_k", "_v", block), schema).withColumn("_block", F.monotonically_increasing_id()).checkpoint()
+        parts = max(1, -(-src.count() // block))
+        blocks = src.repartition(parts).mapInPandas(_pack("_k", "_v", block), schema).checkpoint()
+        return blocks.coalesce(min(parts, df.sparkSession.sparkContext.defaultParallelism))
 
-    asked = packed(queries, qkey, qt).withColumnsRenamed({"keys": "qkeys", "mat": "qmat", "_block": "_qblock"})
+    asked = packed(queries, qkey, qt).withColumnsRenamed({"keys": "qkeys", "mat": "qmat"})
     pairs = asked.crossJoin(packed(train, tkey, tt))  # pairs of blocks, not of rows
     schema = T.StructType([T.StructField("_q", qt), T.StructField("_t", tt), T.StructField("d2", T.DoubleType())])
-    cand = pairs.groupBy("_qblock", "_block").applyInPandas(_local_topk(k), schema)
+    cand = pairs.mapInPandas(_local_topk(k), schema)
     w = Window.partitionBy("_q").orderBy("d2", "_t")
     top = cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     top = top.select(F.col("_q").alias(qkey), F.col("_t").alias(tkey), "d2", "rank")

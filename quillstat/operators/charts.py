@@ -7,17 +7,12 @@ input rows; drawing itself is out of scope.
 from __future__ import annotations
 
 import math
-import warnings
 from collections.abc import Sequence
-from statistics import NormalDist
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-with warnings.catch_warnings():
-    warnings.simplefilter("ignore")
-    from pyspark.sql.functions import PandasUDFType
-
+from ..functions.distributions import inverse_normal
 from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked, with_positions
 from .metrics import confusion_matrix, pr_auc, pr_curve, roc_auc, roc_curve
 from .profiling import categorical_distribution, radar_rows  # noqa: F401 - V13 is one of the charts
@@ -183,22 +178,11 @@ def coefficient_table(spark, names: Sequence[str], coefs: Sequence[float]) -> Da
 
 
 # V12 ------------------------------------------------------------------------
-def _inv_cdf_series(p):
-    nd = NormalDist()
-    return p.map(nd.inv_cdf)
-
-
-def _normal_inv_cdf():
-    """Vectorised (Arrow batch) inverse standard-normal CDF."""
-    return F.pandas_udf(_inv_cdf_series, "double", PandasUDFType.SCALAR)
-
-
 def qq_points(df: DataFrame, value: str, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Normal QQ points: sorted values vs normal quantiles at Filliben positions.
 
     m_i = (i - .3175)/(n + .365); m_1 = 1 - .5^(1/n); m_n = .5^(1/n).  Ranks come
-    from the ordered layout; the inverse normal CDF runs in a
-    vectorised pandas UDF (statistics.NormalDist).  Columns: rank, value, theoretical.
+    from the ordered layout, normal quantiles from a column expression.  Columns: rank, value, theoretical.
     """
     base = df.where(F.col(value).isNotNull() & ~F.isnan(value))
     n = base.count()
@@ -206,4 +190,4 @@ def qq_points(df: DataFrame, value: str, tiebreak: Sequence[str] = ()) -> DataFr
     i = F.col("_pos") + 1
     m = (F.when(i == 1, F.lit(1 - 0.5 ** (1 / n))).when(i == n, F.lit(0.5 ** (1 / n)))
          .otherwise((i - 0.3175) / F.lit(n + 0.365)))
-    return ranked.select(i.alias("rank"), F.col(value).alias("value"), _normal_inv_cdf()(m).alias("theoretical"))
+    return ranked.select(i.alias("rank"), F.col(value).alias("value"), inverse_normal(m).alias("theoretical"))

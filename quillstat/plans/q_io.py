@@ -12,6 +12,7 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from ..functions.distributions import inverse_normal_sql
 from ..functions.kernels import mix_hash_sql
 from ..operators import charts as V
 from ..operators import classify as K
@@ -276,13 +277,18 @@ def v_qq_points(spark, sf):
     return V.qq_points(r.select(*LI_ORDER, "residual"), "residual", LI_ORDER).select("rank", F.round("value", 4).alias("value"))
 
 
-@register("v_qq_quantiles", None, ops=("V12",))
+@register("v_qq_quantiles", f"""WITH {_OLS1_SQL},
+r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice - (intercept + slope * l_quantity) AS e FROM lineitem, fit),
+o AS (SELECT row_number() OVER (ORDER BY e, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rank, e, count(*) OVER () AS n FROM r),
+m AS (SELECT rank, e, CASE rank WHEN 1 THEN 1 - power(0.5, 1.0 / n) WHEN n THEN power(0.5, 1.0 / n) ELSE (rank - 0.3175) / (n + 0.365) END AS p FROM o)
+SELECT rank, round(e, 4) AS value, round({inverse_normal_sql("CAST(p AS DOUBLE)")}, 8) AS theoretical FROM m""", ops=("V12",))
 def v_qq_quantiles(spark, sf):
     """The points with their normal quantiles."""
     from .q_charts import LI_ORDER, _scored_lineitem
 
     r = _scored_lineitem(spark, sf).withColumn("residual", F.col("l_extendedprice") - F.col("pred"))
-    return V.qq_points(r.select(*LI_ORDER, "residual"), "residual", LI_ORDER)
+    return V.qq_points(r.select(*LI_ORDER, "residual"), "residual", LI_ORDER).select(
+        "rank", F.round("value", 4).alias("value"), F.round("theoretical", 8).alias("theoretical"))
 
 
 # D5 -------------------------------------------------------------------------

@@ -37,7 +37,7 @@ def brute(rows):
         s = sources[doc]
         rate = targets[s] / sizes[s] if sizes[s] else 0.0
         ids = LIBRARY.encode(text, add_special_tokens=False).ids
-        out += [(doc, b"".join(i.to_bytes(4, "little") for i in ids))] * brute_copies(rate, doc, "mix")
+        out += [(doc, b"".join(i.to_bytes(4, "little") for i in ids))] * brute_copies(rate, doc, text, 0, "mix")
     return sorted(out)
 
 

@@ -715,7 +715,7 @@ def k_random_forest(spark, sf):
 
 @register("k_random_forest_deep", None, ops=("K3",))
 def k_random_forest_deep(spark, sf):
-    data = _doc_split(spark, sf)
+    data = _doc_split(spark, sf).checkpoint()  # the texts are read once
     model = K.random_forest(data.where(~F.col("is_test")), "quality", 100, None)
     return K.proba_col(model.transform(data.where(F.col("is_test")))).select("doc_id", "quality", "prediction", "proba")
 

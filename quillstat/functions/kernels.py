@@ -133,8 +133,9 @@ def exact_quantiles(
                     F.count(F.when((x >= lo) & (x <= hi), 1)).alias(f"_ni{k}_{i}")]
         return out
 
-    # grouped: a regular join (AQE broadcasts the per-group stats when small, splits skewed groups otherwise)
-    joined = base.join(stats, by)
+    # grouped: the statistics are computed once; few groups are sent to the rows, which are not sorted by group for it
+    stats = stats.checkpoint()
+    joined = base.join(few_groups(stats), by)
     # (a) outside the brackets: counts + nearest values, no row expansion.  The per-group table is
     # small; it is checkpointed (shared folder) because the band-size check and the final plan share it.
     outside_w = joined.groupBy(*by).agg(*outside_aggs()).checkpoint()
@@ -159,7 +160,7 @@ def exact_quantiles(
             sel += [F.when(wide, F.element_at(g, i_lo + 1)).otherwise(F.col(f"_lo{k}_{i}")).alias(f"_lo{k}_{i}"),
                     F.when(wide, F.element_at(g, i_hi + 1)).otherwise(F.col(f"_hi{k}_{i}")).alias(f"_hi{k}_{i}")]
         stats = st.select(*sel).checkpoint()
-        joined = base.join(stats, by)
+        joined = base.join(few_groups(stats), by)
         outside_w = joined.groupBy(*by).agg(*outside_aggs()).checkpoint()
     meta = F.explode(F.array(*[F.struct(
         F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_nb{k}_{i}").alias("_below"),
@@ -176,6 +177,15 @@ def exact_quantiles(
     return _pick(band, keys, qs)
 
 
+#: Groups whose statistics are sent to the rows.
+FEW_GROUPS = 10_000
+
+
+def few_groups(stats: DataFrame) -> DataFrame:
+    """A (checkpointed) table of a row per group, for a join with the rows: broadcast if it is short."""
+    return F.broadcast(stats) if stats.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS else stats
+
+
 def _band_counts(frame: DataFrame, by: list, cols: Sequence[str], nq: int, lo_hi) -> DataFrame:
     entries = [F.when((F.col(f"_x{k}") >= lo_hi[k][i][0]) & (F.col(f"_x{k}") <= lo_hi[k][i][1]),
                       F.struct(F.lit(cols[k]).alias("col_name"), F.lit(i).alias("qi"), F.col(f"_x{k}").alias("v")))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.distributions import inverse_normal
-from ..functions.kernels import chunked_frame, exact_quantiles, finish_chunked, with_positions
+from ..functions.kernels import chunked_frame, exact_quantiles, few_groups, finish_chunked, with_positions
 from .metrics import confusion_matrix, pr_auc, pr_curve, roc_auc, roc_curve
 from .profiling import categorical_distribution, radar_rows  # noqa: F401 - V13 is one of the charts
 
@@ -91,7 +91,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), factor
     stats = ("q1", "median", "q3")
     wide = q.groupBy(*by).agg(*[F.max(F.when(F.col("col_name") == c, F.col(s))).alias(f"_{s}{i}")
                                 for i, c in enumerate(cols) for s in stats])
-    rows = df.join(wide, by) if by else df.crossJoin(F.broadcast(wide))
+    rows = df.select(*{*by, *cols}).join(few_groups(wide.checkpoint()), by) if by else df.crossJoin(F.broadcast(wide))
     aggs = []
     for i, c in enumerate(cols):
         x = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))

@@ -61,10 +61,11 @@ def logistic(train: DataFrame, label: str, C: float = 1.0, max_iter: int = 1000,
 
 def random_forest(train: DataFrame, label: str, trees: int = 100, depth: int | None = 8, seed: int = 42,
                   features_col: str = "features"):
-    """depth None = the reference's unlimited depth, capped at Spark's maximum of 30."""
+    """depth None = the reference's unlimited depth, capped at Spark's maximum of 30.  Deep trees keep each row's node, so
+    a level does not walk down from the root again."""
     return RandomForestClassifier(featuresCol=features_col, labelCol=label, numTrees=trees,
                                   maxDepth=30 if depth is None else depth, featureSubsetStrategy="sqrt",
-                                  seed=seed).fit(train)
+                                  seed=seed, cacheNodeIds=depth is None).fit(train)
 
 
 # K5 -------------------------------------------------------------------------
@@ -109,6 +110,10 @@ class FourierSVM:
 
 
 # K4 -------------------------------------------------------------------------
+#: Queries of a block that are compared at a time.
+_STRIP = 512
+
+
 def _pack(key: str, vec: str, size: int):
     """Rows -> blocks of at most ``size`` rows: their keys and one float64 matrix."""
 
@@ -127,19 +132,22 @@ def _local_topk(k: int):
 
     def fn(batches):
         for pair in (pair for batch in batches for pair in batch.itertuples(index=False)):
-            qkeys, tkeys = np.array(pair.qkeys), np.array(pair.keys)
-            q = np.frombuffer(pair.qmat).reshape(len(qkeys), -1)
+            allkeys, tkeys = np.array(pair.qkeys), np.array(pair.keys)
+            asked = np.frombuffer(pair.qmat).reshape(len(allkeys), -1)
             t = np.frombuffer(pair.mat).reshape(len(tkeys), -1)
-            qn, tn = (q ** 2).sum(1), (t ** 2).sum(1)
-            d2 = qn[:, None] - 2 * q @ t.T + tn[None, :]
+            tn = (t ** 2).sum(1)
             kk = min(k, len(tkeys))
-            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
-            # the expanded form rounds in proportion to the norms: whatever may still be among the k is computed exactly
-            slack = 16 * q.shape[1] * np.finfo(float).eps * (qn + tn.max())
-            qi, ti = np.nonzero(d2 <= (kth + slack)[:, None])
-            diff = q[qi] - t[ti]
-            found = pd.DataFrame({"_q": qkeys[qi], "_t": tkeys[ti], "d2": (diff * diff).sum(1)})
-            yield found.sort_values(["_q", "d2", "_t"]).groupby("_q", sort=False).head(k)
+            for at in range(0, len(asked), _STRIP):
+                q, qkeys = asked[at:at + _STRIP], allkeys[at:at + _STRIP]
+                qn = (q ** 2).sum(1)
+                d2 = qn[:, None] - 2 * q @ t.T + tn[None, :]
+                kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1]
+                # the expanded form rounds in proportion to the norms: whatever may still be among the k is computed exactly
+                slack = 16 * q.shape[1] * np.finfo(float).eps * (qn + tn.max())
+                qi, ti = np.nonzero(d2 <= (kth + slack)[:, None])
+                diff = q[qi] - t[ti]
+                found = pd.DataFrame({"_q": qkeys[qi], "_t": tkeys[ti], "d2": (diff * diff).sum(1)})
+                yield found.sort_values(["_q", "d2", "_t"]).groupby("_q", sort=False).head(k)
 
     return fn
 
@@ -161,10 +169,11 @@ def knn_join(queries: DataFrame, train: DataFrame, qkey: str, tkey: str, vec: st
         schema = T.StructType([T.StructField("keys", T.ArrayType(key_type)), T.StructField("mat", T.BinaryType())])
         parts = max(1, -(-src.count() // block))
         blocks = src.repartition(parts).mapInPandas(_pack("_k", "_v", block), schema).checkpoint()
-        return blocks.coalesce(min(parts, df.sparkSession.sparkContext.defaultParallelism))
+        # a task meets some 16 pairs at most, so what it is sent does not grow with the rows
+        return blocks.coalesce(min(parts, max(df.sparkSession.sparkContext.defaultParallelism, -(-parts // 4))))
 
     asked = packed(queries, qkey, qt).withColumnsRenamed({"keys": "qkeys", "mat": "qmat"})
-    pairs = asked.crossJoin(packed(train, tkey, tt))  # pairs of blocks, not of rows
+    pairs = asked.crossJoin(packed(train, tkey, tt).hint("shuffle_replicate_nl"))  # pairs of blocks, not of rows
     schema = T.StructType([T.StructField("_q", qt), T.StructField("_t", tt), T.StructField("d2", T.DoubleType())])
     cand = pairs.mapInPandas(_local_topk(k), schema)
     w = Window.partitionBy("_q").orderBy("d2", "_t")

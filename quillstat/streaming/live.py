@@ -14,17 +14,20 @@ Checkpoint locations default to ``spark.checkpoint.dir``/<name> (shared folder).
 
 from __future__ import annotations
 
+import functools
 import os
+from collections import deque
 from collections.abc import Sequence
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
-from .event_time import MICROS, in_event_order
+from .event_time import BUCKETS, MICROS, in_event_order, missing
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -66,71 +69,66 @@ def window_stats(stream: DataFrame, ts: str, values: Sequence[str], window: str
 
 # --------------------------------------------------------------------------- peaks with state
 
-def _peaks(tie: str, value: str, width: int):
+def _peaks(value: str, width: int):
     k = 2 * width
 
-    def process(key, rows: pd.DataFrame, carried):
-        us, ties, values = (list(x) for x in carried) if carried else ([], [], [])
-        us += rows[MICROS].tolist()
-        ties += rows[tie].tolist()
-        values += rows[value].tolist()
-        hits = []
-        for i in range(width, len(values) - width):  # the last row carried is the first centre's left neighbour
-            window = values[i - width:i + width + 1]
-            if None not in window and values[i] == max(window) and values[i] > (sum(window) - values[i]) / k:
-                hits.append(i)
-        found = pd.DataFrame({MICROS: [us[i] for i in hits], tie: [ties[i] for i in hits], value: [values[i] for i in hits]})
-        keep = slice(max(0, len(us) - k), None)
-        return found, (us[keep], ties[keep], values[keep])
+    def process(rows: pd.DataFrame, series: np.ndarray, fresh: np.ndarray):
+        at = np.arange(len(rows))
+        before, after = at - np.searchsorted(series, series), np.searchsorted(series, series, "right") - at
+        values, known = rows[value].to_numpy(), ~missing(rows, value)
+        centre = at[(before >= width) & (after > width)]  # the last row carried is the first centre's left neighbour
+        centre = centre[np.logical_and.reduce([known[centre + o] for o in range(-width, width + 1)])]
+        top = functools.reduce(np.maximum, [values[centre + o] for o in range(-width, width + 1)])
+        v = values.tolist()
+        hits = [i for i in centre[values[centre] == top].tolist() if v[i] > (sum(v[i - width:i + width + 1]) - v[i]) / k]
+        return rows.iloc[hits], after <= k
 
     return process
 
 
 def stream_peaks(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, width: int = 1,
-                 delay: str = "1 hour", idle: timedelta | None = None) -> DataFrame:
+                 delay: str = "1 hour", idle: timedelta | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Streaming local peaks (same rule as the batch ``find_peaks``) per series key.
 
     Output (keys, tie, value, ts) of each peak, once the watermark has passed its window: rows may come in any
     order within ``delay``.  The state of a series is its rows within the delay and the last 2*width before;
     with ``idle`` a series that is silent for that long is dropped and starts anew.
     """
-    schema = stream.schema
-    carry = T.StructType([
-        T.StructField("us", T.ArrayType(T.LongType())),
-        T.StructField("ties", T.ArrayType(schema[tie].dataType)),
-        T.StructField("values", T.ArrayType(schema[value].dataType)),
-    ])
-    return in_event_order(stream, keys, ts, tie, delay, _peaks(tie, value, width), carry, keep=[tie, value], idle=idle)
+    return in_event_order(stream, keys, ts, tie, delay, _peaks(value, width), keep=[tie, value], idle=idle, buckets=buckets)
 
 
 # --------------------------------------------------------------------------- quota with state
 
 def _admission(max_calls: int, horizon_us: int):
-    def process(key, rows: pd.DataFrame, carried):
-        admitted = list(carried[0]) if carried else []
-        flags = []
-        for us in rows[MICROS]:
-            admitted = [a for a in admitted if us - a < horizon_us]
-            flags.append(len(admitted) < max_calls)
+    def process(rows: pd.DataFrame, series: np.ndarray, fresh: np.ndarray):
+        flags, key, recent = [], None, deque()
+        for s, us, new in zip(series.tolist(), rows[MICROS].tolist(), fresh.tolist()):
+            if s != key:
+                key, recent = s, deque(maxlen=max(max_calls, 0))  # the last times admitted
+            flags.append(not new or max_calls > 0 and (len(recent) < max_calls or us - recent[0] >= horizon_us))
             if flags[-1]:
-                admitted.append(us)
-        return rows.assign(admitted=flags), (admitted,)
+                recent.append(us)
+        admitted = np.array(flags, dtype=bool)
+        at = np.flatnonzero(admitted)
+        later = np.searchsorted(series[at], series[at], "right") - np.arange(len(at))
+        carry = np.zeros(len(rows), dtype=bool)
+        carry[at[later <= max_calls]] = True
+        return rows.assign(admitted=admitted)[fresh], carry
 
     return process
 
 
 def stream_quota(stream: DataFrame, keys: Sequence[str], ts: str, tie: str, max_calls: int,
-                 horizon_s: float = 3600.0, delay: str = "1 hour") -> DataFrame:
+                 horizon_s: float = 3600.0, delay: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """Streaming admission (same rule as the batch ``quota_admission``), in event-time order within ``delay``.
 
-    State: the calls within the delay and the admitted times within the horizon; a key without calls for a
-    horizon has nothing to remember and is dropped.
+    State: the calls within the delay and the last ``max_calls`` admitted ones of a key; a key without admitted calls
+    for a horizon has nothing to remember and is dropped.
     """
     horizon = timedelta(seconds=horizon_s)
-    carry = T.StructType([T.StructField("admitted_us", T.ArrayType(T.LongType()))])
     added = T.StructType([T.StructField("admitted", T.BooleanType())])
     process = _admission(max_calls, horizon // timedelta(microseconds=1))
-    return in_event_order(stream, keys, ts, tie, delay, process, carry, added, idle=horizon)
+    return in_event_order(stream, keys, ts, tie, delay, process, added, idle=horizon, buckets=buckets)
 
 
 # --------------------------------------------------------------------------- cost alert

@@ -134,3 +134,56 @@ def test_window_stats_stream(spark, scratch):
     got = spark.sql("select sum(n) from t_win").first()[0]
     # append mode emits windows closed by the watermark: all but the trailing open window(s)
     assert 0 < got <= ev.count()
+
+
+LONG_SCHEMA = SCHEMA.replace("user_id string", "user_id long")
+
+
+def _long_events(users, n, seed):
+    rng = random.Random(seed)
+    start = datetime.datetime(2024, 3, 1)
+    return [(None if i % 97 == 0 else i, rng.choice(users), start + datetime.timedelta(minutes=10 * rng.randrange(120), microseconds=i),
+             rng.choice([None, 1.0, rng.random()])) for i in range(n)]
+
+
+@pytest.mark.parametrize("what", ["peaks", "quota"])
+@pytest.mark.parametrize("buckets", [1, None])
+def test_many_keys_share_few_states(spark, scratch, what, buckets):
+    """A state per key, with a call for each in every batch, made the time grow by the keys; results are those of the batch."""
+    users = [None, 0, 2**53, 2**53 + 1, *range(1, 700)]
+    rows = _long_events(users, 3000, 5)
+    inbox = f"{scratch}/inbox"
+    land = lambda some: lambda: spark.createDataFrame(some, LONG_SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+    shuffled = random.Random(1).sample(rows, len(rows))
+    end = max(r[2] for r in rows)
+    beats = [[(-1, -1, end + datetime.timedelta(days=d), None)] for d in (4, 8)]
+    land(shuffled[::2])()
+    ev = spark.createDataFrame(rows, LONG_SCHEMA)
+    st = L.live_stream(spark, inbox, ev.schema, "parquet")
+    some = {"buckets": buckets} if buckets else {}
+    if what == "peaks":
+        stream = L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 1, delay="2 days", **some)
+        want = TS.find_peaks(ev, "value", ["ts", "event_id"], ["user_id"], 1)
+    else:
+        stream = L.stream_quota(st, ["user_id"], "ts", "event_id", 2, horizon_s=36000, delay="2 days", **some)
+        micros = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+        want = U.quota_admission(ev.withColumn("t", micros), "t", "event_id", 2, ["user_id"], 36000)
+    states = _run(stream, f"few_{what}_{buckets}", scratch, [lambda: None, land(shuffled[1::2]), *map(land, beats)])
+    got = spark.table(f"few_{what}_{buckets}").where("user_id IS NULL OR user_id >= 0")
+    assert states <= (buckets or 256)
+    assert want.count() > 100
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+
+
+def test_carried_rows_and_idle_keys_in_a_shared_state(spark, scratch):
+    """Peaks across batches, one key silent meanwhile: it is dropped from the state that others still use."""
+    at = lambda h: datetime.datetime(2024, 3, 1) + datetime.timedelta(hours=h)
+    inbox = f"{scratch}/inbox"
+    land = lambda *some: lambda: spark.createDataFrame(some, LONG_SCHEMA).coalesce(1).write.mode("append").parquet(inbox)
+    land((1, 1, at(0), 1.0), (2, 2, at(0), 1.0), (3, 2, at(1), 5.0))()
+    st = L.live_stream(spark, inbox, spark.createDataFrame([], LONG_SCHEMA).schema, "parquet")
+    stream = L.stream_peaks(st, ["user_id"], "ts", "event_id", "value", 1, delay="1 hour", idle=datetime.timedelta(hours=6), buckets=1)
+    feeds = [lambda: None, land((4, 3, at(4), 0.0)), land((5, 2, at(6), 2.0)), land((6, 3, at(10), 0.0)), land((7, 1, at(11), 9.0)),
+             land((8, 1, at(12), 1.0)), land((9, 3, at(30), 0.0)), land((10, 3, at(60), 0.0))]
+    assert _run(stream, "shared", scratch, feeds) == 1
+    assert [(r.user_id, r.event_id, r.value, r.ts) for r in spark.table("shared").collect()] == [(2, 3, 5.0, at(1))]

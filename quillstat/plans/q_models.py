@@ -648,7 +648,7 @@ DOC_FEATURES = ["n_chars", "n_lines", "n_spaces", "n_digits"]
 
 
 def _doc_split(spark, sf):
-    docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42)
+    docs = S.hash_split(doc_table(spark, sf), "doc_id", 20, 42).checkpoint()  # the texts are read once
     scaled = K.standardize_exprs(docs.where(~F.col("is_test")), DOC_FEATURES)
     return K.assemble(docs, DOC_FEATURES, scaled)
 

@@ -4,10 +4,13 @@ import threading
 
 import numpy as np
 import pandas as pd
+import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
+from test_models_exact import lance_williams
 
 from quillstat.operators import classify as K
+from quillstat.operators import linkage as H
 from quillstat.plans import q_models
 
 
@@ -38,3 +41,42 @@ def test_folds_are_fitted_side_by_side(spark):
         return K.logistic(train, "y")
 
     assert [r["fold"] for r in K.cross_validate(df, "y", fit, k=4)] == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("linkage", H.LINKAGES)
+def test_lists_of_nearest_clusters_give_the_tree(spark, linkage):
+    """Short lists leave much to later lists, rounds and the last task; whatever proves a merge, the tree is the same."""
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(size=(150, 5)), rng.normal(size=(1, 5)) + rng.normal(size=(60, 5)) / 50])
+    x = np.vstack([x, x[:20]])  # leaves of weight 2
+    leaves = H.leaves(spark.createDataFrame(pd.DataFrame({"v": list(x)})), "v")
+    rows = leaves.orderBy("leaf").collect()
+    want = lance_williams(np.array([r["v"] for r in rows]), np.array([r["w"] for r in rows]), linkage)
+    got = H.merge_table(H.tree(leaves, linkage, block=128, finish=40, near=6), leaves)
+    assert np.allclose([m[2] for m in got], [m[2] for m in want], rtol=1e-9)
+    assert [(m[0], m[1], m[3]) for m in got] == [(m[0], m[1], m[3]) for m in want]
+    proved = H._by_lists(leaves.withColumn("c", F.col("leaf")), linkage, 210, 6).count()
+    assert proved > 60  # a round of reciprocal nearest neighbours has far fewer
+
+
+def test_equal_distances_prove_nothing(spark):
+    """All as near as each other, more than lists hold: rounds go on, and the tree is whole."""
+    leaves = H.leaves(spark.createDataFrame([([float(i == j) for j in range(7)],) for i in range(7)], "v array<double>"), "v")
+    assert H.tree(leaves, "average", block=8, finish=5, near=3).count() == 6
+
+
+def test_every_merge_is_returned(spark):
+    """A tree of more than 5,000 leaves: no merge is left out, and numbers and sizes are those of the whole tree."""
+    df = spark.range(5200).select(F.array((F.col("id") * F.col("id")).cast("double"), F.lit(0.0)).alias("v"))
+    _, merges = H.hierarchical(df, "v", 10, "single")
+    got = merges.orderBy("step").collect()  # squares: the gaps grow, so every merge adds the next leaf
+    assert [tuple(r) for r in got] == [(i, 0 if i == 0 else i + 1, 1 if i == 0 else 5199 + i, 2.0 * i + 1, i + 2) for i in range(5199)]
+
+
+def test_rounds_do_not_grow_the_plan(spark):
+    """What Spark infers about the columns does not double with every round."""
+    edges = spark.range(40).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    roots = H.components(edges, 10)
+    assert {r["root"] for r in roots.collect()} == {0}
+    inferred = roots._jdf.queryExecution().analyzed().constraints().toString()
+    assert "least" not in inferred and "coalesce" not in inferred
